@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licences, line_rules, oracles
+from . import bpe, chat, langid, licences, line_rules, mixing, oracles
+
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +19,37 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *licences.RESULTS)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    path = ranks_path or public_tokenizers.path(RANKS)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
+    back = bpe.decode(ids, path, public_tokenizers.PATTERN)
+    return back.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_rules.quality_rules(docs).select("doc_id", *line_rules.RESULTS)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op6_quality_rules)}
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "source", *mixing.RESULTS)
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = spark.createDataFrame([(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.digests(chat.format_chat(chat.records(rows)))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.is_held_out(F.col("doc_id")))
+    model = langid.fit(docs.filter("NOT held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_byte_bpe, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
 
 
 def queries() -> dict:
