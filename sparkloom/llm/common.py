@@ -60,3 +60,47 @@ def join_known(rows: DataFrame, known: DataFrame, key: str, weight: str, spread:
     cold = known.select(F.col(key).alias("_cold"), F.lit(True).alias("_found"))
     found = F.coalesce(F.col("_found"), F.lit(False)) & F.col(key).isNotNull()
     return dealt.join(cold, "_cold", "left").withColumn("known", F.col("_hot").isNotNull() | found).drop("_hot", "_cold", "_found")
+
+
+def lookup(rows: DataFrame, key: str, table: DataFrame, table_key: str, value: str, spread: str) -> DataFrame:
+    """rows with `value` of the row of table that has their key, null if none; table has one row a key.
+
+    Hot keys are dealt with as in join_known: the HOT_KEYS most frequent ones go by broadcast.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").orderBy(F.desc("_n"), key).limit(HOT_KEYS)
+    t = table.select(F.col(table_key).alias("_key"), F.col(value).alias("_value"))
+    hot = counts.select(F.col(key).alias("_hot")).join(t, F.col("_hot") == F.col("_key"), "left").select("_hot", F.col("_value").alias("_hot_value"))
+    marked = rows.join(F.broadcast(hot), rows[key] == hot["_hot"], "left")
+    cold_key = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(F.xxhash64(spread))
+    out = marked.withColumn("_cold", cold_key).join(t, F.col("_cold") == F.col("_key"), "left")
+    got = F.when(F.col("_hot").isNotNull(), F.col("_hot_value")).when(F.col(key).isNotNull(), F.col("_value"))
+    return out.select(*rows.columns, got.alias(value))
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) for each node of an edge that isn't the least of its component; root is the least.
+
+    Rounds of hooking each node onto its least neighbour, flattening the trees by pointer jumping and
+    contracting the edges. Every node but local minima vanishes in a round, so there are O(log n)
+    rounds. State is written to the shared folder after each step; nothing is collected.
+    """
+    e = stored(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a > b").distinct())
+    labels = None
+    while not e.isEmpty():
+        p = stored(e.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node"))
+        while True:
+            up = stored(lookup(p, "root", p.withColumnRenamed("root", "next"), "node", "next", "node"))
+            p = up.select("node", F.coalesce("next", "root").alias("root"))
+            if up.filter("next IS NOT NULL").isEmpty():
+                break
+        p = stored(p)
+        if labels is not None:
+            old = lookup(labels, "root", p.withColumnRenamed("root", "next"), "node", "next", "node")
+            labels = stored(old.select("node", F.coalesce("next", "root").alias("root")).unionByName(p))
+        else:
+            labels = p
+        e = lookup(e, "a", p.withColumnRenamed("root", "ra"), "node", "ra", "b")
+        e = lookup(e, "b", p.withColumnRenamed("root", "rb"), "node", "rb", "a")
+        x, y = F.coalesce("ra", "a"), F.coalesce("rb", "b")
+        e = stored(e.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).filter("a > b").distinct())
+    return labels if labels is not None else e.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, licences, line_rules, mixing, oracles
+from . import bpe, chat, langid, licences, line_rules, mixing, oracles, simhash
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -27,6 +27,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None
     return back.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_rules.quality_rules(docs).select("doc_id", *line_rules.RESULTS)
@@ -49,7 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_byte_bpe, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_byte_bpe, op4_simhash_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
 
 
 def queries() -> dict:
