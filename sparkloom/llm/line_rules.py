@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_known, words
+from .common import join_known, stored, words
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -73,7 +73,7 @@ def removed_lines(docs: DataFrame, text: str = "text", host: str = "source", min
     per_line = d.filter("_line IS NOT NULL").groupBy("_host", "_line", "_text").agg(F.count(F.lit(1)).alias("n"))
     per_line = per_line.groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("weight")).filter(F.col("n_docs") > min_documents)
     hosts = docs.select(F.xxhash64(text).alias("_text"), F.struct(F.col(host).alias("h")).alias("_host")).distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("host_docs"))
-    frequent = per_line.join(hosts, "_host").filter(F.col("n_docs") > max_share * F.col("host_docs")).select("_line", "weight")
+    frequent = stored(per_line.join(hosts, "_host").filter(F.col("n_docs") > max_share * F.col("host_docs")).select("_line", "weight"))
     return join_known(d, frequent, "_line", "weight", "_row")
 
 
