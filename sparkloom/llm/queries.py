@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, licences, line_rules, mixing, oracles, simhash
+from . import bpe, chat, langid, licences, line_rules, mixing, oracles, recompress, simhash
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -19,6 +19,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *licences.RESULTS)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return recompress.remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
     path = ranks_path or public_tokenizers.path(RANKS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op3_byte_bpe, op4_simhash_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_byte_bpe, op4_simhash_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
 
 
 def queries() -> dict:
