@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, licences, line_rules, mixing, oracles, recompress, simhash
+from . import bpe, chat, langid, licences, line_rules, mixing, oracles, recompress, simhash, suffixes
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -37,6 +37,11 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_rules.quality_rules(docs).select("doc_id", *line_rules.RESULTS)
@@ -59,7 +64,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_byte_bpe, op4_simhash_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_byte_bpe, op4_simhash_dedup, op5_suffix_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
 
 
 def queries() -> dict:
