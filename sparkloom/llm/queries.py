@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, langid, licences, line_rules, mixing, oracles, recompress, simhash, suffixes
+from . import ann, bpe, chat, langid, licences, line_rules, mixing, oracles, recompress, simhash, suffixes
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -58,13 +58,18 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chat(chat.records(rows)))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.filter(F.pmod("vec_id", F.lit(20)) == 0))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.is_held_out(F.col("doc_id")))
     model = langid.fit(docs.filter("NOT held_out"))
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_byte_bpe, op4_simhash_dedup, op5_suffix_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_byte_bpe, op4_simhash_dedup, op5_suffix_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op9_nearest_neighbours, op10_language_id)}
 
 
 def queries() -> dict:
