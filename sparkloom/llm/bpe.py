@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token is a doubly linked list of byte tokens. For each merge rank there is a bucket, a heap of
-list places whose pair has that rank; a three-level bitmap marks the ranks with a bucket, and
-find-first-set from the top word down gives the lowest one. Entries are never removed when their
+list places whose pair has that rank (a bare place while there is one). A bitmap in words of 256
+ranks marks the ranks with a bucket, a root word marks the words that aren't zero, and find-first-set
+on the root, then on that word, gives the lowest rank. Entries are never removed when their
 pair changes: an entry is stale if the pair now at its place has another rank, and is skipped. Each
 merge costs O(log n) at most, so a pre-token of any length takes O(n log n).
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Distinct pre-tokens a worker remembers; beyond, it starts anew. Results don't depend on it.
-CACHE = 400_000
+CACHE = 1_000_000
 #: Longer pre-tokens are not remembered.
 CACHE_BYTES = 64
 
@@ -39,52 +40,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}
 
 
-class RankQueue:
-    """Places by rank: bitmap words of 64 ranks, of 64 words, and of 64 of those, to the root."""
-
-    def __init__(self, n_ranks: int):
-        self.levels = []
-        n = n_ranks
-        while True:
-            n = (n + 63) // 64
-            self.levels.append([0] * n)
-            if n <= 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, place)
-            return
-        self.buckets[rank] = [place]
-        i = rank
-        for words in self.levels:
-            was = words[i >> 6]
-            words[i >> 6] = was | 1 << (i & 63)
-            if was:
-                break
-            i >>= 6
-
-    def pop(self) -> tuple[int, int] | None:
-        """The lowest rank and its first place."""
-        if not self.levels[-1][0]:
-            return None
-        i = 0
-        for words in reversed(self.levels):
-            w = words[i]
-            i = i << 6 | (w & -w).bit_length() - 1
-        bucket = self.buckets[i]
-        place = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[i]
-            k = i
-            for words in self.levels:
-                words[k >> 6] &= ~(1 << (k & 63))
-                if words[k >> 6]:
-                    break
-                k >>= 6
-        return i, place
+BIT = [1 << i for i in range(256)]
 
 
 class PairRanks(dict):
@@ -110,39 +66,67 @@ class Encoder(dict):
         super().__init__()
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.tokens = {i: t for t, i in ranks.items()}
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.words = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
         self.bytes = [ranks.get(bytes([b])) for b in range(256)]
         self.pairs = PairRanks(ranks, self.tokens)
 
     def merge(self, piece: bytes) -> list[int]:
+        """The ids of one pre-token. The queue's push and pop stand in line, since they are most of the work."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         ids = list(map(self.bytes.__getitem__, piece))
-        n, pair, push, pop = len(ids), self.pairs.__getitem__, self.queue.push, self.queue.pop
+        n, pair, one = len(ids), self.pairs.__getitem__, BIT
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         at = list(map(pair, zip(ids, ids[1:], strict=False)))
+        words, buckets, root = self.words, {}, 0
+        put = list(enumerate(at))
         at.append(-1)
-        for i, r in enumerate(at):
-            if r >= 0:
-                push(r, i)
-        while (top := pop()) is not None:
-            rank, i = top
+        while True:
+            for i, r in put:
+                if r >= 0:
+                    bucket = buckets.get(r)
+                    if bucket is None:
+                        buckets[r] = i
+                        w = r >> 8
+                        if not words[w]:
+                            root |= one[w]
+                        words[w] |= one[r & 255]
+                    elif bucket.__class__ is int:
+                        buckets[r] = [bucket, i] if bucket < i else [i, bucket]
+                    else:
+                        heapq.heappush(bucket, i)
+            put = ()
+            if not root:
+                break
+            w = (root & -root).bit_length() - 1
+            x = words[w]
+            low = x & -x
+            rank = w << 8 | low.bit_length() - 1
+            bucket = buckets[rank]
+            if bucket.__class__ is int:
+                i = bucket
+                bucket = None
+            else:
+                i = heapq.heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                words[w] = x = x ^ low
+                if not x:
+                    root ^= one[w]
             if at[i] != rank:  # stale: the pair at this place has changed or gone
                 continue
             j = after[i]
             after[i] = k = after[j]
             ids[i], at[j], at[i] = rank, -1, -1
+            h = before[i]
             if k < n:
                 before[k] = i
                 at[i] = r = pair((rank, ids[k]))
-                if r >= 0:
-                    push(r, i)
-            h = before[i]
+                put = ((i, r),)
             if h >= 0:
                 at[h] = r = pair((ids[h], rank))
-                if r >= 0:
-                    push(r, h)
+                put = (*put, (h, r))
         out, i = [], 0
         while i < n:
             out.append(ids[i])
