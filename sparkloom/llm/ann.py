@@ -36,7 +36,7 @@ TARGET = 0.985
 #: Candidates a search reranks.
 RERANKED = 160
 #: Components of a subspace, and codes of one.
-SUB, CODES = 4, 256
+SUB, CODES = 2, 256
 MOST_LISTS = 1024
 ROUNDS = 8
 #: Entries of one list that one task takes, about.

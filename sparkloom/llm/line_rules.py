@@ -57,7 +57,10 @@ def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     d = d.withColumn("_p", F.expr(f"sort_array(filter(transform(_s, (x, k) -> CASE WHEN {same.format('+')} OR {same.format('-')} THEN x & _m END), x -> x IS NOT NULL))"))
     d = d.withColumn("n_repeat_words", F.expr("aggregate(transform(_p, (x, k) -> least(3L, coalesce(get(_p, k + 1) - x, 3L))), 0L, (a, x) -> a + x)"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    return d.withColumn("base_failed", failed).drop("_t", "_w", "_l", "_h", "_b", "_m", "_s", "_p")
+    # an expression that isn't deterministic, always true: a filter on base_failed must not be pushed below
+    # these projections, or it would inline the arrays into the lambdas that index them
+    fence = F.monotonically_increasing_id() >= 0
+    return d.withColumn("base_failed", failed & fence).drop("_t", "_w", "_l", "_h", "_b", "_m", "_s", "_p")
 
 
 def removed_lines(docs: DataFrame, text: str = "text", host: str = "source", min_documents: int = MIN_LINE_DOCUMENTS, max_share: float = MAX_HOST_SHARE) -> DataFrame:

@@ -215,3 +215,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id")
     named = stored(lookup(placed.select("fp", "root"), "root", lows.withColumnRenamed("root", "r"), "r", "component_id", "fp"))
     out = lookup(fps.withColumn("_spread", F.monotonically_increasing_id()), "fp", named.select(F.col("fp").alias("f"), "component_id"), "f", "component_id", "_spread")
     return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).drop("fp", "_spread")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """The rows of docs but those whose component has a smaller id; rows with a null id stay."""
+    gone = near_duplicates(docs.select(ident, text), text, ident).filter(F.col(ident) != F.col("component_id")).select(ident).distinct()
+    return docs.join(gone, ident, "left_anti").select(*docs.columns)
