@@ -18,8 +18,6 @@ from __future__ import annotations
 
 
 import re
-import sys
-import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -29,59 +27,59 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE_ROWS = 20_000
-MODEL_ROWS = 200_000
+MODEL_ROWS = 100_000
 GRAM_LENGTHS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
+NEARLY_LETTERS = re.compile(r"[^\W\d_]+").findall
 #: Added to each count.
 SMOOTHING = 0.5
-#: Unseen words a worker remembers; results don't depend on it.
-CACHE = 200_000
 
 
-class Scorer(dict):
-    """Log probabilities by language; as a dict it maps words to rows of the score matrix."""
+class Scorer:
+    """Log frequencies by language, as rows of one matrix of words and one of grams."""
 
     def __init__(self, languages: list[str], words: dict[str, list[int]], grams: dict[str, list[int]]):
-        super().__init__()
         self.languages = languages
-        self.grams = dict(zip(grams, self.logs(grams), strict=True))
-        self.known = dict(zip(words, self.logs(words), strict=True))
-        self.rows: list[np.ndarray] = []
-        odd = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and unicodedata.category(c)[0] not in "LM" and not c.isdecimal()]
-        self.find = re.compile(f"[^\\W\\d_{''.join(map(re.escape, odd))}]+").findall
-
-    def logs(self, counts: dict[str, list[int]]) -> list[np.ndarray]:
-        """Log frequency by language; lengths of gram are told apart by nothing else than their totals together."""
-        if not counts:
-            return []
-        m = np.array(list(counts.values()), dtype=float) + SMOOTHING
-        return list(np.log(m / m.sum(axis=0)))
-
-    def unseen(self, word: str) -> np.ndarray:
-        marked = f"<{word}>"
+        self.words, self.word_logs = self.indexed(words)
+        self.grams, self.gram_logs = self.indexed(grams)
+
+    def count(self, text: str) -> Counter:
+        """Runs of letters in lower case, and how often each occurs."""
+        counts = Counter(NEARLY_LETTERS(text.lower()))
+        for w in [w for w in counts if not w.isalpha()]:  # has numerals that are no decimal digits
+            n = counts.pop(w)
+            for part in "".join(c if c.isalpha() else " " for c in w).split():
+                counts[part] += n
+        return counts
+
+    def indexed(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
+        m = np.array(list(counts.values()), dtype=float).reshape(len(counts), len(self.languages)) + SMOOTHING
+        return {w: i for i, w in enumerate(counts)}, np.log(m / m.sum(axis=0))
+
+    def backoff(self, word: str) -> list[int]:
+        """Rows of the word's grams of the longest length of which any is known."""
+        marked, get = f"<{word}>", self.grams.get
         for n in GRAM_LENGTHS:
-            found = [g for i in range(len(marked) - n + 1) if (g := self.grams.get(marked[i : i + n])) is not None]
+            found = [g for i in range(len(marked) - n + 1) if (g := get(marked[i : i + n])) is not None]
             if found:
-                return sum(found) / len(found)
-        return np.zeros(len(self.languages))
-
-    def __missing__(self, word: str) -> int:
-        row = self.known.get(word)
-        row = self.unseen(word) if row is None else row
-        self[word] = len(self.rows)
-        self.rows.append(row)
-        return len(self.rows) - 1
+                return found
+        return []
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(self.find(text.lower())) if text else None
+        words = self.count(text) if text else None
         if not words or not self.languages:
             return UNKNOWN, 0.0
-        if len(self) > CACHE:
-            self.clear()
-            self.rows.clear()
-        at = list(map(self.__getitem__, words))
+        at = list(map(self.words.get, words))
         n = np.fromiter(words.values(), float, len(words))
-        total = n @ np.array([self.rows[i] for i in at])
+        known = np.array([i is not None for i in at])
+        total = n[known] @ self.word_logs[[i for i in at if i is not None]] if known.any() else np.zeros(len(self.languages))
+        parts, times = [], []
+        for w, i, k in zip(words, at, words.values(), strict=True):
+            if i is None and (found := self.backoff(w)):
+                parts += found
+                times += [k / len(found)] * len(found)
+        if parts:
+            total = total + np.array(times) @ self.gram_logs[parts]
         p = np.exp(total - total.max())
         best = int(total.argmax())
         return self.languages[best], float(p[best] / p.sum())
@@ -101,7 +99,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows
     share = sample_rows / max(1, rows.select("lang").count())
     if share < 1:
         rows = rows.filter(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    words = rows.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '[\\p{L}\\p{M}]+', 0)")).alias("token")).groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
+    words = rows.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '[\\p{L}]+', 0)")).alias("token")).groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
     words = words.persist()
     try:
         known = _counts(words, model_rows)
