@@ -12,10 +12,11 @@ SAMPLE = "question string, answer string"
 def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE, keep_corrupt: bool = False) -> DataFrame:
     """Rows of a file or folder of *.jsonl with `src_file` and, if kept, `corrupt` for lines that are no JSON object.
 
-    Blank lines are skipped by the reader.
+    Blank lines are skipped.
     """
-    df = spark.read.schema(f"{schema}, corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(path, pathGlobFilter="*.jsonl")
-    df = df.withColumn("src_file", F.col("_metadata.file_name"))
+    lines = spark.read.text(path, pathGlobFilter="*.jsonl").withColumn("src_file", F.col("_metadata.file_name")).filter(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schema}, corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"})
+    df = lines.select(parsed.alias("x"), "src_file").select("x.*", "src_file")
     return df if keep_corrupt else df.filter(F.col("corrupt").isNull()).drop("corrupt")
 
 
