@@ -10,7 +10,7 @@ Rates are rounded into copies: the whole part always, and the fraction by order
 source documents are ordered by a Pareto rank, made of the fraction and a hash of the row, and take
 one more copy until the source's words are met. The cut is found from sums over equal-width bins of the rank,
 and exact order only inside the one bin that holds the cut, so no task sees a whole hot source. One
-document beyond the cut, of the size nearest to what is still short, closes most of the last gap.
+document, and at most TURNS in all, then changes sides where its size is nearest to what is still short or over.
 
 Defined results: a null text has size 0 and is taken 0 times; the null source is a source of its own,
 last in order; a source of size 0 has target 0; rows that repeat a doc_id are documents of their
@@ -29,6 +29,8 @@ WEIGHTS = (1.0, 2.0, 3.0)
 ITERATIONS = 60
 TOLERANCE = 1e-9
 BINS = 4096
+#: Documents of a source that may change sides after the cut.
+TURNS = 3
 #: exp(LIMIT) bounds the tilt of a mean-sized document.
 LIMIT = 60.0
 
@@ -104,8 +106,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tu
     one = F.col(source).eqNullSafe(F.col("_source"))
     chosen = sized.join(cuts.withColumnRenamed("source", "_source"), one, "left")
     chosen = _with_rates(chosen, cap)
-    extra = (F.col("_rank") < F.col("_cut")) | ((F.col("_rank") == F.col("_cut")) & (F.col("_u") <= F.col("_cut_u"))) | ((F.col("_rank") == F.col("_pick")) & (F.col("_u") == F.col("_pick_u")))
-    copies = F.col("_whole") + F.when((F.col("_part") > 0) & extra, 1).otherwise(0)
+    copies = F.col("_whole") + F.when((F.col("_part") > 0) & _extra(), 1).otherwise(0)
     out = chosen.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("long"))
     out = out.withColumn("taken", F.col("copies") * F.col("size")).withColumn("rate", F.coalesce("rate", F.lit(0.0)))
     return out.select(*docs.columns, *RESULTS)
@@ -121,7 +122,7 @@ def _with_rates(df: DataFrame, cap: float) -> DataFrame:
 
 
 def _cuts(light: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
-    """plan with _cut and _cut_u, _pick and _pick_u: documents of a source up to that rank and hash, and the one picked, take one more copy."""
+    """plan with cut, cut_u and turned, which `_extra` reads."""
     key = F.col("source").eqNullSafe(F.col("_source"))
     d = _with_rates(light.filter("size > 0").withColumnRenamed("source", "_source").join(plan, key).drop("source"), cap)
     d = d.withColumn("_bin", F.floor(F.least(F.coalesce("_rank", F.lit(0.0)), F.lit(1 - 1e-12)) * BINS))
@@ -137,14 +138,28 @@ def _cuts(light: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
     last = inside.groupBy("_source").agg(F.max(F.struct("_rank", "_u", "sum")).alias("last"))
     last = stored(at.join(last, key, "left").drop("_source"))
     rank = F.coalesce(F.col("last")["_rank"], F.col("bin") / BINS - 1e-15)
-    last = last.select("source", rank.alias("cut"), F.coalesce(F.col("last")["_u"], F.lit(0).cast("long")).alias("cut_u"), (F.col("need") - F.coalesce(F.col("last")["sum"], F.col("ahead"))).alias("short"))
-    # of the documents beyond the cut, the one whose size is nearest to what is short
-    beyond = d.filter("_part > 0").join(last, key).filter((F.col("_rank") > F.col("cut")) | ((F.col("_rank") == F.col("cut")) & (F.col("_u") > F.col("cut_u"))))
-    pick = beyond.groupBy("_source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("short")).alias("off"), "_rank", "_u", "short")).alias("pick")).filter("pick.off < pick.short")
-    ends = last.join(pick, key, "left").select(F.col("source").alias("_s"), "cut", "cut_u", "pick")
+    short = F.col("need") - F.coalesce(F.col("last")["sum"], F.col("ahead"))
+    none = F.array().cast("array<struct<_rank:double,_u:bigint>>")
+    ends = stored(last.select("source", rank.alias("cut"), F.coalesce(F.col("last")["_u"], F.lit(0).cast("long")).alias("cut_u"), short.alias("short"), none.alias("turned")))
+    live = d.filter("_part > 0")
+    for _ in range(TURNS):
+        # one document whose size is nearest to what is short, or over, changes sides
+        j = live.join(ends, key)
+        j = j.filter((F.col("short") > 0) & ~_extra() | (F.col("short") < 0) & _extra())
+        pick = j.groupBy("_source").agg(F.min(F.struct(F.abs(F.col("size") - F.abs("short")).alias("off"), "_rank", "_u", "size")).alias("pick"))
+        e = ends.join(pick, key, "left")
+        better = F.coalesce(F.col("pick")["off"] < F.abs("short"), F.lit(False))
+        turned = F.when(better, F.concat("turned", F.array(F.struct(F.col("pick")["_rank"].alias("_rank"), F.col("pick")["_u"].alias("_u"))))).otherwise(F.col("turned"))
+        left = F.when(better, F.col("short") - F.signum("short") * F.col("pick")["size"]).otherwise(F.col("short"))
+        ends = stored(e.select("source", "cut", "cut_u", left.alias("short"), turned.alias("turned")))
+    ends = ends.select(F.col("source").alias("_s"), "cut", "cut_u", "turned")
     over = binned.join(plan.select("source", "target"), key).groupBy(F.col("_source").alias("_o")).agg((F.first("target") - F.first("all_base") > F.sum("more")).alias("every"))
     out = plan.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left").join(over, F.col("source").eqNullSafe(F.col("_o")), "left")
     cut = F.when(F.col("every"), 2.0).otherwise(F.coalesce("cut", F.lit(-1.0)))
-    out = out.withColumn("_cut", cut).withColumn("_cut_u", F.coalesce("cut_u", F.lit(0).cast("long")))
-    out = out.withColumn("_pick", F.coalesce(F.col("pick")["_rank"], F.lit(-1.0))).withColumn("_pick_u", F.coalesce(F.col("pick")["_u"], F.lit(0).cast("long")))
-    return out.select("source", "source_size", "target", "tilt", "mean", "_cut", "_cut_u", "_pick", "_pick_u")
+    return out.select("source", "source_size", "target", "tilt", "mean", cut.alias("cut"), F.coalesce("cut_u", F.lit(0).cast("long")).alias("cut_u"), F.coalesce("turned", none).alias("turned"))
+
+
+def _extra() -> Column:
+    """Whether a document takes one more copy: up to the cut, but for those that changed sides."""
+    upto = (F.col("_rank") < F.col("cut")) | ((F.col("_rank") == F.col("cut")) & (F.col("_u") <= F.col("cut_u")))
+    return upto != F.array_contains("turned", F.struct(F.col("_rank").alias("_rank"), F.col("_u").alias("_u")))
