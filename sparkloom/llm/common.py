@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +49,19 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of queries that are over.
+
+    They go when the driver has collected the queries' objects: first Python's, that hold the JVM's,
+    and once no event names them. The second collection takes what the first one only made known.
+    """
+    gc.collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
 def join_known(rows: DataFrame, known: DataFrame, key: str, weight: str, spread: str) -> DataFrame:
     """rows left-joined with known, which has one row per key and the rows' number per key in `weight`.
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .hashing import BASE, BYTE_VALUES, INVERSE, U, between, mix, prefix_sums
-from .repeats import by_bucket, doc_table, gathered, heads_of, joined, outcomes, ranges_of, read_tables, settle, slices
+from .repeats import by_bucket, doc_table, gathered, heads_of, joined, outcomes, packed_rows, ranges_of, read_tables, settle, slices
 
 #: Words of a window.
 WIDTH = 13
@@ -167,7 +167,8 @@ class WordRepeats:
         k1, k2, owner, place, ids = k1[order], k2[order], owner[order], place[order], ids[order]
         new = heads_of(k1, k2)
         late = ids > ids[new][np.cumsum(new) - 1] if len(ids) else new
-        settled = [(k, ranges_of(place[late][i].astype(np.int64), self.width)) for k, i in by_bucket(owner[late])]
+        gone = place[late].astype(np.int64)
+        settled = [(k, ranges_of(gone[i], self.width)) for k, i in by_bucket(owner[late])]
         k1, k2, owner, place = k1[~late], k2[~late], owner[~late], place[~late]
         sent = []
         for bucket, i in by_bucket(k1 % U(parts)):
@@ -176,7 +177,7 @@ class WordRepeats:
             sent.append((bucket, 1, k1[i], k2[i], place[i], slot, table))
         return settled, sent
 
-    def verify(self, batches):
+    def verify(self, batches, parts: int):
         """Of equal windows, those beyond the smallest doc_id go."""
         k1, k2, place, slots, tables, _ = gathered(batches)[1]
         k1, k2, place = joined(k1, U), joined(k2, np.uint32), joined(place, np.uint32)
@@ -185,7 +186,8 @@ class WordRepeats:
         k1, k2, doc, place = k1[order], k2[order], doc[order], place[order]
         new = heads_of(k1, k2)
         late = ids[doc] > ids[doc[new]][np.cumsum(new) - 1] if len(doc) else new
-        yield outcomes([(ids[k], roots[k].tobytes(), ranges_of(place[late][i].astype(np.int64), self.width)) for k, i in by_bucket(doc[late])])
+        gone = place[late].astype(np.int64)
+        yield packed_rows(outcomes([(ids[k], roots[k].tobytes(), ranges_of(gone[i], self.width)) for k, i in by_bucket(doc[late])], parts))
 
     def result(self, raw: bytes, ranges: np.ndarray):
         """n_words, n_removed, kept."""
@@ -213,7 +215,7 @@ RESULTS = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", ident: str = "doc_id", width: int = WIDTH, as_words: bool = True) -> DataFrame:
-    """docs with n_words, n_removed and kept: UTF-8 bytes of the kept words joined by one space.
+    """docs with n_words, n_removed and kept in place of the text: UTF-8 bytes of the kept words joined by one space.
 
     With as_words false, `kept` is the text itself without the removed words and the white space
     after them, and a document that loses none keeps it untouched.

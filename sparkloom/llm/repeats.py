@@ -22,23 +22,27 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LAST_ID, stored
+from .common import LAST_ID, release, stored
 
 U = np.uint64
 #: Bytes of (compressed) input for each partition of marks.
 PARTITION_BYTES = 16 << 20
+#: No input is larger; larger estimates are Spark's stand-in for none.
+UNKNOWN_BYTES = 1 << 52
 #: Marks a task holds before it sends them.
-HELD = 4 << 20
+HELD = 1 << 20
 #: Bytes of text worked on at once; longer documents are worked on alone.
 SLICE = 1 << 18
+#: Bytes of text whose stretches under shared marks are compared at once, before they are sent.
+COMPARED = 4 << 20
 
 ROW = "bucket int, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
 ROW_NAMES = ["bucket", "kind", "a", "b", "c", "d", "e", "f"]
-OUTCOME = "id long, root binary, ranges binary"
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -93,12 +97,12 @@ def roots_of(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), U).reshape(-1, 2)
 
 
-def slices(raws: list[bytes]):
-    """(first, end) of runs of documents of about SLICE bytes."""
+def slices(raws: list[bytes], most: int = SLICE):
+    """(first, end) of runs of documents of about `most` bytes."""
     at = held = 0
     for i, r in enumerate(raws):
         held += len(r)
-        if held >= SLICE:
+        if held >= most:
             yield at, i + 1
             at, held = i + 1, 0
     if at < len(raws):
@@ -188,50 +192,79 @@ def joined(parts: list[bytes], dtype) -> np.ndarray:
     return np.frombuffer(b"".join(parts), dtype)
 
 
-def answer(batches):
-    """Step 2: rows (id, kind, a); kind 0 has an id's shared marks, kind 1 the root of a copy."""
+def answer(parts: int):
+    """Step 2. Rows of kind 0: a ids, b marks of theirs that are shared; of kind 1: a ids, b roots of copies."""
+
+    def run(batches):
+        kinds = gathered(batches)
+        ids, marks = joined(kinds[0][0], np.int64), joined(kinds[0][1], U)
+        order = np.argsort(marks, kind="stable")
+        ids, marks = ids[order], marks[order]
+        heads = np.flatnonzero(heads_of(marks))
+        if len(heads):
+            size = np.diff(np.concatenate((heads, [len(marks)])))
+            shared = np.repeat((size > 1) | (np.minimum.reduceat(ids, heads) < 0), size) & (ids >= 0)
+            ids, marks = ids[shared], marks[shared]
+        ids, marks = np.concatenate((ids, joined(kinds[1][0], np.int64))), np.concatenate((marks, joined(kinds[1][1], U)))
+        out = [(k, 0, ids[i], marks[i]) for k, i in by_bucket(ids.astype(U) % U(parts))]
+        ids, high, low = joined(kinds[2][0], np.int64), joined(kinds[2][1], U), joined(kinds[2][2], U)
+        order = np.lexsort((ids, low, high))
+        ids, high, low = ids[order], high[order], low[order]
+        new = heads_of(high, low)
+        later = ids > ids[new][np.cumsum(new) - 1] if len(ids) else new
+        ids = np.concatenate((ids[later], joined(kinds[3][0], np.int64)))
+        roots = np.stack((np.concatenate((high[later], joined(kinds[3][1], U))), np.concatenate((low[later], joined(kinds[3][2], U)))), axis=1)
+        out += [(k, 1, ids[i], roots[i]) for k, i in by_bucket(ids.astype(U) % U(parts))]
+        yield packed_rows(out)
+
+    return run
+
+
+def told(batches):
+    """Rows (id, marks, copies), one an id."""
     kinds = gathered(batches)
-    out = []
-    ids, marks = joined(kinds[0][0], np.int64), joined(kinds[0][1], U)
-    order = np.argsort(marks, kind="stable")
-    ids, marks = ids[order], marks[order]
-    heads = np.flatnonzero(heads_of(marks))
-    if len(heads):
-        size = np.diff(np.concatenate((heads, [len(marks)])))
-        shared = np.repeat((size > 1) | (np.minimum.reduceat(ids, heads) < 0), size) & (ids >= 0)
-        ids, marks = ids[shared], marks[shared]
-    ids, marks = np.concatenate((ids, joined(kinds[1][0], np.int64))), np.concatenate((marks, joined(kinds[1][1], U)))
-    out += [(int(ids[i[0]]), 0, marks[i].tobytes()) for _, i in by_bucket(ids)]
-    ids, high, low = joined(kinds[2][0], np.int64), joined(kinds[2][1], U), joined(kinds[2][2], U)
-    order = np.lexsort((ids, low, high))
-    ids, high, low = ids[order], high[order], low[order]
-    new = heads_of(high, low)
-    later = ids > ids[new][np.cumsum(new) - 1] if len(ids) else new
-    ids = np.concatenate((ids[later], joined(kinds[3][0], np.int64)))
-    high, low = np.concatenate((high[later], joined(kinds[3][1], U))), np.concatenate((low[later], joined(kinds[3][2], U)))
-    out += [(i, 1, r.tobytes()) for i, r in zip(ids.tolist(), np.stack((high, low), axis=1), strict=True)]
-    yield _batch(out, ["id", "kind", "a"], [pa.int64(), pa.int32(), pa.binary()])
+    got: dict[int, list[bytes]] = {}
+    for kind, width in ((0, 1), (1, 2)):
+        ids, values = joined(kinds[kind][0], np.int64), joined(kinds[kind][1], U).reshape(-1, width)
+        for _, i in by_bucket(ids):
+            got.setdefault(int(ids[i[0]]), [b"", b""])[kind] = values[i].tobytes()
+    yield _batch([(k, *v) for k, v in got.items()], ["id", "marks", "copies"], [pa.int64(), pa.binary(), pa.binary()])
+
+
+def compressed(docs: DataFrame, text: str) -> DataFrame:
+    """docs with `_z`, the compressed UTF-8 bytes of the text, in its place: texts are shuffled twice, at under half the size."""
+    others = [c for c in docs.columns if c not in (text, "_z")]
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+        for batch in batches:
+            z = pa.array([pack(x.as_py() or b"") for x in batch.column(0)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], z], names=[*others, "_z"])
+
+    schema = T.StructType([*(docs.schema[c] for c in others), T.StructField("_z", T.BinaryType())])
+    return docs.select(F.col(text).cast("binary").alias("_text"), *others).mapInArrow(run, schema)
 
 
 def probe(scheme, parts: int):
-    """Step 3. Rows of kind 0 are outcomes: a id, b root, c ranges; of kind 1 go to verify by bucket."""
+    """Step 3. Rows of kind 0 are outcomes, by id; of kind 1 go to verify, by what they hold."""
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             ids, raws, marks, copies = (batch.column(k) for k in range(4))
-            docs, out = [], []
+            docs, settled = [], []
             for k, raw in enumerate(raws):
-                raw = raw.as_py()
+                raw = unpack(raw.as_py())
                 root = scheme.root(raw)
-                if root in (copies[k].as_py() or ()):
-                    out.append((0, 0, np.int64(ids[k].as_py()).tobytes(), root, np.array([0, scheme.units(raw)], np.int64)))
-                elif found := marks[k].as_py():
-                    docs.append((ids[k].as_py(), root, raw, joined(found, U)))
-            if docs:
-                settled, sent = scheme.probe(docs, parts)
-                out += [(0, 0, np.int64(docs[k][0]).tobytes(), docs[k][1], r) for k, r in settled]
-                out += sent
-            yield packed_rows(out)
+                copied, found = copies[k].as_py(), marks[k].as_py()
+                if root in (copied[i : i + 16] for i in range(0, len(copied), 16)):
+                    settled.append((ids[k].as_py(), root, np.array([0, scheme.units(raw)], np.int64)))
+                elif found:
+                    docs.append((ids[k].as_py(), root, raw, np.frombuffer(found, U)))
+            for a, b in slices([d[2] for d in docs], COMPARED):
+                at_once, sent = scheme.probe(docs[a:b], parts)
+                yield packed_rows(outcomes([(docs[a + k][0], docs[a + k][1], r) for k, r in at_once], parts) + sent)
+            yield packed_rows(outcomes(settled, parts))
 
     return run
 
@@ -250,54 +283,64 @@ def read_tables(tables: list[bytes], slots: list[bytes]):
     return np.concatenate(parts) if parts else np.zeros(0, np.int64), table["id"], table["root"]
 
 
-def outcomes(rows: list[tuple[int, bytes, np.ndarray]]) -> pa.RecordBatch:
-    return _batch([(int(i), bytes(r), x.tobytes()) for i, r, x in rows], ["id", "root", "ranges"], [pa.int64(), pa.binary(), pa.binary()])
+def outcomes(settled: list[tuple], parts: int) -> list[tuple]:
+    """ROW tuples of kind 0 from (id, root, flat ranges): a ids, b roots, c ranges, one of each a range."""
+    if not settled:
+        return []
+    n = np.array([len(r) // 2 for _, _, r in settled])
+    ids = np.repeat(np.array([i for i, _, _ in settled], np.int64), n)
+    roots = np.repeat(roots_of([bytes(r) for _, r, _ in settled]), n, axis=0)
+    ranges = np.concatenate([r for _, _, r in settled]).reshape(-1, 2)
+    return [(k, 0, ids[i], roots[i], ranges[i]) for k, i in by_bucket(ids.astype(U) % U(parts))]
+
+
+def collated(batches):
+    """Rows (id, found), one an id: records of root and range."""
+    a, b, c = gathered(batches)[0][:3]
+    ids, rows = joined(a, np.int64), np.concatenate((joined(b, U).reshape(-1, 2), joined(c, U).reshape(-1, 2)), axis=1)
+    yield _batch([(int(ids[i[0]]), rows[i].tobytes()) for _, i in by_bucket(ids)], ["id", "found"], [pa.int64(), pa.binary()])
 
 
 def removed_ranges(docs: DataFrame, scheme, text: str, ident: str) -> DataFrame:
-    """OUTCOME rows: ranges, in the scheme's units, that go from the document with that id and root."""
+    """(id, found), one row an id: records of root and range, in the scheme's units, that go from the document with that id and root."""
     spark = docs.sparkSession
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > UNKNOWN_BYTES:  # Spark has no figure, as for rows from Python
+        size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 200_000))
-    d = docs.select(F.coalesce(F.col(ident).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw"))
-    marks = d.mapInArrow(announce(scheme, parts), ROW)
-    told = marks.repartition(parts, "bucket").mapInArrow(answer, "id long, kind int, a binary")
-    told = told.groupBy("id").agg(F.collect_list(F.when(F.col("kind") == 0, F.col("a"))).alias("marks"), F.collect_list(F.when(F.col("kind") == 1, F.col("a"))).alias("copies"))
-    probes = stored(d.join(told, "id").select("id", "raw", "marks", "copies").mapInArrow(probe(scheme, parts), ROW), "kind")
-    spark.sparkContext._jvm.System.gc()  # lets Spark clear the shuffle files of what is written by now
-    at_once = probes.filter("kind = 0").select("a", F.col("b").alias("root"), F.col("c").alias("ranges"))
-    at_once = at_once.mapInArrow(_read_ids, OUTCOME)
-    found = probes.filter("kind = 1").select(*ROW_NAMES).repartition(parts, "bucket").mapInArrow(lambda b: scheme.verify(b), OUTCOME)
-    return at_once.unionByName(found)
-
-
-def _read_ids(batches):
-    for b in batches:
-        ids = [int.from_bytes(x.as_py(), "little", signed=True) for x in b.column(b.schema.get_field_index("a"))]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(b.schema.get_field_index("root")), b.column(b.schema.get_field_index("ranges"))], names=["id", "root", "ranges"])
+    key = F.coalesce(F.col(ident).cast("long"), F.lit(LAST_ID)).alias("id")
+    marks = docs.select(key, F.coalesce(F.col(text).cast("binary"), F.lit(b""))).mapInArrow(announce(scheme, parts), ROW)
+    heard = marks.repartition(parts, "bucket").mapInArrow(answer(parts), ROW).repartition(parts, "bucket").mapInArrow(told, "id long, marks binary, copies binary")
+    texts = compressed(docs.select(key, text), text)
+    probes = stored(texts.join(heard, "id").select("id", "_z", "marks", "copies").mapInArrow(probe(scheme, parts), ROW), "kind")
+    release(spark)
+    verified = probes.filter("kind = 1").select(*ROW_NAMES).repartition(parts, "bucket").mapInArrow(lambda batches: scheme.verify(batches, parts), ROW)
+    every = probes.filter("kind = 0").select(*ROW_NAMES).unionByName(verified)
+    return every.repartition(parts, "bucket").mapInArrow(collated, "id long, found binary")
 
 
 def settle(docs: DataFrame, scheme, text: str, ident: str, results: list[T.StructField]) -> DataFrame:
-    """Step 5: docs with the scheme's results; `results` are long or binary."""
+    """Step 5: docs with the scheme's results, long or binary, in place of the text."""
     names = [f.name for f in results]
     docs = docs.drop(*[c for c in docs.columns if c in names and c not in (text, ident)])
-    found = removed_ranges(docs, scheme, text, ident).groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("root", "ranges")).alias("_found"))
-    d = docs.withColumn("_key", F.coalesce(F.col(ident).cast("long"), F.lit(LAST_ID))).withColumn("_raw", F.coalesce(F.col(text).cast("binary"), F.lit(b"")))
+    found = removed_ranges(docs, scheme, text, ident).select(F.col("id").alias("_id"), F.col("found").alias("_found"))
+    d = compressed(docs, text).withColumn("_key", F.coalesce(F.col(ident).cast("long"), F.lit(LAST_ID)))
     d = d.join(found, d["_key"] == found["_id"], "left").drop("_key", "_id")
     kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.binary() for f in results]
-    kept = [c for c in docs.columns if c not in names]
+    kept = [c for c in docs.columns if c not in names and c != text]
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             rows = []
-            for raw, found in zip(column["_raw"], column["_found"], strict=True):
-                raw, all_found = raw.as_py(), found.as_py()
+            for raw, found in zip(column["_z"], column["_found"], strict=True):
+                raw, all_found = unpack(raw.as_py()), found.as_py()
                 ranges = np.zeros((0, 2), np.int64)
                 if all_found:
-                    root = scheme.root(raw)
-                    if mine := [x["ranges"] for x in all_found if x["root"] == root]:
-                        ranges = merged(joined(mine, np.int64))
+                    records = np.frombuffer(all_found, U).reshape(-1, 4)
+                    mine = (records[:, :2] == roots_of([scheme.root(raw)])).all(axis=1)
+                    ranges = merged(records[mine, 2:].astype(np.int64).ravel())
                 rows.append(scheme.result(raw, ranges))
             arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([*(column[c] for c in kept), *arrays], names=[*kept, *names])

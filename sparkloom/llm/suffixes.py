@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .hashing import BYTE_VALUES, U, between, mix, prefix_sums
-from .repeats import by_bucket, doc_table, gathered, heads_of, joined, merged, outcomes, read_tables, roots_of, settle, slices
+from .repeats import by_bucket, doc_table, gathered, heads_of, joined, merged, outcomes, packed_rows, read_tables, roots_of, settle, slices
 
 #: Bytes of a window, and of the strings whose hashes mark it.
 WIDTH = 100
 K = 32
 #: Bytes that one suffix sort takes; stretches under one mark stay together.
-SORTED = 8 << 20
+SORTED = 1 << 20
 #: Bits for a place among the bytes worked on at once; a text has under 2**31.
 PLACE = 31
 
@@ -191,7 +191,7 @@ class ByteRepeats:
         """(owner, disjoint ranges) of the bytes under n windows from each start on."""
         return [(k, merged(np.stack((start[i], start[i] + n[i] + self.width - 1), axis=1).ravel().astype(np.int64)).ravel()) for k, i in by_bucket(owner)]
 
-    def verify(self, batches):
+    def verify(self, batches, parts: int):
         mark, start, n, slots, tables, blobs = gathered(batches)[1]
         mark, start, n = joined(mark, U), joined(start, np.int64), joined(n, np.uint32).astype(np.int64)
         doc, ids, roots = read_tables(tables, slots)
@@ -213,7 +213,7 @@ class ByteRepeats:
         if gone:
             owner, place = map(np.concatenate, zip(*gone, strict=True))
             settled += self._ranges(owner, place, np.ones(len(place), np.int64))
-        yield outcomes([(ids[k], roots[k].tobytes(), r) for k, r in settled])
+        yield packed_rows(outcomes([(ids[k], roots[k].tobytes(), r) for k, r in settled], parts))
 
     def _parts(self, order, mark, n):
         """Runs of whole marks of about SORTED bytes; a larger mark is a part of its own."""
@@ -261,5 +261,5 @@ RESULTS = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", ident: str = "doc_id", width: int = WIDTH) -> DataFrame:
-    """docs with n_bytes, n_removed, n_spans (maximal removed runs) and kept, the remaining bytes."""
+    """docs with n_bytes, n_removed, n_spans (maximal removed runs) and kept, the remaining bytes, in place of the text."""
     return settle(docs, ByteRepeats(width), text, ident, RESULTS)
