@@ -28,7 +28,7 @@ SPELLINGS = (
     ("modeled", "modelled"), ("modeling", "modelling"), ("noncommercial", "non commercial"), ("offense", "offence"),
     ("optimize", "optimise"), ("organization", "organisation"), ("organize", "organise"), ("percent", "per cent"),
     ("practice", "practise"), ("program", "programme"), ("realize", "realise"), ("recognize", "recognise"),
-    ("signaling", "signalling"), ("sub license", "sublicence"), ("sublicense", "sublicence"), ("utilization", "utilisation"),
+    ("signaling", "signalling"), ("sub licence", "sublicence"), ("sublicense", "sublicence"), ("utilization", "utilisation"),
     ("while", "whilst"), ("willful", "wilful"),
 )
 
