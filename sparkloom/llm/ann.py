@@ -32,9 +32,9 @@ NEIGHBOURS = 20
 #: Entries the fit may use.
 SAMPLE_ROWS = 20_000
 #: Share of true neighbours whose lists a search must probe, on the sample.
-TARGET = 0.985
+TARGET = 0.99
 #: Candidates a search reranks.
-RERANKED = 160
+RERANKED = 256
 #: Components of a subspace, and codes of one.
 SUB, CODES = 2, 256
 MOST_LISTS = 1024
