@@ -39,6 +39,12 @@ def length_histogram(samples: DataFrame) -> DataFrame:
     )
 
 
+def length_summary(samples: DataFrame) -> DataFrame:
+    """One row: rows, and least, most and whole mean of question lengths."""
+    n = F.length(F.coalesce("question", F.lit("")))
+    return samples.agg(F.count(F.lit(1)).alias("n"), F.min(n).alias("min_len"), F.max(n).alias("max_len"), F.floor(F.sum(n) / F.count(F.lit(1))).alias("mean_len"))
+
+
 def domain_distribution(samples: DataFrame, registry: DataFrame) -> DataFrame:
     """Counted by label first, so that the join sees labels, not samples."""
     d = label_distribution(samples).join(registry.select(F.col("name").alias("answer"), "domain"), "answer", "left")
@@ -66,6 +72,12 @@ def balance_score(samples: DataFrame) -> DataFrame:
     return k.select(score.alias("balance_score"))
 
 
+def by_domain(registry: DataFrame) -> DataFrame:
+    """(domain, names): each domain's labels in order of the registry."""
+    names = F.transform(F.sort_array(F.collect_list(F.struct("idx", "name"))), lambda x: x["name"])
+    return registry.groupBy("domain").agg(names.alias("names"))
+
+
 def progress(rows: DataFrame) -> DataFrame:
     """(stage, answer, n) for each label file, with totals of stages and of all."""
     out = rows.rollup("stage", "answer").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g"))

@@ -98,6 +98,20 @@ def hard_negative_tasks(pairs: DataFrame, registry: DataFrame, bank: DataFrame,
     return t.select(pair.alias("pair_id"), F.col("i").alias("call"), F.lit(SYSTEM).alias("system"), user.alias("user"), F.col("target").alias("expected_answer"), "other")
 
 
+def stage3_tasks(registry: DataFrame, bank: DataFrame, per_pair: int, batch: int = 5) -> DataFrame:
+    """Tasks of each label with each confusable name that is a label; calls alternate between aiming at it and at the other."""
+    n = spare_calls(per_pair, batch)
+    refs = registry.select("idx", "name", F.posexplode("confusable").alias("k", "other"))
+    both = refs.join(registry.select(F.col("name").alias("other")), "other").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    aims = F.col("i") % 2 == 0
+    both = both.withColumn("target", F.when(aims, F.col("name")).otherwise(F.col("other"))).withColumn("against", F.when(aims, F.col("other")).otherwise(F.col("name")))
+    t = both.join(registry.select(F.col("name").alias("target"), "description", "keywords"), "target")
+    b = bank.filter("kind = 'hard_negative'").select(F.col("idx").alias("_i"), "text", F.col("n").alias("_n"))
+    t = t.join(b, F.col("i") % F.col("_n") == F.col("_i"))
+    user = filled(F.col("text"), F.col("target"), F.col("description"), F.col("keywords"), F.col("against"), F.lit(batch))
+    return t.select("name", F.col("other").alias("confusable"), F.col("i").alias("call"), F.lit(SYSTEM).alias("system"), user.alias("user"), F.col("target").alias("expected_answer"))
+
+
 # Where JSON may hide in a response.
 FENCE = re.compile(r"```(?:json)?\s*(.*?)\s*```", re.DOTALL)
 ARRAY = re.compile(r"\[\s*\{.*?\}\s*(?:,\s*\{.*?\}\s*)*\]", re.DOTALL)

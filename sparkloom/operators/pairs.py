@@ -100,3 +100,10 @@ def confusion_matrix(pairs: DataFrame) -> DataFrame:
 def touching(pairs: DataFrame, names: list[str]) -> DataFrame:
     """Pairs with at least one endpoint among the names."""
     return pairs.filter(F.col("agent_a").isin(names) | F.col("agent_b").isin(names))
+
+
+def pairs_report(pairs: DataFrame) -> DataFrame:
+    """One row of JSON text: total_pairs, and the pairs in order of falling score, then of discovery; scores to three decimals."""
+    one = F.struct((-F.col("overlap_score")).alias("o"), "rank", F.struct("agent_a", "agent_b", "source", F.round("overlap_score", 3).alias("overlap_score"), "shared_keywords").alias("pair"))
+    every = F.transform(F.sort_array(F.collect_list(one)), lambda x: x["pair"])
+    return pairs.agg(F.to_json(F.struct(F.count(F.lit(1)).alias("total_pairs"), every.alias("pairs"))).alias("report"))

@@ -212,6 +212,12 @@ SELECT count(*) AS total, (SELECT count(*) FROM xk) AS passed, count(*) FILTER (
     "hard_negative_tasks": with_(REG, *PAIRS, paired("rp", "kp", "dp"), CAPPED, bank(), "b2 AS (SELECT agent_a AS target, agent_b AS other FROM cp UNION ALL SELECT agent_b, agent_a FROM cp)") + f"""
 SELECT md5(concat(least(target, other), chr(31), greatest(target, other))) AS pair_id, CAST(c AS INT) AS call, {lit(generate.SYSTEM)} AS system, {filled("text", "target", "other", 5)} AS "user", target AS expected_answer, other
 FROM b2 JOIN reg ON target = name, range({generate.spare_calls(25, 5)}) AS r(c) JOIN bank ON bank.kind = 'hard_negative' AND c % bank.n = bank.i""",
+    "stage3_tasks": with_(REG, bank(), "rf AS (SELECT name, unnest(confusable) AS other FROM reg)", f"rt AS (SELECT name, other, c, CASE WHEN c % 2 = 0 THEN name ELSE other END AS target, CASE WHEN c % 2 = 0 THEN other ELSE name END AS against FROM rf, range({generate.spare_calls(25, 5)}) AS r(c) WHERE other IN (SELECT name FROM reg))") + f"""
+SELECT rt.name, rt.other AS confusable, CAST(c AS INT) AS call, {lit(generate.SYSTEM)} AS system, {filled("text", "target", "against", 5)} AS "user", target AS expected_answer
+FROM rt JOIN reg ON target = reg.name JOIN bank ON bank.kind = 'hard_negative' AND c % bank.n = bank.i""",
+    "pairs_report": with_(REG, *PAIRS, paired("rp", "kp", "dp")) + " SELECT count(*) AS total_pairs, (SELECT agent_a FROM ap ORDER BY overlap_score DESC, p, i, j, d LIMIT 1) AS first_a, (SELECT agent_b FROM ap ORDER BY overlap_score DESC, p, i, j, d LIMIT 1) AS first_b FROM ap",
+    "length_summary": with_(smp()) + " SELECT count(*) AS n, min(length(question)) AS min_len, max(length(question)) AS max_len, CAST(floor(sum(length(question)) / count(*)) AS BIGINT) AS mean_len FROM smp",
+    "labels_by_domain": with_(REG) + " SELECT domain, string_agg(name, ',' ORDER BY idx) AS names FROM reg GROUP BY 1",
     "hard_negative_valid": with_(smp()) + f" SELECT seq FROM smp WHERE length({strip('question')}) >= 15 AND NOT contains(question, answer) AND NOT contains(question, 'src' || CAST(seq % 20 AS VARCHAR))",
     "simple_clean": with_(smp()) + f" SELECT seq FROM smp WHERE {strip('question')} <> '' AND answer = 'src3' AND length(question) BETWEEN 8 AND 5000 AND NOT contains(question, answer) AND {share('question', 'A-Za-zÀ-ÿ')} >= {num(0.7)}",
     "safe_names": "SELECT p_partkey, translate(p_name, '/\\ ', '___') AS file_name, substr(translate(p_name, '/\\ ', '___'), 1, 20) AS short_name FROM part",

@@ -283,6 +283,26 @@ def hard_negative_tasks(s, d):
     return generate.hard_negative_tasks(chosen, registry(s), generate.templates(s), generate.spare_calls(25, 5))
 
 
+@query
+def stage3_tasks(s, d):
+    return generate.stage3_tasks(registry(s), generate.templates(s), 25)
+
+
+@query
+def pairs_report(s, d):
+    return pairs.pairs_report(pairs.all_pairs(registry(s), 0.3)).select(F.get_json_object("report", "$.total_pairs").cast("long").alias("total_pairs"), F.get_json_object("report", "$.pairs[0].agent_a").alias("first_a"), F.get_json_object("report", "$.pairs[0].agent_b").alias("first_b"))
+
+
+@query
+def length_summary(s, d):
+    return analyze.length_summary(samples(s, d))
+
+
+@query
+def labels_by_domain(s, d):
+    return analyze.by_domain(registry(s)).select("domain", F.array_join("names", ",").alias("names"))
+
+
 @query
 def hard_negative_valid(s, d):
     r = samples(s, d).withColumn("other", F.concat(F.lit("src"), (F.col("seq") % 20).cast("string")))

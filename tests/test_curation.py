@@ -196,3 +196,14 @@ def test_config_precedence(tmp_path):
 def test_report_is_one_row(spark):
     assert analyze.report(samples(spark, ROWS), labels(spark)).count() == 1
     assert analyze.progress(samples(spark, ROWS).withColumn("stage", F.lit("stage1"))).filter("stage = 'TOTAL'").first().n == 9
+
+
+def test_state_file(tmp_path):
+    from sparkloom.state import load_state, save_state
+
+    path = str(tmp_path / "state.json")
+    assert load_state(path) == {}
+    save_state(path, stage1="done")
+    assert save_state(path, stage2=3)["stage1"] == "done" and load_state(path)["stage2"] == 3
+    (tmp_path / "state.json").write_text("broken")
+    assert load_state(path) == {}
