@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Python's str.strip and \s take as white space.
-WS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
-CJK = r"一-鿿"
+WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+CJK = r"\u4e00-\u9fff"
 
 
 def strip(c: Column) -> Column:
