@@ -88,7 +88,11 @@ def judge(samples: DataFrame, registry: DataFrame, cfg: CleanConfig = CleanConfi
     """Layers 1 and 2, both narrow: reasons, score (null if layer 1 rejects) and passed2."""
     s = with_registry(samples, registry)
     q, a = F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit(""))
-    s = s.withColumn("reasons", hard_reasons(X.strip(q), X.strip(a), F.col("legal"), cfg))
+    # columns of their own: read more than once, they are not inlined into the lambdas that use them; and a
+    # fence, always true but not deterministic, that keeps filters from being pushed below with all they read
+    s = s.withColumn("_q", X.strip(q)).withColumn("_a", X.strip(a))
+    reasons = hard_reasons(F.col("_q"), F.col("_a"), F.col("legal"), cfg)
+    s = s.withColumn("reasons", F.when(F.monotonically_increasing_id() >= 0, reasons)).drop("_q", "_a")
     s = s.withColumn("score", F.when(F.size("reasons") == 0, quality_score(q, F.coalesce("keywords", F.array().cast("array<string>")))))
     return s.withColumn("passed2", (F.size("reasons") == 0) & (F.round("score", 4) >= cfg.min_score))
 
