@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import given_back, stored
 from .repeats import heads_of
 
 NEIGHBOURS = 20
@@ -144,7 +144,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
             packed = pa.array([c.tobytes() for c in codes], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(of, pa.int32()), packed], names=["entry", "list", "codes"])
 
-    coded = stored(entries.select("entry", "vector").mapInArrow(place, "entry long, list int, codes binary"))
+    coded = stored(entries.select("entry", "vector").mapInArrow(given_back(place), "entry long, list int, codes binary"))
     sizes = np.zeros(index.lists, np.int64)
     for r in coded.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # one row a list, at most MOST_LISTS
         sizes[r.list] = r.n
@@ -165,7 +165,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
             piece = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(lists, pa.int32()), pa.array(piece, pa.int32()), b.column(1).take(pa.array(row))], names=["query", "list", "piece", "q"])
 
-    asked = q.select("query", "q").mapInArrow(probe, "query long, list int, piece int, q array<float>")
+    asked = q.select("query", "q").mapInArrow(given_back(probe), "query long, list int, piece int, q array<float>")
     size_of = F.array(*map(F.lit, pieces.tolist()))
     filed = coded.withColumn("piece", F.pmod(F.xxhash64("entry"), size_of[F.col("list")]).cast("int"))
     both = filed.select("list", "piece", F.lit(None).cast("long").alias("query"), F.lit(None).cast("array<float>").alias("q"), "entry", "codes")
@@ -175,7 +175,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
     def scan(batches):
         yield from _scan(batches, shared.value, d)
 
-    best = both.repartition(parts, "list", "piece").mapInArrow(scan, "query long, entry long, near float")
+    best = both.repartition(parts, "list", "piece").mapInArrow(given_back(scan), "query long, entry long, near float")
     near = Window.partitionBy("query").orderBy(F.desc("near"), "entry")
     best = best.withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= RERANKED).select("query", "entry")
     found = best.join(entries, "entry").join(q, "query")

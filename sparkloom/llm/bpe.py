@@ -28,8 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Distinct pre-tokens a worker remembers; beyond, it starts anew. Results don't depend on it.
-CACHE = 1_000_000
+from .common import WARM, given_back
+
+#: Distinct pre-tokens, and pairs of ids, that a worker remembers; beyond, it starts anew. Results don't depend on it.
+CACHE, PAIRS = 600_000, 200_000
 #: Longer pre-tokens are not remembered.
 CACHE_BYTES = 64
 
@@ -51,7 +53,7 @@ class PairRanks(dict):
         self.ranks, self.tokens = ranks, tokens
 
     def __missing__(self, pair: tuple[int, int]) -> int:
-        if len(self) >= CACHE:
+        if len(self) >= PAIRS:
             self.clear()
         rank = self[pair] = self.ranks.get(self.tokens[pair[0]] + self.tokens[pair[1]], -1)
         return rank
@@ -151,11 +153,11 @@ class Encoder(dict):
 
 
 #: The encoder a Python worker last used; the next task of the same query finds it warm.
-_last: dict[tuple[str, str], Encoder] = {}
+_last: dict[str, Encoder] = {}
+WARM.append(_last)
 
 
-def _encoder(digest: str, shared, pattern: str) -> Encoder:
-    key = (digest, pattern)
+def _encoder(key: str, shared, pattern: str) -> Encoder:
     if key not in _last:
         _last.clear()
         _last[key] = Encoder(shared.value, pattern)
@@ -165,7 +167,7 @@ def _encoder(digest: str, shared, pattern: str) -> Encoder:
 def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results: list[T.StructField], work) -> DataFrame:
     docs = docs.drop(*[f.name for f in results if f.name in docs.columns and f.name != source])
     ranks = read_ranks(ranks_path)
-    key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+    key = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     schema = T.StructType([*docs.schema.fields, *results])
 
@@ -173,14 +175,13 @@ def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results
         encoder = _encoder(key, shared, pattern)
         for batch in batches:
             values = (x.as_py() for x in batch.column(batch.schema.get_field_index(source)))
-            # results leave in slices, so that no more than one batch of texts is held twice
             columns = [list(c) for c in zip(*map(work, repeat(encoder), values), strict=True)] or [[] for _ in results]
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *names])
 
     names = [f.name for f in results]
     kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.binary() for f in results]
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(given_back(run, keep=True), schema)
 
 
 def _encode(encoder: Encoder, text: str | None):

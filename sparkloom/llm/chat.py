@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import given_back
+
 # The control strings of the template.
 BEGIN, OPEN, SHUT, END = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROL = re.compile(r"<(?=/?s>)|\[(?=/?INST\])|\\")
@@ -162,7 +164,7 @@ def format_chat(df: DataFrame, record: str = "record", layouts: dict = LAYOUTS)
             arrays = [pa.array([g[k] for g in got], pa.list_(pa.int64()) if k == 3 else pa.string()) for k in range(4)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *names])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(given_back(run), schema)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -180,4 +182,4 @@ def digests(formatted: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
-    return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(run, schema)
+    return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(given_back(run), schema)

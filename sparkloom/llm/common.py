@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import time
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +65,40 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+#: Caches that Python workers keep between tasks of one query; a task of another query empties them.
+WARM: list = []
+
+
+def given_back(run, keep: bool = False):
+    """run, an iterator over batches, with the memory it no longer needs returned to the system at the task's end.
+
+    Workers go on to other tasks, and what their allocators hold counts as an executor's memory.
+    """
+
+    def wrapped(batches):
+        if not keep:
+            empty_caches()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+# Module-level functions, so that workers run them on their own module's state, not on a copy sent along.
+def empty_caches() -> None:
+    for cache in WARM:
+        cache.clear()
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def join_known(rows: DataFrame, known: DataFrame, key: str, weight: str, spread: str) -> DataFrame:
     """rows left-joined with known, which has one row per key and the rows' number per key in `weight`.
 

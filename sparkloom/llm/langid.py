@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import given_back
+
 SAMPLE_ROWS = 20_000
 MODEL_ROWS = 100_000
 GRAM_LENGTHS = (5, 4, 3, 2, 1)
@@ -127,7 +129,7 @@ def identify(docs: DataFrame, model, text: str = "text") -> DataFrame:
             arrays = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *results]))
+    return docs.mapInArrow(given_back(run), T.StructType([*docs.schema.fields, *results]))
 
 
 def is_held_out(doc_id) -> F.Column:

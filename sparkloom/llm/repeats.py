@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LAST_ID, release, stored
+from .common import LAST_ID, given_back, release, stored
 
 U = np.uint64
 #: Bytes of (compressed) input for each partition of marks.
@@ -242,7 +242,7 @@ def compressed(docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], z], names=[*others, "_z"])
 
     schema = T.StructType([*(docs.schema[c] for c in others), T.StructField("_z", T.BinaryType())])
-    return docs.select(F.col(text).cast("binary").alias("_text"), *others).mapInArrow(run, schema)
+    return docs.select(F.col(text).cast("binary").alias("_text"), *others).mapInArrow(given_back(run), schema)
 
 
 def probe(scheme, parts: int):
@@ -309,14 +309,14 @@ def removed_ranges(docs: DataFrame, scheme, text: str, ident: str) -> DataFrame:
         size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 200_000))
     key = F.coalesce(F.col(ident).cast("long"), F.lit(LAST_ID)).alias("id")
-    marks = docs.select(key, F.coalesce(F.col(text).cast("binary"), F.lit(b""))).mapInArrow(announce(scheme, parts), ROW)
-    heard = marks.repartition(parts, "bucket").mapInArrow(answer(parts), ROW).repartition(parts, "bucket").mapInArrow(told, "id long, marks binary, copies binary")
+    marks = docs.select(key, F.coalesce(F.col(text).cast("binary"), F.lit(b""))).mapInArrow(given_back(announce(scheme, parts)), ROW)
+    heard = marks.repartition(parts, "bucket").mapInArrow(given_back(answer(parts)), ROW).repartition(parts, "bucket").mapInArrow(given_back(told), "id long, marks binary, copies binary")
     texts = compressed(docs.select(key, text), text)
-    probes = stored(texts.join(heard, "id").select("id", "_z", "marks", "copies").mapInArrow(probe(scheme, parts), ROW), "kind")
+    probes = stored(texts.join(heard, "id").select("id", "_z", "marks", "copies").mapInArrow(given_back(probe(scheme, parts)), ROW), "kind")
     release(spark)
-    verified = probes.filter("kind = 1").select(*ROW_NAMES).repartition(parts, "bucket").mapInArrow(lambda batches: scheme.verify(batches, parts), ROW)
+    verified = probes.filter("kind = 1").select(*ROW_NAMES).repartition(parts, "bucket").mapInArrow(given_back(lambda batches: scheme.verify(batches, parts)), ROW)
     every = probes.filter("kind = 0").select(*ROW_NAMES).unionByName(verified)
-    return every.repartition(parts, "bucket").mapInArrow(collated, "id long, found binary")
+    return every.repartition(parts, "bucket").mapInArrow(given_back(collated), "id long, found binary")
 
 
 def settle(docs: DataFrame, scheme, text: str, ident: str, results: list[T.StructField]) -> DataFrame:
@@ -345,4 +345,4 @@ def settle(docs: DataFrame, scheme, text: str, ident: str, results: list[T.Struc
             arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([*(column[c] for c in kept), *arrays], names=[*kept, *names])
 
-    return d.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), *results]))
+    return d.mapInArrow(given_back(run), T.StructType([*(docs.schema[c] for c in kept), *results]))

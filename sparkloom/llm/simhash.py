@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, lookup, stored
+from .common import components, given_back, lookup, stored
 
 SHINGLE = 4
 SEED = 42
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
             keep = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), fp], names=[*(batch.schema.names[i] for i in keep), "fp"])
 
-    return docs.select(*rest.columns, F.col(text).cast("binary").alias("_raw")).mapInArrow(run, schema)
+    return docs.select(*rest.columns, F.col(text).cast("binary").alias("_raw")).mapInArrow(given_back(run), schema)
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -201,7 +201,7 @@ def links(distinct: DataFrame) -> DataFrame:
     group = F.when(F.col("_k") > 1, F.xxhash64("group", F.least("_c", "_o"), F.greatest("_c", "_o"))).otherwise(F.col("group"))
     rows = rows.select("fp", group.alias("group"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * len(chosen) // ROWS)
-    return rows.repartition(parts, "group").mapInArrow(_links, "a long, b long")
+    return rows.repartition(parts, "group").mapInArrow(given_back(_links), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
