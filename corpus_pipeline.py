@@ -13,8 +13,9 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return line_rules.quality_rules(docs).filter("kept").select(*docs.columns)
+    """Documents that the rules reject go, and from the others the lines above the limits; n_chars follows the text."""
+    out = line_rules.quality_rules(docs).filter("kept").withColumn("text", F.col(line_rules.CLEAN_TEXT))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

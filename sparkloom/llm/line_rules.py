@@ -1,8 +1,8 @@
 """Quality rules: base counts of a text, and cross-document line frequency per host.
 
 Native: DataFrame functions only. Lines are normalised and hashed, the distinct documents that hold
-a line are counted per host, lines above the limit count as removed, and a document that loses too
-much of itself is rejected. Exact copies count as one document here, so a page is not rejected for
+a line are counted per host, lines above the limit are removed from the text, and a document that
+loses too much of itself is rejected. Exact copies count as one document here, so a page is not rejected for
 having been copied; near-dedup deals with copies.
 
 Defined results: a null or blank text has no words and fails the base rules; null hosts form one
@@ -26,6 +26,8 @@ MAX_HOST_SHARE = 0.02
 MAX_REMOVED_SHARE = 0.5
 
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+#: The text without its removed lines; a result that `quality_rules` returns beside the others.
+CLEAN_TEXT = "clean_text"
 
 
 def normalised_line(line: Column) -> Column:
@@ -64,14 +66,14 @@ def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, text: str = "text", host: str = "source", min_documents: int = MIN_LINE_DOCUMENTS, max_share: float = MAX_HOST_SHARE) -> DataFrame:
-    """One row per line that has a word: _row (a hash of the document's own row), n_words of the line, and `known` if the line is removed.
+    """One row per line that has a word: _row (a hash of the document's own row), _at (its place among the lines), n_line (its words), and `known` if it is removed.
 
     A line is removed if over max(min_documents, max_share of the host's distinct documents) distinct
     documents of its host hold it.
     """
-    d = docs.select(F.xxhash64(text).alias("_text"), F.struct(F.col(host).alias("h")).alias("_host"), F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("_line"))
+    d = docs.select(F.xxhash64(text).alias("_text"), F.struct(F.col(host).alias("h")).alias("_host"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("_at", "_line"))
     d = d.withColumn("n_line", F.size(words("_line"))).filter("n_line > 0")
-    d = d.select(F.xxhash64("_text", "_host.h").alias("_row"), "_text", "_host", "n_line", normalised_line(F.col("_line")).alias("_norm"))
+    d = d.select(F.xxhash64("_text", "_host.h").alias("_row"), "_text", "_host", "_at", "n_line", normalised_line(F.col("_line")).alias("_norm"))
     d = d.withColumn("_line", F.when(F.col("_norm").isNotNull(), F.xxhash64(F.col("_norm"), F.col("_host.h"), F.col("_host.h").isNull()))).drop("_norm")
     per_line = d.filter("_line IS NOT NULL").groupBy("_host", "_line", "_text").agg(F.count(F.lit(1)).alias("n"))
     per_line = per_line.groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("weight")).filter(F.col("n_docs") > min_documents)
@@ -81,16 +83,20 @@ def removed_lines(docs: DataFrame, text: str = "text", host: str = "source", min
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", max_removed_share: float = MAX_REMOVED_SHARE, **limits) -> DataFrame:
-    """docs with the counts, base_failed and kept; see the module for edge cases.
+    """docs with the counts, base_failed, kept and clean_text; see the module for edge cases.
 
-    A document is depleted if over max_removed_share of its words stand in removed lines. The ratio
-    is the same however often a row is repeated, so equal rows may share one verdict.
+    clean_text is the text without its removed lines; counts and base rules are of the text as it came.
+    A document is depleted if clean_text lacks over max_removed_share of its words. Equal rows lose the
+    same places, so they share one list of them.
     """
-    clash = [c for c in docs.columns if c in RESULTS and c not in (text, host)]
-    docs = docs.drop(*clash)
-    lost = F.sum(F.when(F.col("known"), F.col("n_line")).otherwise(0))
-    depleted = removed_lines(docs, text, host, **limits).groupBy("_row").agg(lost.alias("lost"), F.sum("n_line").alias("all"))
-    depleted = depleted.filter(F.col("lost") > max_removed_share * F.col("all")).select("_row", F.lit(True).alias("_depleted"))
+    results = (*RESULTS, CLEAN_TEXT)
+    docs = docs.drop(*[c for c in docs.columns if c in results and c not in (text, host)])
+    gone = removed_lines(docs, text, host, **limits).filter("known").groupBy("_row").agg(F.collect_set(F.struct("_at", "n_line")).alias("_gone"))
+    gone = gone.select("_row", F.expr("aggregate(_gone, 0L, (a, x) -> a + x.n_line)").alias("_lost"), F.col("_gone._at").alias("_places"))
     base = with_base_counts(docs.withColumn("_row", F.xxhash64(F.xxhash64(text), F.col(host))), text)
-    judged = base.join(depleted, "_row", "left")
-    return judged.withColumn("kept", ~F.col("base_failed") & F.col("_depleted").isNull()).drop("_row", "_depleted")
+    judged = base.join(gone, "_row", "left")
+    depleted = F.coalesce(F.col("_lost") > max_removed_share * F.col("n_words"), F.lit(False))
+    judged = judged.withColumn("_lines", F.when(F.col("_places").isNotNull(), F.split(text, "\n")))
+    left = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), _places), i -> _lines[i]), '\n')")
+    judged = judged.withColumn(CLEAN_TEXT, F.when(F.col("_places").isNotNull(), left).otherwise(F.col(text)))
+    return judged.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_row", "_lost", "_places", "_lines")

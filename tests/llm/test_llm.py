@@ -242,6 +242,17 @@ def test_quality_rules_reject_depleted_documents_only(spark):
     assert not any(got[k] for k in range(30)) and all(got[k] for k in got if k >= 100)
 
 
+def test_quality_rules_remove_lines_above_the_limits(spark):
+    own = lambda i, k: " ".join(f"w{i}x{j}" for j in range(k))
+    rows = [(i, f"Read  more!\n{own(i, 60)}\n\n read more\nlast {i}", "a") for i in range(30)]
+    rows += [(30, rows[0][1], "a"), (31, f"read more\n{own(31, 60)}", "b"), (32, None, "a"), (33, f"{own(33, 60)}\n", "a")]
+    got = {r.doc_id: r for r in line_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for i, text, _ in rows:
+        assert got[i].text == text
+        assert got[i].clean_text == (f"{own(i % 30, 60)}\n\nlast {i % 30}" if i <= 30 else text)
+        assert got[i].kept == (i != 32)
+
+
 def test_mixing_meets_targets(spark):
     rng = random.Random(8)
     rows = [(k, " ".join("w" for _ in range(int(rng.paretovariate(1.2) * 20) % 4000)), f"s{min(9, k % 25)}" if k % 17 else None) for k in range(1500)]

@@ -92,6 +92,13 @@ def test_stages_equal_brute_force(spark, folder):
     assert sorted((r.doc_id, bytes(r.token_ids)) for r in again) == sorted((r.doc_id, bytes(r.token_ids)) for r in seen[4])
 
 
+def test_quality_stage_returns_texts_without_frequent_lines(spark):
+    rows = [(i, "en", "s", "subscribe to our letter\n" + " ".join(f"w{i}x{j}" for j in range(60)), 7) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string, n_chars long")
+    got = pipeline.quality_rules(spark, docs, "").collect()
+    assert len(got) == 20 and all("subscribe" not in r.text and r.n_chars == len(r.text) for r in got)
+
+
 def test_every_operator_has_its_query():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
