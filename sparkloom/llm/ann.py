@@ -4,8 +4,11 @@ Equal vectors are one entry, with the smallest ids that have it: a search for k
 no other of them, since ties go to the smaller id. Coarse centroids and codebooks are fitted on a
 sample of at most `sample_rows` entries (a parameter); every entry is indexed: its list, and the codes
 of its residual. A query's inner product with an entry is that with the list's centroid plus the sum
-of table entries, one table row for each subspace, built from the exact query. The best by that sum
-are reranked on the original vectors in double precision.
+of table entries, one table row for each subspace, built from the exact query. An entry's sum is off
+by at most the query's norm times the norm of what the codes leave of its residual, which is stored
+with it. Every entry of the probed lists whose sum and that bound reach the k-th best is reranked on
+the original vectors in double precision, however many they are; that is done beside the lists, so
+only the k + 1 best of a task leave it. Of the probed lists no true neighbour is lost.
 
 How many lists a search probes is calibrated on the sample: as many as hold TARGET of the true
 neighbours there. A search goes on through further lists while those probed hold fewer entries than
@@ -33,8 +36,6 @@ NEIGHBOURS = 20
 SAMPLE_ROWS = 20_000
 #: Share of true neighbours whose lists a search must probe, on the sample.
 TARGET = 0.99
-#: Candidates a search reranks.
-RERANKED = 256
 #: Components of a subspace, and codes of one.
 SUB, CODES = 2, 256
 MOST_LISTS = 1024
@@ -97,11 +98,15 @@ class Index:
         needed = np.sort(np.take_along_axis(place, nearest(sample, self.centroids)[top], axis=1).ravel())
         return int(needed[min(len(needed) - 1, int(TARGET * len(needed)))]) + 1
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lists, codes, and by how much a table sum can be off for a query of norm 1, single precision included."""
         of = nearest(x, self.centroids)
         residual = x - self.centroids[of]
         codes = [nearest(np.ascontiguousarray(residual[:, a:b]), c).astype(np.uint8) for a, b, c in zip(self.cuts, self.cuts[1:], self.books, strict=False)]
-        return of, np.stack(codes, axis=1)
+        coded = self.centroids[of].astype(float) + np.concatenate([c[k] for c, k in zip(self.books, codes, strict=True)], axis=1)
+        norm = lambda v: np.sqrt((v.astype(float) ** 2).sum(axis=1))
+        terms = 2 * norm(self.centroids[of]) + norm(x) + norm(x - coded)
+        return of, np.stack(codes, axis=1), norm(x - coded) + (x.shape[1] + 64) * 2e-7 * terms
 
     def table(self, q: np.ndarray) -> np.ndarray:
         """(queries, subspaces, codes): inner products of the queries' parts with each code."""
@@ -140,11 +145,11 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
 
     def place(batches):
         for b in batches:
-            of, codes = shared.value.encode(vectors_of(b.column(1), d))
+            of, codes, off = shared.value.encode(vectors_of(b.column(1), d))
             packed = pa.array([c.tobytes() for c in codes], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(of, pa.int32()), packed], names=["entry", "list", "codes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(of, pa.int32()), packed, pa.array(off), b.column(1)], names=["entry", "list", "codes", "off", "vector"])
 
-    coded = stored(entries.select("entry", "vector").mapInArrow(given_back(place), "entry long, list int, codes binary"))
+    coded = stored(entries.select("entry", "vector").mapInArrow(given_back(place), "entry long, list int, codes binary, off double, vector array<float>"))
     sizes = np.zeros(index.lists, np.int64)
     for r in coded.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # one row a list, at most MOST_LISTS
         sizes[r.list] = r.n
@@ -168,26 +173,25 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
     asked = q.select("query", "q").mapInArrow(given_back(probe), "query long, list int, piece int, q array<float>")
     size_of = F.array(*map(F.lit, pieces.tolist()))
     filed = coded.withColumn("piece", F.pmod(F.xxhash64("entry"), size_of[F.col("list")]).cast("int"))
-    both = filed.select("list", "piece", F.lit(None).cast("long").alias("query"), F.lit(None).cast("array<float>").alias("q"), "entry", "codes")
-    both = both.unionByName(asked.select("list", "piece", "query", "q", F.lit(None).cast("long").alias("entry"), F.lit(None).cast("binary").alias("codes")))
+    both = filed.select("list", "piece", F.lit(None).cast("long").alias("query"), F.col("vector").alias("q"), "entry", "codes", "off")
+    both = both.unionByName(asked.select("list", "piece", "query", "q", F.lit(None).cast("long").alias("entry"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("off")))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // PIECE)
 
     def scan(batches):
-        yield from _scan(batches, shared.value, d)
-
-    best = both.repartition(parts, "list", "piece").mapInArrow(given_back(scan), "query long, entry long, near float")
-    near = Window.partitionBy("query").orderBy(F.desc("near"), "entry")
-    best = best.withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= RERANKED).select("query", "entry")
-    found = best.join(entries, "entry").join(q, "query")
-    score = F.aggregate(F.zip_with("q", "vector", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    found = found.select("query", "query_id", score.alias("score"), F.explode("ids").alias("vec_id")).filter("vec_id != query_id")
+        yield from _scan(batches, shared.value, d, k + 1)
+
+    best = both.repartition(parts, "list", "piece").mapInArrow(given_back(scan), "query long, entry long, score double")
+    near = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    best = best.withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= k + 1).select("query", "entry", "score")
+    found = best.join(entries.select("entry", "ids"), "entry").join(q.select("query", "query_id"), "query")
+    found = found.select("query", "query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id != query_id")
     exact = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(exact)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _scan(batches, index: Index, d: int):
-    """Rows of entries and of queries by list and piece in; the best RERANKED entries of each query here out."""
-    of_entry, of_query, entry, codes, query, q = [], [], [], [], [], []
+def _scan(batches, index: Index, d: int, most: int):
+    """Rows of entries and of queries by list and piece in; the `most` best entries of each query here out, with exact scores."""
+    of_entry, of_query, entry, codes, off, x, query, q = [], [], [], [], [], [], [], []
     for b in batches:
         is_query = b.column(2).is_valid().to_numpy(zero_copy_only=False)
         key = b.column(0).to_numpy().astype(np.int64) << 32 | b.column(1).to_numpy().astype(np.int64)
@@ -198,45 +202,65 @@ def _scan(batches, index: Index, d: int):
         q.append(vectors_of(ask.column(3), d))
         entry.append(file.column(4).to_numpy(zero_copy_only=False).astype(np.int64))
         codes.append(np.frombuffer(b"".join(file.column(5).to_pylist()), np.uint8).reshape(-1, len(index.books)))
+        off.append(file.column(6).to_numpy(zero_copy_only=False).astype(float))
+        x.append(vectors_of(file.column(3), d))
     if not query or not sum(map(len, query)) or not sum(map(len, entry)):
         return
-    of_entry, of_query, entry, codes, query, q = map(np.concatenate, (of_entry, of_query, entry, codes, query, q))
+    of_entry, of_query, entry, codes, off, x, query, q = map(np.concatenate, (of_entry, of_query, entry, codes, off, x, query, q))
     order = np.argsort(of_entry, kind="stable")
-    of_entry, entry, codes = of_entry[order], entry[order], codes[order]
+    of_entry, entry, codes, off, x = of_entry[order], entry[order], codes[order], off[order], x[order]
     names, at = np.unique(query, return_index=True)
     for a in range(0, len(names), 128):  # so many queries' tables at once
         some = names[a : a + 128]
-        table = index.table(q[at[a : a + 128]])
-        held = [([], []) for _ in some]
+        asked = q[at[a : a + 128]]
+        table, norms = index.table(asked), np.sqrt((asked.astype(float) ** 2).sum(axis=1))
+        bar = np.full(len(some), -np.inf)  # `most` entries of the query score so much at least
+        held = [(np.empty(0), np.empty(0, np.int64)) for _ in some]
         mine = np.flatnonzero(np.isin(query, some))
         mine = mine[np.argsort(of_query[mine], kind="stable")]
         cuts = np.flatnonzero(heads_of(of_query[mine]))
-        for x, y in zip(cuts, [*cuts[1:], len(mine)], strict=True):
-            key = of_query[mine[x]]
+        for u, v in zip(cuts, [*cuts[1:], len(mine)], strict=True):
+            key = of_query[mine[u]]
             lo, hi = np.searchsorted(of_entry, [key, key + 1])
             if lo == hi:
                 continue
-            who = np.searchsorted(some, query[mine[x:y]])
-            base = q[mine[x:y]] @ index.centroids[key >> 32]
-            for c in range(lo, hi, 1 << 14):
-                block = codes[c : min(hi, c + (1 << 14))]
-                near = np.repeat(base[:, None], len(block), axis=1)
-                for m in range(block.shape[1]):
-                    near += table[who, m][:, block[:, m]]
+            who = np.searchsorted(some, query[mine[u:v]])
+            base = asked[who] @ index.centroids[key >> 32]
+            for c in range(lo, hi, 1 << 13):
+                block = slice(c, min(hi, c + (1 << 13)))
+                near = np.repeat(base[:, None], block.stop - c, axis=1)
+                for m in range(codes.shape[1]):
+                    near += table[who, m][:, codes[block, m]]
+                slack = norms[who, None] * off[None, block]
+                bar[who] = np.maximum(bar[who], _least_of_best(near - slack, most))
+                row, column = np.nonzero(~(near + slack < bar[who, None]))
+                score = np.empty(len(row))
+                for e in range(0, len(row), 1 << 16):
+                    score[e : e + (1 << 16)] = _exact(asked, x, who[row[e : e + (1 << 16)]], c + column[e : e + (1 << 16)])
+                ends = np.searchsorted(row, np.arange(len(who) + 1))
                 for r, w in enumerate(who.tolist()):
-                    held[w][0].append(near[r])
-                    held[w][1].append(entry[c : c + len(block)])
-        out = []
-        for w, (near, ids) in enumerate(held):
-            if near:
-                near, ids = np.concatenate(near), np.concatenate(ids)
-                keep = np.lexsort((ids, -near))[:RERANKED] if len(near) <= 4 * RERANKED else _best(near, ids)
-                out.append((np.full(len(keep), some[w]), ids[keep], near[keep]))
+                    some_of = slice(ends[r], ends[r + 1])
+                    got, ids = np.concatenate([held[w][0], score[some_of]]), np.concatenate([held[w][1], entry[c + column[some_of]]])
+                    keep = np.lexsort((ids, -got))[:most]
+                    held[w] = got[keep], ids[keep]
+                    if len(keep) == most:
+                        bar[w] = max(bar[w], got[keep[-1]])
+        out = [(np.full(len(ids), some[w]), ids, got) for w, (got, ids) in enumerate(held) if len(ids)]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float32()), strict=True)], names=["query", "entry", "near"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query", "entry", "score"])
+
+
+def _least_of_best(low: np.ndarray, most: int) -> np.ndarray:
+    """The `most`-th largest of each row; minus infinity if a row has fewer, or one that is no number."""
+    if low.shape[1] < most:
+        return np.full(len(low), -np.inf)
+    return np.partition(np.where(np.isfinite(low), low, -np.inf), low.shape[1] - most, axis=1)[:, low.shape[1] - most]
 
 
-def _best(near: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    least = np.partition(near, len(near) - RERANKED)[len(near) - RERANKED]
-    some = np.flatnonzero(near >= least)
-    return some[np.lexsort((ids[some], -near[some]))][:RERANKED]
+def _exact(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of q[i] and x[j] in double precision, added from the first component to the last."""
+    left, right = q[i], x[j]
+    total = np.zeros(len(i))
+    for m in range(q.shape[1]):
+        total += left[:, m].astype(float) * right[:, m]
+    return total

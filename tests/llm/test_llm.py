@@ -337,6 +337,25 @@ def test_neighbours_recall_ties_and_bad_vectors(spark):
     assert hits >= 0.9 * 75 * 20 and set(got) == set(range(0, 1500, 20))
 
 
+def test_neighbours_within_a_large_group_of_near_copies(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(5000, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    noise = rng.normal(size=(3000, 32)).astype(np.float32)
+    x[2000:] = x[2000] + 0.01 * noise / np.linalg.norm(noise, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").cache()
+    index = ann.Index(x[:2015], len(x), ann.NEIGHBOURS)  # 15 of the group in the sample
+    monkeypatch.setattr(ann.Index, "__init__", lambda self, *_: vars(self).update(vars(index)))
+    asked = list(range(2000, 5000, 100))
+    got = {}
+    for r in ann.nearest_neighbours(df, df.filter("vec_id >= 2000 AND vec_id % 100 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    scores = x[asked].astype(float) @ x.T.astype(float)
+    scores[np.arange(len(asked)), asked] = -np.inf
+    found = sum(len(got[i] & set(np.argsort(-s)[: ann.NEIGHBOURS].tolist())) for i, s in zip(asked, scores, strict=True))
+    assert found >= 0.95 * ann.NEIGHBOURS * len(asked)
+
+
 def test_neighbours_of_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<float>")
     got = {(r.query_id, r.rank): r.vec_id for r in ann.nearest_neighbours(df, df.filter("vec_id % 20 = 0")).collect()}
