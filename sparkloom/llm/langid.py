@@ -4,9 +4,9 @@ A known word scores by its log frequency in each language; a word never learned
 character n-grams, the longest length of which any gram is known, and to the next shorter one
 otherwise. Word and gram counts come from DataFrame aggregations over the labelled rows.
 
-Bounds, all parameters: the fit uses about `sample_rows` labelled rows (all, if fewer), chosen by a
-hash of the row; the model keeps the `model_rows` most frequent (word, language) counts and as many
-(gram, language) counts. That model is what is collected and broadcast; nothing else is.
+The only bound is a parameter: the fit uses about `sample_rows` labelled rows (all, if fewer), chosen
+by a hash of the row. Every count of those rows is kept, whatever its language. That model is what is
+collected, as Arrow columns, and broadcast; nothing else is.
 
 Defined results: a text that is null or has no letter gets `und` with score 0; so does every text if
 no row is labelled; ties between languages go to the smaller code; very long texts are counted whole;
@@ -29,7 +29,6 @@ from pyspark.sql import types as T
 from .common import given_back
 
 SAMPLE_ROWS = 20_000
-MODEL_ROWS = 100_000
 GRAM_LENGTHS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 NEARLY_LETTERS = re.compile(r"[^\W\d_]+").findall
@@ -40,7 +39,7 @@ SMOOTHING = 0.5
 class Scorer:
     """Log frequencies by language, as rows of one matrix of words and one of grams."""
 
-    def __init__(self, languages: list[str], words: dict[str, list[int]], grams: dict[str, list[int]]):
+    def __init__(self, languages: list[str], words: pa.Table, grams: pa.Table):
         self.languages = languages
         self.words, self.word_logs = self.indexed(words)
         self.grams, self.gram_logs = self.indexed(grams)
@@ -54,9 +53,13 @@ class Scorer:
                 counts[part] += n
         return counts
 
-    def indexed(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
-        m = np.array(list(counts.values()), dtype=float).reshape(len(counts), len(self.languages)) + SMOOTHING
-        return {w: i for i, w in enumerate(counts)}, np.log(m / m.sum(axis=0))
+    def indexed(self, counts: pa.Table) -> tuple[dict[str, int], np.ndarray]:
+        tokens = counts.column("token").combine_chunks().dictionary_encode()
+        m = np.full((len(tokens.dictionary), len(self.languages)), SMOOTHING)
+        if counts.num_rows:
+            of = np.searchsorted(np.array(self.languages, object), counts.column("lang").to_numpy())
+            m[tokens.indices.to_numpy(), of] += counts.column("n").to_numpy()
+        return {w: i for i, w in enumerate(tokens.dictionary.to_pylist())}, np.log(m / m.sum(axis=0))
 
     def backoff(self, word: str) -> list[int]:
         """Rows of the word's grams of the longest length of which any is known."""
@@ -87,16 +90,13 @@ class Scorer:
         return self.languages[best], float(p[best] / p.sum())
 
 
-def _counts(tokens: DataFrame, limit: int) -> dict[str, Counter]:
-    rows = tokens.groupBy("token", "lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token", "lang").limit(limit).collect()
-    out: dict[str, Counter] = {}
-    for r in rows:
-        out.setdefault(r.token, Counter())[r.lang] = r.n
-    return out
+def _counts(tokens: DataFrame) -> pa.Table:
+    """(token, lang, n), one row for each that occurs, in a fixed order."""
+    return tokens.groupBy("token", "lang").agg(F.sum("n").alias("n")).toArrow().sort_by([("token", "ascending"), ("lang", "ascending")])
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS, model_rows: int = MODEL_ROWS):
-    """(languages, word counts, gram counts), from at most about sample_rows labelled rows."""
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS):
+    """(languages, word counts, gram counts), every count of at most about sample_rows labelled rows."""
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     share = sample_rows / max(1, rows.select("lang").count())
     if share < 1:
@@ -104,16 +104,16 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows
     words = rows.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '[\\p{L}]+', 0)")).alias("token")).groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
     words = words.persist()
     try:
-        known = _counts(words, model_rows)
+        known = _counts(words)
         marked = words.withColumn("token", F.concat(F.lit("<"), "token", F.lit(">")))
         lengths = F.array(*map(F.lit, GRAM_LENGTHS))
         grams = marked.withColumn("k", F.explode(lengths)).filter("length(token) >= k")
         grams = grams.withColumn("token", F.explode(F.expr("transform(sequence(1, length(token) - k + 1), i -> substring(token, i, k))")))
-        parts = _counts(grams, model_rows)
+        parts = _counts(grams)
         languages = sorted({r.lang for r in words.select("lang").distinct().collect()})
     finally:
         words.unpersist()
-    return languages, {w: [c[x] for x in languages] for w, c in known.items()}, {w: [c[x] for x in languages] for w, c in parts.items()}
+    return languages, known, parts
 
 
 def identify(docs: DataFrame, model, text: str = "text") -> DataFrame:

@@ -377,6 +377,17 @@ def test_language_of_held_out_rows(spark):
     assert langid.identify(df.limit(2), none).first().lang_pred == "und"
 
 
+def test_language_model_keeps_every_count(spark):
+    names = ["".join("abcdefghij"[int(c)] for c in f"{i:06d}") for i in range(120_000)]
+    common, rare = names[:110_000], names[110_000:]
+    rows = [(" ".join(common[i::50] * 2), "aa") for i in range(50)] + [(" ".join(rare[i::100]), "bb") for i in range(100)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    asked = spark.createDataFrame([(" ".join(rare[i : i + 30]), "bb") for i in range(0, 10_000, 500)] + [(" ".join(common[i : i + 30]), "aa") for i in range(0, 110_000, 5_000)], "text string, lang string")
+    assert all(r.lang_pred == r.lang for r in langid.identify(asked, model).collect())
+    scorer = langid.Scorer(*model)
+    assert set(scorer.words) == set(names)
+
+
 def test_licences(spark):
     mit = licences.KNOWN["MIT"]
     rows = [(1, "MIT License\n\nCopyright (c) 2020 Someone\n\n" + mit), (2, mit.upper().replace('"', "'")), (3, mit.replace("sublicense", "sub-license")), (4, mit + " but not for you"), (5, None), (6, " ... "), (7, "released under the mit licence")]
