@@ -54,6 +54,27 @@ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
     "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
 
+#: Digests of canonical whole licences, of /usr/share/common-licenses (with `https` and with `http`; if there are
+#: closing notes also without them), and of BSD-3-Clause, Zlib (with and without a title line) and the Unlicense.
+DIGESTS = {
+    "Apache-2.0": ("06ce0256b04ee11d584230b99cc2976d", "95605f6ebdf50007072f6bbb92283a3f", "feec10cd3ec7270f4c26e0ed245be2fd",),
+    "Artistic-1.0-Perl": ("dcc7042040059f5983a875b6dc9cb088",),
+    "BSD-3-Clause": ("669fb5c886d64c4af4448ac0f6641673", "caa02835bfe95008b3e71072e3cf5f4c", "cd0c2ba0064534d9261d91dbb5560d23", "d2db5a244befebd6cce98fc11a4c84e0", "e82046f0b7f72505ecac75064a0d3ab0",),
+    "CC0-1.0": ("644c89e0c06fbef0b7a84b6e81a6698a",),
+    "GFDL-1.2": ("a26c73d9ec3718e1b5e590a6214931da", "ed3dc704383d98613acc209c602b0f02",),
+    "GFDL-1.3": ("32fbbcb7d7afe86d702b715f077959ef", "fc8bb9fbfeff35e93b415fa58b0357ba",),
+    "GPL-1.0": ("f1ff299dcb8458c407e412e3b96e0cbe", "f289263ece8794506f3901b463205673", "f302fdd477034cacf038654c0db5385f",),
+    "GPL-2.0": ("48e4f84e5126d8cc86b64d70e79fa08e", "6c6fcffe0f1c89e2c6d68c04cfb2225a", "c5d367fdaede388a029d53d70349c769",),
+    "GPL-3.0": ("175c5a7dceabdda60d205ee355bd2860", "4a0c0b620814d3441a0d4d72f2f52085", "bfa0a8279c0d0280d5c63ef4703e086f", "d330399b2b3aa15eadf197b68044150d",),
+    "LGPL-2.0": ("2e8af3dc8c5ffcfc44282533c0db156d", "40732185c7a47e7e3b647b9d84e5e8d8", "7293540b1622cee750549d3e2d9954ef",),
+    "LGPL-2.1": ("149d60c1b5b0276abe2c94c2fccd2cca", "8ede87b1658c2e5dfa503b4027c4adb4", "f6f8c59dbb26a57bed7e651738207260",),
+    "LGPL-3.0": ("eba4e086d13ca02981f01216f555a2c6",),
+    "MPL-1.1": ("0595f49e72106adfeb03806111758664", "95eba6d96657abcfee48cf95a8a35bec",),
+    "MPL-2.0": ("ed4d6f0d8d907b13622aa845b2163638",),
+    "Unlicense": ("915ca6c16aab88074acfabcff3aac396", "f6f7dd9a1c29d5d47b7232b87c041c31",),
+    "Zlib": ("b6599da2e717b4d2ebdac5f938dfc154", "ebebcfe94666e093c3bc075909b61563", "ffdd36583ee9f9f6dae0314394b142d1",),
+}
+
 #: A line that only states a copyright, or reserves rights, and the title line of a licence.
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright( \(c\)| ©|,?:? [0-9]|:)|\(c\) |©|all rights reserved|portions copyright)[^\n]*$"
 TITLE_LINE = r"^[^a-z0-9]*(the )?(mit|isc|simplified bsd|bsd 2-clause|bsd-2-clause) licen[sc]e( \(mit\)| \(isc\))?[^a-z0-9\n]*\n"
@@ -74,9 +95,12 @@ def canonical(text: Column) -> Column:
 
 
 def known_licences(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
-    """(licence, licence_digest), one row per canonical form."""
+    """(licence, licence_digest), one row per canonical form; the built-in texts and digests, or the texts given."""
     rows = spark.createDataFrame(sorted((texts or KNOWN).items()), "licence string, text string")
-    return rows.groupBy(F.md5(canonical(F.col("text"))).alias("licence_digest")).agg(F.min("licence").alias("licence")).filter("licence_digest IS NOT NULL")
+    rows = rows.select("licence", F.md5(canonical(F.col("text"))).alias("licence_digest"))
+    if not texts:
+        rows = rows.unionByName(spark.createDataFrame([(name, d) for name, digests in DIGESTS.items() for d in digests], "licence string, licence_digest string"))
+    return rows.groupBy("licence_digest").agg(F.min("licence").alias("licence")).filter("licence_digest IS NOT NULL")
 
 
 def licence_scan(docs: DataFrame, text: str = "text", known: DataFrame | None = None) -> DataFrame:

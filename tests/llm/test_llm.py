@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import json
+import os
 import random
 import re
 import struct
@@ -395,6 +396,20 @@ def test_licences(spark):
     assert got == {1: "MIT", 2: "MIT", 3: "MIT", 4: None, 5: None, 6: None, 7: "MIT-notice"}
 
 
+def test_whole_licences(spark):
+    head, tail = licences.KNOWN["BSD-2-Clause"].split("THIS SOFTWARE IS", 1)
+    third = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    rows = [("BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright (c) 2020, Someone\n\n{head}{third}THIS SOFTWARE IS{tail}")]
+    for file, name in (("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0"), ("BSD", "BSD-3-Clause")):
+        path = f"/usr/share/common-licenses/{file}"
+        if os.path.exists(path):
+            with open(path, encoding="utf-8") as f:
+                rows.append((name, f.read()))
+    rows += [(None, text + " but not for you") for _, text in rows]
+    got = licences.licence_scan(spark.createDataFrame(rows, "want string, text string")).collect()
+    assert len(got) == len(rows) and all(r.licence == r.want and r.is_licence == (r.want is not None) for r in got)
+
+
 def test_empty_tables(nothing):
     assert recompress.remove_repeats(nothing).count() == 0 and suffixes.remove_repeats(nothing).count() == 0
     assert simhash.near_duplicates(nothing).count() == 0 and line_rules.quality_rules(nothing).count() == 0
