@@ -1,11 +1,16 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a doubly linked list of byte tokens. For each merge rank there is a bucket, a heap of
-list places whose pair has that rank (a bare place while there is one). A bitmap in words of 256
-ranks marks the ranks with a bucket, a root word marks the words that aren't zero, and find-first-set
-on the root, then on that word, gives the lowest rank. Entries are never removed when their
-pair changes: an entry is stale if the pair now at its place has another rank, and is skipped. Each
-merge costs O(log n) at most, so a pre-token of any length takes O(n log n).
+A pre-token is a doubly linked list of byte tokens. For each merge rank there is a bucket of the list
+places whose pair has that rank. A bitmap in words of 256 ranks marks the ranks with a bucket, a root
+word, as long as the vocabulary asks for, marks the words that aren't zero, and find-first-set on the
+root, then on that word, gives the lowest rank. Entries are never removed when their pair changes: an
+entry is stale if the pair now at its place has another rank, and is skipped.
+
+Pre-tokens that a worker hasn't met lately go through one queue together (`merge_many`): find-first-set
+on the root gives a word of ranks, and in its buckets the lowest rank of each pre-token is merged, in
+all places at once, so that arrays do the work. `merge` is the queue of one pre-token alone; it also
+does those whose ranks no merging could have built. Either takes O(n log n) for a pre-token of any
+length.
 
 Ids are packed as little-endian unsigned 32-bit integers. The rank file is read on the driver and
 broadcast; its size is that of one vocabulary, whatever the corpus.
@@ -21,17 +26,22 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 import struct
-from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WARM, given_back
+from .hashing import mix
 
-#: Distinct pre-tokens, and pairs of ids, that a worker remembers; beyond, it starts anew. Results don't depend on it.
-CACHE, PAIRS = 600_000, 200_000
+#: Distinct pre-tokens of one generation of what a worker remembers, and pairs of ids; results don't depend on it.
+GENERATION, PAIRS = 300_000, 200_000
+#: Pre-tokens looked up, and ids decoded, at once.
+PIECES, DECODED = 1 << 19, 1 << 18
 #: Longer pre-tokens are not remembered.
 CACHE_BYTES = 64
 
@@ -42,9 +52,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}
 
 
-BIT = [1 << i for i in range(256)]
-
-
 class PairRanks(dict):
     """(id, id) to the rank of the token that both make, or -1; remembers what was asked."""
 
@@ -60,17 +67,33 @@ class PairRanks(dict):
 
 
 class Encoder(dict):
-    """Encodes pre-tokens; as a dict it maps pre-tokens already met to their packed ids."""
+    """Encodes pre-tokens; as a dict it maps pre-tokens met lately to their packed ids.
+
+    What is remembered has two generations: when one is full it becomes the older, and what is asked
+    for again moves to the newer, so that frequent pre-tokens are never forgotten.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
         super().__init__()
-        self.ranks, self.find = ranks, regex.compile(pattern).findall
+        self.older: dict[str, bytes] = {}
+        self.ranks, found = ranks, regex.compile(pattern)
+        self.find, self.find_each = found.findall, found.finditer
         self.tokens = {i: t for t, i in ranks.items()}
-        self.words = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
+        most = max(ranks.values(), default=0)
+        self.words = [0] * ((most >> 8) + 1)
+        self.bit = [1 << i for i in range(max(256, len(self.words)))]
         self.bytes = [ranks.get(bytes([b])) for b in range(256)]
+        self.byte_ids = np.array([-1 if i is None else i for i in self.bytes], np.int64)
+        self._fill_pairs()
         self.pairs = PairRanks(ranks, self.tokens)
+        # for decoding: where each id's bytes stand in one string of all tokens, and how many they are
+        self.blob = np.frombuffer(b"".join(ranks), np.uint8)
+        size = np.fromiter(map(len, ranks), np.int64, len(ranks))
+        self.start, self.size = np.zeros(most + 1, np.int64), np.full(most + 1, -1, np.int64)
+        ids = np.fromiter(ranks.values(), np.int64, len(ranks))
+        self.start[ids], self.size[ids] = np.cumsum(size) - size, size
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one pre-token. The queue's push and pop stand in line, since they are most of the work."""
@@ -78,29 +101,25 @@ class Encoder(dict):
         if whole is not None:
             return [whole]
         ids = list(map(self.bytes.__getitem__, piece))
-        n, pair, one = len(ids), self.pairs.__getitem__, BIT
+        n, pair, one = len(ids), self.pairs.__getitem__, self.bit
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         at = list(map(pair, zip(ids, ids[1:], strict=False)))
-        words, buckets, root = self.words, {}, 0
-        put = list(enumerate(at))
+        words, buckets, root, live = self.words, {}, 0, 0
+        for i, r in enumerate(at):
+            if r >= 0:
+                live += 1
+                bucket = buckets.get(r)
+                if bucket is None:
+                    buckets[r] = i
+                    w = r >> 8
+                    root |= one[w]
+                    words[w] |= one[r & 255]
+                elif bucket.__class__ is int:
+                    buckets[r] = [bucket, i]
+                else:
+                    bucket.append(i)  # places come in order
         at.append(-1)
-        while True:
-            for i, r in put:
-                if r >= 0:
-                    bucket = buckets.get(r)
-                    if bucket is None:
-                        buckets[r] = i
-                        w = r >> 8
-                        if not words[w]:
-                            root |= one[w]
-                        words[w] |= one[r & 255]
-                    elif bucket.__class__ is int:
-                        buckets[r] = [bucket, i] if bucket < i else [i, bucket]
-                    else:
-                        heapq.heappush(bucket, i)
-            put = ()
-            if not root:
-                break
+        while live:
             w = (root & -root).bit_length() - 1
             x = words[w]
             low = x & -x
@@ -120,36 +139,220 @@ class Encoder(dict):
                 continue
             j = after[i]
             after[i] = k = after[j]
-            ids[i], at[j], at[i] = rank, -1, -1
+            ids[i] = rank
+            live -= 1 if at[j] < 0 else 2
+            at[j] = -1
             h = before[i]
+            r = at[i] = -1 if k == n else pair((rank, ids[k]))
             if k < n:
                 before[k] = i
-                at[i] = r = pair((rank, ids[k]))
-                put = ((i, r),)
-            if h >= 0:
-                at[h] = r = pair((ids[h], rank))
-                put = (*put, (h, r))
+            place = i
+            while True:  # the new pair at i, then that at h
+                if r >= 0:
+                    live += 1
+                    bucket = buckets.get(r)
+                    if bucket is None:
+                        buckets[r] = place
+                        w = r >> 8
+                        root |= one[w]
+                        words[w] |= one[r & 255]
+                    elif bucket.__class__ is int:
+                        buckets[r] = [bucket, place] if bucket < place else [place, bucket]
+                    else:
+                        heapq.heappush(bucket, place)
+                if h < 0:
+                    break
+                if at[h] >= 0:
+                    live -= 1
+                r = at[h] = pair((ids[h], rank))
+                place, h = h, -1
+        while root:  # what is left is stale
+            w = root.bit_length() - 1
+            words[w] = 0
+            root ^= one[w]
         out, i = [], 0
         while i < n:
             out.append(ids[i])
             i = after[i]
         return out
 
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        ids = self.merge(raw)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(raw) <= CACHE_BYTES:
-            if len(self) >= CACHE:
-                self.clear()
-            self[piece] = packed
-        return packed
+    def merge_many(self, raws: list[bytes]) -> list[bytes]:
+        """The packed ids of each of some pre-tokens, by one queue for all of them.
+
+        The list places of all pre-tokens stand in one array, with no pair across two of them. A step
+        takes the lowest word of ranks that has places, of each pre-token the places of its lowest
+        rank there, and merges them all: pre-tokens don't touch, and places of one rank that overlap
+        are taken from left to right, every other one of a run. Merging a rank gives higher ranks in
+        any vocabulary that merging itself could build; a pre-token where it doesn't is done by `merge`.
+        """
+        if not raws:
+            return []
+        size = np.fromiter(map(len, raws), np.int64, len(raws))
+        ends = np.cumsum(size)
+        n, of = int(ends[-1]), np.repeat(np.arange(len(raws)), size)
+        ids = np.append(self.byte_ids[np.frombuffer(b"".join(raws), np.uint8)], -1)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1], after[n], before[ends - size] = n, n, n  # n: no place
+        at = np.append(self.pair_ranks(ids[:n], ids[after[:n]]), -1)
+        fresh, gone, odd = np.zeros(n + 1, bool), np.zeros(n, bool), np.zeros(len(raws), bool)
+        buckets: dict[int, list[np.ndarray]] = {}
+        root = self._put(buckets, np.flatnonzero(at >= 0), at)
+        while root:
+            w = (root & -root).bit_length() - 1
+            some = np.concatenate(buckets.pop(w))
+            some = some[at[some] >> 8 == w]  # the others are stale: their pairs have changed or gone
+            if not len(some):
+                root ^= 1 << w
+                continue
+            some.sort()
+            some = some[np.concatenate(([True], some[1:] != some[:-1]))]
+            rank, piece = at[some], of[some]
+            heads = np.flatnonzero(np.concatenate(([True], piece[1:] != piece[:-1])))
+            lowest = rank == np.repeat(np.minimum.reduceat(rank, heads), np.diff(np.append(heads, len(some))))
+            buckets[w] = [some[~lowest]]
+            some, rank = some[lowest], rank[lowest]
+            beside = after[some]
+            new_run = np.concatenate(([True], beside[:-1] != some[1:]))
+            if not new_run.all():
+                number = np.arange(len(some))
+                taken = (number - np.maximum.accumulate(np.where(new_run, number, 0))) % 2 == 0
+                some, rank, beside = some[taken], rank[taken], beside[taken]
+            far = after[beside]
+            fresh[some] = True
+            then = fresh[far]  # one by one, such a place would meet its neighbour before that is merged
+            if then.any():
+                met = self.pair_ranks(rank[then], ids[far[then]])
+                odd[of[some[then][(met >= 0) & (met < rank[then])]]] = True
+            ids[some], after[some], before[far], at[beside], gone[beside] = rank, far, some, -1, True
+            left = before[some]
+            known = (left < n) & ~fresh[left]  # a merged one to the left has this pair as its right one
+            fresh[some] = False
+            changed, under = np.concatenate((some, left[known])), np.concatenate((rank, rank[known]))
+            at[changed] = new = self.pair_ranks(ids[changed], ids[after[changed]])
+            live = new >= 0
+            odd[of[changed[live & (new < under)]]] = True
+            root |= self._put(buckets, changed[live], at)
+        packed = ids[:n][~gone].astype("<u4").tobytes()
+        stops = (4 * np.cumsum(np.bincount(of[~gone], minlength=len(raws)))).tolist()
+        out = [packed[a:b] for a, b in itertools.pairwise([0, *stops])]
+        for k in np.flatnonzero(odd).tolist():
+            out[k] = struct.pack(f"<{len(x := self.merge(raws[k]))}I", *x)
+        return out
 
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.find(text))) if text else b""
+    @staticmethod
+    def _put(buckets: dict, places: np.ndarray, at: np.ndarray) -> int:
+        """Files the places under the words of their ranks; the words, as bits."""
+        if not len(places):
+            return 0
+        word = at[places] >> 8
+        order = np.argsort(word, kind="stable")
+        word, places = word[order], places[order]
+        heads = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))).tolist()
+        bits = 0
+        for w, a, b in zip(word[heads].tolist(), heads, [*heads[1:], len(places)], strict=True):
+            buckets.setdefault(w, []).append(places[a:b])
+            bits |= 1 << w
+        return bits
+
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of the token that both ids make, or -1; so it is too if either is -1."""
+        key = (a << 32) | b
+        slot = mix(key.view(np.uint64)).view(np.int64) & (len(self.pair_keys) - 1)
+        got = self.pair_keys[slot]
+        out = np.where(got == key, self.pair_values[slot], -1)
+        todo = np.flatnonzero((got != key) & (got != -1))
+        while len(todo):  # the next slot, until the key or an empty one
+            slot[todo] = (slot[todo] + 1) & (len(self.pair_keys) - 1)
+            got = self.pair_keys[slot[todo]]
+            hit = got == key[todo]
+            out[todo[hit]] = self.pair_values[slot[todo[hit]]]
+            todo = todo[~hit & (got != -1)]
+        out[(a < 0) | (b < 0)] = -1
+        return out
 
-    def decode(self, packed: bytes | None) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, struct.unpack(f"<{len(packed) // 4}I", packed))) if packed else b""
+    def _fill_pairs(self):
+        """A hash table of all pairs of ids that make a token: each token's splits into two tokens."""
+        rows = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t)) if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
+        a, b, r = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 3
+        size = 1 << max(4, (4 * len(r)).bit_length())
+        self.pair_keys, self.pair_values = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
+        key = (a << 32) | b
+        slot = mix(key.view(np.uint64)).view(np.int64) & (size - 1)
+        while len(key):
+            free = self.pair_keys[slot] == -1
+            self.pair_keys[slot[free]] = key[free]  # of several, one stays
+            placed = self.pair_keys[slot] == key
+            self.pair_values[slot[placed]] = r[placed]
+            key, r, slot = key[~placed], r[~placed], (slot[~placed] + 1) & (size - 1)
+
+    def encode(self, texts) -> list[bytes]:
+        """The packed ids of each text, some pre-tokens at once."""
+        parts: list[list[bytes]] = []
+        some, held = [], 0
+        for text in texts:
+            parts.append([])
+            for pieces in self._pieces(text):
+                some.append((parts[-1], pieces))
+                held += len(pieces)
+                if held >= PIECES:
+                    self._encode(some)
+                    some, held = [], 0
+        self._encode(some)
+        return [x[0] if len(x) == 1 else b"".join(x) for x in parts]
+
+    def _pieces(self, text: str | None):
+        """The pre-tokens of a text; of a very long one in lists of PIECES."""
+        if not text:
+            return
+        if len(text) < PIECES:
+            yield self.find(text)
+            return
+        found = self.find_each(text)
+        while pieces := [m[0] for m in itertools.islice(found, PIECES)]:
+            yield pieces
+
+    def _encode(self, some: list[tuple[list[bytes], list[str]]]):
+        if len(self) >= GENERATION:
+            self.older = dict(self)
+            self.clear()
+        missing = set().union(*(pieces for _, pieces in some)).difference(self)
+        for piece in missing.intersection(self.older):
+            self[piece] = self.older.pop(piece)
+        missing = list(missing.difference(self))
+        whole = list(map(self.ranks.get, raws := [x.encode() for x in missing]))
+        asked = [k for k, r in enumerate(whole) if r is None]
+        merged = dict(zip(asked, self.merge_many([raws[k] for k in asked]), strict=True))
+        self.update((x, merged[k] if r is None else struct.pack("<I", r)) for k, (x, r) in enumerate(zip(missing, whole, strict=True)))
+        for out, pieces in some:
+            out.append(b"".join(map(self.__getitem__, pieces)))
+        for x, raw in zip(missing, raws, strict=True):
+            if len(raw) > CACHE_BYTES:
+                del self[x]
+
+    def decode(self, packed: list[bytes | None]) -> list[bytes]:
+        """The bytes of each value, some values at once."""
+        out, some, held = [], [], 0
+        for x in packed:
+            some.append(x or b"")
+            held += len(some[-1])
+            if held > 4 * DECODED:
+                out += self._decoded(some)
+                some, held = [], 0
+        return out + self._decoded(some)
+
+    def _decoded(self, some: list[bytes]) -> list[bytes]:
+        ids = np.frombuffer(b"".join(some), "<u4")
+        if len(ids) and (ids.max() >= len(self.size) or self.size[ids].min() < 0):
+            raise ValueError("an id outside the vocabulary")
+        parts, reach = [], [0]
+        for a in range(0, len(ids), DECODED):  # one value may have any number
+            start, size = self.start[ids[a : a + DECODED]], self.size[ids[a : a + DECODED]]
+            ends = np.cumsum(size)
+            parts.append(self.blob[np.arange(ends[-1]) + np.repeat(start - ends + size, size)].tobytes())
+            reach.append(ends + reach[-1][-1] if a else ends)
+        ends = np.concatenate(([0], *reach[1:]))[np.cumsum([0, *(len(x) // 4 for x in some)])].tolist()
+        whole = b"".join(parts)
+        return [whole[a:b] for a, b in itertools.pairwise(ends)]
 
 
 #: The encoder a Python worker last used; the next task of the same query finds it warm.
@@ -164,40 +367,54 @@ def _encoder(key: str, shared, pattern: str) -> Encoder:
     return _last[key]
 
 
-def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results: list[T.StructField], work) -> DataFrame:
-    docs = docs.drop(*[f.name for f in results if f.name in docs.columns and f.name != source])
+def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results: list[T.StructField], work, keep_source: bool = True) -> DataFrame:
+    """docs with the results of work, which makes columns of a column of values."""
+    names = [f.name for f in results]
+    passed = [c for c in docs.columns if c not in names and (keep_source or c != source)]
+    docs = docs.select(F.col(source).alias("_source"), *passed)  # the first column, whatever else is called so
     ranks = read_ranks(ranks_path)
     key = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    schema = T.StructType([*docs.schema.fields, *results])
+    schema = T.StructType([*docs.schema.fields[1:], *results])
+    kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.binary() for f in results]
 
     def run(batches):
         encoder = _encoder(key, shared, pattern)
         for batch in batches:
-            values = (x.as_py() for x in batch.column(batch.schema.get_field_index(source)))
-            columns = [list(c) for c in zip(*map(work, repeat(encoder), values), strict=True)] or [[] for _ in results]
+            columns = work(encoder, (x.as_py() for x in batch.column(0)))
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], names=[*passed, *names])
 
-    names = [f.name for f in results]
-    kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.binary() for f in results]
     return docs.mapInArrow(given_back(run, keep=True), schema)
 
 
-def _encode(encoder: Encoder, text: str | None):
-    packed = encoder.encode(text)
-    return packed, len(packed) // 4
+IDS, N, DECODED_BYTES = T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.BinaryType())
+
+
+def _encode(encoder: Encoder, texts):
+    packed = encoder.encode(texts)
+    return packed, [len(x) // 4 for x in packed]
 
 
-def _decode(encoder: Encoder, packed: bytes | None):
-    return (encoder.decode(packed),)
+def _decode(encoder: Encoder, packed):
+    return (encoder.decode(list(packed)),)
+
+
+def _both(encoder: Encoder, texts):
+    packed, n = _encode(encoder, texts)
+    return packed, n, encoder.decode(packed)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """docs with token_ids (packed) and n_tokens."""
-    return _mapped(docs, ranks_path, pattern, text, [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())], _encode)
+    return _mapped(docs, ranks_path, pattern, text, [IDS, N], _encode)
 
 
 def decode(docs: DataFrame, ranks_path: str, pattern: str, token_ids: str = "token_ids") -> DataFrame:
     """docs with decoded, the bytes that the packed ids stand for."""
-    return _mapped(docs, ranks_path, pattern, token_ids, [T.StructField("decoded", T.BinaryType())], _decode)
+    return _mapped(docs, ranks_path, pattern, token_ids, [DECODED_BYTES], _decode)
+
+
+def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+    """docs with token_ids, n_tokens and decoded, what the ids stand for, in place of the text; in one pass."""
+    return _mapped(docs, ranks_path, pattern, text, [IDS, N, DECODED_BYTES], _both, keep_source=False)

@@ -27,8 +27,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
     path = ranks_path or public_tokenizers.path(RANKS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
-    back = bpe.decode(ids, path, public_tokenizers.PATTERN)
+    back = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN)
     return back.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -208,15 +208,36 @@ def test_bpe_equals_tiktoken(docs):
         assert bytes(r.token_ids) == struct.pack(f"<{len(want)}I", *want) and r.n_tokens == len(want) and bytes(r.decoded) == (r.text or "").encode()
 
 
-def test_bpe_of_long_pre_tokens():
+def test_bpe_of_long_pre_tokens(monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES", 50)  # long texts come in parts
     e = bpe.Encoder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=e.ranks, special_tokens={})
     rng = random.Random(6)
     for alphabet in ("a", "ab", "aé漢", "abc <|endoftext|>", "\n\t 　", "0123456789!?"):
-        for n in (1, 7, 300, 20_000):
-            text = "".join(rng.choice(alphabet) for _ in range(n))
+        texts = ["".join(rng.choice(alphabet) for _ in range(n)) for n in (1, 7, 300, 20_000)]
+        for text, got in zip(texts, e.encode(texts), strict=True):
             want = own.encode_ordinary(text)
-            assert e.encode(text) == struct.pack(f"<{len(want)}I", *want)
+            assert got == struct.pack(f"<{len(want)}I", *want)
+        assert [x.decode() for x in e.decode(e.encode(texts))] == texts
+
+
+@pytest.mark.parametrize("first", [0, 70_000, 20_000_000])
+def test_bpe_of_any_ranks(first):
+    """Ranks that merging could not have built, and ranks of any height."""
+    rng = random.Random(first)
+    for _ in range(20):
+        tokens = list({bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 6))) for _ in range(rng.randrange(1, 25))})
+        rng.shuffle(tokens)
+        ranks = {bytes([k]): k for k in range(256)} | {t: 256 + first + k for k, t in enumerate(tokens)}
+        e = bpe.Encoder(ranks, r"[a-z]+| ")
+        own = tiktoken.Encoding("own", pat_str=r"[a-z]+| ", mergeable_ranks=ranks, special_tokens={}) if not first else None
+        texts = ["".join(rng.choice("aabc ") for _ in range(rng.randrange(60))) for _ in range(30)]
+        for text, got in zip(texts, e.encode(texts), strict=True):
+            want = own.encode_ordinary(text) if own else [i for x in e.find(text) for i in e.merge(x.encode())]
+            assert got == struct.pack(f"<{len(want)}I", *want)
+        assert [x.decode() for x in e.decode(e.encode(texts))] == texts
+    with pytest.raises(ValueError, match="vocabulary"):
+        e.decode([struct.pack("<I", 256 + first + len(tokens))])
 
 
 def test_quality_rules_equal_brute_force(spark, docs):
