@@ -37,9 +37,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, packed, of each row, and whether decoding them gives the text back."""
     path = public_tokenizers.path(RANKS)
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
-    back = bpe.decode(ids, path, public_tokenizers.PATTERN)
-    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    original = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("_sha256")
+    back = bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text", original), path, public_tokenizers.PATTERN)
+    same = F.sha2("decoded", 256) == F.col("_sha256")
     return back.select("doc_id", "lang", "source", "n_tokens", "token_ids", same.alias("round_trip"))
 
 
