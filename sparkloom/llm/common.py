@@ -42,29 +42,59 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stored(df: DataFrame, *partition_by: str) -> DataFrame:
-    """df written to the shared folder and read back: its lineage ends there, and lost executors cost nothing."""
-    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+def kept(df: DataFrame, *partition_by: str):
+    """(df written to the shared folder and read back, a function that deletes what was written or a part of it).
+
+    The lineage ends there, and lost executors cost nothing.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def drop(part: str = "") -> None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}".rstrip("/"))
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+    return spark.read.schema(df.schema).parquet(path), drop
+
+
+def stored(df: DataFrame, *partition_by: str) -> DataFrame:
+    """df written to the shared folder and read back."""
+    return kept(df, *partition_by)[0]
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of queries that are over.
+    """Lets Spark delete the shuffle files of queries that are over; results don't depend on it.
 
     They go when the driver has collected the queries' objects: first Python's, that hold the JVM's,
     and once no event names them. The second collection takes what the first one only made known.
     """
     gc.collect()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    with contextlib.suppress(Exception):  # a busy bus, or none
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(5_000)
     for _ in range(2):
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.3)
 
 
+def name_of(column: str) -> F.Column:
+    """The column of just that name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def row_of(columns: list[str]) -> F.Column:
+    """The columns as one struct, so that no column made on the way has the name of one of them; `fields` takes them out."""
+    spare = "_" * (1 + max([0, *map(len, columns)]))
+    return F.struct(F.lit(0).alias(spare), *(name_of(c).alias(c) for c in columns))
+
+
+def fields(row: str, columns: list[str]) -> list[F.Column]:
+    return [F.col(row).getField(c).alias(c) for c in columns]
+
+
 #: Caches that Python workers keep between tasks of one query; a task of another query empties them.
 WARM: list = []
 

@@ -3,16 +3,16 @@
 1. announce: each task marks its documents. A mark is a hash that equal windows share; most marks
    occur once and prove their windows unique. A task sends a mark once, however many of its own
    documents have it (these learn at once that it is shared), so a hot mark makes one row a task.
-   The hash of a whole document goes the same way, and finds exact copies.
+   The digest of a whole document goes the same way, and finds exact copies.
 2. answer: by mark, whether it is shared; by whole document, all but the first are copies.
 3. probe: documents meet the marks they share with others. Windows under shared marks are compared
    within the task first; only the first of equals is sent on.
-4. verify: by mark or window, what is equal is settled exactly, in the scheme's own way.
+4. resolve: what is equal is settled exactly, in the scheme's own way.
 5. settle: documents meet the removed ranges.
 
 Rows travel packed, many marks in one binary, and partitions are as many as the input's bytes ask
-for. A document is known by doc_id and the hash of its content, so rows that repeat both get the same
-result, and those that repeat a doc_id alone are told apart. State between steps is written to the
+for. A row is known by a hash of its id and text, so rows that repeat both get the same result, and
+rows that repeat an id alone, or have none, are told apart. State between steps is written to the
 shared folder. Nothing is collected.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LAST_ID, given_back, release, stored
+from .common import LAST_ID, fields, given_back, kept, name_of, release, row_of
 
 U = np.uint64
 #: Bytes of (compressed) input for each partition of marks.
@@ -38,8 +38,6 @@ UNKNOWN_BYTES = 1 << 52
 HELD = 1 << 20
 #: Bytes of text worked on at once; longer documents are worked on alone.
 SLICE = 1 << 18
-#: Bytes of text whose stretches under shared marks are compared at once, before they are sent.
-COMPARED = 4 << 20
 
 ROW = "bucket int, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
 ROW_NAMES = ["bucket", "kind", "a", "b", "c", "d", "e", "f"]
@@ -117,14 +115,15 @@ class Announcer:
         self.clear()
 
     def clear(self):
-        self.ids, self.roots, self.marks, self.owners, self.alone, self.n, self.held = [], [], [], [], [], 0, 0
+        self.keys, self.ids, self.roots, self.marks, self.owners, self.alone, self.n, self.held = [], [], [], [], [], [], 0, 0
 
-    def add(self, ids: np.ndarray, raws: list[bytes]):
+    def add(self, keys: np.ndarray, ids: np.ndarray, raws: list[bytes]):
         for a, b in slices(raws):
             marks, owner, again = self.scheme.marks(raws[a:b])
             self.marks.append(marks)
             self.owners.append(owner + self.n)
             self.alone.append(~again)
+            self.keys.append(keys[a:b])
             self.ids.append(ids[a:b])
             self.roots += [self.scheme.root(r) for r in raws[a:b]]
             self.n += b - a
@@ -134,7 +133,7 @@ class Announcer:
         out: list[tuple] = []
         if not self.n:
             return out
-        ids, roots = np.concatenate(self.ids), roots_of(self.roots)
+        keys, ids, roots = np.concatenate(self.keys), np.concatenate(self.ids), roots_of(self.roots)
         marks, owner, alone = map(np.concatenate, (self.marks, self.owners, self.alone))
         full = np.flatnonzero(roots.any(axis=1))
         order = full[np.lexsort((ids[full], roots[full, 1], roots[full, 0]))]
@@ -142,8 +141,9 @@ class Announcer:
         first = ids[order[new]][np.cumsum(new) - 1] if len(order) else ids[:0]
         copy = np.zeros(self.n, bool)
         copy[order[ids[order] > first]] = True
-        self._send(out, 2, order[new], ids, roots[:, 0], roots[:, 1])
-        self._send(out, 3, np.flatnonzero(copy), ids, roots[:, 0], roots[:, 1], by_id=True)
+        at, gone = order[new], np.flatnonzero(copy)
+        self._send(out, 2, roots[at, 0], keys[at], ids[at], roots[at, 0], roots[at, 1])
+        self._send(out, 3, keys[gone].astype(U), keys[gone], roots[gone, 0], roots[gone, 1])
         live = ~copy[owner]  # a copy's windows are settled by its first
         marks, owner, alone = marks[live], owner[live], alone[live]
         order = np.argsort(marks, kind="stable")
@@ -152,23 +152,22 @@ class Announcer:
         heads = np.flatnonzero(new)
         size = np.diff(np.concatenate((heads, [len(marks)])))
         single = (size == 1) & np.bitwise_and.reduceat(alone, heads) if len(heads) else new
-        told = np.where(single, ids[owner[heads]], -1) if len(heads) else ids[:0]
-        self._send(out, 0, np.arange(len(heads)), told, marks[heads])
+        told = np.where(single, keys[owner[heads]], -1) if len(heads) else keys[:0]
+        self._send(out, 0, marks[heads], told, marks[heads])
         shared = np.flatnonzero(~np.repeat(single, size))
-        self._send(out, 1, shared, ids[owner], marks, by_id=True)
+        self._send(out, 1, keys[owner[shared]].astype(U), keys[owner[shared]], marks[shared])
         return out
 
-    def _send(self, out: list, kind: int, at: np.ndarray, ids: np.ndarray, *columns: np.ndarray, by_id: bool = False):
-        if len(at):
-            bucket = (ids[at].astype(U) if by_id else columns[0][at]) % U(self.parts)
-            out += [(b, kind, ids[at[i]], *(c[at[i]] for c in columns)) for b, i in by_bucket(bucket)]
+    def _send(self, out: list, kind: int, by: np.ndarray, *columns: np.ndarray):
+        out += [(b, kind, *(c[i] for c in columns)) for b, i in by_bucket(by % U(self.parts))]
 
 
 def announce(scheme, parts: int):
     def run(batches):
         task = Announcer(scheme, parts)
         for batch in batches:
-            task.add(batch.column(0).to_numpy(zero_copy_only=False), [x.as_py() for x in batch.column(1)])
+            keys, ids = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            task.add(keys, ids, [x.as_py() for x in batch.column(2)])
             if task.held > HELD:
                 yield packed_rows(task.rows())
                 task.clear()
@@ -193,148 +192,157 @@ def joined(parts: list[bytes], dtype) -> np.ndarray:
 
 
 def answer(parts: int):
-    """Step 2. Rows of kind 0: a ids, b marks of theirs that are shared; of kind 1: a ids, b roots of copies."""
+    """Step 2. Rows of kind 0: a keys, b marks of theirs that are shared; of kind 1: a keys, b roots of copies."""
 
     def run(batches):
         kinds = gathered(batches)
-        ids, marks = joined(kinds[0][0], np.int64), joined(kinds[0][1], U)
+        keys, marks = joined(kinds[0][0], np.int64), joined(kinds[0][1], U)
         order = np.argsort(marks, kind="stable")
-        ids, marks = ids[order], marks[order]
+        keys, marks = keys[order], marks[order]
         heads = np.flatnonzero(heads_of(marks))
         if len(heads):
             size = np.diff(np.concatenate((heads, [len(marks)])))
-            shared = np.repeat((size > 1) | (np.minimum.reduceat(ids, heads) < 0), size) & (ids >= 0)
-            ids, marks = ids[shared], marks[shared]
-        ids, marks = np.concatenate((ids, joined(kinds[1][0], np.int64))), np.concatenate((marks, joined(kinds[1][1], U)))
-        out = [(k, 0, ids[i], marks[i]) for k, i in by_bucket(ids.astype(U) % U(parts))]
-        ids, high, low = joined(kinds[2][0], np.int64), joined(kinds[2][1], U), joined(kinds[2][2], U)
+            shared = np.repeat((size > 1) | (np.minimum.reduceat(keys, heads) < 0), size) & (keys >= 0)
+            keys, marks = keys[shared], marks[shared]
+        keys, marks = np.concatenate((keys, joined(kinds[1][0], np.int64))), np.concatenate((marks, joined(kinds[1][1], U)))
+        out = [(k, 0, keys[i], marks[i]) for k, i in by_bucket(keys.astype(U) % U(parts))]
+        keys, ids, high, low = joined(kinds[2][0], np.int64), joined(kinds[2][1], np.int64), joined(kinds[2][2], U), joined(kinds[2][3], U)
         order = np.lexsort((ids, low, high))
-        ids, high, low = ids[order], high[order], low[order]
+        keys, ids, high, low = keys[order], ids[order], high[order], low[order]
         new = heads_of(high, low)
         later = ids > ids[new][np.cumsum(new) - 1] if len(ids) else new
-        ids = np.concatenate((ids[later], joined(kinds[3][0], np.int64)))
+        keys = np.concatenate((keys[later], joined(kinds[3][0], np.int64)))
         roots = np.stack((np.concatenate((high[later], joined(kinds[3][1], U))), np.concatenate((low[later], joined(kinds[3][2], U)))), axis=1)
-        out += [(k, 1, ids[i], roots[i]) for k, i in by_bucket(ids.astype(U) % U(parts))]
+        out += [(k, 1, keys[i], roots[i]) for k, i in by_bucket(keys.astype(U) % U(parts))]
         yield packed_rows(out)
 
     return run
 
 
 def told(batches):
-    """Rows (id, marks, copies), one an id."""
+    """Rows (key, marks, copies), one a key."""
     kinds = gathered(batches)
     got: dict[int, list[bytes]] = {}
     for kind, width in ((0, 1), (1, 2)):
-        ids, values = joined(kinds[kind][0], np.int64), joined(kinds[kind][1], U).reshape(-1, width)
-        for _, i in by_bucket(ids):
-            got.setdefault(int(ids[i[0]]), [b"", b""])[kind] = values[i].tobytes()
-    yield _batch([(k, *v) for k, v in got.items()], ["id", "marks", "copies"], [pa.int64(), pa.binary(), pa.binary()])
+        keys, values = joined(kinds[kind][0], np.int64), joined(kinds[kind][1], U).reshape(-1, width)
+        for _, i in by_bucket(keys):
+            got.setdefault(int(keys[i[0]]), [b"", b""])[kind] = values[i].tobytes()
+    yield _batch([(k, *v) for k, v in got.items()], ["_heard", "marks", "copies"], [pa.int64(), pa.binary(), pa.binary()])
 
 
-def compressed(docs: DataFrame, text: str) -> DataFrame:
-    """docs with `_z`, the compressed UTF-8 bytes of the text, in its place: texts are shuffled twice, at under half the size."""
-    others = [c for c in docs.columns if c not in (text, "_z")]
+def compressed(docs: DataFrame) -> DataFrame:
+    """docs with `_z`, the compressed bytes of the first column, in its place: texts are shuffled twice, at under half the size."""
+    others = docs.schema.fields[1:]
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
         for batch in batches:
             z = pa.array([pack(x.as_py() or b"") for x in batch.column(0)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], z], names=[*others, "_z"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], z], names=[*(f.name for f in others), "_z"])
 
-    schema = T.StructType([*(docs.schema[c] for c in others), T.StructField("_z", T.BinaryType())])
-    return docs.select(F.col(text).cast("binary").alias("_text"), *others).mapInArrow(given_back(run), schema)
+    return docs.mapInArrow(given_back(run), T.StructType([*others, T.StructField("_z", T.BinaryType())]))
 
 
 def probe(scheme, parts: int):
-    """Step 3. Rows of kind 0 are outcomes, by id; of kind 1 go to verify, by what they hold."""
+    """Step 3. Rows of kind 0 are outcomes, by key; those of other kinds are the scheme's, for resolve."""
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            ids, raws, marks, copies = (batch.column(k) for k in range(4))
+            keys, ids, raws, marks, copies = (batch.column(k) for k in range(5))
             docs, settled = [], []
             for k, raw in enumerate(raws):
                 raw = unpack(raw.as_py())
                 root = scheme.root(raw)
                 copied, found = copies[k].as_py(), marks[k].as_py()
                 if root in (copied[i : i + 16] for i in range(0, len(copied), 16)):
-                    settled.append((ids[k].as_py(), root, np.array([0, scheme.units(raw)], np.int64)))
+                    settled.append((keys[k].as_py(), root, np.array([0, scheme.units(raw)], np.int64)))
                 elif found:
-                    docs.append((ids[k].as_py(), root, raw, np.frombuffer(found, U)))
-            for a, b in slices([d[2] for d in docs], COMPARED):
+                    docs.append((keys[k].as_py(), ids[k].as_py(), root, raw, np.frombuffer(found, U)))
+            for a, b in slices([d[3] for d in docs], scheme.compared):
                 at_once, sent = scheme.probe(docs[a:b], parts)
-                yield packed_rows(outcomes([(docs[a + k][0], docs[a + k][1], r) for k, r in at_once], parts) + sent)
+                yield packed_rows(outcomes([(docs[a + k][0], docs[a + k][2], r) for k, r in at_once], parts) + sent)
             yield packed_rows(outcomes(settled, parts))
 
     return run
 
 
+DOC = np.dtype([("key", np.int64), ("id", np.int64), ("root", "V16")])
+
+
 def doc_table(docs: list[tuple], used: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """(places of `used` in the table, the table): 24 bytes a document, id and root."""
+    """(places of `used` in the table, the table): 32 bytes a document, key, id and root."""
     slots, at = np.unique(used, return_inverse=True)
-    return at.astype(np.uint32), b"".join(np.int64(docs[s][0]).tobytes() + docs[s][1] for s in slots.tolist())
+    return at.astype(np.uint32), b"".join(np.array(docs[s][:2], np.int64).tobytes() + docs[s][2] for s in slots.tolist())
 
 
 def read_tables(tables: list[bytes], slots: list[bytes]):
-    """(document of each row, ids, roots) with documents numbered through all tables."""
-    table = np.frombuffer(b"".join(tables), np.dtype([("id", np.int64), ("root", "V16")]))
-    offset = np.cumsum([0, *(len(t) // 24 for t in tables)])
+    """(document of each row, keys, ids, roots) with documents numbered through all tables."""
+    table = np.frombuffer(b"".join(tables), DOC)
+    offset = np.cumsum([0, *(len(t) // DOC.itemsize for t in tables)])
     parts = [np.frombuffer(s, np.uint32).astype(np.int64) + o for s, o in zip(slots, offset[:-1], strict=True)]
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64), table["id"], table["root"]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64), table["key"], table["id"], table["root"]
 
 
 def outcomes(settled: list[tuple], parts: int) -> list[tuple]:
-    """ROW tuples of kind 0 from (id, root, flat ranges): a ids, b roots, c ranges, one of each a range."""
+    """ROW tuples of kind 0 from (key, root, flat ranges): a keys, b roots, c ranges, one of each a range."""
     if not settled:
         return []
     n = np.array([len(r) // 2 for _, _, r in settled])
-    ids = np.repeat(np.array([i for i, _, _ in settled], np.int64), n)
+    keys = np.repeat(np.array([k for k, _, _ in settled], np.int64), n)
     roots = np.repeat(roots_of([bytes(r) for _, r, _ in settled]), n, axis=0)
     ranges = np.concatenate([r for _, _, r in settled]).reshape(-1, 2)
-    return [(k, 0, ids[i], roots[i], ranges[i]) for k, i in by_bucket(ids.astype(U) % U(parts))]
+    return [(b, 0, keys[i], roots[i], ranges[i]) for b, i in by_bucket(keys.astype(U) % U(parts))]
 
 
 def collated(batches):
-    """Rows (id, found), one an id: records of root and range."""
+    """Rows (key, found), one a key: records of root and range."""
     a, b, c = gathered(batches)[0][:3]
-    ids, rows = joined(a, np.int64), np.concatenate((joined(b, U).reshape(-1, 2), joined(c, U).reshape(-1, 2)), axis=1)
-    yield _batch([(int(ids[i[0]]), rows[i].tobytes()) for _, i in by_bucket(ids)], ["id", "found"], [pa.int64(), pa.binary()])
+    keys, rows = joined(a, np.int64), np.concatenate((joined(b, U).reshape(-1, 2), joined(c, U).reshape(-1, 2)), axis=1)
+    yield _batch([(int(keys[i[0]]), rows[i].tobytes()) for _, i in by_bucket(keys)], ["_found_key", "_found"], [pa.int64(), pa.binary()])
+
+
+def dealt(rows: DataFrame, parts: int, run, schema: str = ROW) -> DataFrame:
+    """run over rows dealt by their buckets, a partition each."""
+    return rows.repartitionById(parts, F.col("bucket")).mapInArrow(given_back(run), schema)
+
 
+def removed_ranges(docs: DataFrame, scheme) -> DataFrame:
+    """(_found_key, _found), one row a key: records of root and range, in the scheme's units, that go from the rows with that key and root.
 
-def removed_ranges(docs: DataFrame, scheme, text: str, ident: str) -> DataFrame:
-    """(id, found), one row an id: records of root and range, in the scheme's units, that go from the document with that id and root."""
+    docs has _text, _key and _id.
+    """
     spark = docs.sparkSession
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size > UNKNOWN_BYTES:  # Spark has no figure, as for rows from Python
-        size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // PARTITION_BYTES, 200_000))
-    key = F.coalesce(F.col(ident).cast("long"), F.lit(LAST_ID)).alias("id")
-    marks = docs.select(key, F.coalesce(F.col(text).cast("binary"), F.lit(b""))).mapInArrow(given_back(announce(scheme, parts)), ROW)
-    heard = marks.repartition(parts, "bucket").mapInArrow(given_back(answer(parts)), ROW).repartition(parts, "bucket").mapInArrow(given_back(told), "id long, marks binary, copies binary")
-    texts = compressed(docs.select(key, text), text)
-    probes = stored(texts.join(heard, "id").select("id", "_z", "marks", "copies").mapInArrow(given_back(probe(scheme, parts)), ROW), "kind")
+        size = docs.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES)
+    marks = docs.select("_key", "_id", "_text").mapInArrow(given_back(announce(scheme, parts)), ROW)
+    heard = dealt(dealt(marks, parts, answer(parts)), parts, told, "_heard long, marks binary, copies binary")
+    texts = compressed(docs.select("_text", "_key", "_id"))
+    probes, drop = kept(texts.join(heard, F.col("_key") == F.col("_heard")).select("_key", "_id", "_z", "marks", "copies").mapInArrow(given_back(probe(scheme, parts)), ROW), "kind")
     release(spark)
-    verified = probes.filter("kind = 1").select(*ROW_NAMES).repartition(parts, "bucket").mapInArrow(given_back(lambda batches: scheme.verify(batches, parts)), ROW)
-    every = probes.filter("kind = 0").select(*ROW_NAMES).unionByName(verified)
-    return every.repartition(parts, "bucket").mapInArrow(given_back(collated), "id long, found binary")
+    every = scheme.resolve(probes.select(*ROW_NAMES), parts, drop)
+    return dealt(every, parts, collated, "_found_key long, _found binary")
 
 
 def settle(docs: DataFrame, scheme, text: str, ident: str, results: list[T.StructField]) -> DataFrame:
     """Step 5: docs with the scheme's results, long or binary, in place of the text."""
     names = [f.name for f in results]
-    docs = docs.drop(*[c for c in docs.columns if c in names and c not in (text, ident)])
-    found = removed_ranges(docs, scheme, text, ident).select(F.col("id").alias("_id"), F.col("found").alias("_found"))
-    d = compressed(docs, text).withColumn("_key", F.coalesce(F.col(ident).cast("long"), F.lit(LAST_ID)))
-    d = d.join(found, d["_key"] == found["_id"], "left").drop("_key", "_id")
+    others = [c for c in docs.columns if c != text and (c not in names or c == ident)]
+    key = F.xxhash64(name_of(ident), name_of(text)).bitwiseAND(F.lit(LAST_ID)).alias("_key")
+    order = F.coalesce(name_of(ident).cast("long"), F.lit(LAST_ID)).alias("_id")
+    body = F.coalesce(name_of(text).cast("binary"), F.lit(b"")).alias("_text")
+    found = removed_ranges(docs.select(body, key, order), scheme)
+    d = compressed(docs.select(body, key, row_of(others).alias("_row")))
+    d = d.join(found, F.col("_key") == F.col("_found_key"), "left").select("_row", "_z", "_found")
     kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.binary() for f in results]
-    kept = [c for c in docs.columns if c not in names and c != text]
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             rows = []
-            for raw, found in zip(column["_z"], column["_found"], strict=True):
+            for raw, found in zip(batch.column(1), batch.column(2), strict=True):
                 raw, all_found = unpack(raw.as_py()), found.as_py()
                 ranges = np.zeros((0, 2), np.int64)
                 if all_found:
@@ -343,6 +351,7 @@ def settle(docs: DataFrame, scheme, text: str, ident: str, results: list[T.Struc
                     ranges = merged(records[mine, 2:].astype(np.int64).ravel())
                 rows.append(scheme.result(raw, ranges))
             arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
-            yield pa.RecordBatch.from_arrays([*(column[c] for c in kept), *arrays], names=[*kept, *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["_row", *names])
 
-    return d.mapInArrow(given_back(run), T.StructType([*(docs.schema[c] for c in kept), *results]))
+    out = d.mapInArrow(given_back(run), T.StructType([d.schema["_row"], *results]))
+    return out.select(*fields("_row", others), *names)

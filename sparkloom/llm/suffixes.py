@@ -18,13 +18,14 @@ others pass through.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .hashing import BYTE_VALUES, U, between, mix, prefix_sums
-from .repeats import by_bucket, doc_table, gathered, heads_of, joined, merged, outcomes, packed_rows, read_tables, roots_of, settle, slices
+from .repeats import by_bucket, dealt, doc_table, gathered, heads_of, joined, merged, outcomes, packed_rows, read_tables, roots_of, settle, slices
 
 #: Bytes of a window, and of the strings whose hashes mark it.
 WIDTH = 100
@@ -114,11 +115,14 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 class ByteRepeats:
     """Bytes as units: strings of `width` bytes that also start earlier in the corpus."""
 
+    #: Bytes of text whose stretches are compared at once, before they are sent.
+    compared = 4 << 20
+
     def __init__(self, width: int):
         self.width = width
 
     def root(self, raw: bytes) -> bytes:
-        return xxhash.xxh3_128_digest(raw) if len(raw) >= self.width else bytes(16)
+        return blake2b(raw, digest_size=16).digest() if len(raw) >= self.width else bytes(16)
 
     def units(self, raw: bytes) -> int:
         return len(raw)
@@ -158,17 +162,17 @@ class ByteRepeats:
     def probe(self, docs: list[tuple], parts: int):
         """Stretches under shared marks: mark, first window, number of windows, and their bytes."""
         found = []
-        for a, b in slices([d[2] for d in docs]):
-            mark, doc, start, n = self.runs([d[2] for d in docs[a:b]])
+        for a, b in slices([d[3] for d in docs]):
+            mark, doc, start, n = self.runs([d[3] for d in docs[a:b]])
             salt = mix(np.arange(b - a, dtype=U) + U(1))
-            shared = np.concatenate([mix(d[3]) ^ s for d, s in zip(docs[a:b], salt, strict=True)])
+            shared = np.concatenate([mix(d[4]) ^ s for d, s in zip(docs[a:b], salt, strict=True)])
             keep = np.isin(mix(mark) ^ salt[doc], shared)
             found.append((mark[keep], doc[keep] + a, start[keep], n[keep]))
         mark, owner, start, n = map(np.concatenate, zip(*found, strict=True))
         if not len(mark):
             return [], []
-        texts = [docs[k][2][s : s + e] for k, s, e in zip(owner.tolist(), start.tolist(), (n + self.width - 1).tolist(), strict=True)]
-        ids = np.array([d[0] for d in docs], np.int64)
+        texts = [docs[k][3][s : s + e] for k, s, e in zip(owner.tolist(), start.tolist(), (n + self.width - 1).tolist(), strict=True)]
+        ids = np.array([d[1] for d in docs], np.int64)
         settled, live = self._equal(texts, ids[owner], start, owner, n)
         sent = []
         for bucket, i in by_bucket(mark[live] % U(parts)):
@@ -179,7 +183,7 @@ class ByteRepeats:
 
     def _equal(self, texts: list[bytes], ids, start, owner, n):
         """Of stretches wholly equal, ([(owner, ranges that go)], the places of those that stay)."""
-        digest = roots_of([xxhash.xxh3_128_digest(t) for t in texts])
+        digest = roots_of([blake2b(t, digest_size=16).digest() for t in texts])
         order = np.lexsort((start, ids, digest[:, 1], digest[:, 0]))
         new = heads_of(digest[order, 0], digest[order, 1])
         first = order[new][np.cumsum(new) - 1]
@@ -191,10 +195,13 @@ class ByteRepeats:
         """(owner, disjoint ranges) of the bytes under n windows from each start on."""
         return [(k, merged(np.stack((start[i], start[i] + n[i] + self.width - 1), axis=1).ravel().astype(np.int64)).ravel()) for k, i in by_bucket(owner)]
 
+    def resolve(self, rows: DataFrame, parts: int, drop) -> DataFrame:
+        return rows.filter("kind = 0").unionByName(dealt(rows.filter("kind = 1"), parts, lambda batches: self.verify(batches, parts)))
+
     def verify(self, batches, parts: int):
         mark, start, n, slots, tables, blobs = gathered(batches)[1]
         mark, start, n = joined(mark, U), joined(start, np.int64), joined(n, np.uint32).astype(np.int64)
-        doc, ids, roots = read_tables(tables, slots)
+        doc, keys, ids, roots = read_tables(tables, slots)
         text = b"".join(blobs)
         ends = np.cumsum(n + self.width - 1)
         begin = ends - (n + self.width - 1)
@@ -213,7 +220,7 @@ class ByteRepeats:
         if gone:
             owner, place = map(np.concatenate, zip(*gone, strict=True))
             settled += self._ranges(owner, place, np.ones(len(place), np.int64))
-        yield packed_rows(outcomes([(ids[k], roots[k].tobytes(), r) for k, r in settled], parts))
+        yield packed_rows(outcomes([(keys[k], roots[k].tobytes(), r) for k, r in settled], parts))
 
     def _parts(self, order, mark, n):
         """Runs of whole marks of about SORTED bytes; a larger mark is a part of its own."""

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import ann, bpe, chat, langid, licences, line_rules, mixing, recompress, simhash, suffixes
 from sparkloom.llm.common import components
+from sparkloom.llm.repeats import packed_rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, size string, fp string, fingerprint string, mark long"
@@ -106,12 +107,80 @@ def test_suffix_dedup_equals_brute_force(docs):
 
 
 def test_repeats_of_null_and_repeated_ids(spark):
-    t = " ".join(f"w{i}" for i in range(40))
-    d = spark.createDataFrame([(None, t), (7, t), (7, t), (3, "x"), (9, t + " more")], "doc_id long, text string")
-    got = Counter((r.doc_id, r.n_removed) for r in recompress.remove_repeats(d).collect())
-    assert got == {(None, 40): 1, (7, 0): 2, (3, 0): 1, (9, 40): 1}
-    got = Counter((r.doc_id, r.n_removed) for r in suffixes.remove_repeats(d).collect())
-    assert got == {(None, len(t)): 1, (7, 0): 2, (3, 0): 1, (9, len(t)): 1}
+    t, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "wv")
+    d = spark.createDataFrame([(None, t), (None, u), (7, t), (7, t), (7, u), (3, "x"), (9, t + " more")], "doc_id long, text string")
+    want = {(None, t): 1, (None, u): 1, (7, t): 0, (7, u): 0, (3, "x"): 0, (9, t + " more"): 1}
+    rows = Counter((r.doc_id, r.text) for r in d.collect())
+    for module, size in ((recompress, 40), (suffixes, len(t))):
+        got = Counter((r.doc_id, r.text, r.n_removed) for r in module.remove_repeats(d.withColumn("copy", F.col("text")), "copy").collect())
+        assert got == {(k, x, (size if gone else 0)): rows[k, x] for (k, x), gone in want.items()}
+
+
+def test_substring_dedup_tells_words_apart_that_weak_hashes_mix_up(spark):
+    """The Thue-Morse word over two letters and its complement have equal polynomial hashes modulo 2 ** 64."""
+    thue = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = [(k, f"{w} {rest}") for k, w in enumerate((thue, thue.translate({97: 98, 98: 97}), thue[:1024], thue[:1024].translate({97: 98, 98: 97}), "ab" * 8, "ab" * 7 + "a", thue))]
+    got = {r.doc_id: r.n_removed for r in recompress.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 13}
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_substring_dedup_at_any_number_of_rounds(spark, monkeypatch, rounds):
+    """Small parts, so that names must agree between them, and few words, so that runs and pairs abound."""
+    rng = random.Random(rounds)
+    passages = [" ".join(rng.choice("ab" if k % 2 else "abcdefgh") for _ in range(rng.randint(10, 60))) for k in range(12)]
+    rows = []
+    for k in range(150):
+        own = " ".join(rng.choice("abcdefghijklmnop") + rng.choice(("", "", str(k))) for _ in range(rng.randrange(40)))
+        rows.append((k, f"{own} {rng.choice(passages)} {rng.choice('abc ') * 2} {rng.choice(passages) if k % 3 else ''} {'z ' * rng.randrange(30)}"))
+    monkeypatch.setattr(recompress, "PART_BYTES", 600)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r.doc_id: (r.n_removed, bytes(r.kept).decode()) for r in recompress.remove_repeats(df, rounds=rounds).collect()}
+    assert got == brute_windows(rows)
+
+
+def brute_windows(rows) -> dict:
+    seen, out = set(), {}
+    for k, text in sorted(rows):
+        w = WORD.findall(text)
+        windows = [tuple(w[i : i + 13]) for i in range(len(w) - 12)]
+        gone = {i + j for i, x in enumerate(windows) if x in seen for j in range(13)}
+        seen |= set(windows)
+        out[k] = (len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))
+    return out
+
+
+def rounds_in_process(rows, muddle=lambda level, names: names):
+    """n_removed by document, by the rounds alone: no mark spares them anything."""
+    scheme, parts = recompress.WordRepeats(13), 3
+    read = lambda batches: [tuple(r.values()) for b in batches for r in b.to_pylist()]
+    docs = [(k, k, scheme.root(t.encode()), t.encode(), scheme.marks([t.encode()])[0]) for k, t in rows]
+    half = len(docs) // 2
+    held = read(packed_rows(scheme.probe(some, parts)[1]) for some in (docs[:half], docs[half:]))
+    for level in range(scheme.rounds + 1):
+        answers = read(recompress.owners(level, parts)([packed_rows([r for r in held if r[1] == recompress.ASK])]))
+        answers = [(*r[:4], muddle(level, np.frombuffer(r[4], np.int64)).tobytes(), *r[5:]) for r in answers]
+        both = sorted([r for r in held if r[1] == recompress.PART] + answers, key=lambda r: (r[2], r[1]))
+        held = [r for r in held if r[1] == recompress.OUTCOME] + read(scheme.advance(level, parts)([packed_rows(both)]))
+    held += read(scheme.verify(parts)([packed_rows([r for r in held if r[1] == recompress.WINDOW])]))
+    gone = {k: set() for k, _ in rows}
+    for r in held:
+        if r[1] == recompress.OUTCOME:
+            for k, (a, b) in zip(np.frombuffer(r[2], np.int64).tolist(), np.frombuffer(r[4], np.int64).reshape(-1, 2).tolist(), strict=True):
+                gone[k] |= set(range(a, b))
+    return {k: len(x) for k, x in gone.items()}
+
+
+def test_substring_dedup_rests_on_the_names_of_its_rounds():
+    """Windows are told apart by the numbers that the rounds give: with those of pairs muddled the result is wrong."""
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice("abcdefghijkl") for _ in range(300))) for k in range(40)]
+    rows += [(40 + k, rows[k][1].translate({97: 98, 98: 97})) for k in range(40)] + [(80 + k, rows[k][1][200:500]) for k in range(20)]
+    want = {k: n for k, (n, _) in brute_windows(rows).items()}
+    assert sum(want.values()) > 1000
+    assert rounds_in_process(rows) == want
+    assert rounds_in_process(rows, lambda level, names: names if level == 0 else names * 0 + level) != want
 
 
 def test_suffix_order_is_exact():
@@ -126,11 +195,13 @@ def test_equal_windows_have_equal_marks():
     for _ in range(40):
         w = [rng.choice("ab") if rng.random() < 0.5 else rng.choice("abcdefgh") for _ in range(80)]
         raws = [" ".join(rng.choices("abc", k=rng.randrange(9)) + w + rng.choices("abc", k=rng.randrange(9))).encode() for _ in range(4)]
-        buf, starts, ends, doc, first = recompress.split_words(raws)
-        at, mark = recompress.window_marks(recompress.word_hashes(buf, starts, ends), doc, first, 13)
+        words, doc, first = recompress.parsed(raws)
+        every = [x for raw in raws for x in raw.split()]
+        at, mark = recompress.window_marks(words, doc, first, 13)
+        assert len(at) == sum(len(raw.split()) - 12 for raw in raws)
         seen = {}
         for p, m in zip(at.tolist(), mark.tolist(), strict=True):
-            assert seen.setdefault(bytes(buf[starts[p] : ends[p + 12]]), m) == m
+            assert seen.setdefault(tuple(every[p : p + 13]), m) == m
 
 
 def brute_simhash(text):
