@@ -27,18 +27,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import given_back, stored
 from .repeats import heads_of
 
 NEIGHBOURS = 20
 #: Entries the fit may use.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 65_536
 #: Share of true neighbours whose lists a search must probe, on the sample.
 TARGET = 0.99
 #: Components of a subspace, and codes of one.
 SUB, CODES = 2, 256
-MOST_LISTS = 1024
+#: Sample entries for each list, at least: lists grow with the root of the table, up to SAMPLE_ROWS / LIST_SAMPLE.
+LIST_SAMPLE = 16
+#: Beyond, single precision is near its end: components are clipped for the index, and queries rerank all they probe.
+HUGE = 1e15
 ROUNDS = 8
 #: Entries of one list that one task takes, about.
 PIECE = 65_536
@@ -81,7 +85,8 @@ class Index:
 
     def __init__(self, sample: np.ndarray, n: int, neighbours: int):
         d = sample.shape[1]
-        self.lists = int(min(MOST_LISTS, max(1, round(n**0.5 / 2)), len(sample)))
+        sample = single(sample)
+        self.lists = max(1, min(round(n**0.5 / 2), len(sample) // LIST_SAMPLE))
         self.centroids = kmeans(sample, self.lists, ROUNDS, 1)
         self.cuts = list(range(0, d, SUB)) + [d]
         residual = sample - self.centroids[nearest(sample, self.centroids)]
@@ -100,8 +105,9 @@ class Index:
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lists, codes, and by how much a table sum can be off for a query of norm 1, single precision included."""
-        of = nearest(x, self.centroids)
-        residual = x - self.centroids[of]
+        s = single(x)
+        of = nearest(s, self.centroids)
+        residual = s - self.centroids[of]
         codes = [nearest(np.ascontiguousarray(residual[:, a:b]), c).astype(np.uint8) for a, b, c in zip(self.cuts, self.cuts[1:], self.books, strict=False)]
         coded = self.centroids[of].astype(float) + np.concatenate([c[k] for c, k in zip(self.books, codes, strict=True)], axis=1)
         norm = lambda v: np.sqrt((v.astype(float) ** 2).sum(axis=1))
@@ -113,14 +119,21 @@ class Index:
         return np.stack([q[:, a:b] @ c.T for a, b, c in zip(self.cuts, self.cuts[1:], self.books, strict=False)], axis=1)
 
 
+def single(x: np.ndarray) -> np.ndarray:
+    return np.clip(x, -HUGE, HUGE).astype(np.float32)
+
+
 def vectors_of(column: pa.Array, d: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, d)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+
+
+def _bare(kind: T.DataType) -> T.DataType:
+    return T.ArrayType(kind.elementType) if isinstance(kind, T.ArrayType) else kind
 
 
-def _entries(vectors: DataFrame, ident: str, vector: str, copies: int) -> DataFrame:
+def _entries(vectors: DataFrame, ident: str, vector: str, copies: int, kind: str) -> DataFrame:
     """(entry, ids, vector): one row for each distinct vector, with its smallest ids."""
-    v = vectors.filter(F.col(ident).isNotNull() & usable(vector)).select(F.col(ident).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("vector"))
-    v = v.filter(usable("vector"))
+    v = vectors.filter(F.col(ident).isNotNull() & usable(vector)).select(F.col(ident).cast("long").alias("id"), F.col(vector).cast(kind).alias("vector"))
     length = v.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).select("d")
     v = v.join(F.broadcast(length), F.size("vector") == F.col("d")).drop("d")
     # the limit on the row number reaches the tasks before the shuffle, so a hot vector sends few rows
@@ -132,15 +145,18 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
     """(query_id, rank, vec_id, score): the k nearest rows of vectors found for each row of queries, its own id left out."""
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    entries = stored(_entries(vectors, ident, vector, k + 1))
+    # single precision stays as it is; all else is taken as double, and so are queries of a finer kind
+    plain = T.ArrayType(T.FloatType())
+    kind = "array<float>" if all(_bare(df.schema[vector].dataType) == plain for df in (vectors, queries)) else "array<double>"
+    entries = stored(_entries(vectors, ident, vector, k + 1, kind))
     n = entries.count()
     if not n:
         return spark.createDataFrame([], schema)
     share = sample_rows / n
     sample = entries if share >= 1 else entries.filter(F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) < int(share * (1 << 30)))
     d = entries.select(F.size("vector")).first()[0]
-    rows = [r.vector for r in sample.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(2 * sample_rows).collect()]
-    index = Index(np.array(rows or [entries.first().vector], np.float32), n, k)
+    rows = sample.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(2 * sample_rows).toArrow().column(0).combine_chunks()
+    index = Index(vectors_of(rows, d) if len(rows) else np.array([entries.first().vector]), n, k)
     shared = spark.sparkContext.broadcast(index)
 
     def place(batches):
@@ -149,18 +165,18 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
             packed = pa.array([c.tobytes() for c in codes], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(of, pa.int32()), packed, pa.array(off), b.column(1)], names=["entry", "list", "codes", "off", "vector"])
 
-    coded = stored(entries.select("entry", "vector").mapInArrow(given_back(place), "entry long, list int, codes binary, off double, vector array<float>"))
+    coded = stored(entries.select("entry", "vector").mapInArrow(given_back(place), f"entry long, list int, codes binary, off double, vector {kind}"))
     sizes = np.zeros(index.lists, np.int64)
-    for r in coded.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # one row a list, at most MOST_LISTS
+    for r in coded.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # one row a list, at most sample_rows / LIST_SAMPLE
         sizes[r.list] = r.n
-    q = queries.filter(F.col(ident).isNotNull() & usable(vector) & (F.size(vector) == d)).select(F.col(ident).cast("long").alias("query_id"), F.col(vector).cast("array<float>").alias("q"))
+    q = queries.filter(F.col(ident).isNotNull() & usable(vector) & (F.size(vector) == d)).select(F.col(ident).cast("long").alias("query_id"), F.col(vector).cast(kind).alias("q"))
     q = stored(q.withColumn("query", F.monotonically_increasing_id()))
     pieces = np.maximum(1, -(-sizes // PIECE))
 
     def probe(batches):
         for b in batches:
             x = vectors_of(b.column(1), d)
-            order = np.argsort(-(x @ shared.value.centroids.T), axis=1, kind="stable")
+            order = np.argsort(-(single(x) @ shared.value.centroids.T), axis=1, kind="stable")
             seen = np.cumsum(sizes[order], axis=1) - sizes[order]
             take = (np.arange(index.lists)[None, :] < index.probes) | (seen < k + 1)
             row, at = np.nonzero(take)
@@ -170,7 +186,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
             piece = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(lists, pa.int32()), pa.array(piece, pa.int32()), b.column(1).take(pa.array(row))], names=["query", "list", "piece", "q"])
 
-    asked = q.select("query", "q").mapInArrow(given_back(probe), "query long, list int, piece int, q array<float>")
+    asked = q.select("query", "q").mapInArrow(given_back(probe), f"query long, list int, piece int, q {kind}")
     size_of = F.array(*map(F.lit, pieces.tolist()))
     filed = coded.withColumn("piece", F.pmod(F.xxhash64("entry"), size_of[F.col("list")]).cast("int"))
     both = filed.select("list", "piece", F.lit(None).cast("long").alias("query"), F.col("vector").alias("q"), "entry", "codes", "off")
@@ -212,8 +228,10 @@ def _scan(batches, index: Index, d: int, most: int):
     names, at = np.unique(query, return_index=True)
     for a in range(0, len(names), 128):  # so many queries' tables at once
         some = names[a : a + 128]
-        asked = q[at[a : a + 128]]
-        table, norms = index.table(asked), np.sqrt((asked.astype(float) ** 2).sum(axis=1))
+        exact = q[at[a : a + 128]]
+        asked = single(exact)
+        table, norms = index.table(asked), np.sqrt((exact.astype(float) ** 2).sum(axis=1)) * (1 + 1e-6)
+        norms[(np.abs(exact) > HUGE).any(axis=1) | (np.abs(exact).max(axis=1) < 1 / HUGE)] = np.inf
         bar = np.full(len(some), -np.inf)  # `most` entries of the query score so much at least
         held = [(np.empty(0), np.empty(0, np.int64)) for _ in some]
         mine = np.flatnonzero(np.isin(query, some))
@@ -236,7 +254,7 @@ def _scan(batches, index: Index, d: int, most: int):
                 row, column = np.nonzero(~(near + slack < bar[who, None]))
                 score = np.empty(len(row))
                 for e in range(0, len(row), 1 << 16):
-                    score[e : e + (1 << 16)] = _exact(asked, x, who[row[e : e + (1 << 16)]], c + column[e : e + (1 << 16)])
+                    score[e : e + (1 << 16)] = _exact(exact, x, who[row[e : e + (1 << 16)]], c + column[e : e + (1 << 16)])
                 ends = np.searchsorted(row, np.arange(len(who) + 1))
                 for r, w in enumerate(who.tolist()):
                     some_of = slice(ends[r], ends[r + 1])

@@ -1,7 +1,7 @@
 r"""Chat formatting: schema fingerprints select declarative mappings into canonical turns.
 
 A record is JSON text. Its schema fingerprint is a hash of its sorted nested field paths (array
-elements as `[]`, null and empty values left out). Each known fingerprint names a layout, a
+elements as `[]`; null and empty values, side data and further fields of a turn left out). Each known fingerprint names a layout, a
 declarative list of where turns and roles are; the layout turns the record into canonical
 (role, text) turns, which the template then writes:
 
@@ -53,7 +53,7 @@ LAYOUTS = {
     "prompt_response": {"turns": [("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",))], "needs": {"prompt", "response"}},
     "question_answer": {"turns": [("system", ("system",)), ("user", ("question",)), ("assistant", ("answer",))], "needs": {"question"}},
 }
-#: Fields that a record of any layout may carry beside its turns.
+#: Fields that a record of any layout may carry beside its turns, whatever is in them.
 EXTRA = ("id", "source", "metadata")
 
 
@@ -66,6 +66,16 @@ def paths(value, at: str = "") -> set[str]:
     return set() if value is None else {at}
 
 
+def telling(found: set[str], layouts: dict = LAYOUTS) -> set[str]:
+    """The paths that tell layouts apart: none below an EXTRA field, nor those of a turn that hold neither its role nor its text."""
+    out = {p for p in found if re.split(r"[.\[]", p, maxsplit=1)[0] not in EXTRA}
+    for layout in layouts.values():
+        if "list" in layout:
+            array, *needed = layout["list"]
+            out = {p for p in out if not p.startswith(f"{array}[].") or re.split(r"[.\[]", p[len(array) + 3 :], maxsplit=1)[0] in needed}
+    return out
+
+
 def fingerprint(found: set[str]) -> str:
     return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()
 
@@ -85,8 +95,8 @@ def known_fingerprints(layouts: dict = LAYOUTS) -> dict[str, str]:
         else:
             optional = [p for _, ps in layout["turns"] for p in ps if p not in layout["needs"]]
             turn_sets = [set(layout["needs"])]
-        for base, more, extra in itertools.product(turn_sets, _subsets(optional), _subsets(EXTRA)):
-            out.setdefault(fingerprint({*base, *more, *extra}), name)
+        for base, more in itertools.product(turn_sets, _subsets(optional)):
+            out.setdefault(fingerprint({*base, *more}), name)
     return out
 
 
@@ -153,7 +163,7 @@ def format_chat(df: DataFrame, record: str = "record", layouts: dict = LAYOUTS)
             data = None
         if not isinstance(data, dict):
             return "unmapped", None, None, None
-        mark = fingerprint(paths(data, "$"))
+        mark = fingerprint(telling(paths(data, "$"), layouts))
         if mark not in known:
             return "unmapped", mark, None, None
         return known[mark], mark, *template(canonical_turns(data, layouts[known[mark]]))

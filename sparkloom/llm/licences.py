@@ -57,7 +57,7 @@ THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
 #: Digests of canonical whole licences, of /usr/share/common-licenses (with `https` and with `http`; if there are
 #: closing notes also without them), and of BSD-3-Clause, Zlib (with and without a title line) and the Unlicense.
 DIGESTS = {
-    "Apache-2.0": ("06ce0256b04ee11d584230b99cc2976d", "95605f6ebdf50007072f6bbb92283a3f", "feec10cd3ec7270f4c26e0ed245be2fd",),
+    "Apache-2.0": ("5dcf409b493bcc863aac914e50181c83", "8a203a7c960bf7f4c056bd4bfb799c1b", "ff47171097e653c3768d59bdff31b564",),
     "Artistic-1.0-Perl": ("dcc7042040059f5983a875b6dc9cb088",),
     "BSD-3-Clause": ("669fb5c886d64c4af4448ac0f6641673", "caa02835bfe95008b3e71072e3cf5f4c", "cd0c2ba0064534d9261d91dbb5560d23", "d2db5a244befebd6cce98fc11a4c84e0", "e82046f0b7f72505ecac75064a0d3ab0",),
     "CC0-1.0": ("644c89e0c06fbef0b7a84b6e81a6698a",),
@@ -69,14 +69,14 @@ DIGESTS = {
     "LGPL-2.0": ("2e8af3dc8c5ffcfc44282533c0db156d", "40732185c7a47e7e3b647b9d84e5e8d8", "7293540b1622cee750549d3e2d9954ef",),
     "LGPL-2.1": ("149d60c1b5b0276abe2c94c2fccd2cca", "8ede87b1658c2e5dfa503b4027c4adb4", "f6f8c59dbb26a57bed7e651738207260",),
     "LGPL-3.0": ("eba4e086d13ca02981f01216f555a2c6",),
-    "MPL-1.1": ("0595f49e72106adfeb03806111758664", "95eba6d96657abcfee48cf95a8a35bec",),
-    "MPL-2.0": ("ed4d6f0d8d907b13622aa845b2163638",),
+    "MPL-1.1": ("20a085ad20113fa8f352bff6e7b96ee3", "c020859dce4df4c936757b8280bcfa12",),
+    "MPL-2.0": ("daf6f0873ac6fd33455be8fa94f26d82",),
     "Unlicense": ("915ca6c16aab88074acfabcff3aac396", "f6f7dd9a1c29d5d47b7232b87c041c31",),
     "Zlib": ("b6599da2e717b4d2ebdac5f938dfc154", "ebebcfe94666e093c3bc075909b61563", "ffdd36583ee9f9f6dae0314394b142d1",),
 }
 
-#: A line that only states a copyright, or reserves rights, and the title line of a licence.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright( \(c\)| ©|,?:? [0-9]|:)|\(c\) |©|all rights reserved|portions copyright)[^\n]*$"
+#: A line that states a copyright, or only reserves rights, and the title line of a licence. `(c)` alone may be a clause.
+COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright( \(c\)| ©|,?:? [0-9]|:)|\(c\) ?(copyright|©|[0-9]{4})|©|portions copyright)[^\n]*$|^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
 TITLE_LINE = r"^[^a-z0-9]*(the )?(mit|isc|simplified bsd|bsd 2-clause|bsd-2-clause) licen[sc]e( \(mit\)| \(isc\))?[^a-z0-9\n]*\n"
 LIST_MARK = r"(?m)^[ \t]*(\(?[0-9a-h][.)]|[*•-])[ \t]+"
 

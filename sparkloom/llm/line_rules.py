@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_known, stored, words
+from .common import fields, join_known, name_of, row_of, stored, words
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -90,13 +90,17 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", max
     same places, so they share one list of them.
     """
     results = (*RESULTS, CLEAN_TEXT)
-    docs = docs.drop(*[c for c in docs.columns if c in results and c not in (text, host)])
-    gone = removed_lines(docs, text, host, **limits).filter("known").groupBy("_row").agg(F.collect_set(F.struct("_at", "n_line")).alias("_gone"))
+    columns = [c for c in docs.columns if c not in results or c in (text, host)]
+    others = [c for c in columns if c != text]
+    docs = docs.select(row_of(others).alias("_doc"), name_of(text).alias("text"), name_of(host).alias("host"))
+    gone = removed_lines(docs, "text", "host", **limits).filter("known").groupBy("_row").agg(F.collect_set(F.struct("_at", "n_line")).alias("_gone"))
     gone = gone.select("_row", F.expr("aggregate(_gone, 0L, (a, x) -> a + x.n_line)").alias("_lost"), F.col("_gone._at").alias("_places"))
-    base = with_base_counts(docs.withColumn("_row", F.xxhash64(F.xxhash64(text), F.col(host))), text)
+    base = with_base_counts(docs.select("_doc", "text", F.xxhash64(F.xxhash64("text"), "host").alias("_row")), "text")
     judged = base.join(gone, "_row", "left")
     depleted = F.coalesce(F.col("_lost") > max_removed_share * F.col("n_words"), F.lit(False))
-    judged = judged.withColumn("_lines", F.when(F.col("_places").isNotNull(), F.split(text, "\n")))
+    judged = judged.withColumn("_lines", F.when(F.col("_places").isNotNull(), F.split("text", "\n")))
     left = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), _places), i -> _lines[i]), '\n')")
-    judged = judged.withColumn(CLEAN_TEXT, F.when(F.col("_places").isNotNull(), left).otherwise(F.col(text)))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("_row", "_lost", "_places", "_lines")
+    judged = judged.withColumn(CLEAN_TEXT, F.when(F.col("_places").isNotNull(), left).otherwise(F.col("text")))
+    judged = judged.withColumn("kept", ~F.col("base_failed") & ~depleted)
+    back = {c: f for c, f in zip(others, fields("_doc", others), strict=True)} | {text: F.col("text").alias(text)}
+    return judged.select(*(back[c] for c in columns), *(c for c in results if c not in columns))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, words
+from .common import fields, name_of, row_of, stored, words
 
 CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -95,21 +95,23 @@ def solve_tilts(counts: DataFrame, targets: DataFrame, cap: float = CAP) -> Data
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: float = CAP, ident: str = "doc_id") -> DataFrame:
     """docs with size, source_size, target, rate, copies and taken (copies times size); `source` is matched as it is."""
-    docs = docs.drop(*[c for c in docs.columns if c in RESULTS and c not in (text, source, ident)])
-    sized = docs.withColumn("size", F.size(words(text)).cast("long")).withColumn("_u", F.xxhash64(F.col(ident).cast("string"), F.xxhash64(text), F.lit(7)))
-    light = stored(sized.select(F.col(source).alias("source"), "size", "_u"))
+    others = [c for c in docs.columns if c not in RESULTS or c in (text, source, ident)]
+    results = [c for c in RESULTS if c not in others]
+    u = F.xxhash64(name_of(ident).cast("string"), F.xxhash64(name_of(text)), F.lit(7))
+    sized = docs.select(row_of(others).alias("_row"), name_of(source).alias("source"), F.size(words(name_of(text))).cast("long").alias("size"), u.alias("_u"))
+    light = stored(sized.select("source", "size", "_u"))
     counts = light.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).cast("long").alias("source_size"))
     targets = stored(source_targets(sizes, weights, cap))
     plan = stored(targets.join(solve_tilts(counts, targets, cap).withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source"))
     cuts = stored(_cuts(light, plan, cap))
-    one = F.col(source).eqNullSafe(F.col("_source"))
+    one = F.col("source").eqNullSafe(F.col("_source"))
     chosen = sized.join(cuts.withColumnRenamed("source", "_source"), one, "left")
     chosen = _with_rates(chosen, cap)
     copies = F.col("_whole") + F.when((F.col("_part") > 0) & _extra(), 1).otherwise(0)
     out = chosen.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("long"))
     out = out.withColumn("taken", F.col("copies") * F.col("size")).withColumn("rate", F.coalesce("rate", F.lit(0.0)))
-    return out.select(*docs.columns, *RESULTS)
+    return out.select(*fields("_row", others), *results)
 
 
 def _with_rates(df: DataFrame, cap: float) -> DataFrame:

@@ -32,15 +32,14 @@ import uuid
 from hashlib import blake2b
 
 import numpy as np
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import given_back, kept, release
-from .hashing import U, between, mix, prefix_sums
-from .repeats import ROW, ROW_NAMES, by_bucket, dealt, doc_table, gathered, heads_of, joined, outcomes, packed_rows, ranges_of, read_tables, roots_of, settle, slices
+from .hashing import BYTE_VALUES, U, between, mix, prefix_sums
+from .repeats import ROW, ROW_NAMES, by_bucket, dealt, doc_table, gathered, heads_of, joined, covered, packed_rows, range_rows, read_tables, roots_of, settle, slices
 
 #: Words of a window.
 WIDTH = 13
@@ -56,20 +55,21 @@ OUTCOME, ASK, PART, ANSWER, WINDOW = range(5)
 RUN = 48
 
 
-def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the words."""
-    blank = BLANK[np.frombuffer(raw + b" ", np.uint8)]
+def split_words(raws: list[bytes]):
+    """(buffer, starts, ends, document of each word, first word of each document and the end)."""
+    buf = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
+    blank = BLANK[buf]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], blank))))
-    return edges[::2], edges[1::2]
+    starts, ends = edges[::2], edges[1::2]
+    begins = np.cumsum([0, *(len(r) + 1 for r in raws)])
+    first = np.searchsorted(starts, begins)
+    return buf, starts, ends, np.repeat(np.arange(len(raws)), np.diff(first)), first
 
 
 def parsed(raws: list[bytes]):
-    """(hash of each word, its document, first word of each document and the end); a word's hash is its XXH3, of 64 bits."""
-    split = [raw.split() for raw in raws]
-    first = np.cumsum([0, *map(len, split)])
-    found = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*split)}
-    words = np.fromiter((found[w] for s in split for w in s), U, first[-1])
-    return words, np.repeat(np.arange(len(raws)), np.diff(first)), first
+    """(hash of each word, its document, first word of each document and the end); hashes that two words share cost time, no more."""
+    buf, starts, ends, doc, first = split_words(raws)
+    return between(prefix_sums(BYTE_VALUES[buf]), starts, ends), doc, first
 
 
 def key_of(word: bytes) -> bytes:
@@ -300,16 +300,16 @@ def stretches(starts: np.ndarray, of: np.ndarray, width: int):
     return begin, last + width - begin
 
 
-def sent_part(part: Part, ident: bytes, level: int, parts: int) -> list[tuple]:
+def sent_part(part: Part, ident: bytes, level: int, parts: int, names: int) -> list[tuple]:
     """Rows of a part that waits for the names of a level: its questions, and itself."""
     keys, again = part.ask(level)
-    out = [(b, ASK, ident, keys[i], i.astype(np.uint32), again[i]) for b, i in by_bucket(mix(keys[:, 0] ^ mix(keys[:, 1])) % U(parts))]
+    out = [(b, ASK, ident, keys[i], i.astype(np.uint32), again[i]) for b, i in by_bucket(mix(keys[:, 0] ^ mix(keys[:, 1])) % U(names))]
     blob = zstandard.ZstdCompressor(level=1).compress(pickle.dumps(part, 5))
     return [*out, (int.from_bytes(ident[:8]) % parts, PART, ident, blob)]
 
 
-def owners(level: int, parts: int):
-    """Questions in, answers out: a number for each key that more than one document has."""
+def owners(level: int, parts: int, names: int):
+    """Questions in, answers out: a number for each key that more than one document has. There are `names` owners."""
 
     def run(batches):
         by: dict[int, list[tuple]] = {}
@@ -325,10 +325,10 @@ def owners(level: int, parts: int):
             size = np.diff(np.append(heads, len(order)))
             number = np.repeat(np.arange(len(heads)), size)
             shared = np.repeat((size > 1) | np.maximum.reduceat(twice[order], heads), size)
-            if (len(heads) * parts) << 2 >> RUN:
+            if (len(heads) * names) << 2 >> RUN:
                 raise OverflowError("more names than a run leaves bits for")
             name = np.full(len(order), -1, np.int64)
-            name[order[shared]] = (number[shared] * parts + bucket) << 2 | level
+            name[order[shared]] = (number[shared] * names + bucket) << 2 | level
             ends = np.cumsum(asked).tolist()
             for ident, place, a, b in zip(idents, places, [0, *ends], ends, strict=False):
                 known = name[a:b] >= 0
@@ -362,7 +362,7 @@ class WordRepeats:
         keep = heads_of(mark, owner)
         return mark[keep], owner[keep], np.zeros(int(keep.sum()), bool)
 
-    def probe(self, docs: list[tuple], parts: int):
+    def probe(self, docs: list[tuple], parts: int, names: int):
         """A part of the windows under shared marks, with its first questions."""
         owners, places = [], []
         for a, b in slices([d[3] for d in docs]):
@@ -389,16 +389,16 @@ class WordRepeats:
         stretch = np.searchsorted(begin + of * (1 << 40), place + owner * (1 << 40), "right") - 1
         alive[first[stretch] + place - begin[stretch]] = True
         slot, table = doc_table(docs, of)
-        return [], sent_part(Part(table, words, length, slot.astype(np.int64), begin, alive, self.width), uuid.uuid4().bytes, 0, parts)
+        return [], sent_part(Part(table, words, length, slot.astype(np.int64), begin, alive, self.width), uuid.uuid4().bytes, 0, parts, names)
 
-    def advance(self, level: int, parts: int):
+    def advance(self, level: int, parts: int, owned: int):
         """Parts and their answers, in order, in; the parts with their next questions out, or after the last round their windows."""
 
         def done(ident, part, places, names):
             part.hear(level, joined(places, np.uint32), joined(names, np.int64))
             if not part.alive.any():
                 return []
-            return sent_part(part, ident, level + 1, parts) if level < self.rounds else self.first_windows(part, parts)
+            return sent_part(part, ident, level + 1, parts, owned) if level < self.rounds else self.first_windows(part, parts)
 
         def run(batches):
             unpack, at, part, places, names = zstandard.ZstdDecompressor().decompress, None, None, [], []
@@ -424,9 +424,8 @@ class WordRepeats:
         slot, place, key = part.windows()
         _, keys, ids, roots = read_tables([part.table], [b""])
         late, order = later(key, ids[slot])
-        gone = [(keys[k], roots[k].tobytes(), ranges_of(place[late][i], self.width)) for k, i in by_bucket(slot[late])]
         docs = list(zip(keys.tolist(), ids.tolist(), (bytes(r) for r in roots), strict=True))
-        out = outcomes(gone, parts)
+        out = self.gone(slot[late], place[late], keys, roots, parts)
         for b, i in by_bucket(key[order, 0] % U(parts)):
             i = order[i]
             i = i[np.lexsort((place[i], slot[i]))]
@@ -442,17 +441,22 @@ class WordRepeats:
             key, place = joined(key, U).reshape(-1, 2), joined(place, np.uint32).astype(np.int64)
             doc, keys, ids, roots = read_tables(tables, slots)
             late, _ = later(key, ids[doc])
-            yield packed_rows(outcomes([(keys[k], roots[k].tobytes(), ranges_of(place[late][i], self.width)) for k, i in by_bucket(doc[late])], parts))
+            yield packed_rows(self.gone(doc[late], place[late], keys, roots, parts))
 
         return run
 
-    def resolve(self, rows: DataFrame, parts: int, drop) -> DataFrame:
+    def gone(self, doc, place, keys, roots, parts: int) -> list[tuple]:
+        """Rows of outcomes: the windows at these places of the documents go."""
+        doc, begin, end = covered(doc, place.astype(np.int64), self.width)
+        return range_rows(keys[doc], np.ascontiguousarray(roots[doc]).view(U).reshape(-1, 2), np.stack((begin, end), axis=1), parts)
+
+    def resolve(self, rows: DataFrame, parts: int, names: int, drop) -> DataFrame:
         """The rounds, one Spark job each."""
         out = rows.filter(f"kind = {OUTCOME}")
         for level in range(self.rounds + 1):
-            answers = dealt(rows.filter(f"kind = {ASK}"), parts, owners(level, parts))
+            answers = dealt(rows.filter(f"kind = {ASK}"), names, owners(level, parts, names))
             both = rows.filter(f"kind = {PART}").unionByName(answers).repartitionById(parts, F.col("bucket")).sortWithinPartitions("a", "kind")
-            after, drop_after = kept(both.mapInArrow(given_back(self.advance(level, parts)), ROW), "kind")
+            after, drop_after = kept(both.mapInArrow(given_back(self.advance(level, parts, names)), ROW), "kind")
             for kind in (ASK, PART):
                 drop(f"kind={kind}")
             release(rows.sparkSession)
@@ -464,7 +468,7 @@ class WordRepeats:
         if not len(ranges) and not self.as_words:
             return self.units(raw), 0, raw
         if not self.as_words:
-            starts, ends = word_places(raw)
+            _, starts, ends, _, _ = split_words([raw])
             parts, at = [], 0
             for a, b in ranges.tolist():
                 parts.append(raw[at : starts[a]])

@@ -73,12 +73,14 @@ def heads_of(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def ranges_of(starts: np.ndarray, width: int) -> np.ndarray:
-    """Disjoint [begin, end) ranges, flat, that windows at the starts cover."""
-    s = np.unique(starts)
-    new = np.concatenate(([True], s[1:] > s[:-1] + width))
-    last = np.concatenate((new[1:], [True]))
-    return np.stack((s[new], s[last] + width), axis=1).ravel().astype(np.int64)
+def covered(doc: np.ndarray, starts: np.ndarray, width: int):
+    """(document, begin, end) of the disjoint ranges that windows at the starts cover."""
+    order = np.lexsort((starts, doc))
+    doc, starts = doc[order], starts[order]
+    new = heads_of(doc)
+    new[1:] |= starts[1:] > starts[:-1] + width
+    last = np.append(np.flatnonzero(new)[1:] - 1, len(doc) - 1) if len(doc) else np.zeros(0, int)
+    return doc[new], starts[new], starts[last] + width
 
 
 def merged(ranges: np.ndarray) -> np.ndarray:
@@ -243,7 +245,7 @@ def compressed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(given_back(run), T.StructType([*others, T.StructField("_z", T.BinaryType())]))
 
 
-def probe(scheme, parts: int):
+def probe(scheme, parts: int, owners: int):
     """Step 3. Rows of kind 0 are outcomes, by key; those of other kinds are the scheme's, for resolve."""
 
     def run(batches):
@@ -260,7 +262,7 @@ def probe(scheme, parts: int):
                 elif found:
                     docs.append((keys[k].as_py(), ids[k].as_py(), root, raw, np.frombuffer(found, U)))
             for a, b in slices([d[3] for d in docs], scheme.compared):
-                at_once, sent = scheme.probe(docs[a:b], parts)
+                at_once, sent = scheme.probe(docs[a:b], parts, owners)
                 yield packed_rows(outcomes([(docs[a + k][0], docs[a + k][2], r) for k, r in at_once], parts) + sent)
             yield packed_rows(outcomes(settled, parts))
 
@@ -291,7 +293,11 @@ def outcomes(settled: list[tuple], parts: int) -> list[tuple]:
     n = np.array([len(r) // 2 for _, _, r in settled])
     keys = np.repeat(np.array([k for k, _, _ in settled], np.int64), n)
     roots = np.repeat(roots_of([bytes(r) for _, r, _ in settled]), n, axis=0)
-    ranges = np.concatenate([r for _, _, r in settled]).reshape(-1, 2)
+    return range_rows(keys, roots, np.concatenate([r for _, _, r in settled]).reshape(-1, 2), parts)
+
+
+def range_rows(keys: np.ndarray, roots: np.ndarray, ranges: np.ndarray, parts: int) -> list[tuple]:
+    """ROW tuples of kind 0, from a row a range."""
     return [(b, 0, keys[i], roots[i], ranges[i]) for b, i in by_bucket(keys.astype(U) % U(parts))]
 
 
@@ -316,13 +322,15 @@ def removed_ranges(docs: DataFrame, scheme) -> DataFrame:
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size > UNKNOWN_BYTES:  # Spark has no figure, as for rows from Python
         size = docs.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES)
+    # tasks there are as many as the session wants at least; what all tasks send to all is split by size alone
+    owners = max(1, size // PARTITION_BYTES)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), owners)
     marks = docs.select("_key", "_id", "_text").mapInArrow(given_back(announce(scheme, parts)), ROW)
     heard = dealt(dealt(marks, parts, answer(parts)), parts, told, "_heard long, marks binary, copies binary")
     texts = compressed(docs.select("_text", "_key", "_id"))
-    probes, drop = kept(texts.join(heard, F.col("_key") == F.col("_heard")).select("_key", "_id", "_z", "marks", "copies").mapInArrow(given_back(probe(scheme, parts)), ROW), "kind")
+    probes, drop = kept(texts.join(heard, F.col("_key") == F.col("_heard")).select("_key", "_id", "_z", "marks", "copies").mapInArrow(given_back(probe(scheme, parts, owners)), ROW), "kind")
     release(spark)
-    every = scheme.resolve(probes.select(*ROW_NAMES), parts, drop)
+    every = scheme.resolve(probes.select(*ROW_NAMES), parts, owners, drop)
     return dealt(every, parts, collated, "_found_key long, _found binary")
 
 

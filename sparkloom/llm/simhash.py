@@ -23,11 +23,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, given_back, lookup, stored
+from .common import components, fields, given_back, lookup, name_of, row_of, stored
 
 SHINGLE = 4
 SEED = 42
@@ -64,19 +64,16 @@ def fingerprint(raw: bytes | None) -> int:
     return int(np.packbits(ones * 2 > len(h)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with `fp`, a signed long, in place of the text."""
-    rest = docs.drop(text, "fp")
-    schema = T.StructType([*rest.schema.fields, T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """docs with `fp`, a signed long, in place of the first column."""
+    rest = docs.schema.fields[1:]
 
     def run(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("_raw")
-            fp = pa.array([fingerprint(x.as_py()) for x in batch.column(at)], pa.int64())
-            keep = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), fp], names=[*(batch.schema.names[i] for i in keep), "fp"])
+            fp = pa.array([fingerprint(x.as_py()) for x in batch.column(0)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], fp], names=[*(f.name for f in rest), "fp"])
 
-    return docs.select(*rest.columns, F.col(text).cast("binary").alias("_raw")).mapInArrow(given_back(run), schema)
+    return docs.mapInArrow(given_back(run), T.StructType([*rest, T.StructField("fp", T.LongType())]))
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -204,20 +201,40 @@ def links(distinct: DataFrame) -> DataFrame:
     return rows.repartition(parts, "group").mapInArrow(given_back(_links), "a long, b long")
 
 
+def components_of(fps: DataFrame) -> DataFrame:
+    """(fp, root), one row a distinct fingerprint; root is the least of its component."""
+    distinct = stored(fps.select("fp").distinct())
+    roots = components(links(distinct))
+    return lookup(distinct, "fp", roots.withColumnRenamed("root", "up"), "node", "up", "fp").select("fp", F.coalesce("up", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """docs without the text, with fingerprint (16 hex digits) and component_id."""
-    rest = [c for c in docs.columns if c not in ("fingerprint", "component_id", "fp") or c in (text, ident)]
-    fps = stored(fingerprints(docs.select(*rest), text))
-    least = stored(fps.groupBy("fp").agg(F.min(ident).alias("low")))
-    roots = components(links(least))
-    placed = lookup(least, "fp", roots.withColumnRenamed("root", "up"), "node", "up", "fp").withColumn("root", F.coalesce("up", "fp"))
+    others = [c for c in docs.columns if c != text and (c not in ("fingerprint", "component_id") or c == ident)]
+    fps = stored(fingerprints(docs.select(name_of(text).cast("binary"), name_of(ident).alias("_id"), row_of(others).alias("_row"))))
+    placed = stored(lookup(fps.groupBy("fp").agg(F.min("_id").alias("low")), "fp", components_of(fps).withColumnRenamed("fp", "f"), "f", "root", "fp"))
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     named = stored(lookup(placed.select("fp", "root"), "root", lows.withColumnRenamed("root", "r"), "r", "component_id", "fp"))
     out = lookup(fps.withColumn("_spread", F.monotonically_increasing_id()), "fp", named.select(F.col("fp").alias("f"), "component_id"), "f", "component_id", "_spread")
-    return out.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).drop("fp", "_spread")
+    return out.select(*fields("_row", others), "component_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """The rows of docs but those whose component has a smaller id; rows with a null id stay."""
-    gone = near_duplicates(docs.select(ident, text), text, ident).filter(F.col(ident) != F.col("component_id")).select(ident).distinct()
-    return docs.join(gone, ident, "left_anti").select(*docs.columns)
+    """One row of each component: that with the smallest id, null ids last; of those with one id, that of the least hash of id and text.
+
+    Of rows alike in id and text one stays, as of any other component.
+    """
+    key = F.xxhash64(name_of(ident), name_of(text))
+    fps = stored(fingerprints(docs.select(name_of(text).cast("binary"), name_of(ident).alias("_id"), key.alias("_key"))))
+    each = fps.groupBy("_key", "fp").agg(F.first("_id").alias("_id"), F.count(F.lit(1)).alias("n"))
+    placed = stored(lookup(each, "fp", components_of(fps).withColumnRenamed("fp", "f"), "f", "root", "_key"))
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("least")).select(F.col("root").alias("r"), F.col("least._key").alias("stays"))
+    judged = stored(lookup(placed, "root", first, "r", "stays", "_key"))
+    gone = judged.filter("_key != stays").select("_key").distinct()
+    left = docs.select(row_of(docs.columns).alias("_row"), key.alias("_key")).join(gone, "_key", "left_anti")
+    again = judged.filter("_key = stays AND n > 1").select("_key")
+    if not again.isEmpty():  # rows alike in id and text: the first of each by the hash of all its columns
+        order = Window.partitionBy("_key").orderBy(F.xxhash64("_row"))
+        alike = left.join(again, "_key", "left_semi").withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
+        left = left.join(again, "_key", "left_anti").unionByName(alike)
+    return left.select(*fields("_row", docs.columns))

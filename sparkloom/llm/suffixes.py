@@ -159,7 +159,7 @@ class ByteRepeats:
         again = np.diff(np.concatenate((heads, [len(mark)]))) > 1
         return mark[new], owner[new], again
 
-    def probe(self, docs: list[tuple], parts: int):
+    def probe(self, docs: list[tuple], parts: int, owners: int):
         """Stretches under shared marks: mark, first window, number of windows, and their bytes."""
         found = []
         for a, b in slices([d[3] for d in docs]):
@@ -195,7 +195,7 @@ class ByteRepeats:
         """(owner, disjoint ranges) of the bytes under n windows from each start on."""
         return [(k, merged(np.stack((start[i], start[i] + n[i] + self.width - 1), axis=1).ravel().astype(np.int64)).ravel()) for k, i in by_bucket(owner)]
 
-    def resolve(self, rows: DataFrame, parts: int, drop) -> DataFrame:
+    def resolve(self, rows: DataFrame, parts: int, owners: int, drop) -> DataFrame:
         return rows.filter("kind = 0").unionByName(dealt(rows.filter("kind = 1"), parts, lambda batches: self.verify(batches, parts)))
 
     def verify(self, batches, parts: int):

@@ -153,16 +153,16 @@ def brute_windows(rows) -> dict:
 
 def rounds_in_process(rows, muddle=lambda level, names: names):
     """n_removed by document, by the rounds alone: no mark spares them anything."""
-    scheme, parts = recompress.WordRepeats(13), 3
+    scheme, parts, names = recompress.WordRepeats(13), 3, 2
     read = lambda batches: [tuple(r.values()) for b in batches for r in b.to_pylist()]
     docs = [(k, k, scheme.root(t.encode()), t.encode(), scheme.marks([t.encode()])[0]) for k, t in rows]
     half = len(docs) // 2
-    held = read(packed_rows(scheme.probe(some, parts)[1]) for some in (docs[:half], docs[half:]))
+    held = read(packed_rows(scheme.probe(some, parts, names)[1]) for some in (docs[:half], docs[half:]))
     for level in range(scheme.rounds + 1):
-        answers = read(recompress.owners(level, parts)([packed_rows([r for r in held if r[1] == recompress.ASK])]))
+        answers = read(recompress.owners(level, parts, names)([packed_rows([r for r in held if r[1] == recompress.ASK])]))
         answers = [(*r[:4], muddle(level, np.frombuffer(r[4], np.int64)).tobytes(), *r[5:]) for r in answers]
         both = sorted([r for r in held if r[1] == recompress.PART] + answers, key=lambda r: (r[2], r[1]))
-        held = [r for r in held if r[1] == recompress.OUTCOME] + read(scheme.advance(level, parts)([packed_rows(both)]))
+        held = [r for r in held if r[1] == recompress.OUTCOME] + read(scheme.advance(level, parts, names)([packed_rows(both)]))
     held += read(scheme.verify(parts)([packed_rows([r for r in held if r[1] == recompress.WINDOW])]))
     gone = {k: set() for k, _ in rows}
     for r in held:
@@ -512,7 +512,71 @@ def test_empty_tables(nothing):
     assert chat.digests(chat.format_chat(chat.records(rows))).count() == 0
 
 
-def test_clashing_columns_pass_or_are_replaced(docs):
-    n = docs.count()
-    for out in (licences.licence_scan(docs), simhash.near_duplicates(docs), mixing.mix(docs), line_rules.quality_rules(docs), bpe.encode(docs, RANKS, public_tokenizers.PATTERN)):
-        assert len(set(out.columns)) == len(out.columns) and out.count() == n
+CLASHING = ("mean", "tilt", "cut", "cut_u", "turned", "fp", "root", "up", "low", "n", "host", "text2", "a.b", "_row", "_doc", "_id", "_key", "_z", "_text", "_t", "_w", "_h", "_hot", "_cold", "_value", "_spread", "_r", "_raw", "_found", "_source", "marks", "copies", "bucket", "kind", "key", "known", "entry", "token", "_lines", "_gone")
+
+
+def _operators(ranks=RANKS, pattern=public_tokenizers.PATTERN):
+    identify = lambda d: langid.identify(d, (["en"], *[__import__("pyarrow").table({"token": ["a"], "lang": ["en"], "n": [1]})] * 2))
+    return {
+        "licences": licences.licence_scan, "recompress": recompress.remove_repeats, "suffixes": suffixes.remove_repeats, "simhash": simhash.near_duplicates,
+        "one_of_each": simhash.one_of_each, "line_rules": line_rules.quality_rules, "mixing": mixing.mix, "langid": identify,
+        "encode": lambda d: bpe.encode(d, ranks, pattern), "encode_and_decode": lambda d: bpe.encode_and_decode(d, ranks, pattern),
+        "decode": lambda d: bpe.decode(d.withColumn("token_ids", F.lit(b"\1\0\0\0")), ranks, pattern),
+        "chat": lambda d: chat.format_chat(d.withColumn("record", F.to_json(F.struct("text")))),
+    }
+
+
+@pytest.mark.parametrize("name", sorted(_operators()))
+def test_other_columns_pass_with_their_values(spark, name):
+    """Whatever they are called; repeated rows stay apart, nulls anywhere, and an empty table gives an empty result with the same columns."""
+    rows = [(1, "a b c", "s"), (1, "a b c", "s"), (2, None, None), (None, "one two", "s"), (3, "", "t"), (4, "x " * 70, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    df = df.select("*", *(F.concat_ws("-", F.lit(c), F.col("doc_id").cast("string"), "text").alias(c) for c in CLASHING))
+    run = _operators()[name]
+    out = run(df)
+    assert len(set(out.columns)) == len(out.columns) and set(CLASHING) <= set(out.columns)
+    quoted = [F.col(f"`{c}`") for c in ("doc_id", *CLASHING)]
+    want, got = (Counter(tuple(r) for r in d.select(*quoted).collect()) for d in (df, out))
+    if name == "one_of_each":
+        assert not got - want and got[next(k for k in got if k[0] == 1)] == 1
+    else:
+        assert got == want
+    none = run(df.limit(0))
+    assert none.columns == out.columns and none.count() == 0
+
+
+def test_one_row_of_each_component_whatever_its_id(spark):
+    t, u = (" ".join(f"{c}{i}" for i in range(60)) for c in "tu")
+    rows = [(1, t), (2, t), (2, u), (None, u + " end"), (3, t), (3, t), (None, "alone and short"), (5, "twice alike"), (5, "twice alike"), (None, "null twice"), (None, "null twice")]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, t), (2, u), (0, "alone and short"), (5, "twice alike"), (0, "null twice")])
+
+
+def test_clauses_are_no_copyright_lines(spark):
+    head = "You may do the following.\n"
+    rows = [(1, head + "(c) You must not sell the work."), (2, head + "(c) You may sell the work freely."), (3, head), (4, head + "(c) 2020 Someone\nAll rights reserved.\nCopyright (c) Other"), (5, head + "All rights reserved but one.")]
+    got = {r.doc_id: r.licence_digest for r in licences.licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len({got[k] for k in (1, 2, 3, 5)}) == 4 and got[4] == got[3]
+
+
+def test_neighbours_in_double_precision(spark):
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((300, 8)) * np.array([1, 1, 1, 1, 1, 1, 1, 1e-3])
+    v[5], v[45] = v[5] * 1e30, v[45] * 1e-50
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest_neighbours(df, df.filter("vec_id % 5 = 0"), k=7).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(0, 300, 5):
+        s = np.array([sum(a * b for a, b in zip(x.tolist(), v[q].tolist(), strict=True)) for x in v])
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(300), -s))[:7]
+        assert all(score == s[i] for _, i, score in got[q])
+        if q in (5, 45):
+            assert [i for _, i, _ in sorted(got[q])] == best.tolist()
+
+
+def test_chat_side_data_does_not_unmap(spark):
+    rows = [({"messages": [{"role": "user", "content": "q", "name": "x", "weight": {"a": [1]}}], "metadata": {"deep": {"er": 1}}, "id": [1, 2]}, "messages"), ({"messages": [{"role": "user", "content": ["parts"]}]}, "unmapped"), ({"prompt": "p", "completion": "c", "source": {"url": "u"}}, "prompt_completion")]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, (d, _) in enumerate(rows)], "n int, record string")
+    assert [r.layout for r in chat.format_chat(df).orderBy("n").collect()] == [x for _, x in rows]
