@@ -41,7 +41,7 @@ TARGET = 0.99
 SUB, CODES = 2, 256
 #: Sample entries for each list, at least: lists grow with the root of the table, up to SAMPLE_ROWS / LIST_SAMPLE.
 LIST_SAMPLE = 16
-#: Beyond, single precision is near its end: components are clipped for the index, and queries rerank all they probe.
+#: Components are clipped there for the index alone, since single precision ends not far beyond; the error bounds tell.
 HUGE = 1e15
 ROUNDS = 8
 #: Entries of one list that one task takes, about.
@@ -123,6 +123,12 @@ def single(x: np.ndarray) -> np.ndarray:
     return np.clip(x, -HUGE, HUGE).astype(np.float32)
 
 
+def scaled(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Queries with a largest component of 1, in single precision, and what they were divided by: their neighbours are the same."""
+    by = np.abs(q.astype(float)).max(axis=1)
+    return (q / by[:, None]).astype(np.float32), by
+
+
 def vectors_of(column: pa.Array, d: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
@@ -176,7 +182,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
     def probe(batches):
         for b in batches:
             x = vectors_of(b.column(1), d)
-            order = np.argsort(-(single(x) @ shared.value.centroids.T), axis=1, kind="stable")
+            order = np.argsort(-(scaled(x)[0] @ shared.value.centroids.T), axis=1, kind="stable")
             seen = np.cumsum(sizes[order], axis=1) - sizes[order]
             take = (np.arange(index.lists)[None, :] < index.probes) | (seen < k + 1)
             row, at = np.nonzero(take)
@@ -229,9 +235,8 @@ def _scan(batches, index: Index, d: int, most: int):
     for a in range(0, len(names), 128):  # so many queries' tables at once
         some = names[a : a + 128]
         exact = q[at[a : a + 128]]
-        asked = single(exact)
-        table, norms = index.table(asked), np.sqrt((exact.astype(float) ** 2).sum(axis=1)) * (1 + 1e-6)
-        norms[(np.abs(exact) > HUGE).any(axis=1) | (np.abs(exact).max(axis=1) < 1 / HUGE)] = np.inf
+        asked, scale = scaled(exact)
+        table, norms = index.table(asked), np.sqrt((asked.astype(float) ** 2).sum(axis=1)) * (1 + 1e-6)
         bar = np.full(len(some), -np.inf)  # `most` entries of the query score so much at least
         held = [(np.empty(0), np.empty(0, np.int64)) for _ in some]
         mine = np.flatnonzero(np.isin(query, some))
@@ -262,7 +267,7 @@ def _scan(batches, index: Index, d: int, most: int):
                     keep = np.lexsort((ids, -got))[:most]
                     held[w] = got[keep], ids[keep]
                     if len(keep) == most:
-                        bar[w] = max(bar[w], got[keep[-1]])
+                        bar[w] = max(bar[w], got[keep[-1]] / scale[w])
         out = [(np.full(len(ids), some[w]), ids, got) for w, (got, ids) in enumerate(held) if len(ids)]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query", "entry", "score"])

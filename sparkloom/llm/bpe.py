@@ -32,10 +32,9 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WARM, given_back
+from .common import WARM, fields, given_back, name_of, row_of
 from .hashing import mix
 
 #: Distinct pre-tokens of one generation of what a worker remembers, and pairs of ids; results don't depend on it.
@@ -370,12 +369,12 @@ def _encoder(key: str, shared, pattern: str) -> Encoder:
 def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results: list[T.StructField], work, keep_source: bool = True) -> DataFrame:
     """docs with the results of work, which makes columns of a column of values."""
     names = [f.name for f in results]
-    passed = [c for c in docs.columns if c not in names and (keep_source or c != source)]
-    docs = docs.select(F.col(source).alias("_source"), *passed)  # the first column, whatever else is called so
+    passed = [c for c in docs.columns if (c not in names or c == source) and (keep_source or c != source)]
+    docs = docs.select(name_of(source).alias("_source"), row_of(passed).alias("_row"))
     ranks = read_ranks(ranks_path)
     key = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    schema = T.StructType([*docs.schema.fields[1:], *results])
+    schema = T.StructType([docs.schema["_row"], *results])
     kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.binary() for f in results]
 
     def run(batches):
@@ -383,9 +382,9 @@ def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results
         for batch in batches:
             columns = work(encoder, (x.as_py() for x in batch.column(0)))
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], names=[*passed, *names])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names=["_row", *names])
 
-    return docs.mapInArrow(given_back(run, keep=True), schema)
+    return docs.mapInArrow(given_back(run, keep=True), schema).select(*fields("_row", passed), *names)
 
 
 IDS, N, DECODED_BYTES = T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.BinaryType())

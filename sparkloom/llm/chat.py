@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import given_back
+from .common import fields, given_back, name_of, row_of
 
 # The control strings of the template.
 BEGIN, OPEN, SHUT, END = "<s>", "[INST]", "[/INST]", "</s>"
@@ -152,8 +152,9 @@ def records(rows: DataFrame, conversation: str = "conv_id", turn: str = "turn",
 def format_chat(df: DataFrame, record: str = "record", layouts: dict = LAYOUTS) -> DataFrame:
     """df with layout, fingerprint, formatted and loss_spans."""
     names = ("layout", "fingerprint", "formatted", "loss_spans")
-    df = df.drop(*[c for c in names if c in df.columns and c != record])
-    schema = T.StructType([*df.schema.fields, *[T.StructField(c, T.StringType()) for c in names[:3]], T.StructField("loss_spans", T.ArrayType(T.LongType()))])
+    passed = [c for c in df.columns if c not in names or c == record]
+    df = df.select(name_of(record).alias("_record"), row_of(passed).alias("_row"))
+    schema = T.StructType([df.schema["_row"], *[T.StructField(c, T.StringType()) for c in names[:3]], T.StructField("loss_spans", T.ArrayType(T.LongType()))])
     known = known_fingerprints(layouts)
 
     def one(value):
@@ -170,11 +171,11 @@ def format_chat(df: DataFrame, record: str = "record", layouts: dict = LAYOUTS)
 
     def run(batches):
         for batch in batches:
-            got = [one(x.as_py()) for x in batch.column(batch.schema.get_field_index(record))]
+            got = [one(x.as_py()) for x in batch.column(0)]
             arrays = [pa.array([g[k] for g in got], pa.list_(pa.int64()) if k == 3 else pa.string()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names=["_row", *names])
 
-    return df.mapInArrow(given_back(run), schema)
+    return df.mapInArrow(given_back(run), schema).select(*fields("_row", passed), *names)
 
 
 def digests(formatted: DataFrame) -> DataFrame:

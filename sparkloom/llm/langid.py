@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import given_back
+from .common import fields, given_back, name_of, row_of
 
 SAMPLE_ROWS = 20_000
 GRAM_LENGTHS = (5, 4, 3, 2, 1)
@@ -119,17 +119,19 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows
 def identify(docs: DataFrame, model, text: str = "text") -> DataFrame:
     """docs with lang_pred and score, the share of the best language among all."""
     results = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    docs = docs.drop(*[f.name for f in results if f.name in docs.columns and f.name != text])
+    passed = [c for c in docs.columns if c not in ("lang_pred", "score") or c == text]
+    docs = docs.select(name_of(text).alias("_text"), row_of(passed).alias("_row"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         scorer = Scorer(*shared.value)
         for batch in batches:
-            got = [scorer.predict(x.as_py()) for x in batch.column(batch.schema.get_field_index(text))]
+            got = [scorer.predict(x.as_py()) for x in batch.column(0)]
             arrays = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names=["_row", "lang_pred", "score"])
 
-    return docs.mapInArrow(given_back(run), T.StructType([*docs.schema.fields, *results]))
+    out = docs.mapInArrow(given_back(run), T.StructType([docs.schema["_row"], *results]))
+    return out.select(*fields("_row", passed), "lang_pred", "score")
 
 
 def is_held_out(doc_id) -> F.Column:

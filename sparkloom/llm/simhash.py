@@ -225,16 +225,16 @@ def one_of_each(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> D
     Of rows alike in id and text one stays, as of any other component.
     """
     key = F.xxhash64(name_of(ident), name_of(text))
-    fps = stored(fingerprints(docs.select(name_of(text).cast("binary"), name_of(ident).alias("_id"), key.alias("_key"))))
-    each = fps.groupBy("_key", "fp").agg(F.first("_id").alias("_id"), F.count(F.lit(1)).alias("n"))
-    placed = stored(lookup(each, "fp", components_of(fps).withColumnRenamed("fp", "f"), "f", "root", "_key"))
-    first = placed.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("least")).select(F.col("root").alias("r"), F.col("least._key").alias("stays"))
-    judged = stored(lookup(placed, "root", first, "r", "stays", "_key"))
-    gone = judged.filter("_key != stays").select("_key").distinct()
-    left = docs.select(row_of(docs.columns).alias("_row"), key.alias("_key")).join(gone, "_key", "left_anti")
-    again = judged.filter("_key = stays AND n > 1").select("_key")
+    fps = stored(fingerprints(docs.select(name_of(text).cast("binary"), name_of(ident).alias("_id"), key.alias("_mark"))))
+    each = fps.groupBy("_mark", "fp").agg(F.first("_id").alias("_id"), F.count(F.lit(1)).alias("n"))
+    placed = stored(lookup(each, "fp", components_of(fps).withColumnRenamed("fp", "f"), "f", "root", "_mark"))
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_mark")).alias("least")).select(F.col("root").alias("r"), F.col("least._mark").alias("stays"))
+    judged = stored(lookup(placed, "root", first, "r", "stays", "_mark"))
+    gone = judged.filter("_mark != stays").select("_mark").distinct()
+    left = docs.select(row_of(docs.columns).alias("_row"), key.alias("_mark")).join(gone, "_mark", "left_anti")
+    again = judged.filter("_mark = stays AND n > 1").select("_mark")
     if not again.isEmpty():  # rows alike in id and text: the first of each by the hash of all its columns
-        order = Window.partitionBy("_key").orderBy(F.xxhash64("_row"))
-        alike = left.join(again, "_key", "left_semi").withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
-        left = left.join(again, "_key", "left_anti").unionByName(alike)
+        order = Window.partitionBy("_mark").orderBy(F.xxhash64("_row"))
+        alike = left.join(again, "_mark", "left_semi").withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
+        left = left.join(again, "_mark", "left_anti").unionByName(alike)
     return left.select(*fields("_row", docs.columns))

@@ -17,7 +17,7 @@ import tiktoken
 import __spark_entry__
 from sparkloom.llm import bpe, mixing
 
-from .test_llm import RANKS, WORD, brute_simhash, brute_windows, corpus, sha
+from .test_llm import RANKS, WORD, brute_simhash, brute_windows, corpus, dot, sha
 
 SF = "/root/testdata/sf0.01"
 
@@ -161,7 +161,7 @@ def test_op9(spark, tables):
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     assert set(got) == set(range(0, 400, 20))
     for q, rows in got.items():
-        score = {k: sum(a * b for a, b in zip(x.tolist(), v[q].tolist(), strict=True)) for k, x in v.items() if k != q}
+        score = {k: dot(x, v[q]) for k, x in v.items() if k != q}
         want = sorted(score, key=lambda k: (-score[k], k))[:20]
         rows.sort()
         assert [k for k, _, _ in rows] == list(range(1, 21)) and all(s == score[k] for _, k, s in rows)
