@@ -1,25 +1,28 @@
-"""python -m sparkloom.cli: clean, merge, split, export, analyse and list pairs, from folders of JSON lines."""
+"""python -m sparkloom.cli: a whole run, one stage, merging alone, or a report, from a label registry and folders of JSON lines."""
 
 from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from . import config
-from .operators import analyze, clean, export, generate, merge, pairs
-from .sources import jsonl, registry
+from . import config, run
+from .operators import analyze
+from .sources import endpoint, registry
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="sparkloom")
     p.add_argument("--config")
     p.add_argument("--registry", required=True, help="JSON array of labels")
-    p.add_argument("--raw", help="folder with stage1, stage2 and stage3")
+    p.add_argument("--raw", help="folder with stage1, stage2 and stage3; a whole run then generates nothing")
     p.add_argument("--output")
+    p.add_argument("--labels", help="only these labels are generated for, by commas")
+    p.add_argument("--max-pairs", type=int)
+    p.add_argument("--dry-run", action="store_true")
     mode = p.add_mutually_exclusive_group()
     mode.add_argument("--stage", type=int, choices=(1, 2, 3), help="generate one stage")
     for name in ("merge-only", "progress", "analyze-pairs", "analyze-dataset"):
@@ -27,68 +30,35 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def read_raw(spark: SparkSession, folder: str):
-    parts = [jsonl.read_stage(spark, f"{folder}/stage{k}", f"stage{k}") for k in (1, 2, 3)]
-    return jsonl.with_seq(parts[0].unionByName(parts[1]).unionByName(parts[2]))
-
-
-def clean_config(cfg: dict) -> clean.CleanConfig:
-    return clean.CleanConfig(**cfg["clean"])
-
-
-def run_stage(spark: SparkSession, labels, k: int, cfg: dict, root: str) -> None:
-    """Offline generation of one stage into <root>/stageK; another provider goes through operators.generate.respond."""
-    g, bank = cfg["generation"], generate.templates(spark)
-    if k == 1:
-        s = g["stage1"]
-        tasks, target = generate.prompt_tasks(labels, bank, "stage1", generate.stage1_calls(s["samples_per_label"], s["batch"]), s["batch"]), s["samples_per_label"]
-    elif k == 2:
-        s = g["stage2"]
-        simple, hard = generate.stage2_calls(s["samples_per_label"], s["batch"], s["simple_ratio"])
-        plain = generate.prompt_tasks(labels, bank, "simple", simple, s["batch"])
-        hard_tasks = generate.prompt_tasks(labels, bank, "stage2_complex", hard, s["batch"])
-        tasks, target = plain.unionByName(hard_tasks.withColumn("task_idx", F.col("task_idx") + F.lit(1 << 40))), s["samples_per_label"]
-    else:
-        s = g["stage3"]
-        chosen = pairs.capped_pairs(pairs.all_pairs(labels, cfg["pairs"]["threshold"]), cfg["pairs"]["per_label"])
-        made = generate.hard_negative_tasks(chosen, labels, bank, generate.spare_calls(s["samples_per_pair"], s["batch"]), s["batch"])
-        tasks, target = made.withColumn("task_idx", F.xxhash64("pair_id", "expected_answer", "call")), s["samples_per_pair"] * cfg["pairs"]["per_label"]
-    answered = generate.respond(tasks, retries=g["retries"], delay=g["delay"], parts=g["max_workers"])
-    jsonl.write_jsonl(generate.generated(answered, target), f"{root}/stage{k}")
-
-
 def main(argv: list[str] | None = None) -> int:
     args = arguments(argv)
     cfg = config.load(args.config)
+    cfg["generation"]["dry_run"] |= args.dry_run
     root = args.output or cfg["output"]["root"]
     spark = SparkSession.builder.appName("sparkloom").getOrCreate()
     labels = registry.from_json(spark, args.registry)
+    names = args.labels.split(",") if args.labels else None
+    provider = endpoint.from_config(cfg["generation"])
     raw = args.raw or f"{root}/raw"
     if args.stage:
-        run_stage(spark, labels, args.stage, cfg, raw)
-        return 0
-    if args.analyze_pairs:
-        chosen = pairs.capped_pairs(pairs.all_pairs(labels, cfg["pairs"]["threshold"]), cfg["pairs"]["per_label"])
-        for r in chosen.orderBy("place").toLocalIterator():
+        run.generate_stage(spark, labels, f"stage{args.stage}", cfg, f"{raw}/stage{args.stage}", provider, names, args.max_pairs)
+    elif args.analyze_pairs:
+        for r in run.chosen_pairs(labels, cfg, names, args.max_pairs).orderBy("place").toLocalIterator():
             print(json.dumps({"agent_a": r.agent_a, "agent_b": r.agent_b, "source": r.source, "overlap_score": round(r.overlap_score, 3), "shared_keywords": r.shared_keywords}, ensure_ascii=False))
-        return 0
-    samples = read_raw(spark, raw)
-    if args.progress:
-        analyze.progress(samples).orderBy("stage", "answer").show(1000, False)
-        return 0
-    if args.analyze_dataset:
-        print(json.dumps(analyze.report(samples, labels).first().asDict(), ensure_ascii=False, indent=2))
-        return 0
-    if not args.merge_only:
-        cleaned = clean.clean(samples, labels, clean_config(cfg))
-        samples = clean.normalise(cleaned.filter("kept").select("seq", "question", "answer", "stage"))
-    m, s = cfg["merge"], cfg["split"]
-    merged = merge.merge(samples, labels, m["per_label"], tuple(m["weights"]), m["seed"], max_total=m["max_total"]).persist()
-    jsonl.write_jsonl(merged, f"{root}/merged")
-    split = (merge.stratified_split if s["stratified"] else merge.random_split)(merged, tuple(s["ratios"]), s["seed"])
-    export.write_splits(split, f"{root}/split")
+    elif args.progress:
+        analyze.progress(run.read_raw(spark, raw)).orderBy("stage", "answer").show(1000, False)
+    elif args.analyze_dataset:
+        print(analyze.console_report(run.read_raw(spark, raw), labels))
+    elif args.merge_only:
+        os.makedirs(root, exist_ok=True)
+        run.merge_and_export(spark, run.read_clean(spark, f"{root}/clean") if not args.raw else run.read_raw(spark, raw), labels, cfg, root, split=False)
+    else:
+        run.full_run(spark, labels, cfg, root, args.raw, provider, names, args.max_pairs)
     return 0
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    try:
+        sys.exit(main())
+    except KeyboardInterrupt:
+        sys.exit(130)

@@ -11,7 +11,8 @@ DEFAULTS = {
     "output": {"root": "output"},
     "clean": {"min_length": 8, "max_length": 500, "check_leak": True, "min_script_ratio": 0.3, "max_repeat_ratio": 0.3, "min_score": 0.6, "dedup": "exact", "ngram": 3, "jaccard": 0.85},
     "generation": {
-        "dry_run": False, "max_workers": 5, "retries": 3, "delay": 2.0, "model": "gpt-4o-mini",
+        "dry_run": False, "max_workers": 5, "at_once": 1, "retries": 3, "delay": 2.0, "model": "gpt-4o-mini", "base_url": "https://api.openai.com/v1", "api_key": "",
+        "temperature": 0.85, "top_p": 0.95, "max_tokens": 2048, "frequency_penalty": 0.3, "timeout": 60.0, "resume": True,
         "stage1": {"samples_per_label": 150, "batch": 5}, "stage2": {"samples_per_label": 700, "batch": 10, "simple_ratio": 0.4}, "stage3": {"samples_per_pair": 25, "batch": 5},
     },
     "pairs": {"threshold": 0.3, "per_label": 5},

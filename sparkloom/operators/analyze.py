@@ -92,6 +92,21 @@ def remaining(existing: DataFrame, registry: DataFrame, target: int) -> DataFram
     return out.filter(F.col("existing") < target).withColumn("remaining", target - F.col("existing"))
 
 
+def console_report(samples: DataFrame, registry: DataFrame, missing: int = 10) -> str:
+    """The report as lines of text: domains by falling count, and the first missing labels by name."""
+    labels, lengths, seen = label_stats(samples).first(), length_stats(samples).first(), coverage(samples, registry).first()
+    lines = [
+        f"rows {labels.total}, labels {labels.n_labels} of {seen.n_registered}, coverage {seen.coverage:.1%}",
+        f"rows a label: {labels.min_n} to {labels.max_n}, mean {labels.mean_n:.1f}, deviation {labels.std_n:.1f}, balance {balance_score(samples).first()[0]:.4f}",
+        f"question length: {lengths.min_len} to {lengths.max_len}, mean {lengths.mean_len}, deviation {lengths.std_len}",
+        *(f"{name}: {n}" for name, n in length_histogram(samples).first().asDict().items()),
+        "domains:", *(f"  {r.domain}: {r.n}" for r in domain_distribution(samples, registry).orderBy(F.desc("n"), "domain").collect()),
+    ]
+    absent = missing_labels(samples, registry)
+    first = [r.name for r in absent.orderBy("name").limit(missing).collect()]
+    return "\n".join([*lines, *([f"missing labels {absent.count()}: {', '.join(first)}"] if first else [])])
+
+
 def report(samples: DataFrame, registry: DataFrame) -> DataFrame:
     """All of it as one row of JSON text: one row a label is the most that is gathered."""
     one = lambda df, name: df.select(F.to_json(F.struct("*")).alias(name))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 # Reason keys, in the order of the checks.
+NOT_OBJECT = "非字典类型"
 EMPTY_QUESTION, EMPTY_ANSWER = "question字段为空", "answer字段为空"
 BAD_LABEL, SHORT, LONG = "answer不是合法智能体名称", "question过短", "question过长"
 LEAK, SCRIPT, REPEATED, MEANINGLESS = "标签泄露", "中文比例过低", "重复字符比例过高", "无意义内容"
@@ -36,6 +37,8 @@ class CleanConfig:
     max_repeat_ratio: float = 0.3
     min_score: float = 0.6
     dedup: str = "exact"
+    #: A column that exact dedup and the cap stay within; all rows if none.
+    scope: str | None = None
     ngram: int = 3
     jaccard: float = 0.85
     cap: int | None = None
@@ -92,6 +95,8 @@ def judge(samples: DataFrame, registry: DataFrame, cfg: CleanConfig = CleanConfi
     # fence, always true but not deterministic, that keeps filters from being pushed below with all they read
     s = s.withColumn("_q", X.strip(q)).withColumn("_a", X.strip(a))
     reasons = hard_reasons(F.col("_q"), F.col("_a"), F.col("legal"), cfg)
+    if "corrupt" in s.columns:  # lines of files that hold no object
+        reasons = F.when(F.col("corrupt").isNotNull(), F.array(F.lit(NOT_OBJECT))).otherwise(reasons)
     s = s.withColumn("reasons", F.when(F.monotonically_increasing_id() >= 0, reasons)).drop("_q", "_a")
     s = s.withColumn("score", F.when(F.size("reasons") == 0, quality_score(q, F.coalesce("keywords", F.array().cast("array<string>")))))
     return s.withColumn("passed2", (F.size("reasons") == 0) & (F.round("score", 4) >= cfg.min_score))
@@ -123,10 +128,9 @@ def clean(samples: DataFrame, registry: DataFrame, cfg: CleanConfig = CleanConfi
     from .near import greedy_kept
 
     judged = judge(samples, registry, cfg)
-    live = judged.filter("passed2").select("seq", "question", "answer")
-    kept = live
+    kept = judged.filter("passed2").select("seq", "question", "answer", *[cfg.scope] * (cfg.scope is not None))
     if cfg.dedup in ("exact", "both"):
-        kept = exact_dedup(kept)
+        kept = exact_dedup(kept, cfg.scope)
     after_exact = kept.select("seq").withColumn("_exact", F.lit(True))
     if cfg.dedup in ("ngram", "both"):
         kept = greedy_kept(kept, cfg.ngram, cfg.jaccard)
@@ -136,7 +140,7 @@ def clean(samples: DataFrame, registry: DataFrame, cfg: CleanConfig = CleanConfi
     key = key.when(F.col("_exact").isNull(), EXACT_COPY).when(F.col("_kept").isNull(), NEAR_COPY)
     out = out.withColumn("reason", key).withColumn("kept", F.col("_kept").isNotNull()).drop("_exact", "_kept", "passed2", "legal")
     if cfg.cap is not None:
-        w = Window.partitionBy("answer").orderBy(~F.col("kept"), "seq")
+        w = Window.partitionBy("answer", *[cfg.scope] * (cfg.scope is not None)).orderBy(~F.col("kept"), "seq")
         out = out.withColumn("written", F.col("kept") & (F.row_number().over(w) <= cfg.cap))
     return out
 
@@ -155,6 +159,12 @@ def clean_stats(cleaned: DataFrame) -> DataFrame:
     return s.withColumn("pass_rate", F.when(F.col("total") > 0, F.col("passed") / F.col("total")).otherwise(0.0))
 
 
+def file_stats(cleaned: DataFrame, *by: str) -> DataFrame:
+    """(input, passed, pass_rate) of each file, by the columns given."""
+    n = cleaned.groupBy(*by).agg(F.count(F.lit(1)).alias("n_input"), F.count_if("kept").alias("n_passed"))
+    return n.withColumn("pass_rate", F.col("n_passed") / F.col("n_input"))
+
+
 def simple_clean(samples: DataFrame, min_ratio: float = 0.2, low: int = 8, high: int = 500, script: str = X.CJK) -> DataFrame:
     """The short form of the cleaner for rows of one expected label (a column `expected`)."""
     q, a = F.col("question"), F.col("answer")

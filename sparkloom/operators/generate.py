@@ -13,10 +13,13 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from ..functions import text as X
+from .clean import valid_hard_negative
+
 RESPONSE = "task_idx long, expected_answer string, raw_text string, parsed_items array<struct<question:string,answer:string>>, prompt_tokens int, completion_tokens int, latency_ms double, model string, error string"
 COLUMNS = ["expected_answer", "raw_text", "parsed_items", "prompt_tokens", "completion_tokens", "latency_ms", "model", "error"]
 
@@ -40,6 +43,11 @@ TEMPLATES = {
         "写{count}条边界上的问题，仔细想后应选「{name}」而非「{other}」。JSON数组输出。",
     ],
 }
+#: Ways to ask for other wordings, for batch prompts.
+DIVERSITY = (
+    "换一种语气", "从新手的角度提问", "从专家的角度提问", "加入时间或地点", "只描述现象而不提需求",
+    "写得更短", "写得更长", "用反问句", "包含一个数字或单位", "带上紧急程度",
+)
 COMPLEX = ("colloquial", "complex", "multiturn", "implicit")
 SYSTEM = "你为智能体路由构造训练数据，只输出JSON。"
 
@@ -72,10 +80,15 @@ def filled(template, name, description, keywords, other, count):
     return out
 
 
+#: Bits of a task's number for its call, and the place of each kind of task beyond the label's.
+CALL_BITS, KINDS = 20, ("stage1", "simple", "stage2_complex")
+
+
 def prompt_tasks(registry: DataFrame, bank: DataFrame, kind: str, n_calls: int, count: int = 5, start: int = 0) -> DataFrame:
     """n_calls tasks a label: (task_idx, kind, system, user, expected_answer); templates rotate with the call.
 
-    Kind `stage2_complex` rotates through the four complex kinds.
+    Kind `stage2_complex` rotates through the four complex kinds. task_idx is one number for each
+    (kind, label, call), in this order, so tasks of several kinds can be put together.
     """
     t = registry.select("idx", "name", "description", "keywords", F.explode(F.sequence(F.lit(0), F.lit(n_calls - 1))).alias("i")) if n_calls > 0 else registry.select("idx", "name", "description", "keywords", F.lit(0).alias("i")).limit(0)
     at = F.col("i") + start
@@ -84,7 +97,16 @@ def prompt_tasks(registry: DataFrame, bank: DataFrame, kind: str, n_calls: int,
     b = bank.select(F.col("kind").alias("_kind"), F.col("idx").alias("_i"), "text", "n")
     t = t.join(b, (F.col("kind") == F.col("_kind")) & (F.col("_at") % F.col("n") == F.col("_i")))
     user = filled(F.col("text"), F.col("name"), F.col("description"), F.col("keywords"), F.lit(""), F.lit(count))
-    return t.select((F.col("idx").cast("long") * n_calls + F.col("i")).alias("task_idx"), "kind", F.lit(SYSTEM).alias("system"), user.alias("user"), F.col("name").alias("expected_answer"))
+    first = (KINDS.index(kind) if kind in KINDS else len(KINDS)) << (CALL_BITS + 31)
+    return t.select((F.lit(first) + F.col("idx").cast("long") * (1 << CALL_BITS) + F.col("i")).alias("task_idx"), "kind", F.lit(SYSTEM).alias("system"), user.alias("user"), F.col("name").alias("expected_answer"))
+
+
+def batch_prompts(registry: DataFrame, count: int, style: str = "", extra: str = "") -> DataFrame:
+    """(expected_answer, system, user): one prompt a label that asks for `count` items at once, each with another of the DIVERSITY hints."""
+    hints = "；".join(DIVERSITY[:count])
+    template = f"为智能体「{{name}}」（{{description}}）写{{count}}条用户问题，关键词：{{keywords}}。{style}{extra}各条依次：{hints}。输出JSON数组，每项含question与answer。"
+    user = filled(F.lit(template), F.col("name"), F.col("description"), F.col("keywords"), F.lit(""), F.lit(count))
+    return registry.select(F.col("name").alias("expected_answer"), F.lit(SYSTEM).alias("system"), user.alias("user"))
 
 
 def hard_negative_tasks(pairs: DataFrame, registry: DataFrame, bank: DataFrame, n_calls: int, count: int = 5) -> DataFrame:
@@ -158,6 +180,26 @@ def extract(text: str | None, expected: str = "") -> list[tuple[str, str]]:
     return []
 
 
+def extract_loose(text: str | None) -> list[dict]:
+    """Items of the first array in a response, or the objects in it one by one, as they are: nothing is validated."""
+    text = text or ""
+    decoder, out, at = json.JSONDecoder(), [], 0
+    while at < len(text):
+        starts = [k for k in (text.find("[", at), text.find("{", at)) if k >= 0]
+        if not starts:
+            break
+        try:
+            value, at = decoder.raw_decode(text, min(starts))
+        except ValueError:
+            at = min(starts) + 1
+            continue
+        if isinstance(value, list) and any(isinstance(x, dict) for x in value):
+            return [x for x in value if isinstance(x, dict)]
+        if isinstance(value, dict):
+            out.append(value)
+    return out
+
+
 @udtf(returnType="question string, answer string")
 class ExtractItems:
     """SELECT ... FROM t, LATERAL extract_items(raw_text, expected_answer)."""
@@ -168,10 +210,8 @@ class ExtractItems:
 
 def extracted(responses: DataFrame, text: str = "raw_text", expected: str = "expected_answer") -> DataFrame:
     """responses with question and answer, one row an item."""
-    spark = responses.sparkSession
-    spark.udtf.register("extract_items", ExtractItems)
-    responses.createOrReplaceTempView("_responses")
-    return spark.sql(f"SELECT r.*, x.question, x.answer FROM _responses r, LATERAL extract_items(r.{text}, r.{expected}) x")
+    found = ExtractItems(F.col(text).outer(), F.col(expected).outer())
+    return responses.lateralJoin(found)
 
 
 @dataclass(frozen=True)
@@ -188,10 +228,10 @@ def offline(system: str, user: str, expected: str) -> Reply:
     return Reply(json.dumps(items, ensure_ascii=False), 100, 50, "offline")
 
 
-def respond(tasks: DataFrame, provider: Callable[[str, str, str], Reply] = offline, retries: int = 3, delay: float = 2.0, parts: int | None = None, key: str = "task_idx") -> DataFrame:
+def respond(tasks: DataFrame, provider: Callable[[str, str, str], Reply] = offline, retries: int = 3, delay: float = 2.0, parts: int | None = None, key: str = "task_idx", at_once: int = 1) -> DataFrame:
     """Responses of tasks; a call is tried up to `retries` times, waiting delay, 2 delay, ... in between.
 
-    `parts` partitions make their calls one after the other each, so it is the number at a time.
+    Each of `parts` partitions makes `at_once` calls at a time; responses carry their task's key.
     """
 
     def call(system, user, expected):
@@ -208,23 +248,57 @@ def respond(tasks: DataFrame, provider: Callable[[str, str, str], Reply] = offli
         return None, [], 0, 0, (time.time() - began) * 1000, None, error
 
     def run(batches):
-        for pdf in batches:
-            rows = [(k, e, *call(s, u, e)) for k, s, u, e in zip(pdf[key], pdf["system"], pdf["user"], pdf["expected_answer"], strict=True)]
-            import pandas as pd
+        from concurrent.futures import ThreadPoolExecutor
+
+        import pandas as pd
 
-            yield pd.DataFrame(rows, columns=[key, *COLUMNS])
+        with ThreadPoolExecutor(at_once) as pool:
+            for pdf in batches:
+                got = pool.map(call, pdf["system"], pdf["user"], pdf["expected_answer"])
+                rows = [(k, e, *r) for k, e, r in zip(pdf[key], pdf["expected_answer"], got, strict=True)]
+                yield pd.DataFrame(rows, columns=[key, *COLUMNS])
 
     t = tasks.repartition(parts) if parts else tasks
     return t.select(key, "system", "user", "expected_answer").mapInPandas(run, RESPONSE.replace("task_idx", key, 1))
 
 
-def generated(responses: DataFrame, target: int, key: str = "task_idx") -> DataFrame:
-    """(question, answer): items of successful responses in order of call, the first `target` a label."""
-    from pyspark.sql import Window
+def generated(responses: DataFrame, target: int, key: str = "task_idx", existing: DataFrame | None = None) -> DataFrame:
+    """(question, answer): items of successful responses in order of call, the first `target` a label.
 
-    rows = responses.filter(F.col("error").isNull()).select(key, F.posexplode("parsed_items").alias("k", "item"))
-    w = Window.partitionBy("item.answer").orderBy(key, "k")
-    return rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= target).select("item.question", "item.answer")
+    existing, (answer, n), has what labels hold already: they get what is missing.
+    """
+    rows = responses.filter(F.col("error").isNull()).select(key, F.posexplode("parsed_items").alias("k", "item")).select(key, "k", "item.question", "item.answer")
+    return _missing(rows, target, existing, ["answer"], key).select("question", "answer")
+
+
+def _missing(rows: DataFrame, target: int, existing: DataFrame | None, by: list[str], key: str) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(key, "k")
+    rows = rows.withColumn("_r", F.row_number().over(w))
+    if existing is not None:
+        rows = rows.join(existing.select(*by, F.col("n").alias("_n")), by, "left")
+        return rows.filter(F.col("_r") <= target - F.coalesce("_n", F.lit(0)))
+    return rows.filter(F.col("_r") <= target)
+
+
+def pair_tasks(pairs: DataFrame, registry: DataFrame, bank: DataFrame, n_calls: int, count: int = 5) -> DataFrame:
+    """hard_negative_tasks with task_idx and `pair`, the name of the pair's file."""
+    t = hard_negative_tasks(pairs, registry, bank, n_calls, count)
+    short = lambda c: X.safe_name(c, 20)
+    name = F.concat(short(F.least("expected_answer", "other")), F.lit("_vs_"), short(F.greatest("expected_answer", "other")), F.lit("_"), F.substring("pair_id", 1, 8))
+    return t.withColumn("task_idx", F.xxhash64("pair_id", "expected_answer", "call")).withColumn("pair", name)
+
+
+def hard_negatives(responses: DataFrame, tasks: DataFrame, target: int, existing: DataFrame | None = None) -> DataFrame:
+    """(question, answer, pair): valid items of each pair and direction, the first `target` by call.
+
+    An item is valid if its answer is the task's, and its question long enough and without either
+    name. existing, (pair, answer, n), has what pairs hold already.
+    """
+    of = tasks.select("task_idx", "pair", "call", "other", F.col("expected_answer").alias("target"))
+    rows = responses.filter(F.col("error").isNull()).select("task_idx", F.posexplode("parsed_items").alias("k", "item")).join(of, "task_idx")
+    rows = rows.filter(valid_hard_negative(F.col("item.question"), F.col("item.answer"), F.col("target"), F.col("other")))
+    rows = rows.select("call", "k", "item.question", F.col("target").alias("answer"), "pair")
+    return _missing(rows, target, existing, ["pair", "answer"], "call").select("question", "answer", "pair")
 
 
 def response_stats(responses: DataFrame) -> DataFrame:

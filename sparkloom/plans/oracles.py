@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import clean, export, generate
-from .queries import BOTH, CONFIG, MIX, TARGET, registry_rows
+from .queries import BOTH, CONFIG, COPIES, MIX, MUTATED, TARGET, registry_rows
 
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -27,6 +27,9 @@ def smp(label: str = "source") -> str:
     return f"smp AS (SELECT doc_id AS seq, text AS question, {label} AS answer, 'stage' || CAST(doc_id % 3 + 1 AS VARCHAR) AS stage FROM documents)"
 
 
+MUT = ["plain AS (SELECT doc_id AS seq, text AS question, source AS answer, 'stage' || CAST(doc_id % 3 + 1 AS VARCHAR) AS stage FROM documents)", f"changed AS ({MUTATED})", f"smp AS ({COPIES})"]
+
+
 def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
 
@@ -152,7 +155,7 @@ def filled(text: str, name: str, other: str, count: int) -> str:
 
 def tasks(kind: str, n: int, count: int, start: int = 0) -> str:
     return with_(REG, bank(), f"t AS (SELECT reg.*, c, CASE (c + {start}) % 4 {' '.join(f'WHEN {k} THEN {lit(x)}' for k, x in enumerate(generate.COMPLEX))} END AS complex FROM reg, range({n}) AS r(c))") + f"""
-SELECT CAST(idx AS BIGINT) * {n} + c AS task_idx, bank.kind, {lit(generate.SYSTEM)} AS system, {filled("text", "name", "''", count)} AS "user", name AS expected_answer
+SELECT {generate.KINDS.index(kind) << (generate.CALL_BITS + 31)} + CAST(idx AS BIGINT) * {1 << generate.CALL_BITS} + c AS task_idx, bank.kind, {lit(generate.SYSTEM)} AS system, {filled("text", "name", "''", count)} AS "user", name AS expected_answer
 FROM t JOIN bank ON bank.kind = {"complex" if kind == "stage2_complex" else lit(kind)} AND (c + {start}) % bank.n = bank.i"""
 
 
@@ -161,7 +164,23 @@ CLEANED = [
     "xk AS (SELECT seq, answer AS label, question FROM (SELECT *, row_number() OVER (PARTITION BY md5(question) ORDER BY seq) AS r FROM p2) WHERE r = 1)",
 ]
 
+JUDGED = f"""
+, r AS (SELECT seq, answer, stage, CASE WHEN reason <> '' THEN reason WHEN seq NOT IN (SELECT seq FROM p2) THEN {lit(clean.LOW_QUALITY)} WHEN seq NOT IN (SELECT seq FROM xk) THEN {lit(clean.EXACT_COPY)} WHEN seq IN (SELECT seq FROM gone) THEN {lit(clean.NEAR_COPY)} ELSE '' END AS reason FROM jd)
+"""
+MOCK = ("这个问题该怎么处理？", "请帮我看看当前的情况。", "我们需要尽快给出方案。")
+CALLS = generate.stage1_calls(40)
+
 ORACLES = {
+    "hard_filter_mutated": with_(REG, *MUT, judged()) + f" SELECT reason, count(*) AS n FROM (SELECT reason FROM jd WHERE reason <> '' UNION ALL SELECT {lit(clean.EMPTY_ANSWER)} FROM jd WHERE q = '' AND a = '') GROUP BY 1",
+    "clean_pipeline_mutated": with_(REG, *MUT, judged(BOTH), *CLEANED, *gram_ctes("xk", 0.85), *GREEDY) + JUDGED + " SELECT seq, reason, reason = '' AS kept, reason = '' AND row_number() OVER (PARTITION BY answer ORDER BY reason <> '', seq) <= 20 AS written FROM r",
+    "exact_dedup_mutated": with_(*MUT) + f" SELECT seq FROM ({EXACT}) WHERE r = 1",
+    "file_stats_mutated": with_(REG, *MUT, judged(BOTH), *CLEANED, *gram_ctes("xk", 0.85), *GREEDY) + JUDGED + " SELECT stage, count(*) AS n_input, count(*) FILTER (WHERE reason = '') AS n_passed, round(CAST(count(*) FILTER (WHERE reason = '') AS DOUBLE) / count(*), 6) AS pass_rate FROM r GROUP BY 1",
+    "extract_json": f"SELECT conv_id, turn, q AS question, 'label' AS answer FROM (SELECT conv_id, turn, {strip('text')} AS q FROM conversations WHERE text IS NOT NULL) WHERE length(q) BETWEEN 5 AND 500 AND NOT contains(q, 'label')",
+    "generated_offline": with_(REG, f"m AS (SELECT name, c, k, t FROM reg, range({CALLS}) AS r(c), (VALUES {', '.join(f'({k}, {lit(t)})' for k, t in enumerate(MOCK))}) AS v(k, t))") + " SELECT '[MOCK] ' || t AS question, name AS answer FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY c, k) AS i FROM m) WHERE i <= 40",
+    "response_stats": with_(REG) + f" SELECT count(*) * {CALLS} AS calls, count(*) * {CALLS} AS succeeded, CAST(0 AS BIGINT) AS failed, count(*) * {3 * CALLS} AS items, count(*) * {100 * CALLS} AS prompt_tokens, count(*) * {50 * CALLS} AS completion_tokens, CAST(1 AS DOUBLE) AS success_rate FROM reg",
+    "batch_prompts": with_(REG) + f" SELECT name AS expected_answer, {lit(generate.SYSTEM)} AS system, concat('为智能体「', name, '」（', description, '）写3条用户问题，关键词：', array_to_string(keywords, '、'), '。各条依次：换一种语气；从新手的角度提问；从专家的角度提问。输出JSON数组，每项含question与answer。') AS \"user\" FROM reg",
+    "registry_subset": with_(REG) + " SELECT idx, name FROM reg WHERE name IN ('src3', 'src7')",
+    "hard_negatives_offline": with_(REG, *PAIRS, paired("rp", "kp", "dp"), CAPPED) + f" SELECT pair, answer, least(25, {3 * generate.spare_calls(25, 5)}) AS n FROM (SELECT agent_a || '_vs_' || agent_b || '_' || substr(md5(concat(agent_a, chr(31), agent_b)), 1, 8) AS pair, unnest([agent_a, agent_b]) AS answer FROM cp)",
     "hard_filter_reasons": with_(REG, smp(), judged()) + " SELECT reason, count(*) AS n FROM jd WHERE reason <> '' GROUP BY 1",
     "hard_filter_rows": with_(REG, smp(), judged()) + " SELECT seq, reason FROM jd",
     "quality_scores": with_(REG, smp(), judged()) + " SELECT seq, score FROM jd",

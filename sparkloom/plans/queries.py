@@ -36,6 +36,27 @@ def samples(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFram
     return d.select(F.col("doc_id").alias("seq"), F.col("text").alias("question"), F.col(label).alias("answer"), F.concat(F.lit("stage"), (F.col("doc_id") % 3 + 1).cast("string")).alias("stage"))
 
 
+#: Samples that meet every check: fields that are null, blank, short, leak, mean nothing and so on, then near and exact copies.
+#: One text for both engines; rows have seq, question, answer, stage.
+MUTATED = """
+SELECT seq, stage,
+  CASE seq % 17 WHEN 1 THEN NULL WHEN 2 THEN '   ' WHEN 3 THEN 'abc' WHEN 4 THEN 'see ' || answer || ': ' || substr(question, 1, 200) WHEN 5 THEN '[MOCK] ' || substr(question, 1, 100)
+    WHEN 6 THEN repeat('ab', 30) WHEN 7 THEN '1234567 890123 456' WHEN 8 THEN 'Test: ' || substr(question, 1, 60) ELSE substr(question, 1, 400) END AS question,
+  CASE seq % 17 WHEN 10 THEN NULL WHEN 11 THEN '  ' WHEN 12 THEN 'nolabel' ELSE answer END AS answer
+FROM plain
+"""
+COPIES = """
+SELECT seq, stage, question, answer FROM changed
+UNION ALL SELECT seq + 100000000, stage, question || ' end', answer FROM changed WHERE seq % 5 = 0
+UNION ALL SELECT seq + 200000000, stage, question, answer FROM changed WHERE seq % 7 = 0
+"""
+
+
+def mutated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = spark.sql(MUTATED.replace("FROM plain", "FROM {plain}"), plain=samples(spark, sf_dir))
+    return spark.sql(COPIES.replace("FROM changed", "FROM {changed}"), changed=changed)
+
+
 CONFIG = clean.CleanConfig(max_length=5000, script="A-Za-zÀ-ÿ", min_script_ratio=0.7, min_score=0.55)
 BOTH = clean.CleanConfig(max_length=5000, script="A-Za-zÀ-ÿ", min_script_ratio=0.7, min_score=0.55, dedup="both", cap=20)
 TARGET, MIX = 40, (0.15, 0.70, 0.15)
@@ -59,6 +80,27 @@ def hard_filter_rows(s, d):
     return j.select("seq", F.coalesce(F.substring_index(F.get("reasons", F.lit(0)), ":", 1), F.lit("")).alias("reason"))
 
 
+@query
+def hard_filter_mutated(s, d):
+    return clean.reason_histogram(clean.judge(mutated(s, d), registry(s), CONFIG))
+
+
+@query
+def clean_pipeline_mutated(s, d):
+    c = clean.clean(mutated(s, d), registry(s), BOTH)
+    return c.select("seq", F.coalesce("reason", F.lit("")).alias("reason"), "kept", "written")
+
+
+@query
+def exact_dedup_mutated(s, d):
+    return clean.exact_dedup(mutated(s, d)).select("seq")
+
+
+@query
+def file_stats_mutated(s, d):
+    return clean.file_stats(clean.clean(mutated(s, d), registry(s), BOTH), "stage").withColumn("pass_rate", F.round("pass_rate", 6))
+
+
 @query
 def quality_scores(s, d):
     j = clean.with_registry(samples(s, d), registry(s))
@@ -317,10 +359,10 @@ def simple_clean(s, d):
 @query
 def extract_json(s, d):
     """Conversations as responses: each turn inside a fenced block, amid prose, or bare, by turn."""
-    c = s.read.parquet(f"{d}/conversations.parquet").select(F.xxhash64("conv_id", "turn").alias("task_idx"), F.lit("label").alias("expected_answer"), "turn", F.to_json(F.struct(F.col("text").alias("question"), F.lit("a label").alias("answer"))).alias("item"))
+    c = s.read.parquet(f"{d}/conversations.parquet").select("conv_id", F.lit("label").alias("expected_answer"), "turn", F.to_json(F.struct(F.col("text").alias("question"), F.lit("a label").alias("answer"))).alias("item"))
     fence = F.concat(F.lit("text\n```json\n["), "item", F.lit("]\n```"))
     raw = F.when(F.col("turn") % 3 == 0, fence).when(F.col("turn") % 3 == 1, F.concat(F.lit("so: ["), "item", F.lit("] done"))).otherwise(F.col("item"))
-    return generate.extracted(c.select("task_idx", "expected_answer", raw.alias("raw_text"))).select("task_idx", "question", "answer")
+    return generate.extracted(c.select("conv_id", "turn", "expected_answer", raw.alias("raw_text"))).select("conv_id", "turn", "question", "answer")
 
 
 @query
@@ -335,6 +377,23 @@ def response_stats(s, d):
     return generate.response_stats(generate.respond(tasks))
 
 
+@query
+def batch_prompts(s, d):
+    return generate.batch_prompts(registry(s), 3)
+
+
+@query
+def registry_subset(s, d):
+    return R.subset(registry(s), ["src7", "src3", "none"]).select("idx", "name")
+
+
+@query
+def hard_negatives_offline(s, d):
+    tasks = generate.pair_tasks(pairs.capped_pairs(pairs.all_pairs(registry(s), 0.3), 5), registry(s), generate.templates(s), generate.spare_calls(25, 5))
+    made = generate.hard_negatives(generate.respond(tasks), tasks, 25)
+    return made.groupBy("pair", "answer").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def safe_names(s, d):
     p = s.read.parquet(f"{d}/part.parquet")

@@ -7,27 +7,34 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SAMPLE = "question string, answer string"
+#: Files of a folder that are read: what others write, and what Spark's own writer does.
+FILES = "*.{jsonl,json}"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE, keep_corrupt: bool = False) -> DataFrame:
-    """Rows of a file or folder of *.jsonl with `src_file` and, if kept, `corrupt` for lines that are no JSON object.
+    """Rows of a file or folder of JSON lines with `src_file`.
 
-    Blank lines are skipped.
+    Blank lines are skipped, and so are lines that are no JSON object; if kept, those that are JSON of
+    another kind stay, with the line in `corrupt`. Folders named `column=value` give a column.
     """
-    lines = spark.read.text(path, pathGlobFilter="*.jsonl").withColumn("src_file", F.col("_metadata.file_name")).filter(F.trim("value") != "")
+    lines = spark.read.text(path, pathGlobFilter=FILES).withColumn("src_file", F.col("_metadata.file_name")).filter(F.trim("value") != "")
     parsed = F.from_json("value", f"{schema}, corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"})
-    df = lines.select(parsed.alias("x"), "src_file").select("x.*", "src_file")
-    return df if keep_corrupt else df.filter(F.col("corrupt").isNull()).drop("corrupt")
+    more = [c for c in lines.columns if c not in ("value", "src_file")]
+    df = lines.select(parsed.alias("x"), "src_file", *more, (F.try_parse_json("value").isNotNull() & ~F.startswith(F.ltrim("value"), F.lit("{"))).alias("other"))
+    df = df.select("x.*", "src_file", *more, "other")
+    if keep_corrupt:
+        return df.filter(F.col("other") | F.col("corrupt").isNull()).withColumn("corrupt", F.when(F.col("other"), F.coalesce("corrupt", F.lit("")))).drop("other")
+    return df.filter(F.col("corrupt").isNull()).drop("corrupt", "other")
 
 
-def read_stage(spark: SparkSession, folder: str, stage: str) -> DataFrame:
+def read_stage(spark: SparkSession, folder: str, stage: str, keep_corrupt: bool = False) -> DataFrame:
     """Rows of a stage's folder, tagged; a missing folder gives no rows."""
     try:
-        return read_jsonl(spark, folder).withColumn("stage", F.lit(stage))
+        return read_jsonl(spark, folder, keep_corrupt=keep_corrupt).withColumn("stage", F.lit(stage))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], f"{SAMPLE}, src_file string, stage string")
+        return spark.createDataFrame([], f"{SAMPLE}, {'corrupt string, ' * keep_corrupt}src_file string, stage string")
 
 
 def with_seq(df: DataFrame) -> DataFrame:
@@ -52,5 +59,5 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False, by: str | None =
 
 def count_rows(spark: SparkSession, path: str) -> DataFrame:
     """(src_file, parsed, lines): rows that parse, and lines that aren't blank."""
-    text = spark.read.text(path, pathGlobFilter="*.jsonl").withColumn("src_file", F.col("_metadata.file_name")).filter(F.trim("value") != "")
+    text = spark.read.text(path, pathGlobFilter=FILES).withColumn("src_file", F.col("_metadata.file_name")).filter(F.trim("value") != "")
     return text.groupBy("src_file").agg(F.count_if(F.try_parse_json("value").isNotNull()).alias("parsed"), F.count(F.lit(1)).alias("lines"))

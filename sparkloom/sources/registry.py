@@ -14,6 +14,11 @@ def from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(full, SCHEMA)
 
 
+def subset(registry: DataFrame, names: list[str] | None) -> DataFrame:
+    """The labels of these names, in the registry's order; all, if none are given."""
+    return registry.filter(registry["name"].isin(names)) if names else registry
+
+
 def from_json(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of labels, read on the driver."""
     with open(path, encoding="utf-8") as f:

@@ -207,3 +207,104 @@ def test_state_file(tmp_path):
     assert save_state(path, stage2=3)["stage1"] == "done" and load_state(path)["stage2"] == 3
     (tmp_path / "state.json").write_text("broken")
     assert load_state(path) == {}
+
+
+def test_a_whole_run_resumes_and_exports(spark, tmp_path):
+    """Offline answers as a model's: stages append what is missing, hard negatives are validated, every file is written."""
+    import json
+
+    from sparkloom import run
+
+    def provider(system, user, expected):
+        other = "乙" if expected == "甲" else "甲"
+        seed = sum(map(ord, user)) + len(expected)
+        items = [{"question": f"我们公司第{seed}号现场出现了异常情况，请问{k}小时内应该怎么处理？", "answer": expected} for k in range(6)]
+        items += [{"question": f"这个问题提到了{other}，请问应该怎么处理才对呢？", "answer": expected}, {"question": "太短了吗", "answer": expected}]
+        return generate.Reply(json.dumps(items, ensure_ascii=False), 3, 4, "m")
+
+    rows = [{"name": n, "domain": "d", "description": n, "keywords": ["现场" if c or n == "乙" else "别处"], "confusable": c} for n, c in (("甲", ["乙"]), ("乙", []), ("丙", []))]
+    names = registry.from_rows(spark, rows)
+    cfg = config.load(None, {})
+    cfg["generation"] |= {"delay": 0.0, "at_once": 3, "stage1": {"samples_per_label": 10, "batch": 5}, "stage2": {"samples_per_label": 12, "batch": 6, "simple_ratio": 0.5}, "stage3": {"samples_per_pair": 5, "batch": 5}}
+    cfg["clean"] |= {"check_leak": True, "min_script_ratio": 0.3, "min_score": 0.3}
+    root = str(tmp_path / "out")
+    first = {**cfg, "generation": {**cfg["generation"], "stage1": {"samples_per_label": 4, "batch": 5}}}
+    run.generate_stage(spark, names, "stage1", first, f"{root}/raw/stage1", provider, ["甲", "乙"])
+    assert {r.answer: r.n for r in analyze.label_distribution(jsonl.read_stage(spark, f"{root}/raw/stage1", "s")).collect()} == {"甲": 4, "乙": 4}
+    state = run.full_run(spark, names, cfg, root, provider=provider, max_pairs=2)
+    assert {r.answer: r.n for r in analyze.label_distribution(jsonl.read_stage(spark, f"{root}/raw/stage1", "s")).collect()} == {"甲": 10, "乙": 10, "丙": 10}
+    hard = jsonl.read_stage(spark, f"{root}/raw/stage3", "s").collect()
+    assert {(r.pair.rsplit("_", 1)[0], r.answer) for r in hard} >= {("乙_vs_甲", "甲"), ("乙_vs_甲", "乙")} and not any("甲" in r.question or "乙" in r.question for r in hard)
+    assert all(sum((r.pair, r.answer) == k for r in hard) == 5 for k in {(r.pair, r.answer) for r in hard})
+    assert len({r.pair for r in hard}) == 2
+    before = len(hard)
+    run.generate_stage(spark, names, "stage3", cfg, f"{root}/raw/stage3", provider, max_pairs=2)
+    assert jsonl.read_stage(spark, f"{root}/raw/stage3", "s").count() == before
+    assert state["done"] and state["clean"]["total_passed"] == sum(f["n_passed"] for f in state["clean"]["by_file"]) > 0
+    for path in ("merged", "split/train/train_openai", "export/dataset_csv.csv", "report.json", "state.json"):
+        assert (tmp_path / "out" / path).exists()
+    text = analyze.console_report(run.read_clean(spark, f"{root}/clean"), registry.from_rows(spark, [*rows, {"name": "丁"}]))
+    assert "missing labels 1: 丁" in text and "d: " in text
+
+
+def test_endpoint_provider(spark):
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from sparkloom.sources import endpoint
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            good = self.headers["Authorization"] == "Bearer key" and asked["messages"][0]["role"] == "system"
+            said = json.dumps([{"question": "long enough to pass", "answer": "x"}])
+            body = json.dumps({"model": "served", "choices": [{"message": {"content": said}}], "usage": {"prompt_tokens": 5, "completion_tokens": 7}}).encode()
+            self.send_response(200 if good else 401)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        tasks = spark.createDataFrame([(k, "s", "u", "x") for k in range(6)], "task_idx long, system string, user string, expected_answer string")
+        url = f"http://127.0.0.1:{server.server_port}/v1"
+        got = generate.response_stats(generate.respond(tasks, endpoint.from_config({"base_url": url, "api_key": "key"}), parts=2, at_once=3)).first()
+        assert (got.calls, got.succeeded, got.prompt_tokens, got.completion_tokens) == (6, 6, 30, 42)
+        bad = generate.respond(tasks, endpoint.Endpoint(url, "wrong"), retries=1).collect()
+        assert all("401" in r.error for r in bad)
+    finally:
+        server.shutdown()
+    assert endpoint.from_config({"dry_run": True, "api_key": "key"}) is generate.offline and endpoint.from_config({}) is generate.offline
+
+
+def test_lines_without_an_object_are_rejected_with_a_reason(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"question": "航班备降需要哪些审批流程？", "answer": "' + B + '"}\n[1, 2]\n"text"\n5\nnot json\n{"question": null}\n', encoding="utf-8")
+    rows = jsonl.with_seq(jsonl.read_jsonl(spark, str(tmp_path), keep_corrupt=True))
+    got = [r.reason for r in clean.clean(rows, labels(spark)).orderBy("seq").collect()]
+    assert got == [None, clean.NOT_OBJECT, clean.NOT_OBJECT, clean.NOT_OBJECT, clean.EMPTY_QUESTION]
+    assert jsonl.read_jsonl(spark, str(tmp_path)).count() == 2
+
+
+def test_dedup_within_a_scope(spark):
+    rows = samples(spark, [("航班备降需要哪些审批流程？", B)] * 4).withColumn("src_file", F.concat(F.lit("f"), (F.col("seq") % 2).cast("string")))
+    assert clean.clean(rows, labels(spark)).filter("kept").count() == 1
+    assert clean.clean(rows, labels(spark), clean.CleanConfig(scope="src_file")).filter("kept").count() == 2
+    assert {r.src_file: r.n_passed for r in clean.file_stats(clean.clean(rows, labels(spark)), "src_file").collect()} == {"f0": 1, "f1": 0}
+
+
+def test_batch_prompts_and_loose_extraction(spark):
+    got = generate.batch_prompts(labels(spark), 3, "口语化").collect()
+    assert len(got) == 2 and all("口语化" in r.user and generate.DIVERSITY[2] in r.user and generate.DIVERSITY[3] not in r.user for r in got)
+    assert generate.extract_loose('a [x] then [{"question": 5}, 3] b') == [{"question": 5}]
+    assert generate.extract_loose('{"a": 1} and {"b": {"c": 2}} [') == [{"a": 1}, {"b": {"c": 2}}] and generate.extract_loose(None) == []
+
+
+def test_near_pairs_with_pieces_and_many_matches(spark, monkeypatch):
+    monkeypatch.setattr(near, "PIECE", 3)
+    test_near_pairs_equal_brute_force(spark)
+    monkeypatch.setattr(near, "MATCHES", 1)
+    test_near_pairs_equal_brute_force(spark)
