@@ -1,13 +1,13 @@
 """Exact n-gram similarity self-join within labels, and greedy first-wins dedup on it.
 
 Rows whose gram sets are equal are one node: the first suppresses the others, or is suppressed with
-them. Nodes are joined by prefix filtering. With grams in ascending order of their frequency in the
-label, two sets of Jaccard similarity t or more share k grams among the first |A| - ceil(t |A|) + k of
-each, for any k up to their overlap; MATCHES such grams are asked for, so that a few grams that two
-sets happen to share make no candidate. A common gram also bounds the overlap by its places in both
-sets, and pairs below what t asks for are not counted. Candidates are verified exactly, on numbers
-that stand for the grams. A frequent gram is split: one side is dealt into pieces of PIECE rows, the
-other goes to each of them.
+them. Nodes are joined by prefix filtering: with grams in ascending order of their frequency in the
+label, two sets of Jaccard similarity t or more share a gram among the first |A| - ceil(t |A|) + 1 of
+each. Two bounds stop most of the pairs that meet there, before they are counted as candidates: the
+common gram's places in both sets bound the overlap, and sketches of SKETCH words, in which each gram
+flips one bit, differ in no more bits than the sets differ in grams. Candidates are verified exactly,
+on numbers that stand for the grams. A frequent gram is split: one side is dealt into pieces of PIECE
+rows, the other goes to each of them.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 
-#: Grams in the prefixes that a candidate pair must share (all that similarity t asks for, if those are fewer).
-MATCHES = 8
+#: Words of 64 bits in a set's sketch.
+SKETCH = 8
 #: Rows of a gram that one piece has.
 PIECE = 2000
 
@@ -57,21 +57,24 @@ def _pairs(sets: DataFrame, t: float) -> DataFrame:
     # a number for each gram that two nodes of the label have; written, so that every reader sees the same numbers
     shared = each.groupBy("label", "gram").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
     shared = written(shared.withColumn("id", F.monotonically_increasing_id()))
-    ranked = each.join(shared, ["label", "gram"]).groupBy("label", "seq", "size").agg(F.sort_array(F.collect_list(F.struct("f", "id"))).alias("g"))
-    need = F.ceil(F.col("size") * t - 1e-9).cast("int")
-    ranked = written(ranked.withColumn("k", F.least(F.lit(MATCHES), need)).withColumn("lone", F.col("size") - F.size("g")).withColumn("ids", F.col("g.id")))
+    h = F.xxhash64("id")
+    flips = [F.bit_xor(F.when(h.bitwiseAND(F.lit(SKETCH - 1)) == w, F.expr("shiftleft(1L, CAST(shiftright(xxhash64(id), 8) & 63 AS int))")).otherwise(F.lit(0).cast("long"))).alias(f"s{w}") for w in range(SKETCH)]
+    ranked = each.join(shared, ["label", "gram"]).groupBy("label", "seq", "size").agg(F.sort_array(F.collect_list(F.struct("f", "id"))).alias("g"), *flips)
+    ranked = written(ranked.withColumn("lone", F.col("size") - F.size("g")).withColumn("ids", F.col("g.id")))
     # grams that no other node has come first in the order, and match nothing
-    most = F.greatest(F.col("size") - need + F.col("k") - F.col("lone"), F.lit(0))
-    prefix = ranked.select("seq", "size", "k", "lone", F.posexplode(F.slice("g", F.lit(1), most)).alias("at", "x"))
-    prefix = prefix.select("seq", "size", "k", (F.col("lone") + F.col("at") + 1).alias("at"), F.col("x.id").alias("id"), F.ceil(F.col("x.f") / PIECE).cast("int").alias("pieces"))
-    side = lambda k: [F.col(c).alias(f"{c}_{k}") for c in ("seq", "size", "k", "at")]
+    most = F.greatest(F.col("size") - F.ceil(F.col("size") * t - 1e-9).cast("int") + 1 - F.col("lone"), F.lit(0))
+    words = [f"s{w}" for w in range(SKETCH)]
+    prefix = ranked.select("seq", "size", "lone", *words, F.posexplode(F.slice("g", F.lit(1), most)).alias("at", "x"))
+    prefix = prefix.select("seq", "size", *words, (F.col("lone") + F.col("at") + 1).alias("at"), F.col("x.id").alias("id"), F.ceil(F.col("x.f") / PIECE).cast("int").alias("pieces"))
+    side = lambda k: [F.col(c).alias(f"{c}_{k}") for c in ("seq", "size", "at", *words)]
     a = prefix.select("id", F.pmod(F.xxhash64("seq"), F.col("pieces")).cast("int").alias("piece"), *side("a"))
     b = prefix.select("id", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), *side("b"))
     sum_of = F.col("size_a") + F.col("size_b")
     bound = F.least("at_a", "at_b") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
-    may = (F.col("size_b") >= F.col("size_a") * t - 1e-9) & (F.col("size_a") >= F.col("size_b") * t - 1e-9) & (bound >= sum_of * (t / (1 + t)) - 1e-9)
-    met = a.join(b, ["id", "piece"]).filter((F.col("seq_a") < F.col("seq_b")) & may)
-    candidates = met.groupBy("seq_a", "seq_b").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("k_a", "k_b")).alias("k")).filter("n >= k").select("seq_a", "seq_b")
+    apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words), F.lit(0))
+    may = (F.col("size_b") >= F.col("size_a") * t - 1e-9) & (F.col("size_a") >= F.col("size_b") * t - 1e-9)
+    may &= (bound >= sum_of * (t / (1 + t)) - 1e-9) & (apart <= sum_of * ((1 - t) / (1 + t)) + 1e-9)
+    candidates = a.join(b, ["id", "piece"]).filter((F.col("seq_a") < F.col("seq_b")) & may).select("seq_a", "seq_b").distinct()
     of = lambda k: ranked.select(*[F.col(c).alias(f"{c}_{k}") for c in ("seq", "size", "ids")], *["label"] * (k == "a"))
     both = candidates.join(of("a"), "seq_a").join(of("b"), "seq_b")
     common = F.size(F.array_intersect("ids_a", "ids_b"))

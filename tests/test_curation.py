@@ -303,8 +303,6 @@ def test_batch_prompts_and_loose_extraction(spark):
     assert generate.extract_loose('{"a": 1} and {"b": {"c": 2}} [') == [{"a": 1}, {"b": {"c": 2}}] and generate.extract_loose(None) == []
 
 
-def test_near_pairs_with_pieces_and_many_matches(spark, monkeypatch):
+def test_near_pairs_with_pieces(spark, monkeypatch):
     monkeypatch.setattr(near, "PIECE", 3)
     test_near_pairs_equal_brute_force(spark)
-    monkeypatch.setattr(near, "MATCHES", 1)
-    test_near_pairs_equal_brute_force(spark)
