@@ -31,6 +31,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -38,9 +39,11 @@ from .common import WARM, fields, given_back, name_of, row_of
 from .hashing import mix
 
 #: Distinct pre-tokens of one generation of what a worker remembers, and pairs of ids; results don't depend on it.
-GENERATION, PAIRS = 300_000, 200_000
+GENERATION, PAIRS = 150_000, 200_000
 #: Pre-tokens looked up, and ids decoded, at once.
-PIECES, DECODED = 1 << 19, 1 << 18
+PIECES, DECODED = 1 << 17, 1 << 18
+#: Bytes of values that make one batch of results; a longer value makes a batch alone.
+BATCH_BYTES = 1 << 21
 #: Longer pre-tokens are not remembered.
 CACHE_BYTES = 64
 
@@ -328,6 +331,11 @@ class Encoder(dict):
             if len(raw) > CACHE_BYTES:
                 del self[x]
 
+    def forget(self):
+        """Leaves the newer generation alone, for the next task; workers that wait hold no more than that."""
+        self.older = {}
+        self.pairs.clear()
+
     def decode(self, packed: list[bytes | None]) -> list[bytes]:
         """The bytes of each value, some values at once."""
         out, some, held = [], [], 0
@@ -366,6 +374,17 @@ def _encoder(key: str, shared, pattern: str) -> Encoder:
     return _last[key]
 
 
+def _stretches(values: pa.Array):
+    """Start and number of rows of each stretch of values that BATCH_BYTES hold, of one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values.cast(pa.large_binary())), 0).to_numpy())
+    start = 0
+    while start < len(values):
+        most = BATCH_BYTES + (ends[start - 1] if start else 0)
+        stop = max(start + 1, int(np.searchsorted(ends, most, "right")))
+        yield start, stop - start
+        start = stop
+
+
 def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results: list[T.StructField], work, keep_source: bool = True) -> DataFrame:
     """docs with the results of work, which makes columns of a column of values."""
     names = [f.name for f in results]
@@ -379,10 +398,16 @@ def _mapped(docs: DataFrame, ranks_path: str, pattern: str, source: str, results
 
     def run(batches):
         encoder = _encoder(key, shared, pattern)
-        for batch in batches:
-            columns = work(encoder, (x.as_py() for x in batch.column(0)))
-            arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names=["_row", *names])
+        try:
+            for batch in batches:
+                for start, n in _stretches(batch.column(0)):
+                    part = batch.slice(start, n)
+                    columns = work(encoder, (x.as_py() for x in part.column(0)))
+                    arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+                    del columns
+                    yield pa.RecordBatch.from_arrays([part.column(1), *arrays], names=["_row", *names])
+        finally:
+            encoder.forget()
 
     return docs.mapInArrow(given_back(run, keep=True), schema).select(*fields("_row", passed), *names)
 

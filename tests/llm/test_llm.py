@@ -7,10 +7,12 @@ import os
 import random
 import re
 import struct
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -292,6 +294,49 @@ def test_bpe_of_long_pre_tokens(monkeypatch):
         assert [x.decode() for x in e.decode(e.encode(texts))] == texts
 
 
+def bpe_batches(spark, monkeypatch, texts):
+    """What encode_and_decode makes of one Arrow batch of texts, batch by batch; in this process."""
+    tasks, rows = [], spark.createDataFrame([], "k long, text string")
+    mapped = type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, f, schema: tasks.append(f) or mapped(self, f, schema))
+    bpe.encode_and_decode(rows, RANKS, public_tokenizers.PATTERN)
+    number = pa.StructArray.from_arrays([pa.array(range(len(texts)), pa.int64())], names=["k"])
+    return tasks[0](iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), number], names=["_source", "_row"])]))
+
+
+def test_bpe_needs_memory_for_a_part_of_a_batch(spark, monkeypatch):
+    rng = random.Random(12)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(vocab, k=1000)) for _ in range(2400)]
+    assert sum(map(len, texts)) > 11e6
+    list(bpe_batches(spark, monkeypatch, texts[:1]))  # the tables of a worker
+    monkeypatch.undo()
+    batches, n = bpe_batches(spark, monkeypatch, texts), 0
+    tracemalloc.start()
+    try:
+        for b in batches:
+            n += b.num_rows
+            assert b.nbytes < 8e6
+            del b
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(texts) and most < 30e6
+
+
+def test_bpe_by_parts_of_batches(spark, monkeypatch):
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    texts = [None, "", "é漢 " * 40, "a", None, "b c", "", "x y z " * 20, "end", None]
+    for size in (1, 9, 121, 10_000):
+        monkeypatch.setattr(bpe, "BATCH_BYTES", size)
+        got = [r for b in bpe_batches(spark, monkeypatch, texts) for r in b.to_pylist()]
+        assert [r["_row"]["k"] for r in got] == list(range(len(texts)))
+        for text, r in zip(texts, got, strict=True):
+            want = own.encode_ordinary(text or "")
+            assert r["token_ids"] == struct.pack(f"<{len(want)}I", *want) and r["n_tokens"] == len(want) and r["decoded"] == (text or "").encode()
+        monkeypatch.undo()
+
+
 @pytest.mark.parametrize("first", [0, 70_000, 20_000_000])
 def test_bpe_of_any_ranks(first):
     """Ranks that merging could not have built, and ranks of any height."""
