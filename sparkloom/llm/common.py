@@ -8,9 +8,11 @@ import gc
 import time
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space between words: space and U+0009 to U+000D.
 BLANKS = " \t\n\u000b\f\r"
@@ -129,6 +131,29 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def whole_groups(batches, keys: int):
+    """(table, starts) of whole groups, of batches sorted by their first columns; a group is never cut, so the largest bounds the memory."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        held = t if held is None else pa.concat_tables([held, t])
+        starts = group_starts(held, keys)
+        if len(starts) > 1:
+            yield held.slice(0, starts[-1]), starts[:-1]
+            held = held.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held, group_starts(held, keys)
+
+
+def group_starts(t: pa.Table, keys: int) -> np.ndarray:
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for k in range(keys):
+        x = t.column(k).to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
 def join_known(rows: DataFrame, known: DataFrame, key: str, weight: str, spread: str) -> DataFrame:
     """rows left-joined with known, which has one row per key and the rows' number per key in `weight`.
 
@@ -145,15 +170,18 @@ def join_known(rows: DataFrame, known: DataFrame, key: str, weight: str, spread:
 
 
 def lookup(rows: DataFrame, key: str, table: DataFrame, table_key: str, value: str, spread: str) -> DataFrame:
-    """rows with `value` of the row of table that has their key, null if none; table has one row a key.
+    """rows with `value` of the row of table that has their key, a long or a string, null if none; table has one row a key.
 
     Hot keys are dealt with as in join_known: the HOT_KEYS most frequent ones go by broadcast.
     """
+    filler = F.xxhash64(spread)  # rows that need no join; a string's filler holds a control character that no key of ours has
+    if isinstance(rows.schema[key].dataType, T.StringType):
+        filler = F.concat(F.lit("\u0001"), filler.cast("string"))
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").orderBy(F.desc("_n"), key).limit(HOT_KEYS)
     t = table.select(F.col(table_key).alias("_key"), F.col(value).alias("_value"))
     hot = counts.select(F.col(key).alias("_hot")).join(t, F.col("_hot") == F.col("_key"), "left").select("_hot", F.col("_value").alias("_hot_value"))
     marked = rows.join(F.broadcast(hot), rows[key] == hot["_hot"], "left")
-    cold_key = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(F.xxhash64(spread))
+    cold_key = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(filler)
     out = marked.withColumn("_cold", cold_key).join(t, F.col("_cold") == F.col("_key"), "left")
     got = F.when(F.col("_hot").isNotNull(), F.col("_hot_value")).when(F.col(key).isNotNull(), F.col("_value"))
     return out.select(*rows.columns, got.alias(value))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licences, line_rules
+from . import licences, line_rules, pigeonhole
 
 
 def _text(value: str) -> str:
@@ -66,4 +66,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
-ORACLES = {"op1_license_scan": OP1, "op6_quality_rules": OP6}
+OP12 = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) > 0
+  AND list_bool_and([c IS NOT NULL AND isfinite(c) FOR c IN x]) AND list_bool_or([c <> 0 FOR c IN x])),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= CAST({pigeonhole.COSINE} AS DOUBLE)),
+reached AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reached r JOIN link l ON r.b = l.a),
+low AS (SELECT a, min(b) AS least FROM reached GROUP BY 1),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(low.least, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(low.least, vec_id)) AS kept
+FROM v LEFT JOIN n ON vec_id = n.a LEFT JOIN low ON vec_id = low.a
+"""
+
+ORACLES = {"op1_license_scan": OP1, "op6_quality_rules": OP6, "op12_embedding_dedup": OP12}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, langid, licences, line_rules, mixing, oracles, recompress, simhash, suffixes
+from . import ann, bpe, chat, langid, licences, line_rules, mixing, oracles, pigeonhole, recompress, simhash, spelling, suffixes, whitening
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -68,7 +68,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_byte_bpe, op4_simhash_dedup, op5_suffix_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op9_nearest_neighbours, op10_language_id)}
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pigeonhole.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")).select("vec_id", *pigeonhole.RESULTS)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_substring_dedup, op3_byte_bpe, op4_simhash_dedup, op5_suffix_dedup, op6_quality_rules, op7_source_mixing, op8_chat_format, op9_nearest_neighbours, op10_language_id, op11_embedding_whitening, op12_embedding_dedup, op13_spelling_variants)}
 
 
 def queries() -> dict:
