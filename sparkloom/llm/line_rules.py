@@ -2,8 +2,9 @@
 
 Native: DataFrame functions only. Lines are normalised and hashed, the distinct documents that hold
 a line are counted per host, lines above the limit are removed from the text, and a document that
-loses too much of itself is rejected. Exact copies count as one document here, so a page is not rejected for
-having been copied; near-dedup deals with copies.
+loses too much of itself is rejected. A page that is copied often so loses its lines; a caller that
+removes copies later can count equal texts once (`count="texts"`), and then it keeps them. Lines and
+documents are known by 64-bit hashes.
 
 Defined results: a null or blank text has no words and fails the base rules; null hosts form one
 host of their own; rows that repeat a doc_id are judged one by one by their own text; an empty table
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fields, join_known, name_of, row_of, stored, words
+from .common import fields, join_known, lookup, name_of, row_of, stored, words
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -26,14 +27,14 @@ MAX_HOST_SHARE = 0.02
 MAX_REMOVED_SHARE = 0.5
 
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-#: The text without its removed lines; a result that `quality_rules` returns beside the others.
+#: The text without its removed lines, and their number; results that `quality_rules` returns beside the others.
 CLEAN_TEXT = "clean_text"
+CLEAN = ("n_removed_lines", CLEAN_TEXT)
 
 
 def normalised_line(line: Column) -> Column:
-    """Lower case, with each run of anything but letters and digits as one space; null if nothing is left."""
-    bare = F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
-    return F.when(bare != "", bare)
+    """Lower case, with each run of anything but letters and digits as one space."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
 def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -65,42 +66,54 @@ def with_base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return d.withColumn("base_failed", failed & fence).drop("_t", "_w", "_l", "_h", "_b", "_m", "_s", "_p")
 
 
-def removed_lines(docs: DataFrame, text: str = "text", host: str = "source", min_documents: int = MIN_LINE_DOCUMENTS, max_share: float = MAX_HOST_SHARE) -> DataFrame:
-    """One row per line that has a word: _row (a hash of the document's own row), _at (its place among the lines), n_line (its words), and `known` if it is removed.
+def line_hashes(docs: DataFrame) -> DataFrame:
+    """(_row, _host, n, h), arrays with a place for each line: its words, and the hash of host and normalised line, null if nothing is left of it."""
+    host = F.col("_host.h")
+    lines = docs.select("_row", "_host", F.split(F.coalesce(F.col("text"), F.lit("")), "\n").alias("_l"))
+    hashed = F.transform("_l", lambda x: F.when(x.rlike(r"[\p{L}\p{N}]"), F.xxhash64(normalised_line(x), host, host.isNull())))
+    return lines.select("_row", "_host", F.transform("_l", lambda x: F.size(words(x))).alias("n"), hashed.alias("h"))
 
-    A line is removed if over max(min_documents, max_share of the host's distinct documents) distinct
-    documents of its host hold it.
+
+def removed_lines(lines: DataFrame, count: str = "documents", min_documents: int = MIN_LINE_DOCUMENTS, max_share: float = MAX_HOST_SHARE) -> DataFrame:
+    """(_row, _at, n_line) of each line that is removed: its document's hash, its place and its words; lines as `line_hashes` makes them.
+
+    A line is removed if over max(min_documents, max_share of the host's documents) documents of its
+    host hold it. `count`: "documents" counts every row, "texts" rows of equal text once.
     """
-    d = docs.select(F.xxhash64(text).alias("_text"), F.struct(F.col(host).alias("h")).alias("_host"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("_at", "_line"))
-    d = d.withColumn("n_line", F.size(words("_line"))).filter("n_line > 0")
-    d = d.select(F.xxhash64("_text", "_host.h").alias("_row"), "_text", "_host", "_at", "n_line", normalised_line(F.col("_line")).alias("_norm"))
-    d = d.withColumn("_line", F.when(F.col("_norm").isNotNull(), F.xxhash64(F.col("_norm"), F.col("_host.h"), F.col("_host.h").isNull()))).drop("_norm")
-    per_line = d.filter("_line IS NOT NULL").groupBy("_host", "_line", "_text").agg(F.count(F.lit(1)).alias("n"))
-    per_line = per_line.groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("weight")).filter(F.col("n_docs") > min_documents)
-    hosts = docs.select(F.xxhash64(text).alias("_text"), F.struct(F.col(host).alias("h")).alias("_host")).distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("host_docs"))
-    frequent = stored(per_line.join(hosts, "_host").filter(F.col("n_docs") > max_share * F.col("host_docs")).select("_line", "weight"))
-    return join_known(d, frequent, "_line", "weight", "_row")
+    if count not in ("documents", "texts"):
+        raise ValueError("count is documents or texts")
+    counted = lines if count == "documents" else lines.groupBy("_row", "_host").agg(F.first("h").alias("h"))
+    # a document holds a line once, however often; so what leaves a task is one number for each line it met
+    held = counted.select("_host", F.explode(F.array_compact(F.array_distinct("h"))).alias("_line"))
+    per_line = held.groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > min_documents)
+    hosts = counted.groupBy("_host").agg(F.count(F.lit(1)).alias("host_docs"))
+    frequent = stored(per_line.join(hosts, "_host").filter(F.col("n_docs") > max_share * F.col("host_docs")).select("_line", F.col("n_docs").alias("weight")))
+    each = lines.select("_row", F.posexplode(F.arrays_zip("n", "h")).alias("_at", "_x")).select("_row", "_at", F.col("_x.n").alias("n_line"), F.col("_x.h").alias("_line"))
+    each = each.filter("n_line > 0 AND _line IS NOT NULL").withColumn("_spread", F.monotonically_increasing_id())
+    return join_known(each, frequent, "_line", "weight", "_spread").filter("known").select("_row", "_at", "n_line")
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", max_removed_share: float = MAX_REMOVED_SHARE, **limits) -> DataFrame:
-    """docs with the counts, base_failed, kept and clean_text; see the module for edge cases.
+    """docs with the counts, base_failed, kept, n_removed_lines and clean_text; see the module for edge cases.
 
     clean_text is the text without its removed lines; counts and base rules are of the text as it came.
     A document is depleted if clean_text lacks over max_removed_share of its words. Equal rows lose the
     same places, so they share one list of them.
     """
-    results = (*RESULTS, CLEAN_TEXT)
+    results = (*RESULTS, *CLEAN)
     columns = [c for c in docs.columns if c not in results or c in (text, host)]
     others = [c for c in columns if c != text]
-    docs = docs.select(row_of(others).alias("_doc"), name_of(text).alias("text"), name_of(host).alias("host"))
-    gone = removed_lines(docs, "text", "host", **limits).filter("known").groupBy("_row").agg(F.collect_set(F.struct("_at", "n_line")).alias("_gone"))
-    gone = gone.select("_row", F.expr("aggregate(_gone, 0L, (a, x) -> a + x.n_line)").alias("_lost"), F.col("_gone._at").alias("_places"))
-    base = with_base_counts(docs.select("_doc", "text", F.xxhash64(F.xxhash64("text"), "host").alias("_row")), "text")
-    judged = base.join(gone, "_row", "left")
-    depleted = F.coalesce(F.col("_lost") > max_removed_share * F.col("n_words"), F.lit(False))
-    judged = judged.withColumn("_lines", F.when(F.col("_places").isNotNull(), F.split("text", "\n")))
-    left = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), _places), i -> _lines[i]), '\n')")
-    judged = judged.withColumn(CLEAN_TEXT, F.when(F.col("_places").isNotNull(), left).otherwise(F.col("text")))
+    docs = docs.select(row_of(others).alias("_doc"), name_of(text).alias("text"), F.struct(name_of(host).alias("h")).alias("_host"))
+    docs = docs.withColumn("_row", F.xxhash64(F.xxhash64("text"), "_host.h", F.col("_host.h").isNull()))
+    gone = removed_lines(stored(line_hashes(docs)), **limits).groupBy("_row").agg(F.collect_set(F.struct("_at", "n_line")).alias("_gone"))
+    gone = gone.select(F.col("_row").alias("_r"), F.struct(F.expr("aggregate(_gone, 0L, (a, x) -> a + x.n_line)").alias("lost"), F.col("_gone._at").alias("places")).alias("_lost"))
+    base = with_base_counts(docs.select("_doc", "text", "_row"), "text").withColumn("_spread", F.monotonically_increasing_id())
+    judged = lookup(base, "_row", gone, "_r", "_lost", "_spread")
+    depleted = F.coalesce(F.col("_lost.lost") > max_removed_share * F.col("n_words"), F.lit(False))
+    judged = judged.withColumn("_lines", F.when(F.col("_lost").isNotNull(), F.split("text", "\n")))
+    left = F.expr("array_join(transform(array_except(sequence(0, size(_lines) - 1), _lost.places), i -> _lines[i]), '\n')")
+    judged = judged.withColumn(CLEAN_TEXT, F.when(F.col("_lost").isNotNull(), left).otherwise(F.col("text")))
+    judged = judged.withColumn("n_removed_lines", F.coalesce(F.size("_lost.places"), F.lit(0)).cast("long"))
     judged = judged.withColumn("kept", ~F.col("base_failed") & ~depleted)
     back = {c: f for c, f in zip(others, fields("_doc", others), strict=True)} | {text: F.col("text").alias(text)}
     return judged.select(*(back[c] for c in columns), *(c for c in results if c not in columns))

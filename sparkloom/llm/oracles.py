@@ -31,7 +31,7 @@ FROM d LEFT JOIN known k ON d.licence_digest = k.licence_digest
 """
 
 OP6 = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source, md5(coalesce(text, '')) AS body, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+WITH d AS (SELECT doc_id, text AS given, coalesce(text, '') AS text, source, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 k AS (
   SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
 win AS (
@@ -41,26 +41,29 @@ rep AS (
 cover AS (
   SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM rep, (VALUES (0), (1), (2)) AS o(j) GROUP BY 1),
 ln AS (
-  SELECT doc_id, source, body, unnest(string_split(text, chr(10))) AS line FROM d),
+  SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM d),
 lw AS (
-  SELECT doc_id, source, body, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n,
+  SELECT doc_id, source, line, place, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n,
          nullif(trim(regexp_replace(lower(line), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), '') AS norm
   FROM ln WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lw GROUP BY 1),
 freq AS (
-  SELECT f.source, f.norm FROM (SELECT source, norm, count(DISTINCT body) AS n FROM lw WHERE norm IS NOT NULL GROUP BY 1, 2) f
-  JOIN (SELECT source, count(DISTINCT body) AS m FROM d GROUP BY 1) h ON f.source IS NOT DISTINCT FROM h.source
+  SELECT f.source, f.norm FROM (SELECT source, norm, count(DISTINCT doc_id) AS n FROM lw WHERE norm IS NOT NULL GROUP BY 1, 2) f
+  JOIN (SELECT source, count(*) AS m FROM d GROUP BY 1) h ON f.source IS NOT DISTINCT FROM h.source
   WHERE f.n > {line_rules.MIN_LINE_DOCUMENTS} AND f.n > CAST({line_rules.MAX_HOST_SHARE} AS DOUBLE) * h.m),
-lost AS (
-  SELECT doc_id, sum(CASE WHEN f.norm IS NOT NULL THEN n ELSE 0 END) AS lost, sum(n) AS total
-  FROM lw LEFT JOIN freq f ON lw.norm = f.norm AND lw.source IS NOT DISTINCT FROM f.source GROUP BY 1),
+gone AS (
+  SELECT doc_id, place, n FROM lw JOIN freq f ON lw.norm = f.norm AND lw.source IS NOT DISTINCT FROM f.source),
+lost AS (SELECT doc_id, sum(n) AS lost, count(*) AS n_removed_lines FROM gone GROUP BY 1),
+clean AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone.n IS NULL), '') AS clean FROM ln LEFT JOIN gone USING (doc_id, place) GROUP BY 1),
 base AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-         coalesce(lost > CAST({line_rules.MAX_REMOVED_SHARE} AS DOUBLE) * total, false) AS depleted
-  FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN lost USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+         coalesce(lost > CAST({line_rules.MAX_REMOVED_SHARE} AS DOUBLE) * len(w), false) AS depleted, CAST(coalesce(n_removed_lines, 0) AS BIGINT) AS n_removed_lines,
+         CASE WHEN given IS NOT NULL THEN md5(clean) END AS clean_md5
+  FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN lost USING (doc_id) LEFT JOIN clean USING (doc_id))
+SELECT doc_id, n_removed_lines, clean_md5, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED_PERCENT} * n_words AS base_failed,
        NOT (n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED_PERCENT} * n_words) AND NOT depleted AS kept
 FROM base

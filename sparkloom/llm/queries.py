@@ -43,7 +43,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return line_rules.quality_rules(docs).select("doc_id", *line_rules.RESULTS)
+    return line_rules.quality_rules(docs).select("doc_id", *line_rules.RESULTS, "n_removed_lines", F.md5(F.col(line_rules.CLEAN_TEXT).cast("binary")).alias("clean_md5"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -356,6 +356,21 @@ def test_bpe_of_any_ranks(first):
         e.decode([struct.pack("<I", 256 + first + len(tokens))])
 
 
+def test_a_vocabulary_without_a_byte_raises(spark, tmp_path):
+    import base64
+
+    path = f"{tmp_path}/few.tiktoken"
+    with open(path, "wb") as f:
+        f.write(b"".join(base64.b64encode(bytes([b])) + b" %d\n" % i for i, b in enumerate(range(97, 105))))
+    few = spark.createDataFrame([("abc abcd",)], "text string")
+    with pytest.raises(Exception, match="no token for byte 32"):
+        bpe.encode(few, path, "[a-z]+| ").collect()
+    assert [r.n_tokens for r in bpe.encode(few.select(F.lit("abch").alias("text")), path, "[a-z]+| ").collect()] == [4]
+    alone = bpe.Encoder(bpe.read_ranks(path), "[a-z]+")
+    with pytest.raises(ValueError, match="no token for byte 122"):
+        alone.merge(b"abz")
+
+
 def test_quality_rules_equal_brute_force(spark, docs):
     got = {r.doc_id: r for r in line_rules.quality_rules(docs).collect()}
     for r in rows_of(docs):
@@ -376,8 +391,34 @@ def test_quality_rules_reject_depleted_documents_only(spark):
     rows = [(k, menu.upper() if k % 2 else menu, "h") for k in range(30)]
     rows = [(k, f"{t}\n" * 3 + own(k)[:60] + "\n" + " ".join(f"v{k}x{i}" for i in range(12)), h) for k, t, h in rows]
     rows += [(100 + k, own(k) + "\n" + menu, "h") for k in range(5)] + [(200 + k, menu + "\n" + own(k), "other") for k in range(5)] + [(300 + k, own(77), "h") for k in range(40)]
-    got = {r.doc_id: r.kept for r in line_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    judged = lambda **x: {r.doc_id: r.kept for r in line_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string"), **x).collect()}
+    got = judged(count="texts")
     assert not any(got[k] for k in range(30)) and all(got[k] for k in got if k >= 100)
+    got = judged()  # the page copied 40 times loses its lines as well
+    assert not any(got[k] for k in range(30)) and {k for k in got if k >= 100 and not got[k]} == {300 + k for k in range(40)}
+    with pytest.raises(ValueError, match="documents or texts"):
+        judged(count="lines")
+
+
+def brute_lines(rows, limit=10, share=0.02):
+    """{id: text without the lines that too many documents of its host hold}."""
+    norm = lambda x: " ".join(re.findall(r"[^\W_]+", x.lower()))
+    held, hosts = Counter(), Counter(h for _, _, h in rows)
+    for _, text, h in rows:
+        held.update({(h, norm(x)) for x in (text or "").split("\n") if norm(x)})
+    often = {k for k, n in held.items() if n > limit and n > share * hosts[k[0]]}
+    stays = lambda x, h: (h, norm(x)) not in often
+    return {i: (text and "\n".join(x for x in text.split("\n") if stays(x, h)), sum(not stays(x, h) for x in (text or "").split("\n"))) for i, text, h in rows}
+
+
+def test_removed_lines_equal_brute_force(spark):
+    rng = random.Random(6)
+    common = ["Subscribe now!", "menu | home", "ÉCOLE 12", "***", "", "read MORE"]
+    line = lambda: rng.choice(common) if rng.random() < 0.4 else " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(1, 12)))
+    rows = [(i, None if i % 50 == 7 else "\n".join(line() for _ in range(rng.randrange(0, 9))), rng.choice(["a", "a", "b", None])) for i in range(300)]
+    rows += [(300 + i, rows[3][1], "b") for i in range(15)]
+    got = {r.doc_id: (r.clean_text, r.n_removed_lines) for r in line_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).collect()}
+    assert got == brute_lines(rows) and sum(n for _, n in got.values()) > 100
 
 
 def test_quality_rules_remove_lines_above_the_limits(spark):
@@ -386,7 +427,7 @@ def test_quality_rules_remove_lines_above_the_limits(spark):
     rows += [(30, rows[0][1], "a"), (31, f"read more\n{own(31, 60)}", "b"), (32, None, "a"), (33, f"{own(33, 60)}\n", "a")]
     got = {r.doc_id: r for r in line_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     for i, text, _ in rows:
-        assert got[i].text == text
+        assert got[i].text == text and got[i].n_removed_lines == (2 if i <= 30 else 0)
         assert got[i].clean_text == (f"{own(i % 30, 60)}\n\nlast {i % 30}" if i <= 30 else text)
         assert got[i].kept == (i != 32)
 

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__
 
@@ -99,7 +100,40 @@ def test_quality_stage_returns_texts_without_frequent_lines(spark):
     assert len(got) == 20 and all("subscribe" not in r.text and r.n_chars == len(r.text) for r in got)
 
 
+CLASHING = ("kept", "n_words", "clean_text", "n_removed", "size", "rate", "copies", "taken", "target", "_copy", "_row", "_sha256", "fp", "component_id", "decoded", "a.b")
+
+
+def through(spark, docs):
+    out = [docs]
+    for _, stage in pipeline.STAGES:
+        out.append(pipeline.stored(stage(spark, out[-1], "")))
+    return out[1:]
+
+
+def test_stages_keep_every_column_and_its_values(spark):
+    rows = [(i, " ".join(f"v{(i // 2 * 7 + j) % 90}w{j}" for j in range(70 + i)), "en", f"s{i % 3}") for i in range(12)]
+    rows += [rows[0], rows[0], (None, rows[5][1], None, None), (None, None, None, None), (20, "", "en", "s1"), (21, "y " * 5, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    df = df.select("*", *(F.concat_ws("-", F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING))
+    after = through(spark, df)
+    want = {r.doc_id: tuple(r)[4:] for r in df.collect()}
+    for out in after[:4]:
+        assert out.columns == df.columns and out.count()
+        assert all(tuple(r)[4:] == want[r.doc_id] for r in out.collect())
+    assert [r.doc_id for r in after[1].collect()].count(0) == 1
+    last = after[4]
+    assert last.columns == [c for c in df.columns if c != "text"] + ["n_tokens", "token_ids", "round_trip"]
+    assert all(tuple(r)[3:-3] == want[r.doc_id] and r.round_trip for r in last.collect())
+
+
+def test_stages_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars int")
+    after = through(spark, df)
+    assert all(x.columns == df.columns and x.count() == 0 for x in after[:4]) and after[4].count() == 0
+    assert after[3].schema["n_chars"].dataType == df.schema["n_chars"].dataType
+
+
 def test_every_operator_has_its_query():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert set(__spark_entry__.oracle_sql()) <= set(names)
