@@ -46,6 +46,8 @@ HUGE = 1e15
 ROUNDS = 8
 #: Entries of one list that one task takes, about.
 PIECE = 65_536
+#: Queries whose lists are chosen at once, so that queries times lists stay small.
+PROBED = 256
 
 
 def usable(vector: str) -> F.Column:
@@ -180,17 +182,18 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, ident: str = "vec
     pieces = np.maximum(1, -(-sizes // PIECE))
 
     def probe(batches):
-        for b in batches:
-            x = vectors_of(b.column(1), d)
-            order = np.argsort(-(scaled(x)[0] @ shared.value.centroids.T), axis=1, kind="stable")
-            seen = np.cumsum(sizes[order], axis=1) - sizes[order]
-            take = (np.arange(index.lists)[None, :] < index.probes) | (seen < k + 1)
-            row, at = np.nonzero(take)
-            lists = order[row, at]
-            times = pieces[lists]
-            row, lists = np.repeat(row, times), np.repeat(lists, times)
-            piece = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(lists, pa.int32()), pa.array(piece, pa.int32()), b.column(1).take(pa.array(row))], names=["query", "list", "piece", "q"])
+        for batch in batches:
+            for b in (batch.slice(a, PROBED) for a in range(0, batch.num_rows, PROBED)):
+                x = vectors_of(b.column(1), d)
+                order = np.argsort(-(scaled(x)[0] @ shared.value.centroids.T), axis=1, kind="stable")
+                seen = np.cumsum(sizes[order], axis=1) - sizes[order]
+                take = (np.arange(index.lists)[None, :] < index.probes) | (seen < k + 1)
+                row, at = np.nonzero(take)
+                lists = order[row, at]
+                times = pieces[lists]
+                row, lists = np.repeat(row, times), np.repeat(lists, times)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(lists, pa.int32()), pa.array(piece, pa.int32()), b.column(1).take(pa.array(row))], names=["query", "list", "piece", "q"])
 
     asked = q.select("query", "q").mapInArrow(given_back(probe), f"query long, list int, piece int, q {kind}")
     size_of = F.array(*map(F.lit, pieces.tolist()))

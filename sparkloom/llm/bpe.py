@@ -18,7 +18,8 @@ broadcast; its size is that of one vocabulary, whatever the corpus.
 Defined results: a null or empty text has no tokens; texts are encoded whole, special tokens' strings
 as ordinary text; rows are independent, so repeated rows and ids change nothing; an empty table gives
 an empty result; input columns named like a result are replaced, all others pass through. Decoding a
-null gives empty bytes; an id outside the vocabulary raises.
+null gives empty bytes; an id outside the vocabulary raises, and so does encoding a text with a byte
+that the vocabulary has no token for.
 """
 
 from __future__ import annotations
@@ -103,6 +104,8 @@ class Encoder(dict):
         if whole is not None:
             return [whole]
         ids = list(map(self.bytes.__getitem__, piece))
+        if None in ids:
+            raise ValueError(f"the vocabulary has no token for byte {piece[ids.index(None)]}")
         n, pair, one = len(ids), self.pairs.__getitem__, self.bit
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         at = list(map(pair, zip(ids, ids[1:], strict=False)))
@@ -193,6 +196,8 @@ class Encoder(dict):
         ends = np.cumsum(size)
         n, of = int(ends[-1]), np.repeat(np.arange(len(raws)), size)
         ids = np.append(self.byte_ids[np.frombuffer(b"".join(raws), np.uint8)], -1)
+        if (ids[:n] < 0).any():
+            raise ValueError(f"the vocabulary has no token for byte {b''.join(raws)[int((ids[:n] < 0).argmax())]}")
         after, before = np.arange(1, n + 2), np.arange(-1, n)
         after[ends - 1], after[n], before[ends - size] = n, n, n  # n: no place
         at = np.append(self.pair_ranks(ids[:n], ids[after[:n]]), -1)

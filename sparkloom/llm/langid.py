@@ -16,8 +16,8 @@ columns named like a result are replaced, all others pass through.
 
 from __future__ import annotations
 
-
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fields, given_back, name_of, row_of
+from .common import WARM, empty_caches, fields, given_back, name_of, row_of
 
 SAMPLE_ROWS = 20_000
 GRAM_LENGTHS = (5, 4, 3, 2, 1)
@@ -116,21 +116,33 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_rows
     return languages, known, parts
 
 
+#: The scorer of the query a worker was last at, by the query's key.
+SCORERS: dict = {}
+WARM.append(SCORERS)
+
+
+def _scorer(key: str, shared) -> Scorer:
+    if key not in SCORERS:
+        empty_caches()
+        SCORERS[key] = Scorer(*shared.value)
+    return SCORERS[key]
+
+
 def identify(docs: DataFrame, model, text: str = "text") -> DataFrame:
     """docs with lang_pred and score, the share of the best language among all."""
     results = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     passed = [c for c in docs.columns if c not in ("lang_pred", "score") or c == text]
     docs = docs.select(name_of(text).alias("_text"), row_of(passed).alias("_row"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches):
-        scorer = Scorer(*shared.value)
+        scorer = _scorer(key, shared)
         for batch in batches:
             got = [scorer.predict(x.as_py()) for x in batch.column(0)]
             arrays = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names=["_row", "lang_pred", "score"])
 
-    out = docs.mapInArrow(given_back(run), T.StructType([docs.schema["_row"], *results]))
+    out = docs.mapInArrow(given_back(run, keep=True), T.StructType([docs.schema["_row"], *results]))
     return out.select(*fields("_row", passed), "lang_pred", "score")
 
 
