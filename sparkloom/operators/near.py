@@ -1,29 +1,45 @@
-"""Exact n-gram similarity self-join within labels, and greedy first-wins dedup on it.
-
-Rows whose gram sets are equal are one node: the first suppresses the others, or is suppressed with
-them. Nodes are joined by prefix filtering: with grams in ascending order of their frequency in the
-label, two sets of Jaccard similarity t or more share a gram among the first |A| - ceil(t |A|) + 1 of
-each. Two bounds stop most of the pairs that meet there, before they are counted as candidates: the
-common gram's places in both sets bound the overlap, and sketches of SKETCH words, in which each gram
-flips one bit, differ in no more bits than the sets differ in grams. Candidates are verified exactly,
-on numbers that stand for the grams. A frequent gram is split: one side is dealt into pieces of PIECE
-rows, the other goes to each of them.
+"""Exact n-gram similarity self-join within labels, and greedy first-wins dedup by rounds of leaders.
+
+Rows whose gram sets are equal are one node, that of the first: it suppresses the others, or is
+suppressed with them. Grams are numbers (code points side by side; grams of over three characters are
+64-bit hashes) in one order for all nodes of a label: rare ones first, then the frequent ones (of all labels
+the COMMON most frequent) by rising frequency. Two sets of Jaccard similarity t or more share a gram among the first |A| - ceil(t |A|) + 1
+of each, so nodes meet in buckets of a label and such a gram. Two bounds stop most of the pairs that
+meet there: the common gram's places in both sets bound the overlap, and sketches of SKETCH words, in
+which each gram flips one bit, differ in no more bits than the sets differ in grams. What is left is
+verified on the sets. A bucket is compared in one task; one of over PIECE rows is dealt into pieces, each
+pair of which is a task's worth.
+
+Greedy dedup needs no pair of two dropped nodes. While all pairs of the buckets would be more than FULL
+a row, a round compares only the first rows of each bucket, its leaders, with the bucket. A node that
+leads all its buckets is complete: it has met every earlier node that it could resemble. Complete nodes
+are decided in order; an accepted one has met everything that it suppresses, and retires with it. The
+number of leaders grows by GROWTH a round, and the first node left is always complete, so rounds end. A
+group of n near copies thus costs about n pairs, not their square.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text as X
-
-
 #: Words of 64 bits in a set's sketch.
 SKETCH = 8
-#: Rows of a gram that one piece has.
-PIECE = 2000
+#: Rows of a bucket that one piece has.
+PIECE = 8192
+#: Pairs looked at in one step.
+STEP = 1 << 19
+#: Grams of labels that are put in order of their frequency, and broadcast; all others count as rare.
+COMMON = 1 << 18
+#: Pairs a row, on average, up to which all pairs of the buckets are compared.
+FULL = 2000
+#: Leaders of a bucket in the first round, and by how much they grow.
+LEADERS, GROWTH = 16, 8
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -39,69 +55,267 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gram_numbers(text: str, n: int) -> np.ndarray:
+    """The distinct n-grams of a text in lower case without white space, as numbers in order; a shorter text is its own only gram."""
+    codes = np.frombuffer("".join(text.lower().split()).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    size = min(n, len(codes))
+    if size > 3:
+        step = np.int64(1_000_003)
+        out = np.zeros(len(codes) - size + 1, np.int64)
+        for k in range(size):  # wraps around
+            out = (out ^ codes[k : len(codes) - size + 1 + k]) * step * step
+            out ^= out >> np.int64(29)
+        return np.unique(out)
+    out = np.zeros(max(1, len(codes) - size + 1), np.int64)
+    for k in range(size):
+        out = out << 21 | codes[k : len(codes) - size + 1 + k]
+    return np.unique(out) if size == n else ~out
+
+
 def gram_sets(samples: DataFrame, n: int = 3, label: str = "answer") -> DataFrame:
-    """(seq, label, grams, size, same): `same` is the seq of the first row with this label and gram set."""
-    s = samples.select("seq", F.col(label).alias("label"), X.grams(F.coalesce("question", F.lit("")), n).alias("grams"))
-    s = s.withColumn("size", F.size("grams")).withColumn("_set", F.md5(F.array_join(F.sort_array("grams"), "\x1f").cast("binary")))
-    return s.withColumn("same", F.min("seq").over(Window.partitionBy("label", "_set"))).drop("_set")
+    """(label, seq, grams, size, digest): each row's distinct grams as sorted numbers, and 128 bits that tell sets apart."""
+
+    def run(batches):
+        for b in batches:
+            sets = [gram_numbers(t, n) for t in b.column(2).to_pylist()]
+            size = np.fromiter(map(len, sets), np.int32, len(sets))
+            ends = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+            digest = pa.array([hashlib.blake2b(g, digest_size=16).digest() for g in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, pa.array(flat)), pa.array(size), digest], names=["label", "seq", "grams", "size", "digest"])
+
+    s = samples.select(F.col(label).alias("label"), F.col("seq").cast("long").alias("seq"), F.coalesce("question", F.lit("")).alias("question"))
+    return s.mapInArrow(run, f"label {s.schema['label'].dataType.simpleString()}, seq long, grams array<long>, size int, digest binary")
+
+
+def nodes_of(samples: DataFrame, n: int = 3, label: str = "answer") -> DataFrame:
+    """gram_sets of the first row of each label and set; null labels make none."""
+    sets = gram_sets(samples.filter(F.col(label).isNotNull()), n, label)
+    # copies are one row a task before they are shuffled
+    return sets.groupBy("label", "digest").agg(F.min("seq").alias("seq"), F.first("grams").alias("grams"), F.first("size").alias("size")).drop("digest")
+
+
+def prefixes(nodes: DataFrame, t: float) -> DataFrame:
+    """(bucket, seq, size, width, at, sketch): a row for each of the `width` grams of a node's prefix, `at` its place from 1.
+
+    A bucket is a hash of label and gram; where two fall together their pairs fail verification.
+    """
+    counts = nodes.select("label", F.explode("grams").alias("id")).groupBy("label", "id").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    order: dict = {}
+    for r in counts.orderBy(F.desc("f"), "label", "id").limit(COMMON).collect():
+        order.setdefault(r.label, []).append(r.id)
+    # by label: the common grams in order of their numbers, and their places, the most frequent last
+    common = {}
+    for name, ids in order.items():
+        by_id = np.argsort(np.array(ids, np.int64))
+        common[name] = np.array(ids, np.int64)[by_id], len(ids) - by_id
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    shared = nodes.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches):
+        for b in batches:
+            names = b.column(0).to_pylist()
+            flat, ends = b.column(2).values.to_numpy(), b.column(2).offsets.to_numpy()
+            row, at, ids, width, sketch = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+            for i in range(b.num_rows):
+                g = flat[ends[i] : ends[i + 1]]
+                known, place = shared.value.get(names[i], none)
+                found = np.minimum(np.searchsorted(known, g), max(0, len(known) - 1))
+                rank = np.where(known[found] == g, place[found], 0) if len(known) else np.zeros(len(g), np.int64)
+                w = len(g) - int(np.ceil(t * len(g) - 1e-9)) + 1
+                first = g[np.argsort(rank, kind="stable")[:w]]
+                row.append(np.full(len(first), i))
+                at.append(np.arange(1, len(first) + 1))
+                ids.append(first)
+                width.append(len(first))
+                sketch.append(sketch_of(g))
+            row = np.concatenate(row)
+            take = pa.array(row)
+            out = [b.column(0).take(take), b.column(1).take(take), b.column(3).take(take), pa.array(np.array(width, np.int32)[row]), pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(ids))]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(sketch, pa.binary()).take(take)], names=["label", "seq", "size", "width", "at", "id", "sketch"])
+
+    kind = nodes.schema["label"].dataType.simpleString()
+    rows = nodes.select("label", "seq", "grams", "size").mapInArrow(run, f"label {kind}, seq long, size int, width int, at int, id long, sketch binary")
+    return rows.select(F.xxhash64("label", "id").alias("bucket"), "seq", "size", "width", "at", "sketch")
+
+
+def sketch_of(grams: np.ndarray) -> bytes:
+    """A bit for each gram, flipped; the bit is the top of a product, on which all of the number bears."""
+    h = grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - (64 * SKETCH - 1).bit_length())
+    odd = np.bincount(h.astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _buckets(live: DataFrame) -> DataFrame:
+    return live.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
+
+
+#: Sides of a comparison that a row stands on: the first, the second, or both.
+FIRST, SECOND, BOTH = 0, 1, 2
+ROW = ("seq", "size", "at", "sketch")
+
+
+def _met(t: float):
+    """Rows (bucket, ci, cj, side, seq, size, at, sketch) of whole groups in; pairs that no bound stops out."""
+
+    def run(batches):
+        for table, starts in whole_groups(batches, 3):
+            of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows)))
+            side, seq, size, at = (table.column(c).to_numpy() for c in ("side", "seq", "size", "at"))
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH)
+            first, second = np.flatnonzero(side != SECOND), np.flatnonzero(side != FIRST)
+            second = second[np.lexsort((size[second], of[second]))]
+            wide = np.int64(1) << np.int64(32)
+            key = of[second] * wide + size[second]
+            low = np.searchsorted(key, of[first] * wide + np.ceil(t * size[first] - 1e-9).astype(np.int64), "left")
+            high = np.searchsorted(key, of[first] * wide + np.floor(size[first] / t + 1e-9).astype(np.int64), "right")
+            ends = np.cumsum(high - low)
+            lo = 0
+            while lo < len(first):
+                base = ends[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, base + STEP, "right")))
+                n = high[lo:hi] - low[lo:hi]
+                i = np.repeat(first[lo:hi], n)
+                j = second[np.arange(len(i)) - np.repeat(ends[lo:hi] - n - base - low[lo:hi], n)]
+                lo = hi
+                keep = np.where((side[i] == BOTH) & (side[j] == BOTH), seq[i] < seq[j], seq[i] != seq[j])
+                i, j = i[keep], j[keep]
+                total = size[i] + size[j]
+                bound = np.minimum(at[i], at[j]) + np.minimum(size[i] - at[i], size[j] - at[j])
+                keep = bound >= total * (t / (1 + t)) - 1e-9
+                i, j, most = i[keep], j[keep], (total[keep] * ((1 - t) / (1 + t)) + 1e-9)
+                apart = np.zeros(len(i), np.int64)
+                for w in range(SKETCH):
+                    apart += np.bitwise_count(sketch[i, w] ^ sketch[j, w])
+                    keep = apart <= most
+                    i, j, apart, most = i[keep], j[keep], apart[keep], most[keep]
+                if len(i):
+                    a, b = np.minimum(seq[i], seq[j]), np.maximum(seq[i], seq[j])
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["seq_a", "seq_b"])
+
+    return run
+
+
+def whole_groups(batches, keys: int):
+    """(table, starts) of whole groups, of batches sorted by their first columns, numbers all; the largest group bounds the memory."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        held = t if held is None else pa.concat_tables([held, t])
+        starts = _starts(held, keys)
+        if len(starts) > 1:
+            yield held.slice(0, starts[-1]), starts[:-1]
+            held = held.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held, _starts(held, keys)
+
+
+def _starts(t: pa.Table, keys: int) -> np.ndarray:
+    new = np.arange(t.num_rows) == 0
+    for k in range(keys):
+        x = t.column(k).to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _distinct_pairs(rows: DataFrame, t: float) -> DataFrame:
+    key = ("bucket", "ci", "cj")
+    return rows.select(*key, "side", *ROW).repartition(*key).sortWithinPartitions(*key).mapInArrow(_met(t), "seq_a long, seq_b long").distinct()
+
+
+def _pieces(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """rows with the number of pieces of their bucket and their own; large: buckets of over PIECE rows, of which there are few."""
+    parts = F.coalesce(F.ceil(F.col("m") / PIECE), F.lit(1)).cast("int")
+    out = rows.join(F.broadcast(large), "bucket", "left").withColumn("pieces", parts)
+    return out.withColumn("own", F.pmod(F.xxhash64("seq"), F.col("pieces")).cast("int"))
+
+
+def all_candidates(live: DataFrame, large: DataFrame, t: float) -> DataFrame:
+    """(seq_a, seq_b), seq_a < seq_b, of rows that meet and that no bound stops; a large bucket is compared by pairs of its pieces."""
+    rows = _pieces(live, large).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    rows = rows.withColumn("ci", F.least("own", "o")).withColumn("cj", F.greatest("own", "o"))
+    side = F.when(F.col("ci") == F.col("cj"), BOTH).when(F.col("own") == F.col("ci"), FIRST).otherwise(SECOND)
+    return _distinct_pairs(rows.withColumn("side", side), t)
+
+
+def candidates(leading: DataFrame, live: DataFrame, large: DataFrame, t: float) -> DataFrame:
+    """The same of rows that lead their bucket and others of it: leaders go to each piece."""
+    first = _pieces(leading, large).withColumn("cj", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("side", F.lit(FIRST))
+    rest = _pieces(live, large).withColumn("cj", F.col("own")).withColumn("side", F.lit(SECOND))
+    return _distinct_pairs(first.unionByName(rest).withColumn("ci", F.lit(0)), t)
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
+    """(label, seq_a, seq_b, jaccard) of the candidates that are similar."""
+    of = lambda k: nodes.select(*[F.col(c).alias(f"{c}_{k}") for c in ("seq", "label", "size", "grams")])
+    both = pairs.join(of("a"), "seq_a").join(of("b"), "seq_b").filter("label_a = label_b")
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    j = common / (F.col("size_a") + F.col("size_b") - common)
+    return both.select(F.col("label_a").alias("label"), "seq_a", "seq_b", j.alias("jaccard")).filter(F.col("jaccard") >= t)
 
 
 def near_pairs(samples: DataFrame, n: int = 3, t: float = 0.85, label: str = "answer") -> DataFrame:
     """(label, seq_a, seq_b, jaccard) of nodes with seq_a < seq_b and similarity of t or more."""
-    return _pairs(written(gram_sets(samples, n, label)), t)
-
-
-def _pairs(sets: DataFrame, t: float) -> DataFrame:
-    nodes = sets.filter("seq = same").select("label", "seq", "grams", "size")
-    each = nodes.select("label", "seq", "size", F.explode("grams").alias("gram"))
-    # a number for each gram that two nodes of the label have; written, so that every reader sees the same numbers
-    shared = each.groupBy("label", "gram").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    shared = written(shared.withColumn("id", F.monotonically_increasing_id()))
-    h = F.xxhash64("id")
-    flips = [F.bit_xor(F.when(h.bitwiseAND(F.lit(SKETCH - 1)) == w, F.expr("shiftleft(1L, CAST(shiftright(xxhash64(id), 8) & 63 AS int))")).otherwise(F.lit(0).cast("long"))).alias(f"s{w}") for w in range(SKETCH)]
-    ranked = each.join(shared, ["label", "gram"]).groupBy("label", "seq", "size").agg(F.sort_array(F.collect_list(F.struct("f", "id"))).alias("g"), *flips)
-    ranked = written(ranked.withColumn("lone", F.col("size") - F.size("g")).withColumn("ids", F.col("g.id")))
-    # grams that no other node has come first in the order, and match nothing
-    most = F.greatest(F.col("size") - F.ceil(F.col("size") * t - 1e-9).cast("int") + 1 - F.col("lone"), F.lit(0))
-    words = [f"s{w}" for w in range(SKETCH)]
-    prefix = ranked.select("seq", "size", "lone", *words, F.posexplode(F.slice("g", F.lit(1), most)).alias("at", "x"))
-    prefix = prefix.select("seq", "size", *words, (F.col("lone") + F.col("at") + 1).alias("at"), F.col("x.id").alias("id"), F.ceil(F.col("x.f") / PIECE).cast("int").alias("pieces"))
-    side = lambda k: [F.col(c).alias(f"{c}_{k}") for c in ("seq", "size", "at", *words)]
-    a = prefix.select("id", F.pmod(F.xxhash64("seq"), F.col("pieces")).cast("int").alias("piece"), *side("a"))
-    b = prefix.select("id", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), *side("b"))
-    sum_of = F.col("size_a") + F.col("size_b")
-    bound = F.least("at_a", "at_b") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
-    apart = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words), F.lit(0))
-    may = (F.col("size_b") >= F.col("size_a") * t - 1e-9) & (F.col("size_a") >= F.col("size_b") * t - 1e-9)
-    may &= (bound >= sum_of * (t / (1 + t)) - 1e-9) & (apart <= sum_of * ((1 - t) / (1 + t)) + 1e-9)
-    candidates = a.join(b, ["id", "piece"]).filter((F.col("seq_a") < F.col("seq_b")) & may).select("seq_a", "seq_b").distinct()
-    of = lambda k: ranked.select(*[F.col(c).alias(f"{c}_{k}") for c in ("seq", "size", "ids")], *["label"] * (k == "a"))
-    both = candidates.join(of("a"), "seq_a").join(of("b"), "seq_b")
-    common = F.size(F.array_intersect("ids_a", "ids_b"))
-    j = common / (F.col("size_a") + F.col("size_b") - common)
-    return both.select("label", "seq_a", "seq_b", j.alias("jaccard")).filter(F.col("jaccard") >= t)
+    nodes = written(nodes_of(samples, n, label))
+    live = written(prefixes(nodes, t))
+    return verified(all_candidates(live, _buckets(live).filter(F.col("m") > PIECE), t), nodes, t)
 
 
-def greedy_dropped(pairs: DataFrame) -> DataFrame:
-    """(seq) of nodes that have an accepted earlier neighbour.
+def decided(pairs: DataFrame, complete: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(seqs dropped, edges left) of greedy first-wins over edges; only nodes that are complete, if given, may be accepted.
 
     A round accepts the nodes without an earlier neighbour left, drops their neighbours, and goes on
-    with the edges among the rest; a dropped node suppresses nothing.
+    with the edges among the rest; a dropped node suppresses nothing. Edges are left where an earlier
+    node is undecided.
     """
     edges = written(pairs.select("seq_a", "seq_b"))
-    dropped = None
-    while not edges.isEmpty():
+    dropped = edges.select(F.col("seq_b").alias("seq")).limit(0)
+    while True:
         accepted = edges.select(F.col("seq_a").alias("seq")).distinct().join(edges.select(F.col("seq_b").alias("seq")).distinct(), "seq", "left_anti")
+        accepted = written(accepted if complete is None else accepted.join(complete, "seq", "left_semi"))
+        if accepted.isEmpty():
+            return dropped, edges
         gone = written(edges.join(accepted, edges["seq_a"] == accepted["seq"], "left_semi").select(F.col("seq_b").alias("seq")).distinct())
-        dropped = gone if dropped is None else dropped.unionByName(gone)
+        dropped = dropped.unionByName(gone)
         rest = edges.join(gone.withColumnRenamed("seq", "seq_b"), "seq_b", "left_anti").join(gone.withColumnRenamed("seq", "seq_a"), "seq_a", "left_anti")
         edges = written(rest.join(accepted.withColumnRenamed("seq", "seq_a"), "seq_a", "left_anti").select("seq_a", "seq_b"))
-    return dropped if dropped is not None else edges.select(F.col("seq_a").alias("seq"))
+
+
+def greedy_dropped(pairs: DataFrame) -> DataFrame:
+    """(seq) of nodes that have an accepted earlier neighbour."""
+    return decided(pairs)[0]
+
+
+def _round(live: DataFrame, nodes: DataFrame, large: DataFrame, leaders: int, t: float) -> tuple[DataFrame, DataFrame]:
+    """(seqs dropped, seqs retired: those and the accepted) by the first `leaders` rows of each bucket."""
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("seq"))
+    leading = written(live.withColumn("_r", place).filter(F.col("_r") <= leaders).drop("_r"))
+    complete = written(leading.groupBy("seq", "width").agg(F.count(F.lit(1)).alias("n")).filter("n = width").select("seq"))
+    dropped, left = decided(verified(candidates(leading, live, large, t), nodes, t), complete)
+    blocked = left.select(F.col("seq_b").alias("seq")).distinct()
+    return dropped, complete.join(blocked, "seq", "left_anti").unionByName(dropped)
+
+
+def dropped_nodes(nodes: DataFrame, t: float) -> DataFrame:
+    """(seq) of nodes that resemble an accepted earlier node of their label."""
+    live, leaders, out = written(prefixes(nodes, t)), LEADERS, None
+    while True:
+        buckets = written(_buckets(live).filter("m > 1"))
+        large = buckets.filter(F.col("m") > PIECE)  # at most rows / PIECE
+        cost = buckets.agg(F.coalesce(F.sum(F.col("m") * (F.col("m") - 1) / 2), F.lit(0.0))).first()[0]
+        if cost <= FULL * live.count():
+            rest = greedy_dropped(verified(all_candidates(live, large, t), nodes, t))
+            return rest if out is None else out.unionByName(rest)
+        dropped, retired = _round(live, nodes, large, leaders, t)
+        out = dropped if out is None else out.unionByName(dropped)
+        live = written(live.join(retired.distinct(), "seq", "left_anti"))
+        leaders *= GROWTH
 
 
 def greedy_kept(samples: DataFrame, n: int = 3, t: float = 0.85, label: str = "answer") -> DataFrame:
-    """samples less the rows that resemble an accepted earlier row of their label."""
-    sets = written(gram_sets(samples, n, label))
-    dropped = greedy_dropped(_pairs(sets, t)).withColumnRenamed("seq", "same")
-    kept = sets.filter("seq = same").join(dropped, "same", "left_anti").select("seq")
-    return samples.join(kept, "seq", "left_semi")
+    """samples less the rows that resemble an accepted earlier row of their label; rows without a label all stay."""
+    nodes = written(nodes_of(samples, n, label))
+    kept = nodes.select("seq").join(dropped_nodes(nodes, t), "seq", "left_anti")
+    alone = samples.filter(F.col(label).isNull())
+    return samples.join(kept, "seq", "left_semi").unionByName(alone)

@@ -306,3 +306,50 @@ def test_batch_prompts_and_loose_extraction(spark):
 def test_near_pairs_with_pieces(spark, monkeypatch):
     monkeypatch.setattr(near, "PIECE", 3)
     test_near_pairs_equal_brute_force(spark)
+
+
+def brute_greedy(rows, t=0.85):
+    """Places of rows (question, label) that first-wins keeps; rows without a label stay."""
+    kept, out = {}, []
+    for i, (q, a) in enumerate(rows):
+        s = "".join((q or "").lower().split())
+        g = frozenset([s]) if len(s) < 3 else frozenset(s[k : k + 3] for k in range(len(s) - 2))
+        if a is None or all(len(g & h) / len(g | h) < t for h in kept.setdefault(a, [])):
+            out.append(i)
+            if a is not None:
+                kept[a].append(g)
+    return out
+
+
+@pytest.mark.parametrize("full, leaders, seed", [(0, 1, 1), (0, 3, 2), (2, 2, 3), (2000, 16, 4)])
+def test_rounds_of_leaders_equal_the_fold(spark, monkeypatch, full, leaders, seed):
+    for name, value in (("FULL", full), ("LEADERS", leaders), ("GROWTH", 2), ("PIECE", 7), ("COMMON", 40)):
+        monkeypatch.setattr(near, name, value)
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(30):
+        text = [rng.choice("abcdefg é漢") for _ in range(rng.randrange(20, 70))]
+        for _ in range(rng.randrange(1, 14)):  # chains: each differs a little from the last
+            text[rng.randrange(len(text))] = rng.choice("abcdefgh")
+            rows.append(("".join(text), rng.choice(["x", "x", "x", "y", None])))
+    rng.shuffle(rows)
+    rows += [("", "x"), (None, "x"), ("a", "x"), ("ab", "x"), (" A B ", "x"), rows[0], rows[1]]
+    df = spark.createDataFrame([(i, q, a) for i, (q, a) in enumerate(rows)], "seq long, question string, answer string").repartition(3)
+    assert sorted(r.seq for r in near.greedy_kept(df).collect()) == brute_greedy(rows)
+
+
+def test_long_grams(spark):
+    rows = [("abcdefghij", "x"), ("ABCDEF ghij", "x"), ("abcde", "x"), ("zz", "x"), ("z z", "x")]
+    assert sorted(r.seq for r in near.greedy_kept(samples(spark, rows), n=5).collect()) == [0, 2, 3]
+
+
+def test_many_near_copies_cost_no_square(spark, monkeypatch):
+    rng = random.Random(1)
+    base = "".join(rng.choice("abcdefghijklmnop") for _ in range(400))
+    rows = [(i, base[: i % 400] + "qrstuvwxyz"[i // 400 % 10] + "qrstuvwxyz"[i // 4000] + base[i % 400 :], "x") for i in range(20_000)]
+    pairs = []
+    verified = near.verified
+    monkeypatch.setattr(near, "verified", lambda p, *a: pairs.append(near.written(p)) or verified(pairs[-1], *a))
+    kept = near.greedy_kept(spark.createDataFrame(rows, "seq long, question string, answer string"))
+    assert [r.seq for r in kept.collect()] == [0]
+    assert sum(p.count() for p in pairs) < 80 * len(rows)  # all pairs would be 10,000 times the rows
