@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -46,11 +45,11 @@ def main(argv: list[str] | None = None) -> int:
         for r in run.chosen_pairs(labels, cfg, names, args.max_pairs).orderBy("place").toLocalIterator():
             print(json.dumps({"agent_a": r.agent_a, "agent_b": r.agent_b, "source": r.source, "overlap_score": round(r.overlap_score, 3), "shared_keywords": r.shared_keywords}, ensure_ascii=False))
     elif args.progress:
-        analyze.progress(run.read_raw(spark, raw)).orderBy("stage", "answer").show(1000, False)
+        for r in analyze.progress(run.read_raw(spark, raw)).orderBy("stage", "answer").toLocalIterator():
+            print(f"{r.stage}\t{r.answer}\t{r.n}")
     elif args.analyze_dataset:
         print(analyze.console_report(run.read_raw(spark, raw), labels))
     elif args.merge_only:
-        os.makedirs(root, exist_ok=True)
         run.merge_and_export(spark, run.read_clean(spark, f"{root}/clean") if not args.raw else run.read_raw(spark, raw), labels, cfg, root, split=False)
     else:
         run.full_run(spark, labels, cfg, root, args.raw, provider, names, args.max_pairs)

@@ -47,7 +47,8 @@ def length_summary(samples: DataFrame) -> DataFrame:
 
 def domain_distribution(samples: DataFrame, registry: DataFrame) -> DataFrame:
     """Counted by label first, so that the join sees labels, not samples."""
-    d = label_distribution(samples).join(registry.select(F.col("name").alias("answer"), "domain"), "answer", "left")
+    named = registry.groupBy(F.col("name").alias("answer")).agg(F.min_by("domain", "idx").alias("domain"))  # a name's first row counts
+    d = label_distribution(samples).join(named, "answer", "left")
     return d.groupBy(F.coalesce("domain", F.lit(UNKNOWN)).alias("domain")).agg(F.sum("n").alias("n"))
 
 

@@ -14,6 +14,8 @@ from ..functions import text as X
 
 # Reason keys, in the order of the checks.
 NOT_OBJECT = "非字典类型"
+#: Of our own: a field of a line holds a number, a list or another kind than text.
+NOT_TEXT = "字段不是文本"
 EMPTY_QUESTION, EMPTY_ANSWER = "question字段为空", "answer字段为空"
 BAD_LABEL, SHORT, LONG = "answer不是合法智能体名称", "question过短", "question过长"
 LEAK, SCRIPT, REPEATED, MEANINGLESS = "标签泄露", "中文比例过低", "重复字符比例过高", "无意义内容"
@@ -82,8 +84,8 @@ def quality_score(q: Column, keywords: Column) -> Column:
 
 
 def with_registry(samples: DataFrame, registry: DataFrame) -> DataFrame:
-    """samples with keywords, domain and legal (the label is registered); unhinted, Spark broadcasts a small registry."""
-    r = registry.select(F.col("name").alias("_name"), "keywords", "domain")
+    """samples with keywords, domain and legal (the label is registered); a name registered twice counts once, its first row. Unhinted, Spark broadcasts a small registry."""
+    r = registry.groupBy(F.col("name").alias("_name")).agg(F.min_by(F.struct("keywords", "domain"), "idx").alias("_r")).select("_name", "_r.keywords", "_r.domain")
     return samples.join(r, X.strip(F.coalesce("answer", F.lit(""))) == r["_name"], "left").withColumn("legal", F.col("_name").isNotNull()).drop("_name")
 
 
@@ -95,6 +97,8 @@ def judge(samples: DataFrame, registry: DataFrame, cfg: CleanConfig = CleanConfi
     # fence, always true but not deterministic, that keeps filters from being pushed below with all they read
     s = s.withColumn("_q", X.strip(q)).withColumn("_a", X.strip(a))
     reasons = hard_reasons(F.col("_q"), F.col("_a"), F.col("legal"), cfg)
+    if "not_text" in s.columns:
+        reasons = F.when(F.col("not_text").isNotNull(), F.array(F.concat(F.lit(f"{NOT_TEXT}: "), "not_text"))).otherwise(reasons)
     if "corrupt" in s.columns:  # lines of files that hold no object
         reasons = F.when(F.col("corrupt").isNotNull(), F.array(F.lit(NOT_OBJECT))).otherwise(reasons)
     s = s.withColumn("reasons", F.when(F.monotonically_increasing_id() >= 0, reasons)).drop("_q", "_a")

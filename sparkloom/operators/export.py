@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,23 +11,23 @@ from pyspark.sql import functions as F
 INSTRUCTION = "Choose the agent that should answer the question and reply with its name only."
 
 
-def jsonl(df: DataFrame) -> DataFrame:
-    return df.select("seq", F.to_json(F.struct("question", "answer")).alias("record"))
+def jsonl(df: DataFrame, keep: Sequence[str] = ("seq",)) -> DataFrame:
+    return df.select(*keep, F.to_json(F.struct("question", "answer")).alias("record"))
 
 
-def alpaca(df: DataFrame, instruction: str = INSTRUCTION) -> DataFrame:
-    return df.select("seq", F.to_json(F.struct(F.lit(instruction).alias("instruction"), F.col("question").alias("input"), F.col("answer").alias("output"))).alias("record"))
+def alpaca(df: DataFrame, instruction: str = INSTRUCTION, keep: Sequence[str] = ("seq",)) -> DataFrame:
+    return df.select(*keep, F.to_json(F.struct(F.lit(instruction).alias("instruction"), F.col("question").alias("input"), F.col("answer").alias("output"))).alias("record"))
 
 
-def sharegpt(df: DataFrame, system: str = INSTRUCTION) -> DataFrame:
+def sharegpt(df: DataFrame, system: str = INSTRUCTION, keep: Sequence[str] = ("seq",)) -> DataFrame:
     said = lambda who, what: F.struct(F.lit(who).alias("from"), F.col(what).alias("value"))
-    return df.select("seq", F.to_json(F.struct(F.lit(system).alias("system"), F.array(said("human", "question"), said("gpt", "answer")).alias("conversations"))).alias("record"))
+    return df.select(*keep, F.to_json(F.struct(F.lit(system).alias("system"), F.array(said("human", "question"), said("gpt", "answer")).alias("conversations"))).alias("record"))
 
 
-def openai_chat(df: DataFrame, system: str = INSTRUCTION) -> DataFrame:
+def openai_chat(df: DataFrame, system: str = INSTRUCTION, keep: Sequence[str] = ("seq",)) -> DataFrame:
     said = lambda who, what: F.struct(F.lit(who).alias("role"), what.alias("content"))
     turns = F.array(said("system", F.lit(system)), said("user", F.col("question")), said("assistant", F.col("answer")))
-    return df.select("seq", F.to_json(F.struct(turns.alias("messages"))).alias("record"))
+    return df.select(*keep, F.to_json(F.struct(turns.alias("messages"))).alias("record"))
 
 
 def csv_field(c: Column) -> Column:
@@ -36,44 +35,55 @@ def csv_field(c: Column) -> Column:
     return F.when(c.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
 
 
-def csv_rows(df: DataFrame) -> DataFrame:
-    return df.select("seq", F.concat(csv_field(F.coalesce("question", F.lit(""))), F.lit(","), csv_field(F.coalesce("answer", F.lit("")))).alias("record"))
+def csv_rows(df: DataFrame, keep: Sequence[str] = ("seq",)) -> DataFrame:
+    return df.select(*keep, F.concat(csv_field(F.coalesce("question", F.lit(""))), F.lit(","), csv_field(F.coalesce("answer", F.lit("")))).alias("record"))
 
 
 FORMATS = {"jsonl": jsonl, "alpaca": alpaca, "sharegpt": sharegpt, "openai": openai_chat, "csv": csv_rows}
 
 
-def write_records(df: DataFrame, fmt: str, path: str) -> None:
-    """Records as text files in a folder, in order of seq, by all tasks; one record a line but for CSV's quoted line breaks."""
-    FORMATS[fmt](df).sort("seq").select("record").write.mode("overwrite").text(path)
+#: What opens a file of records, stands before all but the first, and closes it; records of a JSON array stand a line each.
+ARRAY, CSV = ("[", ",", "]"), ("\ufeffquestion,answer\r", "", None)
 
 
-def write_array(df: DataFrame, fmt: str, path: str) -> int:
-    """One JSON array in one local file, a row at a time through the driver: for small exports only."""
-    n = 0
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("[")
-        for r in FORMATS[fmt](df).sort("seq").select("record").toLocalIterator(prefetchPartitions=True):
-            f.write((",\n" if n else "\n") + json.dumps(json.loads(r.record), ensure_ascii=False, indent=2))
-            n += 1
-        f.write("\n]" if n else "]")
-    return n
+def order_of(df: DataFrame) -> list[str]:
+    """The columns that files are sorted by: the seeded `place`, if rows have one, then seq."""
+    return [c for c in ("place", "seq") if c in df.columns]
 
 
-def write_csv(df: DataFrame, path: str) -> int:
-    """One local CSV file with byte order mark and header, a row at a time through the driver."""
-    n = 0
-    with open(path, "w", encoding="utf-8-sig", newline="") as f:
-        f.write("question,answer\r\n")
-        for r in csv_rows(df).sort("seq").select("record").toLocalIterator(prefetchPartitions=True):
-            f.write(r.record + "\r\n")
-            n += 1
-    return n
+def write_records(df: DataFrame, fmt: str, path: str, around: tuple[str, str, str | None] | None = None) -> None:
+    """Records as text files in a folder, in order, by all tasks; its parts, one after the other by name, are the file.
+
+    One record a line but for CSV's quoted line breaks. `around` makes them a JSON array or a CSV with its header.
+    """
+    keys = order_of(df)
+    rows = FORMATS[fmt](df, keep=keys)
+    if fmt == "csv":
+        rows = rows.withColumn("record", F.concat("record", F.lit("\r")))
+    if around is None:
+        rows.sort(*keys).select("record").write.mode("overwrite").text(path)
+        return
+    opening, between, closing = around
+    least = rows.agg(F.min(F.struct(*keys)).alias("_least"))  # one row, without a value if there are no records
+    rows = rows.join(F.broadcast(least)).withColumn("record", F.when(F.struct(*keys) == F.col("_least"), F.col("record")).otherwise(F.concat(F.lit(between), "record")))
+    ends = [(k, text) for k, text in ((0, opening), (2, closing)) if text is not None]
+    edge = df.sparkSession.createDataFrame(ends, "_part int, record string")
+    out = rows.withColumn("_part", F.lit(1)).select("_part", *keys, "record").unionByName(edge, allowMissingColumns=True)
+    out.sort("_part", *keys).select("record").write.mode("overwrite").text(path)
+
+
+def write_array(df: DataFrame, fmt: str, path: str) -> None:
+    """One JSON array over the folder's parts."""
+    write_records(df, fmt, path, ARRAY)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """One CSV with byte order mark and header over the folder's parts."""
+    write_records(df, "csv", path, CSV)
 
 
 def export_all(df: DataFrame, folder: str, prefix: str = "dataset") -> dict[str, str]:
-    """All six formats from one cached input; format to path."""
-    os.makedirs(folder, exist_ok=True)
+    """All six formats from one cached input; format to folder."""
     df = df.persist()
     try:
         out = {f: f"{folder}/{prefix}_{f}.{e}" for f, e in (("jsonl", "jsonl"), ("json", "json"), ("csv", "csv"), ("alpaca", "json"), ("sharegpt", "json"), ("openai", "jsonl"))}

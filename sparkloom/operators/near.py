@@ -25,7 +25,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words of 64 bits in a set's sketch.
@@ -42,17 +42,21 @@ FULL = 2000
 LEADERS, GROWTH = 16, 8
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df in the shared folder, so that iterations don't lengthen the lineage."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the folder that driver and executors share, from spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "/tmp/checkpoints"
-    path = f"{root.rstrip('/')}/rows-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df in the shared folder, so that iterations don't lengthen the lineage."""
+    path = shared_path(df.sparkSession, "rows")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def gram_numbers(text: str, n: int) -> np.ndarray:

@@ -226,6 +226,11 @@ SELECT count(*) AS total, (SELECT count(*) FROM xk) AS passed, count(*) FILTER (
     "export_sharegpt": digested(js(f"{{'system': {lit(export.INSTRUCTION)}, 'conversations': [{{'from': 'human', 'value': question}}, {{'from': 'gpt', 'value': answer}}]}}")),
     "export_openai": digested(js(f"{{'messages': [{{'role': 'system', 'content': {lit(export.INSTRUCTION)}}}, {{'role': 'user', 'content': question}}, {{'role': 'assistant', 'content': answer}}]}}")),
     "export_csv_rows": digested(f"concat({csv_field('question')}, ',', {csv_field('answer')})"),
+    "cleaned_files": with_(REG, "fs AS (SELECT doc_id, text AS question, source AS answer, 'stage' || CAST(doc_id % 3 + 1 AS VARCHAR) AS stage, 'folder ' || CAST(doc_id % 7 AS VARCHAR) || '/ä.jsonl' AS src_file FROM documents)", "smp AS (SELECT row_number() OVER (ORDER BY stage, src_file, doc_id) - 1 AS seq, * FROM fs)", judged(), *CLEANED) + f"""
+SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, stage, src_file, md5(regexp_replace({strip('question')}, '{WS}+', ' ', 'g')) AS question_md5, {strip('answer')} AS answer FROM smp WHERE seq IN (SELECT seq FROM xk)""",
+    "exported_array": with_(REG, smp(), QUOTA, MERGED) + f"""
+, o AS (SELECT row_number() OVER (ORDER BY place, mg.seq) AS i, {js(f"{{'instruction': {lit(export.INSTRUCTION)}, 'input': question, 'output': smp.answer}}")} AS record FROM mg JOIN smp ON mg.seq = smp.seq)
+SELECT CAST(0 AS BIGINT) AS seq, md5('[') AS line_md5 UNION ALL SELECT i, md5(CASE WHEN i = 1 THEN record ELSE ',' || record END) FROM o UNION ALL SELECT (SELECT count(*) + 1 FROM o), md5(']')""",
     "prompt_tasks": tasks("stage1", generate.stage1_calls(40), 5),
     "prompt_tasks_complex": tasks("stage2_complex", generate.stage2_calls(40)[1], 10, 3),
     "hard_negative_tasks": with_(REG, *PAIRS, paired("rp", "kp", "dp"), CAPPED, bank(), "b2 AS (SELECT agent_a AS target, agent_b AS other FROM cp UNION ALL SELECT agent_b, agent_a FROM cp)") + f"""

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import run
 from ..functions import text as X
 from ..operators import analyze, clean, export, generate, merge, near, pairs
+from ..sources import jsonl
 from ..sources import registry as R
 
 LABELS = 25
@@ -309,6 +311,27 @@ def export_csv_rows(s, d):
     return _digested(export.csv_rows(samples(s, d)))
 
 
+@query
+def cleaned_files(s, d):
+    """Documents as files of JSON lines in three stages, seven files each under one name, cleaned into files and read back in order."""
+    root = near.shared_path(s, "files")
+    docs = samples(s, d).withColumn("src_file", F.concat(F.lit("folder "), (F.col("seq") % 7).cast("string"), F.lit("/ä.jsonl")))
+    for k in run.STAGES:
+        jsonl.write_jsonl(docs.filter(F.col("stage") == k), f"{root}/raw/{k}", by="src_file", order=["seq"])
+    run.clean_folders(s, f"{root}/raw", f"{root}/clean", registry(s), CONFIG)
+    c = run.read_clean(s, f"{root}/clean")
+    return c.select("seq", "stage", "src_file", F.md5(F.col("question").cast("binary")).alias("question_md5"), "answer")
+
+
+@query
+def exported_array(s, d):
+    """The lines of a JSON array of merged rows, in the order that its parts hold them."""
+    path = f"{near.shared_path(s, 'files')}/array"
+    export.write_array(merge.merge(samples(s, d), registry(s), TARGET, MIX), "alpaca", path)
+    lines = s.read.text(path).withColumns({"_path": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}).withColumn("_row", F.monotonically_increasing_id())
+    return jsonl.with_seq(lines).select("seq", F.md5(F.col("value").cast("binary")).alias("line_md5"))
+
+
 @query
 def prompt_tasks(s, d):
     return generate.prompt_tasks(registry(s), generate.templates(s), "stage1", generate.stage1_calls(40), 5)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import analyze, clean, export, generate, merge, pairs
-from .sources import jsonl
+from .functions.text import seeded
+from .sources import files, jsonl
 from .state import save_state
 
 STAGES = ("stage1", "stage2", "stage3")
@@ -61,47 +62,58 @@ def generate_stage(spark: SparkSession, labels: DataFrame, stage: str, cfg: dict
     jsonl.write_jsonl(made, folder, append=resume, by="pair" if stage == "stage3" else None)
 
 
+def _in_order(spark: SparkSession, read: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of all stages with seq; written once, so that every later step sees one numbering."""
+    from .operators.near import written
+
+    parts = [read(k) for k in STAGES]
+    return jsonl.with_seq(written(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+
+
 def read_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows of all stages in order, with `corrupt` where a line holds no object."""
-    columns = ("question", "answer", "corrupt", "src_file", "stage")
-    parts = [jsonl.read_stage(spark, f"{folder}/{k}", k, keep_corrupt=True).select(*columns) for k in STAGES]
-    return jsonl.with_seq(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    """The rows of all stages, numbered by stage, file (its path below the stage's folder) and line; `corrupt` where a line holds no object, `not_text` where a field holds no text."""
+    columns = ("question", "answer", "corrupt", "not_text", "src_file", "stage", *jsonl.PLACE)
+    return _in_order(spark, lambda k: jsonl.read_stage(spark, f"{folder}/{k}", k, keep_corrupt=True, placed=True).select(*columns))
 
 
 def clean_folders(spark: SparkSession, raw: str, out: str, labels: DataFrame, cfg: clean.CleanConfig) -> dict:
-    """Cleans all files of all stages into <out>/<stage>/src_file=<name>; dedup spans them, unless cfg.scope names a column.
+    """Cleans all files of all stages into <out>/<stage>/src_file=<path below the stage's folder>, rows in order; dedup spans them, unless cfg.scope names a column.
 
-    Returns files, total_input, total_passed, overall_pass_rate, and the same by file.
+    Each stage's files appear together, when their job is done. Returns files, total_input, total_passed,
+    overall_pass_rate, and the same by file; <out>/files.json has them too, written last.
     """
     cleaned = clean.clean(read_raw(spark, raw), labels, cfg).persist()
     try:
         good = cleaned.filter("written" if cfg.cap is not None else "kept").select("seq", "question", "answer", "stage", "src_file")
         for k in STAGES:
             part = clean.normalise(good.filter(F.col("stage") == k))
-            part.select("question", "answer", "src_file").write.mode("overwrite").partitionBy("src_file").json(f"{out}/{k}")
-        files = [r.asDict() for r in clean.file_stats(cleaned, "stage", "src_file").orderBy("stage", "src_file").collect()]  # one row a file
+            jsonl.write_jsonl(part, f"{out}/{k}", by="src_file", order=["seq"])
+        by_file = [r.asDict() for r in clean.file_stats(cleaned, "stage", "src_file").orderBy("stage", "src_file").collect()]  # one row a file
     finally:
         cleaned.unpersist()
-    total, passed = sum(f["n_input"] for f in files), sum(f["n_passed"] for f in files)
-    return {"files": len(files), "total_input": total, "total_passed": passed, "overall_pass_rate": passed / total if total else 0.0, "by_file": files}
+    total, passed = sum(f["n_input"] for f in by_file), sum(f["n_passed"] for f in by_file)
+    stats = {"files": len(by_file), "total_input": total, "total_passed": passed, "overall_pass_rate": passed / total if total else 0.0, "by_file": by_file}
+    files.write_text(spark, f"{out}/files.json", json.dumps(stats, ensure_ascii=False, indent=2))
+    return stats
 
 
 def read_clean(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [jsonl.read_stage(spark, f"{folder}/{k}", k).select("question", "answer", "src_file", "stage") for k in STAGES]
-    return jsonl.with_seq(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    """What clean_folders wrote, numbered anew in the same order, under the files' first names."""
+    columns = ("question", "answer", "src_file", "stage", *jsonl.PLACE)
+    return _in_order(spark, lambda k: jsonl.read_stage(spark, f"{folder}/{k}", k, placed=True).select(*columns))
 
 
 def merge_and_export(spark: SparkSession, samples: DataFrame, labels: DataFrame, cfg: dict, root: str, split: bool = True) -> None:
-    """<root>/merged, the splits, the report, and all formats."""
+    """<root>/merged, the splits, the report, and all formats; rows of each file in a seeded order of its own."""
     m, s = cfg["merge"], cfg["split"]
     merged = merge.merge(samples, labels, m["per_label"], tuple(m["weights"]), m["seed"], max_total=m["max_total"]).persist()
     try:
-        jsonl.write_jsonl(merged, f"{root}/merged")
+        jsonl.write_jsonl(merged, f"{root}/merged", order=["place", "seq"])
         if split:
-            with open(f"{root}/report.json", "w", encoding="utf-8") as f:
-                json.dump({k: json.loads(v) for k, v in analyze.report(merged, labels).first().asDict().items()}, f, ensure_ascii=False, indent=2)
+            report = {k: json.loads(v) for k, v in analyze.report(merged, labels).first().asDict().items()}
+            files.write_text(spark, f"{root}/report.json", json.dumps(report, ensure_ascii=False, indent=2))
             parts = (merge.stratified_split if s["stratified"] else merge.random_split)(merged, tuple(s["ratios"]), s["seed"])
-            export.write_splits(parts, f"{root}/split")
+            export.write_splits(parts.withColumn("place", seeded(s["seed"], F.col("split"), F.col("seq"))), f"{root}/split")
         export.export_all(merged, f"{root}/export")
     finally:
         merged.unpersist()
@@ -109,8 +121,7 @@ def merge_and_export(spark: SparkSession, samples: DataFrame, labels: DataFrame,
 
 def full_run(spark: SparkSession, labels: DataFrame, cfg: dict, root: str, raw: str | None = None, provider=generate.offline, names: list[str] | None = None, max_pairs: int | None = None) -> dict:
     """All steps, with their state in <root>/state.json; rows in `raw` stand in for generation, if given."""
-    os.makedirs(root, exist_ok=True)
-    state = lambda **x: save_state(f"{root}/state.json", **x)
+    state = lambda **x: save_state(spark, f"{root}/state.json", **x)
     if raw is None:
         raw = f"{root}/raw"
         for k in STAGES:

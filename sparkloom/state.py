@@ -1,26 +1,26 @@
-"""A run's state as a small JSON file of the driver."""
+"""A run's state as a small JSON file, on the file system that its path names."""
 
 from __future__ import annotations
 
 import json
-import os
 from datetime import datetime, timezone
 
+from pyspark.sql import SparkSession
 
-def load_state(path: str) -> dict:
+from .sources import files
+
+
+def load_state(spark: SparkSession, path: str) -> dict:
     """The saved state; empty if there is none or it can't be read."""
     try:
-        with open(path, encoding="utf-8") as f:
-            out = json.load(f)
-    except (OSError, ValueError):
+        out = json.loads(files.read_text(spark, path) or "{}")
+    except ValueError:
         return {}
     return out if isinstance(out, dict) else {}
 
 
-def save_state(path: str, **values) -> dict:
-    """Adds values and the time to the saved state, in one replacement of the file."""
-    state = load_state(path) | values | {"updated_at": datetime.now(timezone.utc).isoformat()}
-    with open(f"{path}.new", "w", encoding="utf-8") as f:
-        json.dump(state, f, ensure_ascii=False, indent=2)
-    os.replace(f"{path}.new", path)
+def save_state(spark: SparkSession, path: str, **values) -> dict:
+    """Adds values and the time to the saved state."""
+    state = load_state(spark, path) | values | {"updated_at": datetime.now(timezone.utc).isoformat()}
+    files.write_text(spark, path, json.dumps(state, ensure_ascii=False, indent=2))
     return state

@@ -1,5 +1,7 @@
 """Hand-derived cases of the curation operators."""
 
+import json
+import pathlib
 import random
 
 import pytest
@@ -159,19 +161,83 @@ def test_a_failing_provider_is_a_row(spark):
     assert generate.response_stats(generate.respond(tasks)).first().succeeded == 4
 
 
+def joined(folder) -> bytes:
+    """A folder's parts, one after the other by name."""
+    return b"".join(p.read_bytes() for p in sorted(pathlib.Path(folder).glob("part-*")))
+
+
+def files_of(root, text=lambda k, i: f"我们公司系统第{k}个文件的第{i}行应该怎么处理，可以帮忙看看吗？"):
+    """Two stages of files: names that occur twice, blanks and lines of every kind."""
+    for k, name in enumerate(("stage1/b.jsonl", "stage1/pair=x/a.jsonl", "stage1/pair=y z+1%/a.jsonl", "stage2/b.jsonl", "stage2/c.json")):
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        lines = [json.dumps({"question": text(k, i) if i % 5 else text(0, i), "answer": B}, ensure_ascii=False) for i in range(40)]
+        path.write_text("\n".join([*lines[:20], "", "not json", "[1]", '{"question": 5, "answer": {"a": 1}}', *lines[20:]]), encoding="utf-8")
+
+
+def whole_run_in_order(spark, tmp_path, split):
+    """First wins by stage, file and line, names stay, and outputs are in their seeded order; the outputs."""
+    from sparkloom import run
+
+    files_of(tmp_path / "raw")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        raw = run.read_raw(spark, str(tmp_path / "raw")).orderBy("seq").collect()
+        assert [r.seq for r in raw] == list(range(5 * 42))
+        names = ["b.jsonl", "pair=x/a.jsonl", "pair=y z+1%/a.jsonl", "b.jsonl", "c.json"]
+        assert [r.src_file for r in raw[::42]] == names and [r.stage for r in raw[::42]] == ["stage1"] * 3 + ["stage2"] * 2
+        assert [r.question for r in raw[:3]] == [f"我们公司系统第0个文件的第{i}行应该怎么处理，可以帮忙看看吗？" for i in range(3)]
+        assert {r.not_text for r in raw} == {None, "question, answer"}
+        labels_ = labels(spark)
+        stats = run.clean_folders(spark, str(tmp_path / "raw"), str(tmp_path / "clean"), labels_, clean.CleanConfig(min_score=0.1))
+        assert [(f["stage"], f["src_file"], f["n_input"], f["n_passed"]) for f in stats["by_file"]] == [(r.stage, n, 42, 40 if k == 0 else 32) for k, (n, r) in enumerate(zip(names, raw[::42]))]
+        assert json.loads((tmp_path / "clean" / "files.json").read_text()) == stats
+        again = run.read_clean(spark, str(tmp_path / "clean"))
+        got = again.orderBy("seq").collect()
+        first, want = set(), []
+        for r in raw:
+            if r.corrupt is None and r.not_text is None and r.question not in first:
+                first.add(r.question)
+                want.append((r.stage, r.src_file, r.question))
+        assert [(r.stage, r.src_file, r.question) for r in got] == want and [r.seq for r in got] == list(range(len(want)))
+        cfg = config.load(None, {})
+        cfg["merge"]["per_label"], cfg["merge"]["weights"] = 100, [0.5, 0.5, 0.0]
+        run.merge_and_export(spark, again, labels_, cfg, str(tmp_path / "out"))
+        merged = merge.merge(again, labels_, 100, (0.5, 0.5, 0.0)).orderBy("place", "seq").collect()
+        questions = [r.question for r in merged]
+        assert [json.loads(x)["question"] for x in joined(tmp_path / "out" / "merged").decode().splitlines()] == questions
+        assert [x["input"] for x in json.loads(joined(tmp_path / "out" / "export" / "dataset_alpaca.json"))] == questions
+        parts = [[json.loads(x)["question"] for x in joined(tmp_path / "out" / "split" / s / f"{s}_jsonl").decode().splitlines()] for s in ("train", "val", "test")]
+        assert sorted(sum(parts, [])) == sorted(questions) and all(len(p) > 3 and p != [q for q in questions if q in p] for p in parts)
+        return questions, parts
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_run_keeps_files_and_order_however_files_are_cut(spark, tmp_path):
+    assert whole_run_in_order(spark, tmp_path / "a", "128m") == whole_run_in_order(spark, tmp_path / "b", "700")
+
+
+def test_a_label_registered_twice_counts_once(spark):
+    rows = [{"name": "a", "domain": "first", "keywords": ["x"]}, {"name": "a", "domain": "second"}]
+    twice = registry.from_rows(spark, rows)
+    df = samples(spark, [("q", "a"), ("r", "a")])
+    assert clean.judge(df, twice).count() == 2 and [tuple(r) for r in analyze.domain_distribution(df, twice).collect()] == [("first", 2)]
+
+
 def test_jsonl_source_and_sinks(spark, tmp_path):
     (tmp_path / "stage1").mkdir()
     (tmp_path / "stage1" / "b.jsonl").write_text('{"question": "q2", "answer": "a"}\n\n{"question": "q3", "answer": "a"}\n', encoding="utf-8")
     (tmp_path / "stage1" / "a.jsonl").write_text('{"question": "q1,\\"x\\"", "answer": "a"}\nnot json\n', encoding="utf-8")
-    rows = jsonl.with_seq(jsonl.read_stage(spark, str(tmp_path / "stage1"), "stage1").unionByName(jsonl.read_stage(spark, str(tmp_path / "none"), "stage2")))
+    rows = jsonl.with_seq(jsonl.read_stage(spark, str(tmp_path / "stage1"), "stage1", placed=True).unionByName(jsonl.read_stage(spark, str(tmp_path / "none"), "stage2", placed=True)))
     got = rows.orderBy("seq").collect()
     assert [r.question for r in got] == ['q1,"x"', "q2", "q3"]
     assert {r.src_file: (r.parsed, r.lines) for r in jsonl.count_rows(spark, str(tmp_path / "stage1")).collect()} == {"a.jsonl": (1, 2), "b.jsonl": (2, 2)}
     out = export.export_all(rows.select("seq", "question", "answer"), str(tmp_path / "out"))
-    assert (tmp_path / "out" / "dataset_csv.csv").read_bytes().startswith(b"\xef\xbb\xbfquestion,answer\r\n\"q1,\"\"x\"\"\",a\r\n")
-    import json
-
-    assert [x["input"] for x in json.load(open(out["alpaca"], encoding="utf-8"))] == ['q1,"x"', "q2", "q3"]
+    assert joined(out["csv"]) == b"\xef\xbb\xbfquestion,answer\r\n\"q1,\"\"x\"\"\",a\r\nq2,a\r\nq3,a\r\n"
+    assert [x["input"] for x in json.loads(joined(out["alpaca"]))] == ['q1,"x"', "q2", "q3"]
+    export.write_array(rows.limit(0), "jsonl", str(tmp_path / "nothing"))
+    assert json.loads(joined(tmp_path / "nothing")) == []
     assert set(export.write_splits(merge.stratified_split(rows), str(tmp_path / "split"))["train"]) == {"jsonl", "alpaca", "sharegpt", "openai"}
 
 
@@ -198,21 +264,20 @@ def test_report_is_one_row(spark):
     assert analyze.progress(samples(spark, ROWS).withColumn("stage", F.lit("stage1"))).filter("stage = 'TOTAL'").first().n == 9
 
 
-def test_state_file(tmp_path):
+def test_state_file(spark, tmp_path):
     from sparkloom.state import load_state, save_state
 
     path = str(tmp_path / "state.json")
-    assert load_state(path) == {}
-    save_state(path, stage1="done")
-    assert save_state(path, stage2=3)["stage1"] == "done" and load_state(path)["stage2"] == 3
+    assert load_state(spark, path) == {}
+    save_state(spark, path, stage1="done")
+    assert save_state(spark, path, stage2=3)["stage1"] == "done" and load_state(spark, path)["stage2"] == 3
     (tmp_path / "state.json").write_text("broken")
-    assert load_state(path) == {}
+    (tmp_path / ".state.json.crc").unlink(missing_ok=True)
+    assert load_state(spark, path) == {}
 
 
 def test_a_whole_run_resumes_and_exports(spark, tmp_path):
     """Offline answers as a model's: stages append what is missing, hard negatives are validated, every file is written."""
-    import json
-
     from sparkloom import run
 
     def provider(system, user, expected):
@@ -283,7 +348,7 @@ def test_endpoint_provider(spark):
 
 def test_lines_without_an_object_are_rejected_with_a_reason(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"question": "航班备降需要哪些审批流程？", "answer": "' + B + '"}\n[1, 2]\n"text"\n5\nnot json\n{"question": null}\n', encoding="utf-8")
-    rows = jsonl.with_seq(jsonl.read_jsonl(spark, str(tmp_path), keep_corrupt=True))
+    rows = jsonl.with_seq(jsonl.read_jsonl(spark, str(tmp_path), keep_corrupt=True, placed=True))
     got = [r.reason for r in clean.clean(rows, labels(spark)).orderBy("seq").collect()]
     assert got == [None, clean.NOT_OBJECT, clean.NOT_OBJECT, clean.NOT_OBJECT, clean.EMPTY_QUESTION]
     assert jsonl.read_jsonl(spark, str(tmp_path)).count() == 2
