@@ -8,7 +8,7 @@ import os
 
 # Defaults of the settings.
 DEFAULTS = {
-    "output": {"root": "output"},
+    "output": {"root": "output", "seen": None},
     "clean": {"min_length": 8, "max_length": 500, "check_leak": True, "min_script_ratio": 0.3, "max_repeat_ratio": 0.3, "min_score": 0.6, "dedup": "exact", "ngram": 3, "jaccard": 0.85},
     "generation": {
         "dry_run": False, "max_workers": 5, "at_once": 1, "retries": 3, "delay": 2.0, "model": "gpt-4o-mini", "base_url": "https://api.openai.com/v1", "api_key": "",

@@ -5,13 +5,18 @@ All three layers are columns on the same rows: `reasons`, `score`, `exact_rank`
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 
+if TYPE_CHECKING:
+    from .seen import SeenSet
+
 # Reason keys, in the order of the checks.
 NOT_OBJECT = "非字典类型"
 #: Of our own: a field of a line holds a number, a list or another kind than text.
@@ -62,7 +67,7 @@ def hard_reasons(q: Column, a: Column, legal: Column, cfg: CleanConfig) -> Colum
         out = out.when(F.contains(q, a), one(F.lit(f"{LEAK}: "), a))
     share = X.ratio_of(q, cfg.script)
     out = out.when((n > 10) & (share < cfg.min_script_ratio) & ~q.rlike(TECHNICAL), one(F.lit(f"{SCRIPT}: "), percent(share)))
-    top = X.top_char_ratio(q)
+    top = X.char_ratio_over(q, cfg.max_repeat_ratio)
     out = out.when(top > cfg.max_repeat_ratio, one(F.lit(f"{REPEATED}: "), percent(top)))
     return out.when(no_meaning, F.array(F.lit(MEANINGLESS))).otherwise(F.array().cast("array<string>"))
 
@@ -76,7 +81,7 @@ def quality_score(q: Column, keywords: Column) -> Column:
     count = lambda tests: sum((F.when(t, 1).otherwise(0) for t in tests), F.lit(0))
     diversity = F.greatest(F.lit(0.3), 1.0 - count([q.rlike(f"(?d){p}") for p in TEMPLATES]) * F.lit(0.3))
     density = F.least(F.lit(1.0), F.size(F.array_distinct(X.chars(q))) / F.greatest(n * F.lit(0.5), F.lit(1.0)))
-    natural = count([*[q.rlike(p) for p in NATURAL], ~q.rlike(f"^{X.WS}*[A-Z]")]) / F.lit(4.0)
+    natural = count([F.substring(q, -2, 2).rlike(NATURAL[0]), *[X.has_any(q, p[1:-1]) for p in NATURAL[1:]], ~q.rlike(f"^{X.WS}*[A-Z]")]) / F.lit(4.0)
     total = F.lit(0.0)
     for part, weight in zip((length, relevance, diversity, density, natural), WEIGHTS, strict=True):
         total = total + part * F.lit(weight)
@@ -127,17 +132,24 @@ def normalise(samples: DataFrame) -> DataFrame:
     return samples.withColumn("question", X.collapse(F.col("question"))).withColumn("answer", X.strip(F.col("answer")))
 
 
-def clean(samples: DataFrame, registry: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """All rows with reason (a key, null if the row passes every layer), score and kept."""
+def clean(samples: DataFrame, registry: DataFrame, cfg: CleanConfig = CleanConfig(), seen: SeenSet | None = None) -> DataFrame:
+    """All rows with reason (a key, null if the row passes every layer), score and kept.
+
+    With `seen`, rows of earlier runs count as before these: their questions are copies, and what
+    resembles their accepted rows is a near copy. `seen.add` takes the result into the state.
+    """
     from .near import greedy_kept
 
     judged = judge(samples, registry, cfg)
     kept = judged.filter("passed2").select("seq", "question", "answer", *[cfg.scope] * (cfg.scope is not None))
     if cfg.dedup in ("exact", "both"):
-        kept = exact_dedup(kept, cfg.scope)
+        kept = exact_dedup(kept if seen is None else seen.fresh(kept, cfg.scope), cfg.scope)
     after_exact = kept.select("seq").withColumn("_exact", F.lit(True))
     if cfg.dedup in ("ngram", "both"):
-        kept = greedy_kept(kept, cfg.ngram, cfg.jaccard)
+        # accepted rows of earlier runs resemble none before them, so they stay accepted, whatever their order
+        before = [] if seen is None else [seen.accepted()]
+        kept = greedy_kept(functools.reduce(lambda a, b: a.unionByName(b), before, kept.select("seq", "question", "answer")), cfg.ngram, cfg.jaccard)
+        kept = kept.filter(F.col("seq") >= 0) if before else kept
     final = kept.select("seq").withColumn("_kept", F.lit(True))
     out = judged.join(after_exact, "seq", "left").join(final, "seq", "left")
     key = F.when(F.size("reasons") > 0, F.substring_index(F.get("reasons", F.lit(0)), ":", 1)).when(~F.col("passed2"), LOW_QUALITY)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import clean, export, generate
-from .queries import BOTH, CONFIG, COPIES, MIX, MUTATED, TARGET, registry_rows
+from .queries import BOTH, CONFIG, COPIES, LATER, MIX, MUTATED, TARGET, registry_rows
 
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -228,6 +228,9 @@ SELECT count(*) AS total, (SELECT count(*) FROM xk) AS passed, count(*) FILTER (
     "export_csv_rows": digested(f"concat({csv_field('question')}, ',', {csv_field('answer')})"),
     "cleaned_files": with_(REG, "fs AS (SELECT doc_id, text AS question, source AS answer, 'stage' || CAST(doc_id % 3 + 1 AS VARCHAR) AS stage, 'folder ' || CAST(doc_id % 7 AS VARCHAR) || '/ä.jsonl' AS src_file FROM documents)", "smp AS (SELECT row_number() OVER (ORDER BY stage, src_file, doc_id) - 1 AS seq, * FROM fs)", judged(), *CLEANED) + f"""
 SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, stage, src_file, md5(regexp_replace({strip('question')}, '{WS}+', ' ', 'g')) AS question_md5, {strip('answer')} AS answer FROM smp WHERE seq IN (SELECT seq FROM xk)""",
+    "cleaned_in_two_runs": with_(REG, f"smp AS (SELECT doc_id % 2 * {LATER} + doc_id AS seq, text AS question, source AS answer, 'stage1' AS stage FROM documents)", judged(BOTH), *CLEANED, *gram_ctes("xk", 0.85), *GREEDY) + f"""
+, r AS (SELECT seq, CASE WHEN reason <> '' THEN reason WHEN seq NOT IN (SELECT seq FROM p2) THEN {lit(clean.LOW_QUALITY)} WHEN seq NOT IN (SELECT seq FROM xk) THEN {lit(clean.EXACT_COPY)} WHEN seq IN (SELECT seq FROM gone) THEN {lit(clean.NEAR_COPY)} ELSE '' END AS reason FROM jd)
+SELECT seq, reason, reason = '' AS kept FROM r""",
     "exported_array": with_(REG, smp(), QUOTA, MERGED) + f"""
 , o AS (SELECT row_number() OVER (ORDER BY place, mg.seq) AS i, {js(f"{{'instruction': {lit(export.INSTRUCTION)}, 'input': question, 'output': smp.answer}}")} AS record FROM mg JOIN smp ON mg.seq = smp.seq)
 SELECT CAST(0 AS BIGINT) AS seq, md5('[') AS line_md5 UNION ALL SELECT i, md5(CASE WHEN i = 1 THEN record ELSE ',' || record END) FROM o UNION ALL SELECT (SELECT count(*) + 1 FROM o), md5(']')""",

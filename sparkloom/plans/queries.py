@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import run
 from ..functions import text as X
 from ..operators import analyze, clean, export, generate, merge, near, pairs
+from ..operators.seen import SeenSet
 from ..sources import jsonl
 from ..sources import registry as R
 
@@ -323,6 +324,21 @@ def cleaned_files(s, d):
     return c.select("seq", "stage", "src_file", F.md5(F.col("question").cast("binary")).alias("question_md5"), "answer")
 
 
+LATER = 1_000_000_000
+
+
+@query
+def cleaned_in_two_runs(s, d):
+    """Documents of even ids in one run, the others in a later one that goes on from its state."""
+    docs = samples(s, d).withColumn("seq", F.col("seq") % 2 * LATER + F.col("seq"))
+    path, runs = near.shared_path(s, "seen"), []
+    for part in (docs.filter(F.col("seq") < LATER), docs.filter(F.col("seq") >= LATER)):
+        seen = SeenSet(s, path)
+        runs.append(near.written(clean.clean(part, registry(s), BOTH, seen)))
+        seen.add(runs[-1])
+    return runs[0].unionByName(runs[1]).select("seq", F.coalesce("reason", F.lit("")).alias("reason"), "kept")
+
+
 @query
 def exported_array(s, d):
     """The lines of a JSON array of merged rows, in the order that its parts hold them."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import analyze, clean, export, generate, merge, pairs
+from .operators.seen import SeenSet
 from .functions.text import seeded
 from .sources import files, jsonl
 from .state import save_state
@@ -76,18 +77,22 @@ def read_raw(spark: SparkSession, folder: str) -> DataFrame:
     return _in_order(spark, lambda k: jsonl.read_stage(spark, f"{folder}/{k}", k, keep_corrupt=True, placed=True).select(*columns))
 
 
-def clean_folders(spark: SparkSession, raw: str, out: str, labels: DataFrame, cfg: clean.CleanConfig) -> dict:
+def clean_folders(spark: SparkSession, raw: str, out: str, labels: DataFrame, cfg: clean.CleanConfig, state: str | None = None) -> dict:
     """Cleans all files of all stages into <out>/<stage>/src_file=<path below the stage's folder>, rows in order; dedup spans them, unless cfg.scope names a column.
 
     Each stage's files appear together, when their job is done. Returns files, total_input, total_passed,
-    overall_pass_rate, and the same by file; <out>/files.json has them too, written last.
+    overall_pass_rate, and the same by file; <out>/files.json has them too, written last. `state` is a path
+    of what earlier runs have seen: dedup goes on from there, and this run is added at its end.
     """
-    cleaned = clean.clean(read_raw(spark, raw), labels, cfg).persist()
+    seen = None if state is None else SeenSet(spark, state)
+    cleaned = clean.clean(read_raw(spark, raw), labels, cfg, seen).persist()
     try:
         good = cleaned.filter("written" if cfg.cap is not None else "kept").select("seq", "question", "answer", "stage", "src_file")
         for k in STAGES:
             part = clean.normalise(good.filter(F.col("stage") == k))
             jsonl.write_jsonl(part, f"{out}/{k}", by="src_file", order=["seq"])
+        if seen is not None:
+            seen.add(cleaned, cfg.scope)
         by_file = [r.asDict() for r in clean.file_stats(cleaned, "stage", "src_file").orderBy("stage", "src_file").collect()]  # one row a file
     finally:
         cleaned.unpersist()
@@ -127,7 +132,7 @@ def full_run(spark: SparkSession, labels: DataFrame, cfg: dict, root: str, raw:
         for k in STAGES:
             generate_stage(spark, labels, k, cfg, f"{raw}/{k}", provider, names, max_pairs)
             state(**{k: "generated"})
-    stats = clean_folders(spark, raw, f"{root}/clean", labels, clean.CleanConfig(**cfg["clean"]))
+    stats = clean_folders(spark, raw, f"{root}/clean", labels, clean.CleanConfig(**cfg["clean"]), cfg["output"].get("seen"))
     state(clean=stats)
     merge_and_export(spark, read_clean(spark, f"{root}/clean"), labels, cfg, root)
     return state(done=True)

@@ -418,3 +418,44 @@ def test_many_near_copies_cost_no_square(spark, monkeypatch):
     kept = near.greedy_kept(spark.createDataFrame(rows, "seq long, question string, answer string"))
     assert [r.seq for r in kept.collect()] == [0]
     assert sum(p.count() for p in pairs) < 80 * len(rows)  # all pairs would be 10,000 times the rows
+
+
+@pytest.mark.parametrize("dedup", ["exact", "ngram", "both"])
+def test_two_runs_equal_one(spark, tmp_path, dedup):
+    from sparkloom.operators.seen import SeenSet
+
+    rng = random.Random(9)
+    base = ["".join(chr(0x4E00 + rng.randrange(300)) for _ in range(40)) for _ in range(12)]
+    texts = []
+    for _ in range(90):
+        q = rng.choice(base)
+        k = rng.randrange(40)
+        texts.append(rng.choice([q, q, q[:k] + "新" + q[k + 1 :], q[:20] + " " + q[20:]]))
+    rows = [(q, rng.choice([A, B])) for q in texts] + [("短", A), (None, B)]
+    cfg = clean.CleanConfig(min_score=0.0, dedup=dedup, min_script_ratio=0.0)
+    verdicts = lambda df: {r.seq: r.reason for r in df.collect()}
+    want = verdicts(clean.clean(samples(spark, rows), labels(spark), cfg))
+    path, got = str(tmp_path / "seen"), {}
+    for a, b in ((0, 30), (30, 31), (31, len(rows))):
+        seen = SeenSet(spark, path)
+        done = near.written(clean.clean(samples(spark, rows[a:b], a), labels(spark), cfg, seen))
+        got |= verdicts(done)
+        assert seen.add(done) == len(SeenSet(spark, path).folders)
+    assert got == want and len(set(want.values())) >= 3
+
+
+def test_a_run_that_breaks_off_adds_nothing(spark, tmp_path, monkeypatch):
+    from sparkloom.operators.seen import SeenSet
+    from sparkloom.sources import files
+
+    path, rows = str(tmp_path / "seen"), samples(spark, [("航班备降需要哪些审批流程？", B)])
+    done = clean.clean(rows, labels(spark), clean.CleanConfig(min_score=0.0))
+    with monkeypatch.context() as m:
+        m.setattr(files, "write_text", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError, match="gone"):
+            SeenSet(spark, path).add(done)
+    assert SeenSet(spark, path).folders == [] and SeenSet(spark, path).fresh(rows).count() == 1
+    one, two = SeenSet(spark, path), SeenSet(spark, path)
+    assert one.add(done) == 1 and SeenSet(spark, path).fresh(rows).count() == 0
+    with pytest.raises(RuntimeError, match="another run"):
+        two.add(done)
