@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .order import prefix_sums
+
 #: Fixed value: the domain of labels that no registry row has.
 UNKNOWN = "未知"
 
@@ -66,8 +68,10 @@ def missing_labels(samples: DataFrame, registry: DataFrame) -> DataFrame:
 
 def balance_score(samples: DataFrame) -> DataFrame:
     """One row: 1 less the absolute Gini coefficient of the labels' counts, to four decimals; 1 for one label, 0 for none."""
-    d = label_distribution(samples).withColumn("i", F.row_number().over(Window.orderBy("n", "answer")))
-    k = d.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t"), F.sum(F.col("i") * F.col("n")).alias("s"))
+    # labels of one count n, c of them with `ahead` before: their ranks from 1 add up to c * ahead + c * (c + 1) / 2
+    d = label_distribution(samples).groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+    d = prefix_sums(d, "n", "c").withColumn("ranks", F.col("c") * F.col("ahead") + F.col("c") * (F.col("c") + 1) / 2)
+    k = d.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("k"), F.sum(F.col("c") * F.col("n")).alias("t"), F.sum(F.col("ranks") * F.col("n")).alias("s"))
     gini = (2 * F.col("s") - (F.col("k") + 1) * F.col("t")) / (F.col("k") * F.col("t"))
     score = F.when(F.col("k") == 0, 0.0).when(F.col("k") == 1, 1.0).otherwise(F.round(1 - F.abs(gini), 4))
     return k.select(score.alias("balance_score"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import seeded
 from .clean import exact_dedup
+from .order import placed_in_groups
 
 
 def quotas(target: int, weights: tuple[float, float, float]) -> dict[str, int]:
@@ -21,8 +22,7 @@ def quota_sample(samples: DataFrame, registry: DataFrame, target: int, weights:
     limit = F.lit(0)
     for stage, n in quotas(target, weights).items():
         limit = F.when(F.col("stage") == stage, n).otherwise(limit)
-    w = Window.partitionBy("answer", "stage").orderBy(seeded(seed, F.col("seq")), "seq")
-    return known.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= limit).drop("_r")
+    return placed_in_groups(known, ["answer", "stage"], seed).filter(F.col("_i") <= limit).drop("_i", "_n")
 
 
 def merge(samples: DataFrame, registry: DataFrame, target: int, weights: tuple[float, float, float], seed: int = 42, dedup: bool = True, max_total: int | None = None) -> DataFrame:
@@ -49,8 +49,7 @@ def check_ratios(train: float, val: float, test: float) -> None:
 def stratified_split(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42) -> DataFrame:
     """samples with `split`; each label is cut at its own places, at least one row to train and one to val."""
     check_ratios(*ratios)
-    w = Window.partitionBy("answer")
-    s = samples.withColumn("_i", F.row_number().over(w.orderBy(seeded(seed, F.col("seq")), "seq"))).withColumn("_n", F.count(F.lit(1)).over(w))
+    s = placed_in_groups(samples, ["answer"], seed)
     train = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratios[0])))
     val = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(ratios[1])))
     split = F.when(F.col("_i") <= train, "train").when(F.col("_i") <= train + val, "val").otherwise("test")
@@ -58,18 +57,9 @@ def stratified_split(samples: DataFrame, ratios: tuple[float, float, float] = (0
 
 
 def random_split(samples: DataFrame, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), seed: int = 42) -> DataFrame:
-    """samples with `split`, by place in one seeded order.
-
-    Places are counted in two steps, so that no task sorts all rows: rows ahead of a bin of the hash,
-    from one row a bin, and places within each bin.
-    """
+    """samples with `split`, by place in one seeded order."""
     check_ratios(*ratios)
-    s = samples.withColumn("_h", seeded(seed, F.col("seq"))).withColumn("_b", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
-    per = s.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    ahead = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("_ahead", F.coalesce(F.sum("_c").over(ahead), F.lit(0))).withColumn("_n", F.sum("_c").over(Window.partitionBy()))
-    s = s.join(F.broadcast(per.drop("_c")), "_b")  # at most 16**3 rows
-    s = s.withColumn("_i", F.col("_ahead") + F.row_number().over(Window.partitionBy("_b").orderBy("_h", "seq")))
+    s = placed_in_groups(samples, [], seed)
     train, val = F.floor(F.col("_n") * F.lit(ratios[0])), F.floor(F.col("_n") * F.lit(ratios[1]))
     split = F.when(F.col("_i") <= train, "train").when(F.col("_i") <= train + val, "val").otherwise("test")
     return s.withColumn("split", split).select(*samples.columns, "split")

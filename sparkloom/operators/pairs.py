@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .near import written
+from .order import numbered
+
 REGISTRY, KEYWORD, DOMAIN = "registry", "keyword_overlap", "domain"
 REGISTRY_SCORE, DOMAIN_SCORE = 0.8, 0.2
 
@@ -63,32 +66,34 @@ def all_pairs(registry: DataFrame, threshold: float = 0.3) -> DataFrame:
 
 
 def capped_pairs(pairs: DataFrame, most: int = 5) -> DataFrame:
-    """Greedy selection by falling score: an edge is taken while both its labels have fewer than `most`.
+    """Greedy selection by falling score: an edge is taken while both its labels have fewer than `most`; with `place`, its number among those taken.
 
-    Sequential by nature and over the edges of a label registry only (hundreds), so one group does it;
-    the taken edges come back with `place`, their order.
+    In rounds: an edge that stands, at both its labels, among as many first edges as the label has room
+    for is taken by any greedy course, so all such edges are taken at once; edges of full labels go. The
+    first edge left is always among them. Edges are in no place together; a label's are, and those that
+    are left of a hot one's are its first `most` at once.
     """
-    schema = "agent_a string, agent_b string, place long"
-
-    def take(pdf):
-        import pandas as pd
-
-        used: dict[str, int] = {}
-        out = []
-        for a, b in zip(pdf["agent_a"], pdf["agent_b"], strict=True):
-            if used.get(a, 0) < most and used.get(b, 0) < most:
-                used[a], used[b] = used.get(a, 0) + 1, used.get(b, 0) + 1
-                out.append((a, b, len(out)))
-        return pd.DataFrame(out, columns=["agent_a", "agent_b", "place"])
-
-    keyed = pairs.select("agent_a", "agent_b", "overlap_score", "rank.*")
-    order = ["pass", "i", "j", "d"]
-
-    def sorted_take(pdf):
-        return take(pdf.sort_values(["overlap_score", *order], ascending=[False, True, True, True, True]))
-
-    taken = keyed.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(sorted_take, schema)
-    return taken.join(pairs, ["agent_a", "agent_b"])
+    order = [F.struct((-F.col("overlap_score")).alias("less"), "rank").alias("order")]
+    left = written(pairs.select("agent_a", "agent_b", *order))
+    room = taken = None
+    while not left.isEmpty():
+        ends = left.select(F.col("agent_a").alias("name"), "order", F.lit(0).alias("end")).unionByName(left.select(F.col("agent_b").alias("name"), "order", F.lit(1).alias("end")))
+        first = ends.withColumn("_r", F.row_number().over(Window.partitionBy("name").orderBy("order"))).filter(F.col("_r") <= most)
+        if room is not None:
+            first = first.join(room, "name", "left").filter(F.col("_r") <= most - F.coalesce("used", F.lit(0)))
+        now = written(first.groupBy("order").agg(F.count(F.lit(1)).alias("_e")).filter("_e = 2").select("order"))
+        now = written(left.join(now, "order", "left_semi"))
+        taken = now if taken is None else taken.unionByName(now)
+        used = taken.select(F.col("agent_a").alias("name")).unionByName(taken.select(F.col("agent_b").alias("name"))).groupBy("name").agg(F.count(F.lit(1)).alias("used"))
+        room = written(used)
+        full = room.filter(F.col("used") >= most)
+        left = left.join(now.select("order"), "order", "left_anti")
+        for k in ("agent_a", "agent_b"):
+            left = left.join(full.select(F.col("name").alias(k)), k, "left_anti")
+        left = written(left.select("agent_a", "agent_b", "order"))
+    if taken is None:
+        return pairs.withColumn("place", F.lit(0).cast("long")).limit(0)
+    return numbered(taken, "order").drop("order").join(pairs, ["agent_a", "agent_b"])
 
 
 def confusion_matrix(pairs: DataFrame) -> DataFrame:

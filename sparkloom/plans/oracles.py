@@ -23,6 +23,12 @@ def num(x: float) -> str:
 REG = "reg AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {lit(r['name'])}, {lit(r['domain'])}, {lit(r['description'])}, {lits(r['keywords'])}, {lits(r['confusable'])})" for i, r in enumerate(registry_rows())) + ") AS t(idx, name, domain, description, keywords, confusable))"
 
 
+#: Suppliers as a registry.
+REGS = """reg AS (SELECT CAST(s_suppkey AS INT) AS idx, s_name AS name, 'domain' || CAST(s_suppkey // 10 AS VARCHAR) AS domain, s_name || ' of nation ' || CAST(s_nationkey AS VARCHAR) AS description,
+  ['nation' || CAST(s_nationkey AS VARCHAR) || '/' || CAST(s_suppkey // 100 AS VARCHAR), 'balance' || CAST(CAST(floor(s_acctbal / 1000) AS BIGINT) AS VARCHAR) || '/' || CAST(s_suppkey // 100 AS VARCHAR), 'block' || CAST(s_suppkey // 25 AS VARCHAR)] AS keywords,
+  ['Supplier#' || lpad(CAST(s_suppkey + 7 AS VARCHAR), 9, '0'), 'Supplier#' || lpad(CAST(2 * s_suppkey + 1 AS VARCHAR), 9, '0')] AS confusable FROM supplier)"""
+
+
 def smp(label: str = "source") -> str:
     return f"smp AS (SELECT doc_id AS seq, text AS question, {label} AS answer, 'stage' || CAST(doc_id % 3 + 1 AS VARCHAR) AS stage FROM documents)"
 
@@ -154,7 +160,7 @@ def filled(text: str, name: str, other: str, count: int) -> str:
 
 
 def tasks(kind: str, n: int, count: int, start: int = 0) -> str:
-    return with_(REG, bank(), f"t AS (SELECT reg.*, c, CASE (c + {start}) % 4 {' '.join(f'WHEN {k} THEN {lit(x)}' for k, x in enumerate(generate.COMPLEX))} END AS complex FROM reg, range({n}) AS r(c))") + f"""
+    return with_(REGS, bank(), f"t AS (SELECT reg.*, c, CASE (c + {start}) % 4 {' '.join(f'WHEN {k} THEN {lit(x)}' for k, x in enumerate(generate.COMPLEX))} END AS complex FROM reg, range({n}) AS r(c))") + f"""
 SELECT {generate.KINDS.index(kind) << (generate.CALL_BITS + 31)} + CAST(idx AS BIGINT) * {1 << generate.CALL_BITS} + c AS task_idx, bank.kind, {lit(generate.SYSTEM)} AS system, {filled("text", "name", "''", count)} AS "user", name AS expected_answer
 FROM t JOIN bank ON bank.kind = {"complex" if kind == "stage2_complex" else lit(kind)} AND (c + {start}) % bank.n = bank.i"""
 
@@ -176,11 +182,11 @@ ORACLES = {
     "exact_dedup_mutated": with_(*MUT) + f" SELECT seq FROM ({EXACT}) WHERE r = 1",
     "file_stats_mutated": with_(REG, *MUT, judged(BOTH), *CLEANED, *gram_ctes("xk", 0.85), *GREEDY) + JUDGED + " SELECT stage, count(*) AS n_input, count(*) FILTER (WHERE reason = '') AS n_passed, round(CAST(count(*) FILTER (WHERE reason = '') AS DOUBLE) / count(*), 6) AS pass_rate FROM r GROUP BY 1",
     "extract_json": f"SELECT conv_id, turn, q AS question, 'label' AS answer FROM (SELECT conv_id, turn, {strip('text')} AS q FROM conversations WHERE text IS NOT NULL) WHERE length(q) BETWEEN 5 AND 500 AND NOT contains(q, 'label')",
-    "generated_offline": with_(REG, f"m AS (SELECT name, c, k, t FROM reg, range({CALLS}) AS r(c), (VALUES {', '.join(f'({k}, {lit(t)})' for k, t in enumerate(MOCK))}) AS v(k, t))") + " SELECT '[MOCK] ' || t AS question, name AS answer FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY c, k) AS i FROM m) WHERE i <= 40",
-    "response_stats": with_(REG) + f" SELECT count(*) * {CALLS} AS calls, count(*) * {CALLS} AS succeeded, CAST(0 AS BIGINT) AS failed, count(*) * {3 * CALLS} AS items, count(*) * {100 * CALLS} AS prompt_tokens, count(*) * {50 * CALLS} AS completion_tokens, CAST(1 AS DOUBLE) AS success_rate FROM reg",
-    "batch_prompts": with_(REG) + f" SELECT name AS expected_answer, {lit(generate.SYSTEM)} AS system, concat('为智能体「', name, '」（', description, '）写3条用户问题，关键词：', array_to_string(keywords, '、'), '。各条依次：换一种语气；从新手的角度提问；从专家的角度提问。输出JSON数组，每项含question与answer。') AS \"user\" FROM reg",
-    "registry_subset": with_(REG) + " SELECT idx, name FROM reg WHERE name IN ('src3', 'src7')",
-    "hard_negatives_offline": with_(REG, *PAIRS, paired("rp", "kp", "dp"), CAPPED) + f" SELECT pair, answer, least(25, {3 * generate.spare_calls(25, 5)}) AS n FROM (SELECT agent_a || '_vs_' || agent_b || '_' || substr(md5(concat(agent_a, chr(31), agent_b)), 1, 8) AS pair, unnest([agent_a, agent_b]) AS answer FROM cp)",
+    "generated_offline": with_(REGS, f"m AS (SELECT name, c, k, t FROM reg, range({CALLS}) AS r(c), (VALUES {', '.join(f'({k}, {lit(t)})' for k, t in enumerate(MOCK))}) AS v(k, t))") + " SELECT '[MOCK] ' || t AS question, name AS answer FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY c, k) AS i FROM m) WHERE i <= 40",
+    "response_stats": with_(REGS) + f" SELECT count(*) * {CALLS} AS calls, count(*) * {CALLS} AS succeeded, CAST(0 AS BIGINT) AS failed, count(*) * {3 * CALLS} AS items, count(*) * {100 * CALLS} AS prompt_tokens, count(*) * {50 * CALLS} AS completion_tokens, CAST(1 AS DOUBLE) AS success_rate FROM reg",
+    "batch_prompts": with_(REGS) + f" SELECT name AS expected_answer, {lit(generate.SYSTEM)} AS system, concat('为智能体「', name, '」（', description, '）写3条用户问题，关键词：', array_to_string(keywords, '、'), '。各条依次：换一种语气；从新手的角度提问；从专家的角度提问。输出JSON数组，每项含question与answer。') AS \"user\" FROM reg",
+    "registry_subset": with_(REGS) + " SELECT idx, name FROM reg WHERE name IN ('Supplier#000000003', 'Supplier#000000007')",
+    "hard_negatives_offline": with_(REGS, *PAIRS, paired("rp", "kp", "dp"), CAPPED) + f" SELECT pair, answer, least(25, {3 * generate.spare_calls(25, 5)}) AS n FROM (SELECT agent_a || '_vs_' || agent_b || '_' || substr(md5(concat(agent_a, chr(31), agent_b)), 1, 8) AS pair, unnest([agent_a, agent_b]) AS answer FROM cp)",
     "hard_filter_reasons": with_(REG, smp(), judged()) + " SELECT reason, count(*) AS n FROM jd WHERE reason <> '' GROUP BY 1",
     "hard_filter_rows": with_(REG, smp(), judged()) + " SELECT seq, reason FROM jd",
     "quality_scores": with_(REG, smp(), judged()) + " SELECT seq, score FROM jd",
@@ -213,14 +219,14 @@ SELECT count(*) AS total, (SELECT count(*) FROM xk) AS passed, count(*) FILTER (
     "balance_score": with_(smp(), f"x AS (SELECT answer, count(*) AS n FROM smp WHERE seq IN (SELECT seq FROM ({EXACT}) WHERE r = 1) GROUP BY 1)", "y AS (SELECT n, row_number() OVER (ORDER BY n, answer) AS i, count(*) OVER () AS k FROM x)") + " SELECT round(1 - abs(CAST(sum((2 * i - k - 1) * n) AS DOUBLE) / (any_value(k) * sum(n))), 4) AS balance_score FROM y",
     "progress_report": with_(smp()) + " SELECT CASE WHEN grouping(stage) = 1 THEN 'TOTAL' ELSE stage END AS stage, CASE WHEN grouping(answer) = 1 THEN 'TOTAL' ELSE answer END AS answer, count(*) AS n FROM smp GROUP BY ROLLUP (stage, answer)",
     "resume_remaining": with_(REG, smp()) + " SELECT name, count(answer) AS existing, 60 - count(answer) AS remaining FROM reg LEFT JOIN smp ON name = answer GROUP BY 1 HAVING count(answer) < 60",
-    "registry_pairs": with_(REG, PAIRS[0], paired("rp")) + FLAT,
-    "keyword_overlap_pairs": with_(REG, PAIRS[1], paired("kp")) + FLAT,
-    "domain_pairs": with_(REG, PAIRS[2], paired("dp")) + FLAT,
-    "all_pairs": with_(REG, *PAIRS, paired("rp", "kp", "dp")) + FLAT,
-    "capped_pairs": with_(REG, *PAIRS, paired("rp", "kp", "dp"), CAPPED) + " SELECT * FROM cp",
-    "pair_source_counts": with_(REG, *PAIRS, paired("rp", "kp", "dp")) + " SELECT source, count(*) AS n FROM ap GROUP BY 1",
-    "confusion_matrix": with_(REG, *PAIRS, paired("rp", "kp", "dp")) + " SELECT name, array_to_string(list_sort(list(DISTINCT o)), ',') AS neighbours FROM (SELECT agent_a AS name, agent_b AS o FROM ap UNION ALL SELECT agent_b, agent_a FROM ap) GROUP BY 1",
-    "pairs_touching": with_(REG, *PAIRS, paired("rp", "kp", "dp")) + FLAT + " WHERE agent_a IN ('src3', 'src4') OR agent_b IN ('src3', 'src4')",
+    "registry_pairs": with_(REGS, PAIRS[0], paired("rp")) + FLAT,
+    "keyword_overlap_pairs": with_(REGS, PAIRS[1], paired("kp")) + FLAT,
+    "domain_pairs": with_(REGS, PAIRS[2], paired("dp")) + FLAT,
+    "all_pairs": with_(REGS, *PAIRS, paired("rp", "kp", "dp")) + FLAT,
+    "capped_pairs": with_(REGS, *PAIRS, paired("rp", "kp", "dp"), CAPPED) + " SELECT * FROM cp",
+    "pair_source_counts": with_(REGS, *PAIRS, paired("rp", "kp", "dp")) + " SELECT source, count(*) AS n FROM ap GROUP BY 1",
+    "confusion_matrix": with_(REGS, *PAIRS, paired("rp", "kp", "dp")) + " SELECT name, array_to_string(list_sort(list(DISTINCT o)), ',') AS neighbours FROM (SELECT agent_a AS name, agent_b AS o FROM ap UNION ALL SELECT agent_b, agent_a FROM ap) GROUP BY 1",
+    "pairs_touching": with_(REGS, *PAIRS, paired("rp", "kp", "dp")) + FLAT + " WHERE agent_a IN ('Supplier#000000003', 'Supplier#000000004') OR agent_b IN ('Supplier#000000003', 'Supplier#000000004')",
     "export_jsonl": digested(js("{'question': question, 'answer': answer}")),
     "export_alpaca": digested(js(f"{{'instruction': {lit(export.INSTRUCTION)}, 'input': question, 'output': answer}}")),
     "export_sharegpt": digested(js(f"{{'system': {lit(export.INSTRUCTION)}, 'conversations': [{{'from': 'human', 'value': question}}, {{'from': 'gpt', 'value': answer}}]}}")),
@@ -236,15 +242,15 @@ SELECT seq, reason, reason = '' AS kept FROM r""",
 SELECT CAST(0 AS BIGINT) AS seq, md5('[') AS line_md5 UNION ALL SELECT i, md5(CASE WHEN i = 1 THEN record ELSE ',' || record END) FROM o UNION ALL SELECT (SELECT count(*) + 1 FROM o), md5(']')""",
     "prompt_tasks": tasks("stage1", generate.stage1_calls(40), 5),
     "prompt_tasks_complex": tasks("stage2_complex", generate.stage2_calls(40)[1], 10, 3),
-    "hard_negative_tasks": with_(REG, *PAIRS, paired("rp", "kp", "dp"), CAPPED, bank(), "b2 AS (SELECT agent_a AS target, agent_b AS other FROM cp UNION ALL SELECT agent_b, agent_a FROM cp)") + f"""
+    "hard_negative_tasks": with_(REGS, *PAIRS, paired("rp", "kp", "dp"), CAPPED, bank(), "b2 AS (SELECT agent_a AS target, agent_b AS other FROM cp UNION ALL SELECT agent_b, agent_a FROM cp)") + f"""
 SELECT md5(concat(least(target, other), chr(31), greatest(target, other))) AS pair_id, CAST(c AS INT) AS call, {lit(generate.SYSTEM)} AS system, {filled("text", "target", "other", 5)} AS "user", target AS expected_answer, other
 FROM b2 JOIN reg ON target = name, range({generate.spare_calls(25, 5)}) AS r(c) JOIN bank ON bank.kind = 'hard_negative' AND c % bank.n = bank.i""",
-    "stage3_tasks": with_(REG, bank(), "rf AS (SELECT name, unnest(confusable) AS other FROM reg)", f"rt AS (SELECT name, other, c, CASE WHEN c % 2 = 0 THEN name ELSE other END AS target, CASE WHEN c % 2 = 0 THEN other ELSE name END AS against FROM rf, range({generate.spare_calls(25, 5)}) AS r(c) WHERE other IN (SELECT name FROM reg))") + f"""
+    "stage3_tasks": with_(REGS, bank(), "rf AS (SELECT name, unnest(confusable) AS other FROM reg)", f"rt AS (SELECT name, other, c, CASE WHEN c % 2 = 0 THEN name ELSE other END AS target, CASE WHEN c % 2 = 0 THEN other ELSE name END AS against FROM rf, range({generate.spare_calls(25, 5)}) AS r(c) WHERE other IN (SELECT name FROM reg))") + f"""
 SELECT rt.name, rt.other AS confusable, CAST(c AS INT) AS call, {lit(generate.SYSTEM)} AS system, {filled("text", "target", "against", 5)} AS "user", target AS expected_answer
 FROM rt JOIN reg ON target = reg.name JOIN bank ON bank.kind = 'hard_negative' AND c % bank.n = bank.i""",
-    "pairs_report": with_(REG, *PAIRS, paired("rp", "kp", "dp")) + " SELECT count(*) AS total_pairs, (SELECT agent_a FROM ap ORDER BY overlap_score DESC, p, i, j, d LIMIT 1) AS first_a, (SELECT agent_b FROM ap ORDER BY overlap_score DESC, p, i, j, d LIMIT 1) AS first_b FROM ap",
+    "pairs_report": with_(REGS, *PAIRS, paired("rp", "kp", "dp")) + " SELECT count(*) AS total_pairs, (SELECT agent_a FROM ap ORDER BY overlap_score DESC, p, i, j, d LIMIT 1) AS first_a, (SELECT agent_b FROM ap ORDER BY overlap_score DESC, p, i, j, d LIMIT 1) AS first_b FROM ap",
     "length_summary": with_(smp()) + " SELECT count(*) AS n, min(length(question)) AS min_len, max(length(question)) AS max_len, CAST(floor(sum(length(question)) / count(*)) AS BIGINT) AS mean_len FROM smp",
-    "labels_by_domain": with_(REG) + " SELECT domain, string_agg(name, ',' ORDER BY idx) AS names FROM reg GROUP BY 1",
+    "labels_by_domain": with_(REGS) + " SELECT domain, string_agg(name, ',' ORDER BY idx) AS names FROM reg GROUP BY 1",
     "hard_negative_valid": with_(smp()) + f" SELECT seq FROM smp WHERE length({strip('question')}) >= 15 AND NOT contains(question, answer) AND NOT contains(question, 'src' || CAST(seq % 20 AS VARCHAR))",
     "simple_clean": with_(smp()) + f" SELECT seq FROM smp WHERE {strip('question')} <> '' AND answer = 'src3' AND length(question) BETWEEN 8 AND 5000 AND NOT contains(question, answer) AND {share('question', 'A-Za-zÀ-ÿ')} >= {num(0.7)}",
     "safe_names": "SELECT p_partkey, translate(p_name, '/\\ ', '___') AS file_name, substr(translate(p_name, '/\\ ', '___'), 1, 20) AS short_name FROM part",

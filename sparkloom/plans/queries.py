@@ -34,6 +34,19 @@ def registry(spark: SparkSession) -> DataFrame:
     return R.from_rows(spark, registry_rows())
 
 
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as a label registry that grows with the table: ten of a domain, keywords that a hundred share at most, names of two others, of which one may not exist."""
+    t = spark.read.parquet(f"{sf_dir}/supplier.parquet").withColumn("k", F.col("s_suppkey"))
+    text = lambda c: F.floor(c).cast("long").cast("string")
+    block = text(F.col("k") / 100)
+    name = lambda k: F.concat(F.lit("Supplier#"), F.lpad(k.cast("string"), 9, "0"))
+    words = [F.concat(F.lit("nation"), F.col("s_nationkey").cast("string"), F.lit("/"), block), F.concat(F.lit("balance"), text(F.col("s_acctbal") / 1000), F.lit("/"), block), F.concat(F.lit("block"), text(F.col("k") / 25))]
+    return t.select(
+        F.col("k").cast("int").alias("idx"), F.col("s_name").alias("name"), F.concat(F.lit("domain"), text(F.col("k") / 10)).alias("domain"), F.concat(F.col("s_name"), F.lit(" of nation "), F.col("s_nationkey").cast("string")).alias("description"),
+        F.array(*words).alias("keywords"), F.array(name(F.col("k") + 7), name(2 * F.col("k") + 1)).alias("confusable"),
+    )
+
+
 def samples(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFrame:
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return d.select(F.col("doc_id").alias("seq"), F.col("text").alias("question"), F.col(label).alias("answer"), F.concat(F.lit("stage"), (F.col("doc_id") % 3 + 1).cast("string")).alias("stage"))
@@ -43,8 +56,8 @@ def samples(spark: SparkSession, sf_dir: str, label: str = "source") -> DataFram
 #: One text for both engines; rows have seq, question, answer, stage.
 MUTATED = """
 SELECT seq, stage,
-  CASE seq % 17 WHEN 1 THEN NULL WHEN 2 THEN '   ' WHEN 3 THEN 'abc' WHEN 4 THEN 'see ' || answer || ': ' || substr(question, 1, 200) WHEN 5 THEN '[MOCK] ' || substr(question, 1, 100)
-    WHEN 6 THEN repeat('ab', 30) WHEN 7 THEN '1234567 890123 456' WHEN 8 THEN 'Test: ' || substr(question, 1, 60) ELSE substr(question, 1, 400) END AS question,
+  CASE seq % 17 WHEN 1 THEN NULL WHEN 2 THEN '   ' WHEN 3 THEN 'abc' WHEN 4 THEN 'see ' || answer || ': ' || question WHEN 5 THEN '[MOCK] ' || question
+    WHEN 6 THEN repeat('ab', 30) WHEN 7 THEN '1234567 890123 456' WHEN 8 THEN 'Test: ' || question ELSE question END AS question,
   CASE seq % 17 WHEN 10 THEN NULL WHEN 11 THEN '  ' WHEN 12 THEN 'nolabel' ELSE answer END AS answer
 FROM plain
 """
@@ -244,43 +257,43 @@ def _flat(p: DataFrame) -> DataFrame:
 
 @query
 def registry_pairs(s, d):
-    return _flat(pairs.registry_pairs(registry(s)))
+    return _flat(pairs.registry_pairs(suppliers(s, d)))
 
 
 @query
 def keyword_overlap_pairs(s, d):
-    return _flat(pairs.keyword_pairs(registry(s), 0.3))
+    return _flat(pairs.keyword_pairs(suppliers(s, d), 0.3))
 
 
 @query
 def domain_pairs(s, d):
-    return _flat(pairs.domain_pairs(registry(s)))
+    return _flat(pairs.domain_pairs(suppliers(s, d)))
 
 
 @query
 def all_pairs(s, d):
-    return _flat(pairs.all_pairs(registry(s), 0.3))
+    return _flat(pairs.all_pairs(suppliers(s, d), 0.3))
 
 
 @query
 def capped_pairs(s, d):
-    return pairs.capped_pairs(pairs.all_pairs(registry(s), 0.3), 5).select("agent_a", "agent_b", "place")
+    return pairs.capped_pairs(pairs.all_pairs(suppliers(s, d), 0.3), 5).select("agent_a", "agent_b", "place")
 
 
 @query
 def pair_source_counts(s, d):
-    return pairs.all_pairs(registry(s), 0.3).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.all_pairs(suppliers(s, d), 0.3).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def confusion_matrix(s, d):
-    m = pairs.confusion_matrix(pairs.all_pairs(registry(s), 0.3))
+    m = pairs.confusion_matrix(pairs.all_pairs(suppliers(s, d), 0.3))
     return m.select("name", F.array_join("neighbours", ",").alias("neighbours"))
 
 
 @query
 def pairs_touching(s, d):
-    return _flat(pairs.touching(pairs.all_pairs(registry(s), 0.3), ["src3", "src4"]))
+    return _flat(pairs.touching(pairs.all_pairs(suppliers(s, d), 0.3), ["Supplier#000000003", "Supplier#000000004"]))
 
 
 def _digested(df: DataFrame) -> DataFrame:
@@ -350,28 +363,28 @@ def exported_array(s, d):
 
 @query
 def prompt_tasks(s, d):
-    return generate.prompt_tasks(registry(s), generate.templates(s), "stage1", generate.stage1_calls(40), 5)
+    return generate.prompt_tasks(suppliers(s, d), generate.templates(s), "stage1", generate.stage1_calls(40), 5)
 
 
 @query
 def prompt_tasks_complex(s, d):
-    return generate.prompt_tasks(registry(s), generate.templates(s), "stage2_complex", generate.stage2_calls(40)[1], 10, start=3)
+    return generate.prompt_tasks(suppliers(s, d), generate.templates(s), "stage2_complex", generate.stage2_calls(40)[1], 10, start=3)
 
 
 @query
 def hard_negative_tasks(s, d):
-    chosen = pairs.capped_pairs(pairs.all_pairs(registry(s), 0.3), 5)
-    return generate.hard_negative_tasks(chosen, registry(s), generate.templates(s), generate.spare_calls(25, 5))
+    chosen = pairs.capped_pairs(pairs.all_pairs(suppliers(s, d), 0.3), 5)
+    return generate.hard_negative_tasks(chosen, suppliers(s, d), generate.templates(s), generate.spare_calls(25, 5))
 
 
 @query
 def stage3_tasks(s, d):
-    return generate.stage3_tasks(registry(s), generate.templates(s), 25)
+    return generate.stage3_tasks(suppliers(s, d), generate.templates(s), 25)
 
 
 @query
 def pairs_report(s, d):
-    return pairs.pairs_report(pairs.all_pairs(registry(s), 0.3)).select(F.get_json_object("report", "$.total_pairs").cast("long").alias("total_pairs"), F.get_json_object("report", "$.pairs[0].agent_a").alias("first_a"), F.get_json_object("report", "$.pairs[0].agent_b").alias("first_b"))
+    return pairs.pairs_report(pairs.all_pairs(suppliers(s, d), 0.3)).select(F.get_json_object("report", "$.total_pairs").cast("long").alias("total_pairs"), F.get_json_object("report", "$.pairs[0].agent_a").alias("first_a"), F.get_json_object("report", "$.pairs[0].agent_b").alias("first_b"))
 
 
 @query
@@ -381,7 +394,7 @@ def length_summary(s, d):
 
 @query
 def labels_by_domain(s, d):
-    return analyze.by_domain(registry(s)).select("domain", F.array_join("names", ",").alias("names"))
+    return analyze.by_domain(suppliers(s, d)).select("domain", F.array_join("names", ",").alias("names"))
 
 
 @query
@@ -406,29 +419,29 @@ def extract_json(s, d):
 
 @query
 def generated_offline(s, d):
-    tasks = generate.prompt_tasks(registry(s), generate.templates(s), "stage1", generate.stage1_calls(40), 5)
+    tasks = generate.prompt_tasks(suppliers(s, d), generate.templates(s), "stage1", generate.stage1_calls(40), 5)
     return generate.generated(generate.respond(tasks), 40)
 
 
 @query
 def response_stats(s, d):
-    tasks = generate.prompt_tasks(registry(s), generate.templates(s), "stage1", generate.stage1_calls(40), 5)
+    tasks = generate.prompt_tasks(suppliers(s, d), generate.templates(s), "stage1", generate.stage1_calls(40), 5)
     return generate.response_stats(generate.respond(tasks))
 
 
 @query
 def batch_prompts(s, d):
-    return generate.batch_prompts(registry(s), 3)
+    return generate.batch_prompts(suppliers(s, d), 3)
 
 
 @query
 def registry_subset(s, d):
-    return R.subset(registry(s), ["src7", "src3", "none"]).select("idx", "name")
+    return R.subset(suppliers(s, d), ["Supplier#000000007", "Supplier#000000003", "none"]).select("idx", "name")
 
 
 @query
 def hard_negatives_offline(s, d):
-    tasks = generate.pair_tasks(pairs.capped_pairs(pairs.all_pairs(registry(s), 0.3), 5), registry(s), generate.templates(s), generate.spare_calls(25, 5))
+    tasks = generate.pair_tasks(pairs.capped_pairs(pairs.all_pairs(suppliers(s, d), 0.3), 5), suppliers(s, d), generate.templates(s), generate.spare_calls(25, 5))
     made = generate.hard_negatives(generate.respond(tasks), tasks, 25)
     return made.groupBy("pair", "answer").agg(F.count(F.lit(1)).alias("n"))
 
