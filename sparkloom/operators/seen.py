@@ -37,8 +37,11 @@ class SeenSet:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self.folders: list[str] = []
+        self.tags: set[str | None] = set()
         while (text := files.read_text(spark, self._marker(len(self.folders) + 1))) is not None:
-            self.folders.append(json.loads(text)["folder"])
+            version = json.loads(text)
+            self.folders.append(version["folder"])
+            self.tags.add(version.get("tag"))
 
     def _marker(self, number: int) -> str:
         return f"{self.path}/versions/{number:06d}.json"
@@ -61,8 +64,8 @@ class SeenSet:
         rows = self._rows("accepted", "question string, answer string")
         return rows.select((F.monotonically_increasing_id() + F.lit(BEFORE)).alias("seq"), "question", "answer")
 
-    def add(self, cleaned: DataFrame, scope: str | None = None) -> int:
-        """Adds what a cleaning has seen and kept, as the next version; its number. cleaned is what `clean` returns."""
+    def add(self, cleaned: DataFrame, scope: str | None = None, tag: str | None = None) -> int:
+        """Adds what a cleaning has seen and kept, as the next version; its number. cleaned is what `clean` returns, tag a name that `tags` then has."""
         from .clean import NEAR_COPY
 
         number, folder = len(self.folders) + 1, f"rows-{uuid.uuid4().hex}"
@@ -71,6 +74,7 @@ class SeenSet:
         cleaned.filter("kept").select("question", "answer").write.parquet(f"{self.path}/{folder}/accepted")
         if files.read_text(self.spark, self._marker(number)) is not None:
             raise RuntimeError(f"another run has added version {number}; clean again with the state as it is now")
-        files.write_text(self.spark, self._marker(number), json.dumps({"folder": folder}))
+        files.write_text(self.spark, self._marker(number), json.dumps({"folder": folder, "tag": tag}))
         self.folders.append(folder)
+        self.tags.add(tag)
         return number

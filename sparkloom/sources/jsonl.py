@@ -41,9 +41,10 @@ def folder_value(column: str) -> Column:
     return F.when(~value.isin("", "__HIVE_DEFAULT_PARTITION__"), _decoded(value))
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, src_file, pair, _path, _block) of lines that aren't blank, of all files below the path."""
-    lines = spark.read.text(path, pathGlobFilter=FILES, recursiveFileLookup=True).withColumn("_name", relative_name(spark, path))
+def _lines(spark: SparkSession, path: str, stream: dict | None = None) -> DataFrame:
+    """(value, src_file, pair, _path, _block) of lines that aren't blank, of all files below the path; of a stream of them with the options in `stream`."""
+    reader = spark.read if stream is None else spark.readStream.options(**stream)
+    lines = reader.text(path, pathGlobFilter=FILES, recursiveFileLookup=True).withColumn("_name", relative_name(spark, path))
     named = {"src_file": F.coalesce(folder_value("src_file"), "_name"), "pair": folder_value("pair"), "_path": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
     return lines.withColumns(named).drop("_name").filter(F.trim("value") != "")
 
@@ -55,16 +56,17 @@ def _not_text(fields: list[str]) -> Column:
     return F.when(F.size(odd) > 0, F.array_join(odd, ", "))
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE, keep_corrupt: bool = False, placed: bool = False) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE, keep_corrupt: bool = False, placed: bool = False, stream: dict | None = None) -> DataFrame:
     """Rows of a file, or of all files below a folder, of JSON lines, with `src_file` and `pair`.
 
     src_file is the file's path below the folder, or what a folder `src_file=value` says, and pair what a
     folder `pair=value` says. Blank lines are skipped, and so are lines that are no JSON object; if kept,
     those that are JSON of another kind stay, with the line in `corrupt`, and `not_text` names the fields
     of an object that hold a number, a list or another kind than text. `placed` adds the columns that
-    with_seq numbers rows by.
+    with_seq numbers rows by. `stream`, options of a stream source, makes a stream of the files; its rows
+    come without `_row`, which each batch adds.
     """
-    lines = _lines(spark, path)
+    lines = _lines(spark, path, stream)
     parsed = F.from_json("value", f"{schema}, corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"})
     named = [f.name for f in _parse_datatype_string(schema).fields if f.dataType.simpleString() == "string"]
     odd = [_not_text(named).alias("not_text")] if keep_corrupt else []
@@ -75,6 +77,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = SAMPLE, keep_corrup
         df = df.filter(F.col("other") | F.col("corrupt").isNull()).withColumn("corrupt", F.when(F.col("other"), F.coalesce("corrupt", F.lit("")))).drop("other")
     else:
         df = df.filter(F.col("corrupt").isNull()).drop("corrupt", "other")
+    if stream is not None:
+        return df
     # numbered last: the rows of a split have consecutive numbers
     return df.withColumn("_row", F.monotonically_increasing_id()) if placed else df.drop("_path", "_block")
 
