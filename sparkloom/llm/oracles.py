@@ -23,7 +23,8 @@ OP1 = f"""
 WITH known AS (
   SELECT licence_digest, min(licence) AS licence
   FROM (SELECT licence, {_canonical("text")} AS licence_digest
-        FROM (VALUES {", ".join(f"({_text(k)}, {_text(v)})" for k, v in licences.KNOWN.items())}) AS v(licence, text))
+        FROM (VALUES {", ".join(f"({_text(k)}, {_text(v)})" for k, v in licences.KNOWN.items())}) AS v(licence, text)
+        UNION ALL SELECT * FROM (VALUES {", ".join(f"({_text(k)}, {_text(d)})" for k, ds in licences.DIGESTS.items() for d in ds)}) AS w(licence, licence_digest))
   WHERE licence_digest IS NOT NULL GROUP BY 1),
 d AS (SELECT doc_id, {_canonical("text")} AS licence_digest FROM documents)
 SELECT d.doc_id, d.licence_digest, k.licence, k.licence IS NOT NULL AS is_licence
