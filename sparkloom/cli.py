@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from . import config, run
 from .operators import analyze
+from .session import ship
 from .sources import endpoint, registry
 
 
@@ -35,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     cfg["generation"]["dry_run"] |= args.dry_run
     root = args.output or cfg["output"]["root"]
     spark = SparkSession.builder.appName("sparkloom").getOrCreate()
+    ship(spark)
     labels = registry.from_json(spark, args.registry)
     names = args.labels.split(",") if args.labels else None
     provider = endpoint.from_config(cfg["generation"])
