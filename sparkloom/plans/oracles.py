@@ -217,6 +217,23 @@ SELECT count(*) AS total, (SELECT count(*) FROM xk) AS passed, count(*) FILTER (
     "coverage": with_(REG, smp()) + " SELECT (SELECT count(DISTINCT answer) FROM smp) AS n_seen, (SELECT count(*) FROM reg) AS n_registered, CAST((SELECT count(DISTINCT answer) FROM smp) AS DOUBLE) / (SELECT count(*) FROM reg) AS coverage",
     "missing_labels": with_(REG, smp()) + " SELECT name FROM reg WHERE name NOT IN (SELECT answer FROM smp)",
     "balance_score": with_(smp(), f"x AS (SELECT answer, count(*) AS n FROM smp WHERE seq IN (SELECT seq FROM ({EXACT}) WHERE r = 1) GROUP BY 1)", "y AS (SELECT n, row_number() OVER (ORDER BY n, answer) AS i, count(*) OVER () AS k FROM x)") + " SELECT round(1 - abs(CAST(sum((2 * i - k - 1) * n) AS DOUBLE) / (any_value(k) * sum(n))), 4) AS balance_score FROM y",
+    "dataset_report": with_(REG, smp(), LABELS, "ls AS (SELECT coalesce(answer, '') AS answer, length(coalesce(question, '')) AS l FROM smp)", "la AS (SELECT n, row_number() OVER (ORDER BY n, answer) AS i, count(*) OVER () AS k FROM ld)") + """,
+whole(section, name, n) AS (
+  SELECT 'labels', 'total', sum(n) FROM ld UNION ALL SELECT 'labels', 'n_labels', count(*) FROM ld UNION ALL SELECT 'labels', 'min_n', min(n) FROM ld UNION ALL SELECT 'labels', 'max_n', max(n) FROM ld
+  UNION ALL SELECT 'lengths', 'min_len', min(l) FROM ls UNION ALL SELECT 'lengths', 'max_len', max(l) FROM ls
+  UNION ALL SELECT 'length_histogram', 'upto_20', count(*) FILTER (WHERE l <= 20) FROM ls UNION ALL SELECT 'length_histogram', 'from_21_to_80', count(*) FILTER (WHERE l BETWEEN 21 AND 80) FROM ls
+  UNION ALL SELECT 'length_histogram', 'from_81_to_200', count(*) FILTER (WHERE l BETWEEN 81 AND 200) FROM ls UNION ALL SELECT 'length_histogram', 'over_200', count(*) FILTER (WHERE l > 200) FROM ls
+  UNION ALL SELECT 'coverage', 'n_seen', count(*) FROM ld UNION ALL SELECT 'coverage', 'n_registered', count(*) FROM reg
+  UNION ALL SELECT 'label_distribution', answer, n FROM ld
+  UNION ALL SELECT 'domain_distribution', coalesce(domain, '未知'), sum(n) FROM ld LEFT JOIN reg ON name = answer GROUP BY 2
+  UNION ALL SELECT 'missing_labels', name, NULL FROM reg WHERE name NOT IN (SELECT answer FROM ld)),
+parts(section, name, value) AS (
+  SELECT 'labels', 'mean_n', avg(n) FROM ld UNION ALL SELECT 'labels', 'std_n', stddev_pop(n) FROM ld
+  UNION ALL SELECT 'lengths', 'mean_len', round(avg(l), 1) FROM ls UNION ALL SELECT 'lengths', 'std_len', round(stddev_pop(l), 1) FROM ls
+  UNION ALL SELECT 'lengths', 'short_ratio', avg(CAST(l <= 15 AS INT)) FROM ls UNION ALL SELECT 'lengths', 'long_ratio', avg(CAST(l > 100 AS INT)) FROM ls
+  UNION ALL SELECT 'coverage', 'coverage', CAST((SELECT count(*) FROM ld) AS DOUBLE) / (SELECT count(*) FROM reg)
+  UNION ALL SELECT 'balance', 'balance_score', round(1 - abs(CAST(sum((2 * i - k - 1) * n) AS DOUBLE) / (any_value(k) * sum(n))), 4) FROM la)
+SELECT section, name, CAST(n AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS value FROM whole UNION ALL SELECT section, name, NULL, value FROM parts""",
     "progress_report": with_(smp()) + " SELECT CASE WHEN grouping(stage) = 1 THEN 'TOTAL' ELSE stage END AS stage, CASE WHEN grouping(answer) = 1 THEN 'TOTAL' ELSE answer END AS answer, count(*) AS n FROM smp GROUP BY ROLLUP (stage, answer)",
     "resume_remaining": with_(REG, smp()) + " SELECT name, count(answer) AS existing, 60 - count(answer) AS remaining FROM reg LEFT JOIN smp ON name = answer GROUP BY 1 HAVING count(answer) < 60",
     "registry_pairs": with_(REGS, PAIRS[0], paired("rp")) + FLAT,

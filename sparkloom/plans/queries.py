@@ -241,6 +241,12 @@ def balance_score(s, d):
     return analyze.balance_score(clean.exact_dedup(samples(s, d)))
 
 
+@query
+def dataset_report(s, d):
+    """All figures of the report, from one scan of the documents."""
+    return analyze.report_rows(samples(s, d), registry(s))
+
+
 @query
 def progress_report(s, d):
     return analyze.progress(samples(s, d))

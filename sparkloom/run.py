@@ -115,8 +115,7 @@ def merge_and_export(spark: SparkSession, samples: DataFrame, labels: DataFrame,
     try:
         jsonl.write_jsonl(merged, f"{root}/merged", order=["place", "seq"])
         if split:
-            report = {k: json.loads(v) for k, v in analyze.report(merged, labels).first().asDict().items()}
-            files.write_text(spark, f"{root}/report.json", json.dumps(report, ensure_ascii=False, indent=2))
+            files.write_text(spark, f"{root}/report.json", json.dumps(analyze.report(merged, labels), ensure_ascii=False, indent=2))
             parts = (merge.stratified_split if s["stratified"] else merge.random_split)(merged, tuple(s["ratios"]), s["seed"])
             export.write_splits(parts.withColumn("place", seeded(s["seed"], F.col("split"), F.col("seq"))), f"{root}/split")
         export.export_all(merged, f"{root}/export")

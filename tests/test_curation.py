@@ -295,8 +295,7 @@ def test_config_precedence(tmp_path):
         config.load(str(tmp_path / "d.json"), {})
 
 
-def test_report_is_one_row(spark):
-    assert analyze.report(samples(spark, ROWS), labels(spark)).count() == 1
+def test_progress_has_totals(spark):
     assert analyze.progress(samples(spark, ROWS).withColumn("stage", F.lit("stage1"))).filter("stage = 'TOTAL'").first().n == 9
 
 
@@ -495,3 +494,36 @@ def test_a_run_that_breaks_off_adds_nothing(spark, tmp_path, monkeypatch):
     assert one.add(done) == 1 and SeenSet(spark, path).fresh(rows).count() == 0
     with pytest.raises(RuntimeError, match="another run"):
         two.add(done)
+
+
+@pytest.mark.parametrize("rows", [ROWS, [*ROWS, (None, None), ("", ""), ("x" * 3000, "不存在的智能体"), ("x" * 90, None)], [("only", B)], []])
+def test_report_agrees_with_each_figure(spark, rows):
+    s, reg = samples(spark, rows), registry.from_rows(spark, [{"name": A, "domain": "d"}, {"name": B, "domain": "e"}, {"name": A, "domain": "late"}, {"name": "丁", "domain": "d"}])
+    got = analyze.report(s, reg)
+    one = lambda df: df.first().asDict()
+    assert got["labels"] == pytest.approx(one(analyze.label_stats(s)))
+    assert got["lengths"] == pytest.approx(one(analyze.length_stats(s)))
+    assert got["length_histogram"] == one(analyze.length_histogram(s))
+    assert got["coverage"] == one(analyze.coverage(s, reg))
+    assert got["balance"] == one(analyze.balance_score(s))
+    assert got["label_distribution"] == {r.answer: r.n for r in analyze.label_distribution(s).collect()}
+    assert got["domain_distribution"] == {r.domain: r.n for r in analyze.domain_distribution(s, reg).collect()}
+    assert got["missing_labels"] == sorted({r.name for r in analyze.missing_labels(s, reg).collect()})
+
+
+def test_report_reads_samples_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    s = samples(spark, ROWS * 50).mapInArrow(counted, "seq long, question string, answer string")
+    assert analyze.report(s, labels(spark))["labels"]["total"] == read.value == 450
+
+
+def test_report_of_nothing(spark):
+    none = registry.from_rows(spark, [])
+    assert analyze.report(samples(spark, []), none)["balance"] == {"balance_score": 0.0}
+    assert "rows 0, labels 0 of 0" in analyze.console_report(samples(spark, []), none)
