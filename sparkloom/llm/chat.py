@@ -13,7 +13,8 @@ spans of the formatted text, one for each assistant text.
 
 Defined results: a null text or role is empty; a record that isn't JSON, or whose fingerprint no
 layout claims, has a null formatted text and the layout `unmapped`; turns with equal place are put in
-order of role, then text; a conversation without turns doesn't occur in a table of turns; records are
+order of role, then text; a turn's role that ROLES knows by another name (`Human`, `gpt`) comes out by its
+canonical one, all others as given; a conversation without turns doesn't occur in a table of turns; records are
 formatted one by one, so repeated records agree; an empty table gives an empty result. Input columns
 named like a result are replaced, all others pass through.
 """
