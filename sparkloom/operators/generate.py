@@ -19,6 +19,7 @@ from pyspark.sql.functions import udtf
 
 from ..functions import text as X
 from .clean import valid_hard_negative
+from .order import shuffled
 
 RESPONSE = "task_idx long, expected_answer string, raw_text string, parsed_items array<struct<question:string,answer:string>>, prompt_tokens int, completion_tokens int, latency_ms double, model string, error string"
 COLUMNS = ["expected_answer", "raw_text", "parsed_items", "prompt_tokens", "completion_tokens", "latency_ms", "model", "error"]
@@ -112,7 +113,7 @@ def batch_prompts(registry: DataFrame, count: int, style: str = "", extra: str =
 def hard_negative_tasks(pairs: DataFrame, registry: DataFrame, bank: DataFrame, n_calls: int, count: int = 5) -> DataFrame:
     """Tasks of both directions of each pair; the five strategies rotate with the call. Calls are bounded by n_calls."""
     both = pairs.select(F.col("agent_a").alias("target"), F.col("agent_b").alias("other")).unionByName(pairs.select(F.col("agent_b").alias("target"), F.col("agent_a").alias("other")))
-    t = both.join(registry.select(F.col("name").alias("target"), "description", "keywords"), "target").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_calls - 1))))
+    t = both.join(shuffled(registry.select(F.col("name").alias("target"), "description", "keywords")), "target").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_calls - 1))))
     b = bank.filter("kind = 'hard_negative'").select(F.col("idx").alias("_i"), "text", "n")
     t = t.join(b, F.col("i") % F.col("n") == F.col("_i"))
     user = filled(F.col("text"), F.col("target"), F.col("description"), F.col("keywords"), F.col("other"), F.lit(count))
@@ -124,10 +125,10 @@ def stage3_tasks(registry: DataFrame, bank: DataFrame, per_pair: int, batch: int
     """Tasks of each label with each confusable name that is a label; calls alternate between aiming at it and at the other."""
     n = spare_calls(per_pair, batch)
     refs = registry.select("idx", "name", F.posexplode("confusable").alias("k", "other"))
-    both = refs.join(registry.select(F.col("name").alias("other")), "other").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    both = refs.join(shuffled(registry.select(F.col("name").alias("other"))), "other").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     aims = F.col("i") % 2 == 0
     both = both.withColumn("target", F.when(aims, F.col("name")).otherwise(F.col("other"))).withColumn("against", F.when(aims, F.col("other")).otherwise(F.col("name")))
-    t = both.join(registry.select(F.col("name").alias("target"), "description", "keywords"), "target")
+    t = both.join(shuffled(registry.select(F.col("name").alias("target"), "description", "keywords")), "target")
     b = bank.filter("kind = 'hard_negative'").select(F.col("idx").alias("_i"), "text", F.col("n").alias("_n"))
     t = t.join(b, F.col("i") % F.col("_n") == F.col("_i"))
     user = filled(F.col("text"), F.col("target"), F.col("description"), F.col("keywords"), F.col("against"), F.lit(batch))
@@ -295,7 +296,7 @@ def hard_negatives(responses: DataFrame, tasks: DataFrame, target: int, existing
     name. existing, (pair, answer, n), has what pairs hold already.
     """
     of = tasks.select("task_idx", "pair", "call", "other", F.col("expected_answer").alias("target"))
-    rows = responses.filter(F.col("error").isNull()).select("task_idx", F.posexplode("parsed_items").alias("k", "item")).join(of, "task_idx")
+    rows = responses.filter(F.col("error").isNull()).select("task_idx", F.posexplode("parsed_items").alias("k", "item")).join(shuffled(of), "task_idx")
     rows = rows.filter(valid_hard_negative(F.col("item.question"), F.col("item.answer"), F.col("target"), F.col("other")))
     rows = rows.select("call", "k", "item.question", F.col("target").alias("answer"), "pair")
     return _missing(rows, target, existing, ["pair", "answer"], "call").select("question", "answer", "pair")

@@ -12,6 +12,11 @@ from .near import written
 DIGITS = 3
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df as a side of joins that grows with its table: shuffled, so that no round of an iteration sends it to the driver to be broadcast."""
+    return df.hint("merge")
+
+
 def prefix_sums(df: DataFrame, key: str | Column, value: str | Column, name: str = "ahead") -> DataFrame:
     """df with the sum of the values of all rows before it in the order of the key, which tells rows apart.
 

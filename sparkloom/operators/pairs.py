@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .near import written
-from .order import numbered
+from .order import numbered, shuffled
 
 REGISTRY, KEYWORD, DOMAIN = "registry", "keyword_overlap", "domain"
 REGISTRY_SCORE, DOMAIN_SCORE = 0.8, 0.2
@@ -28,7 +28,7 @@ def registry_pairs(registry: DataFrame) -> DataFrame:
     """Pairs that labels name themselves; names that no label has are left out."""
     refs = registry.select("idx", "name", "keywords", "domain", F.posexplode("confusable").alias("k", "other"))
     a = refs.select(F.col("idx").alias("i_a"), F.col("name").alias("name_a"), F.col("keywords").alias("keywords_a"), "k", "other")
-    both = a.join(_names(registry, "b"), F.col("other") == F.col("name_b"))
+    both = a.join(shuffled(_names(registry, "b")), F.col("other") == F.col("name_b"))
     rank = F.struct(F.lit(0).alias("pass"), F.col("i_a").cast("long").alias("i"), F.col("k").cast("long").alias("j"), F.lit(0).cast("long").alias("d"))
     return _first(_finish(both, REGISTRY, F.lit(REGISTRY_SCORE), rank))
 
@@ -38,9 +38,9 @@ def keyword_pairs(registry: DataFrame, threshold: float = 0.3) -> DataFrame:
     words = registry.select("idx", "name", F.explode(F.array_distinct("keywords")).alias("word"), F.size(F.array_distinct("keywords")).alias("n"))
     a = words.select(F.col("idx").alias("i_a"), F.col("n").alias("n_a"), "word")
     b = words.select(F.col("idx").alias("i_b"), F.col("n").alias("n_b"), "word")
-    common = a.join(b, "word").filter("i_a < i_b").groupBy("i_a", "i_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    common = a.join(shuffled(b), "word").filter("i_a < i_b").groupBy("i_a", "i_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
     near = common.withColumn("score", F.col("c") / (F.col("n_a") + F.col("n_b") - F.col("c"))).filter(F.col("score") >= threshold)
-    both = near.join(_names(registry, "a"), "i_a").join(_names(registry, "b"), "i_b")
+    both = near.join(shuffled(_names(registry, "a")), "i_a").join(shuffled(_names(registry, "b")), "i_b")
     rank = F.struct(F.lit(1).alias("pass"), F.col("i_a").cast("long").alias("i"), F.col("i_b").cast("long").alias("j"), F.lit(0).cast("long").alias("d"))
     return _first(_finish(both, KEYWORD, F.col("score"), rank))
 
@@ -50,7 +50,7 @@ def domain_pairs(registry: DataFrame) -> DataFrame:
     r = registry.withColumn("first", F.min("idx").over(Window.partitionBy("domain")))
     a = r.select(F.col("idx").alias("i_a"), F.col("name").alias("name_a"), F.col("keywords").alias("keywords_a"), "domain", "first")
     b = _names(registry, "b").withColumnRenamed("domain_b", "domain")
-    both = a.join(b, "domain").filter("i_a < i_b")
+    both = a.join(shuffled(b), "domain").filter("i_a < i_b")
     rank = F.struct(F.lit(2).alias("pass"), F.col("first").cast("long").alias("i"), F.col("i_a").cast("long").alias("j"), F.col("i_b").cast("long").alias("d"))
     return _first(_finish(both, DOMAIN, F.lit(DOMAIN_SCORE), rank))
 
@@ -80,20 +80,20 @@ def capped_pairs(pairs: DataFrame, most: int = 5) -> DataFrame:
         ends = left.select(F.col("agent_a").alias("name"), "order", F.lit(0).alias("end")).unionByName(left.select(F.col("agent_b").alias("name"), "order", F.lit(1).alias("end")))
         first = ends.withColumn("_r", F.row_number().over(Window.partitionBy("name").orderBy("order"))).filter(F.col("_r") <= most)
         if room is not None:
-            first = first.join(room, "name", "left").filter(F.col("_r") <= most - F.coalesce("used", F.lit(0)))
+            first = first.join(shuffled(room), "name", "left").filter(F.col("_r") <= most - F.coalesce("used", F.lit(0)))
         now = written(first.groupBy("order").agg(F.count(F.lit(1)).alias("_e")).filter("_e = 2").select("order"))
-        now = written(left.join(now, "order", "left_semi"))
+        now = written(left.join(shuffled(now), "order", "left_semi"))
         taken = now if taken is None else taken.unionByName(now)
         used = taken.select(F.col("agent_a").alias("name")).unionByName(taken.select(F.col("agent_b").alias("name"))).groupBy("name").agg(F.count(F.lit(1)).alias("used"))
         room = written(used)
         full = room.filter(F.col("used") >= most)
-        left = left.join(now.select("order"), "order", "left_anti")
+        left = left.join(shuffled(now.select("order")), "order", "left_anti")
         for k in ("agent_a", "agent_b"):
-            left = left.join(full.select(F.col("name").alias(k)), k, "left_anti")
+            left = left.join(shuffled(full.select(F.col("name").alias(k))), k, "left_anti")
         left = written(left.select("agent_a", "agent_b", "order"))
     if taken is None:
         return pairs.withColumn("place", F.lit(0).cast("long")).limit(0)
-    return numbered(taken, "order").drop("order").join(pairs, ["agent_a", "agent_b"])
+    return numbered(taken, "order").drop("order").join(shuffled(pairs), ["agent_a", "agent_b"])
 
 
 def confusion_matrix(pairs: DataFrame) -> DataFrame:

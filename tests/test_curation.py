@@ -548,3 +548,12 @@ def test_long_texts_leave_less_in_the_shared_folder_than_they_have_characters(sp
     before = held()
     assert sorted(r.seq for r in near.greedy_kept(samples(spark, rows)).collect()) == list(range(200))
     assert held() - before < sum(len(q) for q, _ in rows)
+
+
+def test_joins_of_pairs_and_tasks_broadcast_no_registry(spark):
+    r = registry.from_rows(spark, [{"name": f"l{i}", "domain": f"d{i % 2}", "keywords": ["k", f"k{i}"], "confusable": [f"l{i + 1}"]} for i in range(6)])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for df in (pairs.all_pairs(r), pairs.capped_pairs(pairs.all_pairs(r), 2).drop("place")):
+        assert "name_a" not in " ".join(x for x in plan(df).splitlines() if "BroadcastHashJoin" in x) and "i_a" not in " ".join(x for x in plan(df).splitlines() if "BroadcastHashJoin" in x)
+    tasks = plan(generate.hard_negative_tasks(pairs.all_pairs(r), r, generate.templates(spark), 3))
+    assert not [x for x in tasks.splitlines() if "BroadcastHashJoin" in x and "target" in x]
