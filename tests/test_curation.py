@@ -557,3 +557,17 @@ def test_joins_of_pairs_and_tasks_broadcast_no_registry(spark):
         assert "name_a" not in " ".join(x for x in plan(df).splitlines() if "BroadcastHashJoin" in x) and "i_a" not in " ".join(x for x in plan(df).splitlines() if "BroadcastHashJoin" in x)
     tasks = plan(generate.hard_negative_tasks(pairs.all_pairs(r), r, generate.templates(spark), 3))
     assert not [x for x in tasks.splitlines() if "BroadcastHashJoin" in x and "target" in x]
+
+
+def test_cleaning_checks_each_row_once(spark):
+    met = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            met.add(b.num_rows)
+            yield b
+
+    rows = samples(spark, [(f"我们公司系统第{i}个问题应该怎么处理，可以帮忙看看吗？", A) for i in range(20)]).coalesce(1)
+    done = clean.clean(rows.mapInArrow(seen, rows.schema), labels(spark), clean.CleanConfig(min_score=0.0, dedup="both"))
+    assert done.count() == 20 and done.filter("kept").count() > 0
+    assert met.value == 20
