@@ -559,6 +559,16 @@ def test_joins_of_pairs_and_tasks_broadcast_no_registry(spark):
     assert not [x for x in tasks.splitlines() if "BroadcastHashJoin" in x and "target" in x]
 
 
+def test_gram_sets_are_made_by_slices_of_text(spark):
+    import pyarrow as pa
+
+    texts = ["ä" * k for k in (10, near.TEXT, 3, 0, near.TEXT // 8)] + ["x" * (near.TEXT // 4)] * 9
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])
+    cut = list(near.text_slices([batch], 0))
+    assert [t for b in cut for t in b.column(0).to_pylist()] == texts
+    assert all(b.num_rows == 1 or sum(len(t.encode()) for t in b.column(0).to_pylist()) <= near.TEXT for b in cut)
+
+
 def test_cleaning_checks_each_row_once(spark):
     met = spark.sparkContext.accumulator(0)
 
