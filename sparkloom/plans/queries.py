@@ -146,7 +146,7 @@ def normalised(s, d):
 
 @query
 def ngram_counts(s, d):
-    g = near.gram_sets(samples(s, d, "lang"))
+    g = near.gram_counts(samples(s, d, "lang"))
     return g.select("seq", "label", F.col("size").cast("long").alias("n_grams"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkloom import config
 from sparkloom.operators import analyze, clean, export, generate, merge, near, pairs
+from sparkloom.plans import queries
 from sparkloom.sources import jsonl, registry
 
 A, B = "民航绕偏航处置", "飞行计划审核"
@@ -570,6 +571,22 @@ def test_gram_sets_are_made_by_slices_of_text(spark):
     assert all(b.num_rows == 1 or sum(len(t.encode()) for t in b.column(0).to_pylist()) <= near.TEXT for b in cut)
 
 
+def test_ngram_counts_send_no_sets(spark, tmp_path):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzäß ") for _ in range(k)) for k in (20000, 30000, 3, 2, 0)] + [None, "  ", "Ab aB"]
+    documents = spark.createDataFrame([(i, q, "x", "y") for i, q in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    documents.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    df = queries.Q["ngram_counts"](spark, str(tmp_path))
+    assert {r.seq: r.n_grams for r in df.collect()} == {i: len(near.gram_numbers(q or "", 3)) for i, q in enumerate(texts)}
+
+    def received(node):
+        """Bytes that Python sent back, of a plan's nodes."""
+        m = node.metrics().get("pythonDataReceived")
+        return (m.get().value() if m.isDefined() else 0) + sum(received(node.children().apply(k)) for k in range(node.children().size()))
+
+    assert 0 < received(df._jdf.queryExecution().executedPlan()) < 5000
+
+
 def test_sets_travel_by_tile_and_not_by_pair(spark, monkeypatch):
     monkeypatch.setattr(near, "PAIRS", 600, raising=False)
     monkeypatch.setattr(near, "SETS", 40, raising=False)
